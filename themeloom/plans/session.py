@@ -6,6 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where the driver has it, whatever folder they start in."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    held = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in held:
+        env["PYTHONPATH"] = os.pathsep.join([root, *held])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; a local one of our own only where none is set."""
     at = spark.conf.get("spark.checkpoint.dir", None)
