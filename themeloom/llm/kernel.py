@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
+from themeloom.plans.session import workers_find_package
+
 U64 = np.uint64
 #: Odd base of the rolling polynomial and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -18,6 +20,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Keep Arrow batches of whole texts small; a lower setting of the user stays."""
+    workers_find_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     held = int(spark.conf.get(key))
     if held <= 0 or held > rows:

@@ -4,18 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from themeloom.llm import neardup
+from themeloom.llm import langid, neardup, packing, tokenbin, tokencount, toxicity
 from themeloom.plans.session import table
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
+def _fold(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = langid.fit(langid.training_rows(docs, _fold(3) != 1))
+    out = langid.identify(docs, model)
+    return out.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("y")).where(_fold(5) != 0)
+    labelled = docs.select("doc_id", "text").join(labels, "doc_id").withColumnRenamed("doc_id", "id")
+    out = toxicity.score(docs, toxicity.fit(labelled))
+    return out.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "ratio", "n_words")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return neardup.near_duplicates(_documents(spark, sf_dir), shingle=4, percent=80)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), most=1024, end_id=2)
+
+
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tokenbin.packed_rows(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), most=2048)
+    sums = [F.crc32(c).alias(f"{c}_crc32") for c in ("input_ids", "position_ids", "loss_mask")]
+    return rows.select("first_doc", "first_piece", "n_segments", "n_tokens", "doc_ids", "starts", "cu_seqlens", *sums)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_near_dedup,)}
+    held = (op1_language_id, op2_toxicity, op4_token_counts, op5_near_dedup, op6_best_fit_packing, op8_token_ids)
+    return {f.__name__: f for f in held}
 
 
 def oracle_sql() -> dict[str, str]:
