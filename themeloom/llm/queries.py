@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import langid, neardup, packing, tokenbin, tokencount, toxicity
+from themeloom.llm import decontam, fingerprint, langid, neardup, packing, tokenbin, tokencount, toxicity
 from themeloom.plans.session import table
 
 
@@ -35,6 +35,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "ratio", "n_words")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_edits(_documents(spark, sf_dir))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -53,8 +57,12 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("first_doc", "first_piece", "n_segments", "n_tokens", "doc_ids", "starts", "cu_seqlens", *sums)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    held = (op1_language_id, op2_toxicity, op4_token_counts, op5_near_dedup, op6_best_fit_packing, op8_token_ids)
+    held = (op1_language_id, op2_toxicity, op3_fingerprints, op4_token_counts, op5_near_dedup, op6_best_fit_packing, op8_token_ids, op9_decontamination)
     return {f.__name__: f for f in held}
 
 
