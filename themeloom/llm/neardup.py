@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from themeloom.llm.graph import components
@@ -16,13 +16,16 @@ from themeloom.plans.session import materialise
 #: Bands of ROWS minima: a pair at Jaccard 0.8 shares none of 40 bands with probability (1 - 0.8**6)**40 = 5e-6.
 BANDS, ROWS = 40, 6
 BITS = 4
-WORDS = BANDS * ROWS * BITS // 64
-#: Pairs below this estimate are not confirmed: 4.5 standard deviations of the estimate under 0.8.
-SLACK = 0.12
+#: Minima, with one bit of each, of the longer signature that rows of still mixed buckets get.
+LONG = 2048
+#: Rows of a bucket that are compared at once with as many others.
+BLOCK = 1000
+#: How far under the threshold an estimate may lie: 4 standard deviations, for either length.
+SLACK, LONG_SLACK = 0.11, 0.05
 
 _VALUES = byte_values(5)
-_A = mix(np.arange(1, BANDS * ROWS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
-_B = mix(np.arange(1, BANDS * ROWS + 1, dtype=U64) * U64(0xC2B2AE3D27D4EB4F))
+_A = mix(np.arange(1, LONG + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
+_B = mix(np.arange(1, LONG + 1, dtype=U64) * U64(0xC2B2AE3D27D4EB4F))
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -51,19 +54,22 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, U64)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The minimum of each hash function over a set, 32 bits each."""
-    low = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+def minima(shingles: np.ndarray, n: int = BANDS * ROWS) -> np.ndarray:
+    """The minimum of each of n hash functions over a set, 32 bits each."""
+    low = np.full(n, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(shingles), 1024):
-        h = (shingles[at : at + 1024, None] * _A + _B) >> U64(32)
+        h = (shingles[at : at + 1024, None] * _A[:n] + _B[:n]) >> U64(32)
         np.minimum(low, h.min(axis=0).astype(np.uint32), out=low)
     return low
 
 
-def pack(low: np.ndarray) -> np.ndarray:
-    """The low BITS of each minimum, as 64-bit words."""
-    part = (low & np.uint32((1 << BITS) - 1)).astype(U64).reshape(WORDS, 64 // BITS)
-    return (part << (np.arange(64 // BITS, dtype=U64) * U64(BITS))).sum(axis=1, dtype=U64)
+def pack(low: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The low bits of each minimum in planes: 64 first bits to a word, then their second bits, and so on."""
+    groups = -(-len(low) // 64)
+    held = np.zeros(groups * 64, np.uint32)
+    held[: len(low)] = low
+    planes = [np.packbits((held >> np.uint32(k)) & np.uint32(1)).view(">u8").astype(U64) for k in range(bits)]
+    return np.stack(planes, 1).reshape(-1)
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
@@ -100,23 +106,33 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64), pa.int64()))
 
 
-def similarity(a: str, b: str):
-    """Jaccard estimate of two packed signatures, corrected for b-bit collisions, as a column."""
-    ones = "1" * (64 // BITS)
-    low = int(ones, 16)
-    differ = None
-    for w in range(WORDS):
-        x = f"({a}[{w}] ^ {b}[{w}])"
-        n = f"bit_count(({x} | shiftright({x}, 1) | shiftright({x}, 2) | shiftright({x}, 3)) & {low}L)"
-        differ = n if differ is None else f"{differ} + {n}"
-    c = 2.0**-BITS
-    return F.expr(f"greatest(0D, (1D - ({differ}) / {BANDS * ROWS}D - {c}D) / {1 - c}D)")
+def similarity(a: str, b: str, n: int = BANDS * ROWS, bits: int = BITS) -> Column:
+    """Jaccard estimate of two packed signatures of n minima, corrected for b-bit collisions."""
+    differ = []
+    for g in range(-(-n // 64)):
+        planes = [f"({a}[{g * bits + k}] ^ {b}[{g * bits + k}])" for k in range(bits)]
+        differ.append(f"bit_count({' | '.join(planes)})")
+    c = 2.0**-bits
+    return F.expr(f"greatest(0D, (1D - ({' + '.join(differ)}) / {n}D - {c}D) / {1 - c}D)")
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the rows whose doc_id is in ids(doc_id); one row for each id, the greatest text of it."""
+    return docs.join(ids.distinct().hint("merge"), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
+
+
+def long_signatures(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [pack(minima(s, LONG), 1) for s in shingle_sets(batch.column(1), k)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(rows)], names=["rep", "long"])
+
+    return texts_of(docs, ids).mapInArrow(run, "rep bigint, long array<bigint>")
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    held = docs.join(need, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
+    held = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,6 +146,88 @@ def confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFram
     return both.where((F.size("sa") + F.size("sb") - F.col("i")) * percent <= F.col("i") * 100).select("a", "b")
 
 
+def _agree(a: np.ndarray, b: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """similarity() of rows of packed signatures, in numpy."""
+    differ = np.bitwise_count(np.bitwise_or.reduce((a ^ b).reshape(len(a), a.shape[1] // bits, bits), axis=2)).sum(axis=1)
+    c = 2.0**-bits
+    return (1 - differ / n - c) / (1 - c)
+
+
+def _bucket_pairs(x: dict[str, np.ndarray], band: int, apart: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one bucket (of its two blocks, if apart) that differ in label and may be alike enough."""
+    n, out = len(x["rep"]), []
+    for at in range(0, n, 64):
+        i, j = np.nonzero(x["label"][at : at + 64, None] != x["label"][None, :])
+        i += at
+        less, more = np.minimum(x["n"][i], x["n"][j]), np.maximum(x["n"][i], x["n"][j])
+        ok = (x["rep"][i] < x["rep"][j]) & (100 * less >= percent * more)
+        if apart:
+            ok &= x["block"][i] != x["block"][j]
+        i, j = i[ok], j[ok]
+        for name, size, bits, slack in (("sig", BANDS * ROWS, BITS, SLACK), ("long", LONG, 1, LONG_SLACK)):
+            ok = _agree(x[name][i], x[name][j], size, bits) >= percent / 100 - slack
+            i, j = i[ok], j[ok]
+        ok = (x["bands"][i] == x["bands"][j]).argmax(axis=1) == band  # each pair at its first shared band
+        out.append((i[ok], j[ok]))
+    i, j = (np.concatenate([p[k] for p in out]) for k in (0, 1))
+    return x["rep"][i], x["rep"][j]
+
+
+def across_labels(rows: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different labels from rows(band, key, size, rep, label, n, sig, long, bands).
+
+    A bucket is cut into blocks of about BLOCK rows, and a task compares two blocks at a time by their
+    signatures, so no bucket has to fit into a task and only pairs that are alike enough leave it.
+    """
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
+    cut = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+    keys = ["band", "key", "lo", "hi"]
+    cut = cut.select(*keys, "block", "rep", "label", "n", "sig", "long", "bands").repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def pairs(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+            part = part.combine_chunks()
+            x = {c: part[c].to_numpy() for c in ("band", "key", "lo", "hi", "block", "rep", "label", "n")}
+            for c in ("sig", "long", "bands"):
+                flat = part[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+                x[c] = flat.view(U64).reshape(len(x["rep"]), -1)
+            new = np.zeros(len(x["rep"]), bool)
+            for c in keys:
+                new[1:] |= x[c][1:] != x[c][:-1]
+            cuts = [0, *np.flatnonzero(new).tolist(), len(new)]
+            found = []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b - a > 1:
+                    one = {c: v[a:b] for c, v in x.items()}
+                    found.append(_bucket_pairs(one, int(one["band"][0]), bool(one["lo"][0] != one["hi"][0]), percent))
+            return tuple(np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
+
+        def result(part: pa.Table) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(p, pa.int64()) for p in pairs(part)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = pa.Table.from_batches([batch])
+            held = part if held is None else pa.concat_tables([held, part])
+            same = np.ones(held.num_rows, bool)
+            for c in keys:
+                v = held[c].to_numpy()
+                same &= v == v[-1]
+            whole = held.num_rows - int(same.sum())  # the last bucket may go on in the next batch
+            if whole:
+                yield result(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None:
+            yield result(held)
+
+    return cut.mapInArrow(run, "a bigint, b bigint")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -138,9 +236,9 @@ def near_duplicates(
     Words are runs of other than ASCII white space, A-Z lower-cased; a set has the distinct `shingle`-word
     shingles of a text, or the whole of a shorter one. Rows are linked if 100 * intersection >= percent *
     union. Rows of equal sets form one class that a single row stands for. Bands of minima give candidates:
-    first each representative with its most alike bucket head, then, in buckets that still hold several
-    components, the pairs across components whose packed signatures agree well enough. All links are
-    confirmed on full sets. Null, empty and blank texts have empty sets and are linked with nothing.
+    first each representative with its most alike bucket head, then, in buckets that still hold rows of
+    several heads, the pairs across them whose packed signatures, short and long, agree well enough, each
+    pair at the first band that it shares. All links are confirmed on full sets. Null, empty and blank texts have empty sets and are linked with nothing.
     doc_id identifies a document: rows that repeat one are one node (the greatest text speaks for it).
     Rows with a null doc_id are kept by themselves, with a null component. No rows give no rows.
     """
@@ -155,23 +253,25 @@ def near_duplicates(
     buckets = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     heads = buckets.groupBy("band", "key").agg(F.min("rep").alias("head"), F.count("*").alias("size")).where("size > 1")
     buckets = materialise(buckets.join(heads.drop("size"), ["band", "key"]))
-    marks = reps.select("rep", "n", "sig")
+    marks = reps.select("rep", "n", "sig", "bands")
     near = F.col("like") >= percent / 100 - SLACK
     sized = F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
     star = buckets.where("rep <> head").select(F.col("rep").alias("b"), F.col("head").alias("a")).distinct()
-    star = star.join(marks.toDF("b", "nb", "sb"), "b").join(marks.toDF("a", "na", "sa"), "a").where(sized)
+    short = reps.select("rep", "n", "sig")
+    star = star.join(short.toDF("b", "nb", "sb"), "b").join(short.toDF("a", "na", "sa"), "a").where(sized)
     star = star.withColumn("like", similarity("sa", "sb")).where(near).groupBy("b").agg(F.max_by("a", F.struct("like", -F.col("a"))).alias("a"))
     links = materialise(confirm(docs, materialise(star.select("a", "b")), shingle, percent))
-    first = components(links)
-    placed = buckets.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_rows = placed.join(mixed.select("band", "key"), ["band", "key"]).join(marks, "rep")
-    open_rows = materialise(open_rows.select("band", "key", "rep", "component", "n", "sig"))
-    a, b = (open_rows.toDF("band", "key", x, f"c{x}", f"n{x}", f"s{x}") for x in "ab")
-    across = a.join(b, ["band", "key"]).where("ca < cb").where(sized).where(similarity("sa", "sb") >= percent / 100 - SLACK)
-    more = materialise(confirm(docs, materialise(across.select("a", "b").distinct()), shingle, percent))
-    if not more.isEmpty():
-        first = components(links.union(more))
+    # Labels that only collapse stars: a row's head, and that head's own.
+    label = links.toDF("up", "rep")
+    up = links.toDF("top", "up").hint("merge")
+    label = label.join(up, "up", "left").select("rep", F.coalesce("top", "up").alias("label"))
+    placed = buckets.join(label.hint("merge"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    mixed = placed.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
+    open_rows = materialise(placed.join(mixed.where("lo < hi").select("band", "key", "size").hint("merge"), ["band", "key"]))
+    marks = marks.join(long_signatures(docs, open_rows.select(F.col("rep").alias("doc_id")), shingle), "rep")
+    open_rows = materialise(open_rows.select("band", "key", "size", "rep", "label").join(marks.hint("merge"), "rep"))
+    across = materialise(across_labels(open_rows, percent))
+    first = components(links.union(confirm(docs, across, shingle, percent)))
     of_class = classes.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", "n", F.coalesce("component", "rep").alias("component")
     )
