@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import decontam, fingerprint, langid, neardup, packing, tokenbin, tokencount, toxicity
+from themeloom.llm import decontam, fingerprint, langid, neardup, packing, suffixdedup, tokenbin, tokencount, toxicity
 from themeloom.plans.session import table
 
 
@@ -51,6 +51,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), most=1024, end_id=2)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.remove_repeats(_documents(spark, sf_dir)).drop("kept")
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tokenbin.packed_rows(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), most=2048)
     sums = [F.crc32(c).alias(f"{c}_crc32") for c in ("input_ids", "position_ids", "loss_mask")]
@@ -62,7 +66,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    held = (op1_language_id, op2_toxicity, op3_fingerprints, op4_token_counts, op5_near_dedup, op6_best_fit_packing, op8_token_ids, op9_decontamination)
+    held = (op1_language_id, op2_toxicity, op3_fingerprints, op4_token_counts, op5_near_dedup, op6_best_fit_packing, op7_suffix_dedup, op8_token_ids, op9_decontamination)
     return {f.__name__: f for f in held}
 
 
