@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import decontam, fingerprint, langid, neardup, packing, suffixdedup, tokenbin, tokencount, toxicity
+from themeloom.llm import decontam, fingerprint, langid, licences, neardup, packing, suffixdedup, tokenbin, tokencount, toxicity
 from themeloom.plans.session import table
 
 
@@ -65,8 +65,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return licences.scan(docs, licences.fit(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    held = (op1_language_id, op2_toxicity, op3_fingerprints, op4_token_counts, op5_near_dedup, op6_best_fit_packing, op7_suffix_dedup, op8_token_ids, op9_decontamination)
+    held = (op1_language_id, op2_toxicity, op3_fingerprints, op4_token_counts, op5_near_dedup, op6_best_fit_packing, op7_suffix_dedup, op8_token_ids, op9_decontamination, op10_licence_scan)
     return {f.__name__: f for f in held}
 
 
