@@ -1,15 +1,627 @@
-"""Registered queries of the engine and their DuckDB counterparts."""
+"""Registered queries of the engine and their DuckDB counterparts, side by side."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from themeloom.functions import text as tx
+from themeloom.operators import feed as fd
+from themeloom.operators import matching, sampling, themes
+from themeloom.plans import bridge as b
+from themeloom.plans.session import table
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+CUTOFF = "2024-01-01 00:00:00"
+
+
+def query(sql: str | None = None, *views: str) -> Callable[[Query], Query]:
+    """Register a query under its function's name; views are the WITH clauses that its SQL needs."""
+
+    def put(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = (f"WITH {', '.join(views)} " if views else "") + sql
+        return f
+
+    return put
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# Projections and scalar rules -------------------------------------------------------------------------------------
+
+
+@query(
+    "SELECT review_id, rating, CASE WHEN trim(app_version) <> '' THEN app_version ELSE '' END AS app_version, 'android' AS platform, country, ts AS timestamp FROM reviews WHERE platform = 'android'", b.REVIEWS
+)
+def norm_android(s, d):
+    raw = b.reviews(s, d).where("platform = 'android'")
+    feed = raw.select(F.lit(0).alias("seq"), F.col("review_id").alias("reviewId"), F.col("rating").alias("score"), F.lit("x").alias("content"), F.col("ts").alias("at"), F.lit("").alias("reviewCreatedVersion"), F.col("app_version").alias("appVersion"), "country")
+    out = fd.normalise_android(feed.drop("country")).join(raw.select("review_id", F.col("country").alias("c")), "review_id")
+    return out.select("review_id", "rating", "app_version", "platform", F.col("c").alias("country"), F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
+@query("SELECT concat_ws('-', 'ios', country, CAST(review_id AS VARCHAR)) AS review_id, rating, '' AS title, country FROM reviews WHERE platform = 'ios'", b.REVIEWS)
+def norm_ios_key(s, d):
+    raw = b.reviews(s, d).where("platform = 'ios'")
+    feed = raw.select(F.lit(0).alias("seq"), F.col("review_id").cast("string").alias("id"), "rating", F.lit("x").alias("content"), F.col("ts").alias("date"), F.lit(None).cast("string").alias("app_version"), F.lit(None).cast("string").alias("title"), "country")
+    return fd.normalise_ios(feed).select("review_id", "rating", "title", "country")
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(ts, '%f') <> '000000' THEN '.' || strftime(ts, '%f') ELSE '' END || '+00:00' AS iso FROM events")
+def norm_iso8601(s, d):
+    return table(s, d, "events").select("event_id", tx.iso8601(F.col("ts")).alias("iso"))
+
+
+@query("SELECT event_id, CAST(epoch_us(ts) AS BIGINT) AS utc_us FROM events")
+def norm_to_utc(s, d):
+    return table(s, d, "events").select("event_id", F.unix_micros(F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")).alias("utc_us"))
+
+
+@query(
+    r"""SELECT event_id, regexp_replace(regexp_replace(chr(9) || ' ' || event_type || chr(160) || ' ', '^[\s\x{1c}-\x{1f}\x{a0}]+', ''), '[\s\x{1c}-\x{1f}\x{a0}]+$', '') AS text,
+    coalesce(nullif(CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END, ''), nullif(CASE WHEN event_id % 2 = 0 THEN '' END, ''), '') AS version FROM events"""
+)
+def norm_strip_coalesce(s, d):
+    e = table(s, d, "events")
+    padded = F.concat(F.lit("\t "), "event_type", F.lit("  "))
+    first = F.when(F.col("event_id") % 3 == 0, "").otherwise(F.col("event_type"))
+    return e.select("event_id", tx.strip(padded).alias("text"), tx.first_truthy(first, F.when(F.col("event_id") % 2 == 0, "")).alias("version"))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 60 THEN substr(replace(text, chr(10), ' '), 1, 60) || '...' ELSE replace(text, chr(10), ' ') END AS snippet FROM documents")
+def str_snippet(s, d):
+    return table(s, d, "documents").select("doc_id", tx.snippet(F.col("text")).alias("snippet"))
+
+
+@query("SELECT doc_id, substr(sha256(source || chr(0) || coalesce(lang, '') || chr(0) || CAST(doc_id AS VARCHAR)), 1, 12) AS key FROM documents")
+def cache_key_hash(s, d):
+    return table(s, d, "documents").select("doc_id", tx.cache_key(F.col("source"), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string")).alias("key"))
+
+
+_ERRORS = "errors AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN 429 WHEN 1 THEN 503 WHEN 2 THEN 400 END AS status, CASE event_id % 7 WHEN 0 THEN 'Rate limit hit' WHEN 1 THEN 'tokens per DAY exceeded' WHEN 2 THEN 'Connection reset' WHEN 3 THEN 'quota' ELSE event_type END AS msg FROM events)"
+
+
+def _errors(s, d):
+    case = "CASE event_id % 5 WHEN 0 THEN 429 WHEN 1 THEN 503 WHEN 2 THEN 400 END"
+    msg = "CASE event_id % 7 WHEN 0 THEN 'Rate limit hit' WHEN 1 THEN 'tokens per DAY exceeded' WHEN 2 THEN 'Connection reset' WHEN 3 THEN 'quota' ELSE event_type END"
+    return table(s, d, "events").select("event_id", F.expr(case).alias("status"), F.expr(msg).alias("msg"))
+
+
+def _any(marks) -> str:
+    return "(" + " OR ".join(f"contains(lower(msg), '{m}')" for m in marks) + ")"
+
+
+@query(f"SELECT event_id, coalesce(status IN {tx.RETRY_CODES}, false) OR {_any(tx.RETRY_MARKS)} AS retry FROM errors", _ERRORS)
+def classify_retryable(s, d):
+    return _errors(s, d).select("event_id", tx.is_retryable(F.col("status"), F.col("msg")).alias("retry"))
+
+
+@query(f"SELECT event_id, {_any(tx.DAILY_MARKS)} AS daily FROM errors", _ERRORS)
+def classify_daily_cap(s, d):
+    return _errors(s, d).select("event_id", tx.is_daily_limit(F.col("msg")).alias("daily"))
+
+
+@query(f"SELECT event_id, CASE WHEN coalesce(status = 429, false) OR {_any(tx.RATE_MARKS)} THEN 'rate' ELSE 'server' END AS kind FROM errors", _ERRORS)
+def classify_rate_limit(s, d):
+    return _errors(s, d).select("event_id", F.when(tx.is_rate_limit(F.col("status"), F.col("msg")), "rate").otherwise("server").alias("kind"))
+
+
+@query("SELECT event_id, least(30.0, pow(2.0, event_id % 8)) AS seconds FROM events")
+def backoff_schedule(s, d):
+    return table(s, d, "events").select("event_id", tx.backoff(F.col("event_id") % 8 + 1).alias("seconds"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(coalesce(nullif(CASE WHEN event_id % 5 = 0 THEN '' ELSE props END, ''), '{}'), '$.k') AS VARCHAR) AS k FROM events")
+def json_tool_args(s, d):
+    e = table(s, d, "events")
+    args = F.when(F.col("event_id") % 5 == 0, "").otherwise(F.col("props"))
+    return e.select("event_id", F.get_json_object(F.coalesce(F.nullif(args, F.lit("")), F.lit("{}")), "$.k").alias("k"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END AS n FROM events")
+def map_header_filter(s, d):
+    e = table(s, d, "events")
+    name = F.when(F.col("event_id") % 2 == 0, "content-type").otherwise(F.lit("Retry-After"))
+    held = F.map_filter(F.create_map(F.lit("X-RateLimit-Left"), F.col("event_type"), name, F.lit("1")), lambda k, v: F.lower(k).rlike("^(x-ratelimit|retry-after)"))
+    return e.select("event_id", F.size(held).alias("n"))
+
+
+# Windows over a feed ----------------------------------------------------------------------------------------------
+
+_CUT = "(SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events)"
+
+
+def _cut(s, d):
+    span = table(s, d, "events").agg(F.min("ts").cast("timestamp").alias("lo"), F.max("ts").cast("timestamp").alias("hi"))
+    return span.select(F.timestamp_micros(F.unix_micros("lo") + F.floor((F.unix_micros("hi") - F.unix_micros("lo")) / 2)).cast("timestamp_ntz").alias("cut"))
+
+
+@query(f"SELECT event_id FROM feed WHERE ts >= {_CUT}", b.FEED)
+def window_lookback(s, d):
+    return b.feed(s, d).crossJoin(F.broadcast(_cut(s, d))).where("ts >= cut").select("event_id")
+
+
+_TAKE = f"SELECT event_id FROM (SELECT *, max(CASE WHEN ts < {_CUT} THEN 1 ELSE 0 END) OVER (PARTITION BY feed ORDER BY seq ROWS UNBOUNDED PRECEDING) AS stop FROM feed) WHERE stop = 0"
+
+
+@query(_TAKE, b.FEED)
+def window_take_while(s, d):
+    return fd.take_while(b.feed(s, d).crossJoin(F.broadcast(_cut(s, d))), F.col("cut"), "feed").select("event_id")
+
+
+@query("SELECT rid, event_id FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY feed, seq) AS rn FROM feed WHERE trim(content) <> '') WHERE rn = 1", b.FEED)
+def dedup_first(s, d):
+    return fd.keep_one(b.feed(s, d).where(tx.strip(F.col("content")) != ""), "rid", F.struct("feed", "seq")).select("rid", "event_id")
+
+
+@query("SELECT rid, event_id FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY event_id DESC) AS rn FROM feed) WHERE rn = 1", b.FEED)
+def dedup_last(s, d):
+    return fd.keep_one(b.feed(s, d), "rid", F.col("event_id").desc()).select("rid", "event_id")
+
+
+@query("SELECT feed, event_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY feed ORDER BY seq DESC) AS rank FROM feed) WHERE rank <= 50", b.FEED)
+def last_n_events(s, d):
+    return fd.cap_per_group(b.feed(s, d), "feed", 50, F.col("seq").desc()).select("feed", "event_id", "rank")
+
+
+@query("SELECT country, review_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY ts DESC, review_id) AS rank FROM reviews) WHERE rank <= 100", b.REVIEWS)
+def src_per_country_cap(s, d):
+    return fd.cap_per_group(b.reviews(s, d), "country", 100, F.col("ts").desc(), F.col("review_id")).select("country", "review_id", "rank")
+
+
+@query("SELECT l_partkey, arg_min(l_suppkey, l_orderkey * 100 + l_linenumber) AS app FROM (SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn FROM lineitem WHERE l_shipdate IS NOT NULL) WHERE rn = 1 GROUP BY l_partkey")
+def src_first_prefix_match(s, d):
+    """The first hit in order for each key: here the first supplier of a part."""
+    li = table(s, d, "lineitem").where("l_shipdate is not null")
+    one = li.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey")).alias("x")).select("l_orderkey", "l_linenumber", "x.*")
+    return one.groupBy("l_partkey").agg(F.min_by("l_suppkey", F.expr("l_orderkey * 100 + l_linenumber")).alias("app"))
+
+
+# Aggregations over reviews ----------------------------------------------------------------------------------------
+
+
+@query("SELECT platform, country, count(*) AS n, count(rating) AS rated FROM (SELECT * FROM reviews WHERE platform = 'android' UNION ALL SELECT * FROM reviews WHERE platform = 'ios') GROUP BY ALL", b.REVIEWS)
+def combine_union(s, d):
+    r = b.reviews(s, d)
+    both = fd.combine(r.where("platform = 'android'"), r.where("platform = 'ios'").withColumn("title", F.lit("")))
+    return both.groupBy("platform", "country").agg(F.count("*").alias("n"), F.count("rating").alias("rated"))
+
+
+@query(
+    """SELECT k AS rating, coalesce(n, 0) AS n, round_even(coalesce(n, 0) * 100.0 / t, 1) AS pct, repeat('#', CAST(round_even(coalesce(n, 0) * 100.0 / t / 2, 0) AS INTEGER)) AS bar
+    FROM (SELECT unnest([1, 2, 3, 4, 5]) AS k) LEFT JOIN (SELECT rating, count(*) AS n FROM reviews GROUP BY 1) ON k = rating, (SELECT count(*) AS t FROM reviews)""", b.REVIEWS
+)
+def rating_histogram(s, d):
+    r = b.reviews(s, d).groupBy("rating").agg(F.count("*").alias("c"))
+    total = r.agg(F.sum("c").alias("t"))
+    dom = s.range(1, 6).select(F.col("id").cast("int").alias("rating"))
+    held = dom.join(r, "rating", "left").crossJoin(F.broadcast(total)).withColumn("n", F.coalesce("c", F.lit(0)))
+    return held.select("rating", "n", tx.percent(F.col("n"), F.col("t"), 1).alias("pct"), tx.bar(F.col("n") * 100.0 / F.col("t")).alias("bar"))
+
+
+@query("SELECT country, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, country) AS place FROM reviews GROUP BY country", b.REVIEWS)
+def country_counts(s, d):
+    c = b.reviews(s, d).groupBy("country").agg(F.count("*").alias("n"))
+    return c.withColumn("place", F.row_number().over(Window.orderBy(F.col("n").desc(), "country")))
+
+
+@query("SELECT platform, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, count(*) FILTER (WHERE country = 'china') AS n_home FROM reviews GROUP BY platform", b.REVIEWS)
+def platform_summary(s, d):
+    return b.reviews(s, d).groupBy("platform").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count_if(F.col("country") == "china").alias("n_home"))
+
+
+@query("SELECT coalesce(platform, 'untagged') AS platform, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 9) AS pct FROM reviews GROUP BY 1", b.REVIEWS)
+def platform_share(s, d):
+    c = b.reviews(s, d).groupBy(F.coalesce("platform", F.lit("untagged")).alias("platform")).agg(F.count("*").alias("n"))
+    return c.crossJoin(F.broadcast(c.agg(F.sum("n").alias("t")))).select("platform", "n", F.round(F.col("n") * 100.0 / F.col("t"), 9).alias("pct"))
+
+
+@query("SELECT platform, count(*) FILTER (WHERE rating = 1) AS r1, count(*) FILTER (WHERE rating = 2) AS r2, count(*) FILTER (WHERE rating = 3) AS r3, count(*) FILTER (WHERE rating = 4) AS r4, count(*) FILTER (WHERE rating = 5) AS r5, count(*) AS total FROM reviews GROUP BY platform", b.REVIEWS)
+def platform_rating_pivot(s, d):
+    return b.reviews(s, d).groupBy("platform").agg(*[F.count_if(F.col("rating") == k).alias(f"r{k}") for k in range(1, 6)], F.count("*").alias("total"))
+
+
+# Language filter --------------------------------------------------------------------------------------------------
+
+_SPLIT = "split AS (SELECT doc_id, lang, coalesce(lang = 'en' OR confidence < 0.5, false) AS kept, coalesce(lang, 'unknown') AS detected_language, round_even(CASE WHEN lang IS NULL THEN 0.0 ELSE confidence END, 4) AS confidence FROM docs)"
+
+
+def _split(s, d):
+    return fd.split_by_language(b.docs(s, d), "en")
+
+
+@query("SELECT doc_id FROM split WHERE kept", b.DOCS, _SPLIT)
+def lang_kept(s, d):
+    return _split(s, d).where("kept").select("doc_id")
+
+
+@query("SELECT doc_id, detected_language, confidence FROM split WHERE NOT kept", b.DOCS, _SPLIT)
+def lang_dropped(s, d):
+    return _split(s, d).where("not kept").select("doc_id", "detected_language", "confidence")
+
+
+@query("SELECT detected_language, count(*) AS n FROM split WHERE NOT kept GROUP BY 1", b.DOCS, _SPLIT)
+def lang_drop_breakdown(s, d):
+    return _split(s, d).where("not kept").groupBy("detected_language").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (WHERE kept) AS n_kept, round(count(*) FILTER (WHERE kept) * 100.0 / count(*), 9) AS pct_kept FROM split", b.DOCS, _SPLIT)
+def lang_filter_summary(s, d):
+    c = _split(s, d).agg(F.count("*").alias("n"), F.count_if("kept").alias("n_kept"))
+    return c.withColumn("pct_kept", F.round(F.try_divide(F.col("n_kept") * 100.0, F.col("n")), 9))
+
+
+@query("SELECT CASE WHEN rn <= 2 THEN detected_language ELSE '(other languages)' END AS language, CAST(sum(n) AS BIGINT) AS n FROM (SELECT *, row_number() OVER (ORDER BY n DESC, detected_language) AS rn FROM (SELECT detected_language, count(*) AS n FROM split GROUP BY 1)) GROUP BY 1", b.DOCS, _SPLIT)
+def lang_top_with_other(s, d):
+    c = _split(s, d).groupBy("detected_language").agg(F.count("*").alias("n")).withColumn("rn", F.row_number().over(Window.orderBy(F.col("n").desc(), "detected_language")))
+    return c.groupBy(F.when(F.col("rn") <= 2, F.col("detected_language")).otherwise("(other languages)").alias("language")).agg(F.sum("n").alias("n"))
+
+
+# Sampling ---------------------------------------------------------------------------------------------------------
+
+_POOLS = "pools AS (SELECT platform, rating, count(*) AS pool FROM reviews WHERE platform IS NOT NULL GROUP BY 1, 2)"
+_ALLOC = """shares AS (SELECT *, least(500, sum(pool) OVER (PARTITION BY platform)) AS goal, least(500, sum(pool) OVER (PARTITION BY platform))::DOUBLE * pool / sum(pool) OVER (PARTITION BY platform) AS share FROM pools),
+ alloc AS (SELECT platform, rating, pool, CAST(least(floor(share) + CASE WHEN row_number() OVER (PARTITION BY platform ORDER BY share - floor(share) DESC, rating DESC) <= goal - sum(floor(share)) OVER (PARTITION BY platform) THEN 1 ELSE 0 END, pool) AS BIGINT) AS n FROM shares)"""
+_PICK = "picked AS (SELECT r.review_id, r.platform, r.rating FROM (SELECT *, row_number() OVER (PARTITION BY platform, rating ORDER BY md5('42:' || CAST(review_id AS VARCHAR)), review_id) AS rn FROM reviews WHERE platform IS NOT NULL) r JOIN alloc a ON r.platform = a.platform AND r.rating = a.rating WHERE rn <= n)"
+
+
+def _tagged(s, d):
+    return b.reviews(s, d).where("platform is not null and rating is not null")
+
+
+def _allocation(s, d):
+    return sampling.allocate(_tagged(s, d).groupBy("platform", "rating").agg(F.count("*").alias("pool")), 500)
+
+
+def _picked(s, d):
+    return sampling.draw(_tagged(s, d), _allocation(s, d), ["platform", "rating"])
+
+
+@query("SELECT * FROM alloc", b.REVIEWS, _POOLS, _ALLOC)
+def balance_allocation(s, d):
+    return _allocation(s, d)
+
+
+@query("SELECT * FROM picked", b.REVIEWS, _POOLS, _ALLOC, _PICK)
+def balance_sample(s, d):
+    return _picked(s, d).select("review_id", "platform", "rating")
+
+
+@query("SELECT * FROM picked UNION ALL SELECT review_id, platform, rating FROM reviews WHERE platform IS NOT NULL AND review_id IN (SELECT event_id FROM events WHERE event_id % 97 = 0) AND review_id NOT IN (SELECT review_id FROM picked)", b.REVIEWS, _POOLS, _ALLOC, _PICK)
+def balance_with_pins(s, d):
+    pins = table(s, d, "events").where("event_id % 97 = 0").select(F.col("event_id").alias("review_id"))
+    return sampling.with_pins(_picked(s, d), _tagged(s, d), pins).select("review_id", "platform", "rating")
+
+
+def _fixed_sql(quotas: dict[int, int], by: str = "") -> str:
+    case = "CASE rating " + " ".join(f"WHEN {k} THEN {n}" for k, n in quotas.items()) + " ELSE 0 END"
+    where = f"WHERE {by} IS NOT NULL" if by else ""
+    keys = f"{by}, rating" if by else "rating"
+    return f"SELECT review_id, {keys} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY md5('42:' || CAST(review_id AS VARCHAR)), review_id) AS rn FROM reviews {where}) WHERE rn <= {case}"
+
+
+@query(_fixed_sql(sampling.DEV), b.REVIEWS)
+def sample_fixed_strata(s, d):
+    return sampling.fixed(b.reviews(s, d), sampling.DEV).select("review_id", "rating")
+
+
+@query(_fixed_sql(sampling.SMOKE, "platform"), b.REVIEWS)
+def sample_platform_strata(s, d):
+    return sampling.fixed(_tagged(s, d), sampling.SMOKE, by="platform").select("review_id", "platform", "rating")
+
+
+@query("SELECT review_id, country FROM (" + _fixed_sql(sampling.BLIND).replace("SELECT review_id, rating", "SELECT review_id, rating, country") + ")", b.REVIEWS)
+def sample_blind_projection(s, d):
+    return sampling.fixed(b.reviews(s, d), sampling.BLIND, strict=False).select("review_id", "country")
+
+
+# Extraction and issues --------------------------------------------------------------------------------------------
+
+
+@query("SELECT review_id, count(*) AS n, least(count(*), 4) AS n_capped FROM issues GROUP BY review_id", b.ISSUES)
+def extract_cap_issues(s, d):
+    held = b.nested(s, d)
+    return themes.cap_issues(held.withColumn("n", F.size("issues").cast("bigint"))).select("review_id", "n", F.size("issues").cast("bigint").alias("n_capped"))
+
+
+@query("SELECT review_id, issue_pos, theme, severity, sentiment, feature_area, '' AS segment_hint FROM issues", b.ISSUES)
+def issues_explode(s, d):
+    return themes.explode_issues(b.nested(s, d)).withColumn("issue_pos", F.col("issue_pos").cast("bigint"))
+
+
+@query("SELECT count(*) AS processed, CAST(sum(n) AS BIGINT) AS issues, count(*) FILTER (WHERE n = 0) AS without, round(sum(n)::DOUBLE / count(*), 9) AS mean FROM (SELECT o_orderkey, count(review_id) AS n FROM orders LEFT JOIN issues ON o_orderkey = review_id GROUP BY 1)", b.ISSUES)
+def extract_summary(s, d):
+    n = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    o = table(s, d, "orders").select("o_orderkey").join(n, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.coalesce("n", F.lit(0)).alias("n"))
+    return o.agg(F.count("*").alias("processed"), F.sum("n").alias("issues"), F.count_if(F.col("n") == 0).alias("without"), F.round(F.sum("n") / F.count("*"), 9).alias("mean"))
+
+
+@query("SELECT o_orderkey AS review_id, e.event_id IS NOT NULL AS cached FROM orders LEFT JOIN (SELECT event_id FROM events WHERE event_id % 2 = 0) e ON o_orderkey = event_id")
+def extract_cache_split(s, d):
+    held = table(s, d, "events").where("event_id % 2 = 0").select("event_id")
+    return table(s, d, "orders").join(held, F.col("o_orderkey") == F.col("event_id"), "left").select(F.col("o_orderkey").alias("review_id"), F.col("event_id").isNotNull().alias("cached"))
+
+
+_RULES = {"downloads": "down", "stability": "th", "monetization": "licen"}
+
+
+@query("SELECT doc_id, area FROM documents, (VALUES ('downloads', 'down'), ('stability', 'th'), ('monetization', 'licen')) r(area, word) WHERE contains(lower(text), word)")
+def extract_rules(s, d):
+    """The offline extractor: areas whose lexicon word stands in the text."""
+    low = F.lower("text")
+    found = F.array(*[F.when(F.contains(low, F.lit(w)), F.lit(a)) for a, w in _RULES.items()])
+    return table(s, d, "documents").select("doc_id", F.explode(F.array_compact(found)).alias("area"))
+
+
+# Themes, scores ---------------------------------------------------------------------------------------------------
+
+
+def _breakdown_sql(col: str) -> str:
+    return f"SELECT theme, sentiment, '{col}' AS kind, {col} AS value, count(*) AS n FROM issues GROUP BY ALL"
+
+
+@query(" UNION ALL ".join(_breakdown_sql(c) for c in ("severity", "feature_area")), b.ISSUES)
+def cluster_breakdowns(s, d):
+    i = b.issues(s, d)
+    parts = [themes.breakdown(i, ["theme", "sentiment"], c).withColumn("kind", F.lit(c)) for c in ("severity", "feature_area")]
+    return parts[0].unionByName(parts[1]).select("theme", "sentiment", "kind", "value", "n")
+
+
+@query("SELECT sentiment, count(*) AS n, count(DISTINCT theme) AS unique_themes FROM issues GROUP BY sentiment", b.ISSUES)
+def cluster_partition_sizes(s, d):
+    return b.issues(s, d).groupBy(F.coalesce("sentiment", F.lit("unknown")).alias("sentiment")).agg(F.count("*").alias("n"), F.countDistinct("theme").alias("unique_themes"))
+
+
+@query("SELECT theme, sentiment, string_agg(CAST(review_id AS VARCHAR), ',' ORDER BY review_id, issue_pos) AS members FROM issues GROUP BY 1, 2", b.ISSUES)
+def cluster_members(s, d):
+    held = b.issues(s, d, True).groupBy("theme", "sentiment").agg(F.array_sort(F.collect_list(F.struct("review_id", "issue_pos"))).alias("m"))
+    return held.select("theme", "sentiment", F.array_join(F.transform("m", lambda x: x["review_id"].cast("string")), ",").alias("members"))
+
+
+@query("SELECT theme, sentiment, size, 'c_' || lpad(CAST(row_number() OVER (ORDER BY size DESC, sentiment, theme) AS VARCHAR), 4, '0') AS cluster_id FROM clusters WHERE size >= 3", b.ISSUES, b.CLUSTERS)
+def cluster_rank(s, d):
+    held = b.clusters(s, d).where("size >= 3")
+    return held.select("theme", "sentiment", "size", F.format_string("c_%04d", F.row_number().over(Window.orderBy(F.col("size").desc(), "sentiment", "theme"))).alias("cluster_id"))
+
+
+@query("SELECT count(*) FILTER (WHERE size < 450) AS noise, CAST(sum(size) FILTER (WHERE size >= 450) AS BIGINT) AS covered, round(coalesce(sum(size) FILTER (WHERE size >= 450), 0) / sum(size), 9) AS share FROM clusters", b.ISSUES, b.CLUSTERS)
+def cluster_coverage(s, d):
+    size = F.col("size")
+    kept = F.sum(F.when(size >= 450, size))
+    return b.clusters(s, d).agg(F.count_if(size < 450).alias("noise"), kept.alias("covered"), F.round(F.coalesce(kept, F.lit(0)) / F.sum(size), 9).alias("share"))
+
+
+@query("SELECT theme, sentiment, size, round(severity_mean, 9) AS severity_mean, round(fit_mean, 9) AS fit_mean, round(ln(1 + size), 9) AS log_size FROM clusters", b.ISSUES, b.CLUSTERS)
+def score_components(s, d):
+    return b.clusters(s, d).select("theme", "sentiment", "size", F.round("severity_mean", 9).alias("severity_mean"), F.round("fit_mean", 9).alias("fit_mean"), F.round(F.log1p("size"), 9).alias("log_size"))
+
+
+_SCORED = """scored AS (SELECT *, 0.4 * ln(1 + size) / ln(1 + max(size) OVER ()) AS freq_part, 0.4 * severity_mean / 3 AS sev_part, 0.2 * fit_mean AS fit_part,
+ 0.4 * ln(1 + size) / ln(1 + max(size) OVER ()) + 0.4 * severity_mean / 3 + 0.2 * fit_mean AS score FROM clusters WHERE size >= {floor})"""
+
+
+def _scored(s, d, floor=450):
+    return themes.score(b.clusters(s, d), floor)
+
+
+@query("SELECT theme, sentiment, size, round(score, 9) AS score, row_number() OVER (ORDER BY round(score, 9) DESC, theme, sentiment) AS rank FROM scored", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=10))
+def score_rank(s, d):
+    out = _scored(s, d, 10).select("theme", "sentiment", "size", F.round("score", 9).alias("score"))
+    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc(), "theme", "sentiment")))
+
+
+@query("SELECT theme, sentiment, round(freq_part, 9) AS freq_part, round(sev_part, 9) AS sev_part, round(fit_part, 9) AS fit_part, round(score, 9) AS score FROM scored", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=450))
+def score_breakdown_struct(s, d):
+    return _scored(s, d).select("theme", "sentiment", *[F.round(c, 9).alias(c) for c in ("freq_part", "sev_part", "fit_part", "score")])
+
+
+@query("SELECT count(*) FILTER (WHERE size < 450) AS excluded, count(*) AS n FROM clusters", b.ISSUES, b.CLUSTERS)
+def score_excluded(s, d):
+    return b.clusters(s, d).agg(F.count_if(F.col("size") < 450).alias("excluded"), F.count("*").alias("n"))
+
+
+@query("SELECT w.name AS scenario, theme, sentiment, round(w.f / 0.4 * freq_part + w.s / 0.4 * sev_part + w.t / 0.2 * fit_part, 9) AS score FROM scored, (VALUES ('base', 0.4, 0.4, 0.2), ('volume', 0.7, 0.2, 0.1), ('severity', 0.1, 0.8, 0.1)) w(name, f, s, t)", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=450))
+def score_sensitivity(s, d):
+    w = F.broadcast(s.createDataFrame([("base", 0.4, 0.4, 0.2), ("volume", 0.7, 0.2, 0.1), ("severity", 0.1, 0.8, 0.1)], "scenario string, f double, s double, t double"))
+    return _scored(s, d).crossJoin(w).select("scenario", "theme", "sentiment", F.round(F.expr("f * freq_norm + s * sev_norm + t * fit_mean"), 9).alias("score"))
+
+
+@query("SELECT theme, sentiment, size, round(score, 9) AS score FROM scored ORDER BY round(score, 9) DESC, theme, sentiment LIMIT 15", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=10))
+def topk_global(s, d):
+    out = _scored(s, d, 10).select("theme", "sentiment", "size", F.round("score", 9).alias("score"))
+    return out.orderBy(F.col("score").desc(), "theme", "sentiment").limit(15)
+
+
+@query("SELECT feature_area, theme, n, rank FROM (SELECT feature_area, theme, count(*) AS n, row_number() OVER (PARTITION BY feature_area ORDER BY count(*) DESC, theme) AS rank FROM issues GROUP BY 1, 2) WHERE rank <= 8", b.ISSUES)
+def topk_per_group(s, d):
+    c = b.issues(s, d).groupBy("feature_area", "theme").agg(F.count("*").alias("n"))
+    return fd.cap_per_group(c, "feature_area", 8, F.col("n").desc(), F.col("theme")).select("feature_area", "theme", "n", "rank")
+
+
+@query("SELECT theme, sentiment, rank() OVER (ORDER BY size DESC) AS prevalence, rank() OVER (ORDER BY round(score, 9) DESC) AS priority, rank() OVER (ORDER BY size DESC) - rank() OVER (ORDER BY round(score, 9) DESC) AS moved FROM scored", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=10))
+def rank_prevalence_vs_priority(s, d):
+    out = _scored(s, d, 10).withColumns({"prevalence": F.rank().over(Window.orderBy(F.col("size").desc())), "priority": F.rank().over(Window.orderBy(F.round("score", 9).desc()))})
+    return out.select("theme", "sentiment", "prevalence", "priority", (F.col("prevalence") - F.col("priority")).alias("moved"))
+
+
+# Vectors ----------------------------------------------------------------------------------------------------------
+
+_SIMS = """dims AS (SELECT label, vec_id, unnest(embedding)::DOUBLE AS x, unnest(generate_series(1, len(embedding))) AS d FROM embeddings),
+ unit AS (SELECT label, vec_id, d, x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) AS u FROM dims), mean AS (SELECT label, d, avg(u) AS m FROM unit GROUP BY 1, 2),
+ sims AS (SELECT label, vec_id, sum(u * m) / any_value(len) AS sim FROM unit JOIN mean USING (label, d) JOIN (SELECT label, sqrt(sum(m * m)) AS len FROM mean GROUP BY 1) USING (label) GROUP BY 1, 2)"""
+
+
+@query("SELECT label, vec_id, round(sim, 6) AS sim FROM sims", _SIMS)
+def centroid_similarity(s, d):
+    return themes.medoids(table(s, d, "embeddings"), ["label"]).select("label", "vec_id", F.round("sim", 6).alias("sim"))
+
+
+@query("SELECT label, arg_max(vec_id, (sim, -vec_id)) AS medoid FROM sims GROUP BY label", _SIMS)
+def cluster_medoid(s, d):
+    return themes.medoids(table(s, d, "embeddings"), ["label"]).groupBy("label").agg(F.max_by("vec_id", F.struct("sim", -F.col("vec_id"))).alias("medoid"))
+
+
+# Evaluation -------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
+def join_semi_subset(s, d):
+    return table(s, d, "documents").join(table(s, d, "labels"), "doc_id", "left_semi").select("doc_id")
+
+
+@query("SELECT doc_id, lang, quality FROM documents JOIN labels USING (doc_id)")
+def eval_join(s, d):
+    return table(s, d, "documents").join(table(s, d, "labels"), "doc_id").select("doc_id", "lang", "quality")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def join_anti_aged_out(s, d):
+    return table(s, d, "documents").join(table(s, d, "labels"), "doc_id", "left_anti").select("doc_id")
+
+
+@query("SELECT event_id, coalesce(lang, '') AS lang FROM events LEFT JOIN documents ON event_id = doc_id")
+def join_left_default(s, d):
+    return table(s, d, "events").join(table(s, d, "documents").select("doc_id", "lang"), F.col("event_id") == F.col("doc_id"), "left").select("event_id", F.coalesce("lang", F.lit("")).alias("lang"))
+
+
+@query("SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels")
+def ids_intersect(s, d):
+    return table(s, d, "documents").select("doc_id").intersect(table(s, d, "labels").select("doc_id"))
+
+
+@query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
+def ids_except(s, d):
+    return table(s, d, "documents").select("doc_id").exceptAll(table(s, d, "labels").select("doc_id")).distinct()
+
+
+@query("SELECT quality = 0 AS gold_has, n_chars < 1000 AS model_has, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2")
+def eval_confusion(s, d):
+    held = table(s, d, "documents").join(table(s, d, "labels"), "doc_id")
+    return held.groupBy((F.col("quality") == 0).alias("gold_has"), (F.col("n_chars") < 1000).alias("model_has")).agg(F.count("*").alias("n"))
+
+
+_LEVEL = "CASE {0} WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3 END"
+_CANDS = f"""cands AS (SELECT m.review_id, m.k AS mi, g.k AS gi, CASE WHEN m.feature_area = g.feature_area THEN 2.0 ELSE 0.0 END +
+ CASE WHEN m.severity = g.severity THEN 1.0 WHEN abs({_LEVEL.format('m.severity')} - {_LEVEL.format('g.severity')}) = 1 THEN 0.5 ELSE 0.0 END AS score,
+ m.feature_area AS ma, g.feature_area AS ga, m.severity AS ms, g.severity AS gs
+ FROM sides m JOIN sides g ON m.review_id = g.review_id AND m.odd = 1 AND g.odd = 0 AND m.k < 4)"""
+_GREEDY = """lists AS (SELECT review_id, list({'score': score, 'mi': mi, 'gi': gi} ORDER BY score DESC, mi DESC, gi DESC) AS c FROM cands WHERE score > 0 GROUP BY 1),
+ taken AS (SELECT review_id, unnest(list_reduce(list_concat([[]::STRUCT(score DOUBLE, mi BIGINT, gi BIGINT)[]], list_transform(c, lambda x: [x])),
+   lambda a, x: CASE WHEN len(list_filter(a, lambda q: q.mi = x[1].mi OR q.gi = x[1].gi)) > 0 THEN a ELSE list_concat(a, x) END)) AS p FROM lists)"""
+
+
+@query("SELECT review_id, CAST(mi AS INTEGER) AS mi, CAST(gi AS INTEGER) AS gi, CAST(score AS DOUBLE) AS score FROM cands WHERE score > 0", b.ISSUES, b.PAIRS, _CANDS)
+def match_candidates(s, d):
+    held = b.model_and_gold(s, d)
+    return held.select("review_id", F.explode(matching.candidates(F.col("model"), F.col("gold"))).alias("c")).select("review_id", "c.mi", "c.gi", "c.score")
+
+
+@query("SELECT review_id, CAST(p.mi AS INTEGER) AS mi, CAST(p.gi AS INTEGER) AS gi, CAST(p.score AS DOUBLE) AS score FROM taken", b.ISSUES, b.PAIRS, _CANDS, _GREEDY)
+def match_greedy(s, d):
+    return matching.match(b.model_and_gold(s, d)).select("review_id", F.explode("matches").alias("c")).select("review_id", "c.mi", "c.gi", "c.score")
+
+
+@query("SELECT s.review_id, CAST(s.k AS INTEGER) AS mi FROM sides s WHERE odd = 1 AND k < 4 AND review_id IN (SELECT review_id FROM sides WHERE odd = 0) AND NOT EXISTS (SELECT 1 FROM taken t WHERE t.review_id = s.review_id AND t.p.mi = s.k)", b.ISSUES, b.PAIRS, _CANDS, _GREEDY)
+def match_unmatched(s, d):
+    return matching.match(b.model_and_gold(s, d)).select("review_id", F.explode("unmatched_model").alias("mi"))
+
+
+_PARENT = "CASE {0} " + " ".join(f"WHEN '{a}' THEN '{p}'" for a, p in themes.PARENT.items()) + " END"
+
+
+@query(
+    f"""SELECT (SELECT count(*) FROM sides WHERE odd = 1 AND k < 4 AND review_id IN (SELECT review_id FROM sides WHERE odd = 0)) AS n_model, count(*) AS n_matched, count(*) FILTER (WHERE ma = ga) AS area_strict,
+    count(*) FILTER (WHERE {_PARENT.format('ma')} = {_PARENT.format('ga')}) AS area_parent, count(*) FILTER (WHERE ms = gs) AS severity_exact,
+    count(*) FILTER (WHERE abs({_LEVEL.format('ms')} - {_LEVEL.format('gs')}) <= 1) AS severity_within_one
+    FROM taken t JOIN cands c ON t.review_id = c.review_id AND t.p.mi = c.mi AND t.p.gi = c.gi""", b.ISSUES, b.PAIRS, _CANDS, _GREEDY
+)
+def eval_metrics(s, d):
+    return matching.metrics(matching.match(b.model_and_gold(s, d)))
+
+
+@query("SELECT ga AS gold_area, ma AS model_area, count(*) AS n FROM taken t JOIN cands c ON t.review_id = c.review_id AND t.p.mi = c.mi AND t.p.gi = c.gi GROUP BY 1, 2", b.ISSUES, b.PAIRS, _CANDS, _GREEDY)
+def eval_area_confusion(s, d):
+    m = matching.match(b.model_and_gold(s, d)).select(F.explode("matches").alias("c"), "model", "gold")
+    return m.groupBy(F.get("gold", F.col("c.gi"))["feature_area"].alias("gold_area"), F.get("model", F.col("c.mi"))["feature_area"].alias("model_area")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT t.review_id, count(*) AS n_matches, CAST(sum(t.p.score) AS DOUBLE) AS total FROM taken t GROUP BY 1", b.ISSUES, b.PAIRS, _CANDS, _GREEDY)
+def match_records(s, d):
+    m = matching.match(b.model_and_gold(s, d)).where("size(matches) > 0")
+    return m.select("review_id", F.size("matches").cast("bigint").alias("n_matches"), F.aggregate("matches", F.lit(0.0), lambda a, x: a + x["score"]).alias("total"))
+
+
+# Comparison of platforms ------------------------------------------------------------------------------------------
+
+_JOINED = "joined AS (SELECT i.*, r.platform, r.country, r.ts FROM issues i JOIN reviews r ON i.review_id = r.review_id WHERE platform IS NOT NULL)"
+
+
+def _joined(s, d):
+    return b.issues(s, d).join(b.reviews(s, d).where("platform is not null"), "review_id")
+
+
+def _per_platform(rows):
+    held = rows.groupBy("theme").agg(F.count_if(F.col("platform") == "android").alias("a"), F.count_if(F.col("platform") == "ios").alias("i"))
+    return held.crossJoin(F.broadcast(held.agg(F.sum("a").alias("n_a"), F.sum("i").alias("n_i"))))
+
+
+@query("SELECT greatest(min(ts) FILTER (WHERE platform = 'android'), min(ts) FILTER (WHERE platform = 'ios')) AS lo, least(max(ts) FILTER (WHERE platform = 'android'), max(ts) FILTER (WHERE platform = 'ios')) AS hi FROM reviews", b.REVIEWS)
+def matched_window(s, d):
+    side = lambda f, p: f(F.when(F.col("platform") == p, F.col("ts")))
+    return b.reviews(s, d).agg(F.greatest(side(F.min, "android"), side(F.min, "ios")).alias("lo"), F.least(side(F.max, "android"), side(F.max, "ios")).alias("hi"))
+
+
+@query("SELECT theme, count(*) FILTER (WHERE platform = 'android') AS android, count(*) FILTER (WHERE platform = 'ios') AS ios FROM joined GROUP BY theme", b.ISSUES, b.REVIEWS, _JOINED)
+def platform_breakdown(s, d):
+    return _per_platform(_joined(s, d)).select("theme", F.col("a").alias("android"), F.col("i").alias("ios"))
+
+
+_COUNTS = "counts AS (SELECT theme, count(*) FILTER (WHERE platform = 'android') AS a, count(*) FILTER (WHERE platform = 'ios') AS i, sum(count(*) FILTER (WHERE platform = 'android')) OVER () AS n_a, sum(count(*) FILTER (WHERE platform = 'ios')) OVER () AS n_i FROM joined GROUP BY theme)"
+
+
+@query("SELECT theme, round(a::DOUBLE / n_a, 9) AS share_a, round(i::DOUBLE / n_i, 9) AS share_i FROM counts", b.ISSUES, b.REVIEWS, _JOINED, _COUNTS)
+def platform_share_by_theme(s, d):
+    return themes.platform_skew(_per_platform(_joined(s, d)), least=0).select("theme", F.round("share_a", 9).alias("share_a"), F.round("share_i", 9).alias("share_i"))
+
+
+@query("SELECT theme, a, i, round(greatest(a::DOUBLE / n_a, i::DOUBLE / n_i) / least(a::DOUBLE / n_a, i::DOUBLE / n_i), 6) AS ratio, CASE WHEN least(a, i) = 0 THEN 'only' WHEN greatest(a::DOUBLE / n_a, i::DOUBLE / n_i) / least(a::DOUBLE / n_a, i::DOUBLE / n_i) < 1.2 THEN 'even' ELSE 'skew' END AS kind FROM counts WHERE greatest(a, i) >= 3", b.ISSUES, b.REVIEWS, _JOINED, _COUNTS)
+def platform_skew(s, d):
+    out = themes.platform_skew(_per_platform(_joined(s, d)))
+    kind = F.when(F.col("skew").endswith("only"), "only").when(F.col("skew").startswith("~ even"), "even").otherwise("skew")
+    return out.select("theme", "a", "i", F.round(F.greatest("share_a", "share_i") / F.least("share_a", "share_i"), 6).alias("ratio"), kind.alias("kind"))
+
+
+@query(f"SELECT f.theme, round(f.a::DOUBLE / f.n_a, 9) AS full_share, round(m.a::DOUBLE / m.n_a, 9) AS matched_share FROM counts f JOIN ({_COUNTS.split(' AS ', 1)[1][1:-1].replace('FROM joined', 'FROM joined WHERE country = $$china$$')}) m ON f.theme = m.theme", b.ISSUES, b.REVIEWS, _JOINED, _COUNTS)
+def skew_full_vs_matched(s, d):
+    j = _joined(s, d)
+    full, part = (_per_platform(x).select("theme", F.round(F.col("a") / F.col("n_a"), 9).alias(n)) for x, n in ((j, "full_share"), (j.where("country = 'china'"), "matched_share")))
+    return full.join(part, "theme")
+
+
+@query("SELECT feature_area, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 9) AS pct FROM issues GROUP BY 1", b.ISSUES)
+def area_share(s, d):
+    c = b.issues(s, d).groupBy("feature_area").agg(F.count("*").alias("n"))
+    return c.crossJoin(F.broadcast(c.agg(F.sum("n").alias("t")))).select("feature_area", "n", F.round(F.col("n") * 100.0 / F.col("t"), 9).alias("pct"))
+
+
+@query("SELECT theme, arg_max(feature_area, (n, feature_area)) AS area, round(max(n) * 100.0 / sum(n), 9) AS pct FROM (SELECT theme, feature_area, count(*) AS n FROM issues GROUP BY 1, 2) GROUP BY theme", b.ISSUES)
+def theme_top_area(s, d):
+    c = b.issues(s, d).groupBy("theme", "feature_area").agg(F.count("*").alias("n"))
+    return c.groupBy("theme").agg(F.max_by("feature_area", F.struct("n", "feature_area")).alias("area"), F.round(F.max("n") * 100.0 / F.sum("n"), 9).alias("pct"))
+
+
+@query("SELECT theme, review_id, line, rank FROM (SELECT *, row_number() OVER (PARTITION BY theme ORDER BY severity, review_id, issue_pos) AS rank FROM issues) WHERE rank <= 3", b.ISSUES)
+def top_quotes(s, d):
+    return fd.cap_per_group(b.issues(s, d, True), "theme", 3, F.col("severity"), F.col("review_id"), F.col("issue_pos")).select("theme", "review_id", "line", "rank")
