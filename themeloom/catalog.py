@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from themeloom.functions import text as tx
+from themeloom.operators import clustering, extraction, matching, sampling, themes
 from themeloom.operators import feed as fd
-from themeloom.operators import matching, sampling, themes
 from themeloom.plans import bridge as b
 from themeloom.plans.session import table
 
@@ -217,9 +217,9 @@ def country_counts(s, d):
     return c.withColumn("place", F.row_number().over(Window.orderBy(F.col("n").desc(), "country")))
 
 
-@query("SELECT platform, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, count(*) FILTER (WHERE country = 'china') AS n_home FROM reviews GROUP BY platform", b.REVIEWS)
+@query("SELECT platform, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, count(*) FILTER (WHERE country = 'nation_3') AS n_home FROM reviews GROUP BY platform", b.REVIEWS)
 def platform_summary(s, d):
-    return b.reviews(s, d).groupBy("platform").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count_if(F.col("country") == "china").alias("n_home"))
+    return b.reviews(s, d).groupBy("platform").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count_if(F.col("country") == "nation_3").alias("n_home"))
 
 
 @query("SELECT coalesce(platform, 'untagged') AS platform, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 9) AS pct FROM reviews GROUP BY 1", b.REVIEWS)
@@ -473,6 +473,32 @@ def cluster_medoid(s, d):
     return themes.medoids(table(s, d, "embeddings"), ["label"]).groupBy("label").agg(F.max_by("vec_id", F.struct("sim", -F.col("vec_id"))).alias("medoid"))
 
 
+_NEAR = """pairs AS (SELECT label, a.vec_id AS va, b.vec_id AS vb, round(1 - sum(a.u * b.u), 12) AS dist FROM unit a JOIN unit b USING (label, d) WHERE a.vec_id <> b.vec_id GROUP BY 1, 2, 3),
+ nn AS (SELECT label, va, arg_min(vb, (dist, vb)) AS vb, min(dist) AS dist FROM pairs GROUP BY 1, 2)"""
+
+
+@query("SELECT x.label, x.va AS first_id, x.vb AS second_id FROM nn x JOIN nn y ON x.label = y.label AND x.va = y.vb AND x.vb = y.va WHERE x.va < x.vb AND x.dist < 0.9", _SIMS, _NEAR)
+def hac_round1_pairs(s, d):
+    """The pairs that the first round of clustering merges."""
+    e = table(s, d, "embeddings").select(F.col("label").alias("part"), F.col("vec_id").alias("cid"), clustering.unit("embedding").alias("s"), F.lit(1).alias("size"))
+    nn = clustering.nearest(e).where("dist < 0.9")
+    back = nn.select("part", F.col("other").alias("cid"), F.col("cid").alias("other"))
+    return nn.join(back, ["part", "cid", "other"]).where("cid < other").select(F.col("part").alias("label"), F.col("cid").alias("first_id"), F.col("other").alias("second_id"))
+
+
+@query()
+def hac_clusters(s, d):
+    return clustering.average_linkage(table(s, d, "embeddings"), 0.9, "label", "vec_id", "embedding")
+
+
+@query("SELECT doc_id AS review_id, 'ok' AS status, (doc_id % 4 = 0) AS cached FROM documents")
+def extract_run(s, d):
+    """Extraction with a quarter of the reviews in the cache."""
+    docs = table(s, d, "documents").select(F.col("doc_id").alias("review_id"), "text")
+    cache = docs.where("review_id % 4 = 0").select("review_id", F.array().cast(extraction.ISSUES).alias("issues"))
+    return extraction.extract(docs, cache).select("review_id", "status", "cached")
+
+
 # Evaluation -------------------------------------------------------------------------------------------------------
 
 
@@ -603,10 +629,10 @@ def platform_skew(s, d):
     return out.select("theme", "a", "i", F.round(F.greatest("share_a", "share_i") / F.least("share_a", "share_i"), 6).alias("ratio"), kind.alias("kind"))
 
 
-@query(f"SELECT f.theme, round(f.a::DOUBLE / f.n_a, 9) AS full_share, round(m.a::DOUBLE / m.n_a, 9) AS matched_share FROM counts f JOIN ({_COUNTS.split(' AS ', 1)[1][1:-1].replace('FROM joined', 'FROM joined WHERE country = $$china$$')}) m ON f.theme = m.theme", b.ISSUES, b.REVIEWS, _JOINED, _COUNTS)
+@query(f"SELECT f.theme, round(f.a::DOUBLE / f.n_a, 9) AS full_share, round(m.a::DOUBLE / m.n_a, 9) AS matched_share FROM counts f JOIN ({_COUNTS.split(' AS ', 1)[1][1:-1].replace('FROM joined', 'FROM joined WHERE country = $$nation_3$$')}) m ON f.theme = m.theme", b.ISSUES, b.REVIEWS, _JOINED, _COUNTS)
 def skew_full_vs_matched(s, d):
     j = _joined(s, d)
-    full, part = (_per_platform(x).select("theme", F.round(F.col("a") / F.col("n_a"), 9).alias(n)) for x, n in ((j, "full_share"), (j.where("country = 'china'"), "matched_share")))
+    full, part = (_per_platform(x).select("theme", F.round(F.col("a") / F.col("n_a"), 9).alias(n)) for x, n in ((j, "full_share"), (j.where("country = 'nation_3'"), "matched_share")))
     return full.join(part, "theme")
 
 
