@@ -2,46 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Samples of a fingerprint; the likeness of two has a standard deviation of at most 0.5 / sqrt(SAMPLES).
 SAMPLES = 64
 #: Terms are words hashed to so many dimensions; a dimension's weight is how often its words occur.
-DIMENSIONS = 8192
+DIMENSIONS = 4096
+#: Samples that one aggregation takes the minima of: code for more grows too long for the JIT compiler.
+AT_ONCE = 16
+#: Weights up to which samples are drawn beforehand, for all terms of a dimension at once.
+LIGHT = 16
 #: Documents of one range of ids that are sorted together.
-RANGE = 1024
+RANGE = 256
+#: Documents whose terms a task counts, so that the counts stay in memory; ranges up to which their first ids are broadcast.
+TASK, BROADCAST_ROWS = 1024, 200_000
 
 
-def _uniform(seed: int) -> Column:
+def _uniform(sample: Column, seed: int) -> Column:
     """A uniform number in (0, 1) from the dimension, the sample and a seed."""
-    return (F.shiftrightunsigned(F.xxhash64("dim", "sample", F.lit(seed)), 12) + F.lit(0.5)) / F.lit(float(1 << 52))
+    return (F.shiftrightunsigned(F.xxhash64("dim", sample, F.lit(seed)), 12) + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
-def sample_table(spark, samples: int = SAMPLES, dimensions: int = DIMENSIONS) -> DataFrame:
-    """(dim, r, c, b): for each dimension the gamma(2, 1) numbers r, the logarithms of gamma(2, 1) numbers and the
-    uniform offsets of all samples. The table has `dimensions` rows of 3 * samples numbers, whatever the input."""
-    rows = spark.range(dimensions).select(F.col("id").cast("int").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("sample"))
-    gamma = [-F.log(_uniform(k) * _uniform(k + 1)) for k in (1, 3)]
-    rows = rows.select("dim", "sample", gamma[0].alias("r"), F.log(gamma[1]).alias("c"), _uniform(5).alias("b"))
-    held = rows.groupBy("dim").agg(F.array_sort(F.collect_list(F.struct("sample", "r", "c", "b"))).alias("x"))
-    return held.select("dim", F.col("x.r").alias("r"), F.col("x.c").alias("c"), F.col("x.b").alias("b"))
+def sample_table(spark: SparkSession, samples: int = SAMPLES, dimensions: int = DIMENSIONS) -> DataFrame:
+    """(dim, g): for each dimension and sample a gamma(2, 1) number r, the logarithm c of another, a uniform offset b.
 
+    The table has `dimensions` rows of 3 * samples numbers, whatever the input.
+    """
+    def gamma(k: Column, seed: int) -> Column:
+        return -F.log(_uniform(k, seed) * _uniform(k, seed + 1))
+
+    each = F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda k: F.struct(gamma(k, 1).alias("r"), F.log(gamma(k, 3)).alias("c"), _uniform(k, 5).alias("b")))
+    return spark.range(dimensions).select(F.col("id").cast("int").alias("dim")).select("dim", each.alias("g"))
 
-def _samples(n: int) -> list[Column]:
+
+def _drawn() -> Column:
     """For each sample a number whose minimum over the terms of a text is the consistent weighted sample.
 
     With t = floor(ln w / r + b) and ln a = c - r * (t - b) - r, the term with the least ln a is sampled, along
     with t. ln a is put into the high 31 bits, in order; below it stand the dimension and t.
     """
-    out = []
-    for k in range(n):
-        r, c, b = (F.col(x)[k] for x in "rcb")
-        t = F.floor(F.log("weight") / r + b)
-        score = F.greatest(F.lit(-64.0), F.least(F.lit(63.99), c - r * (t - b) - r))
-        high = F.floor((score + 64.0) * F.lit(float(1 << 24))).cast("bigint")
-        out.append(F.shiftleft(high, 32) + F.shiftleft(F.col("dim").cast("bigint"), 16) + F.pmod(t, F.lit(65536)).cast("bigint"))
-    return out
+
+    def one(g: Column) -> Column:
+        t = F.floor(F.log("weight") / g["r"] + g["b"])
+        score = F.greatest(F.lit(-64.0), F.least(F.lit(63.99), g["c"] - g["r"] * (t - g["b"]) - g["r"]))
+        high = F.shiftleft(F.floor((score + 64.0) * F.lit(float(1 << 24))), 32)
+        return high + F.shiftleft(F.col("dim").cast("bigint"), 16) + F.pmod(t, F.lit(65536))
+
+    return F.transform("g", one)
+
+
+def drawn_table(table: DataFrame) -> DataFrame:
+    """(dim, weight, v): the numbers of _drawn for the weights 1 to LIGHT, which most terms have."""
+    light = table.select("dim", "g", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(LIGHT).cast("bigint"))).alias("weight"))
+    return light.select("dim", "weight", _drawn().alias("v"))
 
 
 def words_of(text: Column) -> Column:
@@ -57,11 +71,17 @@ def fingerprints(rows: DataFrame, keys: list[str], text: str = "text", samples:
     """
     word = rows.select(*keys, F.explode(words_of(F.col(text))).alias("word"))
     dim = F.when(F.col("word") == "", F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("word"), F.lit(dimensions - 1))).cast("int")
-    terms = word.select(*keys, dim.alias("dim")).groupBy(*keys, "dim").agg(F.count("*").cast("double").alias("weight"))
-    terms = terms.join(F.broadcast(sample_table(rows.sparkSession, samples, dimensions)), "dim")
-    low = terms.groupBy(*keys).agg(*[F.min(x).alias(f"m{k}") for k, x in enumerate(_samples(samples))])
+    terms = word.select(*keys, dim.alias("dim")).groupBy(*keys, "dim").agg(F.count("*").alias("weight"))
+    table = sample_table(rows.sparkSession, samples, dimensions)
+    terms = terms.join(F.broadcast(drawn_table(table)), ["dim", "weight"], "left").join(F.broadcast(table), "dim")
+    drawn = terms.select(*keys, F.coalesce("v", _drawn()).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(samples - 1), F.lit(AT_ONCE))).alias("first"))
+    low = drawn.groupBy(*keys, "first").agg(*[F.min(F.get("v", F.col("first") + k)).alias(f"m{k}") for k in range(AT_ONCE)])
     mask = F.lit((1 << 32) - 1)
-    return low.select(*keys, F.array(*[F.col(f"m{k}").bitwiseAND(mask).cast("int") for k in range(samples)]).alias("fp"))
+    part = F.array(*[F.col(f"m{k}").bitwiseAND(mask).cast("int") for k in range(AT_ONCE)])
+    parts = low.select(*keys, "first", part.alias("part")).groupBy(*keys)
+    return parts.agg(*[F.max(F.when(F.col("first") == k, F.col("part"))).alias(f"p{k}") for k in range(0, samples, AT_ONCE)]).select(
+        *keys, F.concat(*[f"p{k}" for k in range(0, samples, AT_ONCE)]).alias("fp")
+    )
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
@@ -84,13 +104,16 @@ def with_next(docs: DataFrame) -> DataFrame:
     lo, hi, n = span["lo"] or 0, span["hi"] or 0, span["n"] or 0
     width = max(1, (hi - lo + 1) * RANGE // max(1, n))
     number = F.floor((F.col("doc_id") - F.lit(lo)) / F.lit(width)).cast("bigint")
+    ranges = (hi - lo) // width + 1
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK))
     placed = docs.select(number.alias("range"), "doc_id", "text", F.lit(0).alias("guest"))
     firsts = docs.where("doc_id is not null").groupBy(number.alias("range")).agg(F.min("doc_id").alias("doc_id"))
     order = Window.orderBy("range")
     before = F.coalesce(F.lag("range").over(order), F.max("range").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     guests = firsts.select("doc_id", before.alias("range"))
-    guests = docs.join(guests, "doc_id").select("range", "doc_id", "text", F.lit(1).alias("guest"))
+    guests = docs.join(F.broadcast(guests) if ranges <= BROADCAST_ROWS else guests, "doc_id").select("range", "doc_id", "text", F.lit(1).alias("guest"))
     rows = placed.where("doc_id is not null").union(guests)
+    rows = rows.repartition(parts, "range")
     inside = Window.partitionBy("range").orderBy("guest", "doc_id", "text")
     return rows.withColumns({"row": F.row_number().over(inside), "after": F.lead("text").over(inside)})
 
