@@ -194,8 +194,8 @@ def label_words(model: dict, texts: list[str], penalty: float = SWITCH) -> tuple
     """(document, start, end, language number, scored) of each word of texts; start and end are code points."""
     codes, start, end, doc, padded, first, _, script = _word_features(texts)
     k = len(model["languages"])
-    if not len(start):
-        return doc, start, end, np.zeros(0, np.int64), np.zeros(0, bool)
+    if not len(start) or not k:
+        return doc, start, end, np.zeros(len(start), np.int64), np.zeros(len(start), bool)
     total = np.zeros((len(padded), k), np.float32)
     for order, (b, ok) in enumerate(zip(_buckets(padded), _valid(padded, first), strict=True)):
         total += np.where(ok[:, None], model["scores"][order][b], np.float32(0))

@@ -276,7 +276,7 @@ def near_duplicates(
         "h1", "h2", "n", F.coalesce("component", "rep").alias("component")
     )
     out = sig.join(of_class, ["h1", "h2", "n"], "left")
-    component = F.coalesce("component", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
