@@ -22,7 +22,9 @@ from themeloom.llm.kernel import U64, byte_values, mix, prefix, small_batches, s
 
 LENGTH, K = 50, 20
 #: Bytes of text that are parsed together in a task, and bytes that are hashed at once.
-GROUP_BYTES, SLICE = 6_000_000, 1 << 20
+GROUP_BYTES, SLICE = 2_500_000, 1 << 18
+#: Suffixes that are sorted at once.
+SORTED = 200_000
 NONE, WHOLE, PARTLY = 0, 1, 2
 
 _VALUES = byte_values(7)
@@ -80,7 +82,7 @@ class Parse:
     """The phrases of the documents of one group, and its dictionary: distinct phrases in order of trigger."""
 
     def __init__(self, frame: pd.DataFrame, length: int, buckets: int):
-        frame = frame.sort_values(["doc_id", "n"], kind="stable", ignore_index=True)
+        frame = frame.sort_values(["doc_id", "_order"], kind="stable", ignore_index=True)
         self.frame, self.length = frame, length
         raw = [(t or "").encode() for t in frame["text"]]
         self.ids = frame["doc_id"].to_numpy(np.int64)
@@ -121,7 +123,7 @@ class Parse:
         return out
 
     def strings(self, status: np.ndarray) -> list[tuple[int, bytes]]:
-        """For each bucket the phrases whose suffixes have to be sorted: window counts, documents and bytes."""
+        """For each bucket the phrases whose suffixes have to be sorted: window counts, triggers, documents and bytes."""
         out = []
         for b, s in self._parts():
             e = np.flatnonzero(status[s] == PARTLY) + s.start
@@ -129,7 +131,7 @@ class Parse:
                 i = self.entry_at[e]
                 size = self.many[i] - 1 + self.length
                 text = b"".join(self.flat[p : p + n].tobytes() for p, n in zip(self.at[i], size, strict=True))
-                out.append((int(b), _join(self.many[i].astype(np.uint8), self.entry_doc[e], np.frombuffer(text, np.uint8))))
+                out.append((int(b), _join(self.many[i].astype(np.uint8), self.entry_core[e], self.entry_doc[e], np.frombuffer(text, np.uint8))))
         return out
 
     def covered(self, status: np.ndarray, masks: np.ndarray) -> np.ndarray:
@@ -145,7 +147,8 @@ class Parse:
             p = at[(mask >> U64(o)) & U64(1) == 1] + o
             np.add.at(edge, p, 1)
             np.add.at(edge, p + self.length, -1)
-        return np.cumsum(edge[:-1]) > 0
+        np.cumsum(edge, out=edge)
+        return edge[:-1] > 0
 
 
 def _join(*arrays: np.ndarray) -> bytes:
@@ -197,25 +200,31 @@ def compare_phrases(rows: pd.DataFrame) -> pd.DataFrame:
 def sort_suffixes(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     """One bucket of phrases: for each a mask of its windows that an earlier document has as well.
 
-    The suffixes of at least `length` bytes of all phrases of one trigger bucket are sorted by their first
-    `length` bytes; neighbours that are equal form a class.
+    The suffixes of at least `length` bytes of the phrases of a trigger are sorted by their first `length`
+    bytes, as many triggers at a time as have about SORTED suffixes; neighbours that are equal form a class.
     """
-    parts = [_split(p, "u1", "id", "rest") for p in rows["payload"]]
-    many, doc = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    parts = [_split(p, "u1", "<u4", "id", "rest") for p in rows["payload"]]
+    many, core, doc, text = (np.concatenate([p[i] for p in parts]) for i in range(4))
     many = many.astype(np.int64)
-    text = np.concatenate([p[2] for p in parts])
     base = np.concatenate([[0], np.cumsum(many - 1 + length)])[:-1]
-    entry = np.repeat(np.arange(len(many)), many)
-    place = np.arange(len(entry)) - np.repeat(np.cumsum(many) - many, many)
-    suffix = np.lib.stride_tricks.sliding_window_view(text, length)[base[entry] + place]
-    order = np.argsort(np.ascontiguousarray(suffix).view(f"S{length}").ravel(), kind="stable")
-    ranked = suffix[order]
-    new = np.append(True, (ranked[1:] != ranked[:-1]).any(axis=1))
-    least = np.minimum.reduceat(doc[entry[order]], np.flatnonzero(new))[np.cumsum(new) - 1]
-    hit = np.zeros(len(order), bool)
-    hit[order] = least < doc[entry[order]]
-    masks = np.zeros(len(many), U64)
-    np.bitwise_or.at(masks, entry[hit], U64(1) << place[hit].astype(U64))
+    every = np.lib.stride_tricks.sliding_window_view(text, length)
+    order = np.argsort(core, kind="stable")
+    core, reach = core[order], np.cumsum(many[order])
+    masks, at = np.zeros(len(many), U64), 0
+    while at < len(order):
+        stop = int(np.searchsorted(reach, (reach[at - 1] if at else 0) + SORTED, "right"))
+        stop = int(np.searchsorted(core, core[min(max(stop, at + 1), len(core)) - 1], "right"))
+        own = order[at:stop]
+        entry = np.repeat(own, many[own])
+        place = np.arange(len(entry)) - np.repeat(np.cumsum(many[own]) - many[own], many[own])
+        suffix = np.ascontiguousarray(every[base[entry] + place]).view(f"S{length}").ravel()
+        rank = np.argsort(suffix, kind="stable")
+        suffix = suffix[rank]
+        new = np.append(True, suffix[1:] != suffix[:-1])
+        owner = doc[entry[rank]]
+        hit = rank[np.minimum.reduceat(owner, np.flatnonzero(new))[np.cumsum(new) - 1] < owner]
+        np.bitwise_or.at(masks, entry[hit], U64(1) << place[hit].astype(U64))
+        at = stop
     ends = np.cumsum([len(p[0]) for p in parts])
     return rows.assign(payload=[m.tobytes() for m in np.split(masks, ends[:-1])])
 
@@ -236,8 +245,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *keep)
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-total // GROUP_BYTES))
-    buckets = max(1, groups // 2)
-    placed = source.where("doc_id is not null").withColumn("n", F.xxhash64("text")).withColumn("g", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(groups)))
+    buckets = groups
+    placed = source.where("doc_id is not null").withColumn("_order", F.xxhash64("text")).withColumn("_group", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(groups)))
     said = "bucket bigint, g bigint, payload binary"
 
     def ask(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -273,13 +282,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             runs = int(off[:1].sum() + np.count_nonzero(off[1:] & ~off[:-1]))
             out.append((b - a, int(off.sum()), runs, hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore")))
         new = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-        return pd.concat([parse.frame.drop(columns=["text", "n", "g"]), new], axis=1)
+        return pd.concat([parse.frame.drop(columns=["text", "_order", "_group"]), new], axis=1)
 
     extra = [f for f in source.schema if f.name not in ("doc_id", "text")]
     schema = ", ".join(["doc_id bigint", *(f"`{f.name}` {f.dataType.simpleString()}" for f in extra), "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"])
-    first = placed.groupBy("g").applyInPandas(ask, said).groupBy("bucket").applyInPandas(compare, said)
-    second = placed.groupBy("g").cogroup(first.groupBy("g")).applyInPandas(ask_again, said).groupBy("bucket").applyInPandas(sort, said)
-    out = placed.groupBy("g").cogroup(second.groupBy("g")).applyInPandas(cut, schema)
+    first = placed.groupBy("_group").applyInPandas(ask, said).groupBy("bucket").applyInPandas(compare, said)
+    second = placed.groupBy("_group").cogroup(first.groupBy("g")).applyInPandas(ask_again, said).groupBy("bucket").applyInPandas(sort, said)
+    out = placed.groupBy("_group").cogroup(second.groupBy("g")).applyInPandas(cut, schema)
     whole = source.where("doc_id is null").select(
         "doc_id", *keep, F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept")
     )
