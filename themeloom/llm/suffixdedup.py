@@ -89,7 +89,8 @@ class Parse:
         self.base = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         self.flat = np.frombuffer(b"".join(raw), np.uint8)
         self.at, self.many, trigger, whole = phrases(self.flat, self.base, length)
-        self.core = (trigger >> U64(32)).astype(np.uint32)
+        # A trigger's hash is the least of its window: mixed again, or all would meet in the first buckets.
+        self.core = (mix(trigger) >> U64(32)).astype(np.uint32)
         self.doc = self.ids[np.searchsorted(self.base, self.at, "right") - 1]
         order = np.lexsort((whole, self.core))
         core, whole = self.core[order], whole[order]
