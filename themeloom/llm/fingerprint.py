@@ -10,7 +10,7 @@ SAMPLES = 64
 #: Terms are words hashed to so many dimensions; a dimension's weight is how often its words occur.
 DIMENSIONS = 4096
 #: Samples that one aggregation takes the minima of: code for more grows too long for the JIT compiler.
-AT_ONCE = 16
+AT_ONCE = 32
 #: Weights up to which samples are drawn beforehand, for all terms of a dimension at once.
 LIGHT = 16
 #: Documents of one range of ids that are sorted together.
@@ -36,8 +36,8 @@ def sample_table(spark: SparkSession, samples: int = SAMPLES, dimensions: int =
     return spark.range(dimensions).select(F.col("id").cast("int").alias("dim")).select("dim", each.alias("g"))
 
 
-def _drawn() -> Column:
-    """For each sample a number whose minimum over the terms of a text is the consistent weighted sample.
+def _drawn(samples: int) -> Column:
+    """For each sample, AT_ONCE to an array, a number whose minimum over the terms of a text is the consistent weighted sample.
 
     With t = floor(ln w / r + b) and ln a = c - r * (t - b) - r, the term with the least ln a is sampled, along
     with t. ln a is put into the high 31 bits, in order; below it stand the dimension and t.
@@ -49,13 +49,13 @@ def _drawn() -> Column:
         high = F.shiftleft(F.floor((score + 64.0) * F.lit(float(1 << 24))), 32)
         return high + F.shiftleft(F.col("dim").cast("bigint"), 16) + F.pmod(t, F.lit(65536))
 
-    return F.transform("g", one)
+    return F.array(*[F.transform(F.slice("g", k + 1, AT_ONCE), one) for k in range(0, samples, AT_ONCE)])
 
 
-def drawn_table(table: DataFrame) -> DataFrame:
+def drawn_table(table: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """(dim, weight, v): the numbers of _drawn for the weights 1 to LIGHT, which most terms have."""
     light = table.select("dim", "g", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(LIGHT).cast("bigint"))).alias("weight"))
-    return light.select("dim", "weight", _drawn().alias("v"))
+    return light.select("dim", "weight", _drawn(samples).alias("v"))
 
 
 def words_of(text: Column) -> Column:
@@ -73,15 +73,14 @@ def fingerprints(rows: DataFrame, keys: list[str], text: str = "text", samples:
     dim = F.when(F.col("word") == "", F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("word"), F.lit(dimensions - 1))).cast("int")
     terms = word.select(*keys, dim.alias("dim")).groupBy(*keys, "dim").agg(F.count("*").alias("weight"))
     table = sample_table(rows.sparkSession, samples, dimensions)
-    terms = terms.join(F.broadcast(drawn_table(table)), ["dim", "weight"], "left").join(F.broadcast(table), "dim")
-    drawn = terms.select(*keys, F.coalesce("v", _drawn()).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(samples - 1), F.lit(AT_ONCE))).alias("first"))
-    low = drawn.groupBy(*keys, "first").agg(*[F.min(F.get("v", F.col("first") + k)).alias(f"m{k}") for k in range(AT_ONCE)])
+    terms = terms.join(F.broadcast(drawn_table(table, samples)), ["dim", "weight"], "left").join(F.broadcast(table), "dim")
+    drawn = terms.select(*keys, F.posexplode(F.coalesce("v", _drawn(samples))).alias("first", "v"))
+    low = drawn.groupBy(*keys, "first").agg(*[F.min(F.get("v", F.lit(k))).alias(f"m{k}") for k in range(AT_ONCE)])
     mask = F.lit((1 << 32) - 1)
     part = F.array(*[F.col(f"m{k}").bitwiseAND(mask).cast("int") for k in range(AT_ONCE)])
     parts = low.select(*keys, "first", part.alias("part")).groupBy(*keys)
-    return parts.agg(*[F.max(F.when(F.col("first") == k, F.col("part"))).alias(f"p{k}") for k in range(0, samples, AT_ONCE)]).select(
-        *keys, F.concat(*[f"p{k}" for k in range(0, samples, AT_ONCE)]).alias("fp")
-    )
+    many = range(samples // AT_ONCE)
+    return parts.agg(*[F.max(F.when(F.col("first") == k, F.col("part"))).alias(f"p{k}") for k in many]).select(*keys, F.concat(*[f"p{k}" for k in many]).alias("fp"))
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
