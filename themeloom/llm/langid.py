@@ -128,7 +128,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
             yield pd.DataFrame({"lang": lang, "k": order * BUCKETS + bucket, "n": table[order, bucket]})
             yield pd.DataFrame({"lang": lang, "k": -1 - np.arange(OTHER + 1), "n": scripts[lang]})
 
-    counts = rows.select("text", "lang").mapInPandas(run, "lang string, k long, n long").groupBy("lang", "k").agg(F.sum("n").alias("n")).toPandas()
+    counts = rows.select("text", "lang").mapInPandas(run, "lang string, k long, n long").groupBy("lang", "k").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     languages = sorted(counts["lang"].unique().tolist())
     table = np.full((ORDERS * BUCKETS, len(languages)), 0.5, np.float64)
     scripts = np.zeros((OTHER + 1, len(languages)))
