@@ -13,25 +13,28 @@ from themeloom.plans.session import materialise, table
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have a language (null and letterless texts go); a null lang becomes the one found."""
     model = langid.fit(langid.training_rows(docs, F.lit(True)))
-    kept = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = langid.identify(docs.withColumn("_whole", F.col("text")), model, keep=("_whole", *kept))
-    found = found.where("lang_pred <> 'und'").withColumn("lang", F.coalesce("lang", "lang_pred"))
-    return found.withColumnRenamed("_whole", "text").select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    found = langid.identify(rows, model, keep=("_row",)).where("lang_pred <> 'und'")
+    lang = F.coalesce("_row.lang", "lang_pred").alias("lang")
+    return found.select(*[lang if c == "lang" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, that of the smallest doc_id (five-word shingles, 0.8)."""
+    """One document of each near-duplicate group, that of the smallest doc_id (five-word shingles, 0.8).
+
+    Rows that repeat a doc_id are one document; those without a doc_id are linked with nothing and stay.
+    """
     kept = materialise(neardup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct())
-    return docs.join(kept.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
+    one = docs.join(kept.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return one.union(docs.where("doc_id is null"))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that one of smaller doc_id has too; n_chars is counted anew."""
-    kept = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    out = suffixdedup.remove_repeats(docs, keep=kept).withColumn("text", F.col("kept"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("bigint"))
-    return out.select(*docs.columns)
+    kept = {c: f"_keep{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "n_chars")}
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(k) for c, k in kept.items()])
+    out = suffixdedup.remove_repeats(rows, keep=tuple(kept.values())).select("doc_id", F.col("kept").alias("text"), *[F.col(k).alias(c) for c, k in kept.items()])
+    return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The pipeline's stages: each hands on the columns of documents and its decisions take effect."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from themeloom.llm import decontam, neardup
 
@@ -8,15 +10,16 @@ SF = "/root/testdata/sf0.001"
 
 def test_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    columns, before = docs.columns, docs.count()
-    extra = spark.createDataFrame([(900001, None, "en", "s", 0), (900002, "123", None, "s", 3)], docs.schema)
-    docs = docs.union(extra)
+    before = docs.count()
+    extra = spark.createDataFrame([(900001, None, "en", "s", 0), (900002, "123", None, "s", 3), (None, "the words that have no number of their own", "en", "s", 9)], docs.schema)
+    docs = docs.union(extra).withColumns({c: F.lit(None).cast("string") for c in ("score", "spans", "n", "g", "kept", "band")})
+    columns = docs.columns
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, SF)
         out.write.parquet(str(tmp_path / str(k)))
         docs = spark.read.parquet(str(tmp_path / str(k)))
         if name == "language_id":
-            assert docs.count() == before
+            assert docs.count() == before + 1
         if name == "near_dedup":
             assert neardup.near_duplicates(docs).where("not kept").count() == 0
         if name == "decontamination":
@@ -25,4 +28,5 @@ def test_stages(spark, tmp_path):
             assert docs.columns == columns
             left = docs.count()
     assert docs.select("doc_id").distinct().count() == left
-    assert corpus_pipeline.run(spark, SF).count() == docs.count()
+    assert docs.where("doc_id is null").count() == 1
+    assert corpus_pipeline.run(spark, SF).count() == docs.count() - 1
