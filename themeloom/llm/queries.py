@@ -30,8 +30,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("y")).where(_fold(5) != 0)
-    labelled = docs.select("doc_id", "text").join(labels, "doc_id").withColumnRenamed("doc_id", "id")
-    out = toxicity.score(docs, toxicity.fit(labelled))
+    out = toxicity.score(docs, toxicity.fit(toxicity.labelled_rows(docs, labels)))
     return out.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "ratio", "n_words")
 
 
