@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from themeloom.llm import decontam, fingerprint, langid, licences, neardup, packing, suffixdedup, tokenbin, tokencount, toxicity
+from themeloom.llm import decontam, fingerprint, langid, licences, neardup, packing, suffixdedup, tokenbin, tokencount, tokens, toxicity
 from themeloom.llm import queries as registered
 
 SF = "/root/testdata/sf0.001"
@@ -165,6 +165,11 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty, RANKS).count() == 0
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 1_000_001 + "b", "\n" * 1_000_001, "x é" + "\t\r\n \u2003" * 250_000 + "<|endoftext|> y", " " * 1_000_001 + "\n'll" + "\n" * 100_000 + " z"])
+def test_ids_of_long_runs(text):
+    assert tokens.rank_ids(RANKS, text).tolist() == Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text).ids
+
+
 def test_local_search_empties_bins():
     lengths = [6, 4, 5, 3, 2]
     bins = packing.local_search([[0], [1], [2], [3, 4]], lengths, 10)
