@@ -11,10 +11,11 @@ from themeloom.plans.session import materialise, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language (null and letterless texts go); a null lang becomes the one found."""
+    """Documents with a letter (null and letterless texts go); a null lang becomes the one found, `und` if none is learned."""
     model = langid.fit(langid.training_rows(docs, F.lit(True)))
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
-    found = langid.identify(rows, model, keep=("_row",)).where("lang_pred <> 'und'")
+    found = langid.identify(rows, model, keep=("_row",), guess=True)
+    found = found.where((F.col("lang_pred") != "und") | F.col("_row.text").rlike(r"\p{L}"))
     lang = F.coalesce("_row.lang", "lang_pred").alias("lang")
     return found.select(*[lang if c == "lang" else F.col("_row")[c].alias(c) for c in docs.columns])
 

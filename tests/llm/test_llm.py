@@ -236,6 +236,15 @@ def test_language_spans_and_edges(spark):
     assert langid.identify(spark.createDataFrame(asked, "doc_id bigint, text string, l string"), none).first().lang_pred == "und"
 
 
+def test_rare_languages_and_unlearned_scripts(spark):
+    rows = [(None if i % 2 else i, f"the cat and the dog {i}", "en") for i in range(3000)] + [(None, "καλημέρα κόσμε", "el"), (9001, "добрый день", "ru"), (9002, "12", "xx")]
+    model = langid.fit(spark.createDataFrame(rows, "id bigint, text string, lang string"), sample=300)
+    assert model["languages"] == ["el", "en", "ru"]
+    asked = spark.createDataFrame([(1, "κόσμε"), (2, "день"), (3, "สวัสดี ครับ"), (4, "12"), (5, None)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.lang_pred, r.score, len(r.spans)) for r in langid.identify(asked, model, guess=True).collect()}
+    assert got == {1: ("el", 1.0, 1), 2: ("ru", 1.0, 1), 3: ("en", 0.0, 1), 4: ("und", 0.0, 0), 5: ("und", 0.0, 0)}
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     common, bad = ["the", "of", "and", "in", "to", "was", "for", "that"], ["idiot", "moron", "scum"]

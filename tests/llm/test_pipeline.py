@@ -1,5 +1,6 @@
 """The pipeline's stages: each hands on the columns of documents and its decisions take effect."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -30,3 +31,10 @@ def test_stages(spark, tmp_path):
     assert docs.select("doc_id").distinct().count() == left
     assert docs.where("doc_id is null").count() == 1
     assert corpus_pipeline.run(spark, SF).count() == docs.count() - 1
+
+
+@pytest.mark.parametrize("lang", ["en", None])
+def test_language_stage_keeps_texts_with_letters(spark, lang):
+    rows = [(1, "the cat and the dog", lang), (2, "สวัสดี ครับ", None), (3, "12 !", None), (4, None, None)]
+    got = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), SF).collect()
+    assert {r.doc_id: r.lang for r in got} == {1: lang or "und", 2: lang or "und"}

@@ -30,8 +30,9 @@ SCRIPTS = {
     "han": [(0x2E80, 0x2FDF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3134F)],
 }
 OTHER = len(SCRIPTS)
-#: Labelled documents that the word model is fitted on, at most: about as many are drawn by a hash of their id.
-SAMPLE = 20_000
+#: Labelled documents that the word model is fitted on: about SAMPLE are drawn by a hash, but of each language at least
+#: about LEAST (all, if it has fewer).
+SAMPLE, LEAST = 20_000, 500
 #: Hashed features of each order (character 1-, 2-, 3- and 4-grams of a word with its edges).
 ORDERS, BUCKETS = 4, 1 << 16
 #: Log-odds that a change of language inside a text has to make good.
@@ -99,14 +100,19 @@ def _valid(padded: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
     """Naive Bayes tables of hashed character n-grams from labelled(id, text, lang), nulls apart.
 
-    At most about `sample` rows are used, drawn by a hash of the id; Spark counts their n-grams, and what
-    comes to the driver has languages * ORDERS * BUCKETS numbers at most. Languages: those of the rows.
+    About `sample` rows are used, drawn by a hash, and about LEAST of each language that this would give fewer
+    (all, if it has no more), so that each language of a row with a letter is learned. Spark counts their n-grams,
+    and what comes to the driver has languages * ORDERS * BUCKETS numbers at most.
     """
     small_batches(labelled.sparkSession)
-    rows = labelled.where("text is not null and lang is not null")
-    n = rows.count()
+    rows = labelled.where("text is not null and lang is not null").where(F.col("text").rlike(r"\p{L}"))
+    many = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    n = sum(many.values())
     if n > sample:
-        rows = rows.where((F.pmod(F.xxhash64(F.col("id"), F.lit("langid")), F.lit(1 << 30)) < int(sample / n * (1 << 30))))
+        share = {k: min(1.0, max(sample / n, LEAST / c)) for k, c in many.items()}
+        cut = labelled.sparkSession.createDataFrame([(k, int(x * (1 << 30))) for k, x in share.items()], "lang string, cut long")
+        drawn = F.pmod(F.xxhash64("id", "text", F.lit("langid")), F.lit(1 << 30))
+        rows = rows.join(F.broadcast(cut), "lang").where(drawn < F.col("cut"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, np.ndarray] = {}
@@ -142,7 +148,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
     if languages:
         scores -= scores.mean(axis=2, keepdims=True)
     allowed = scripts >= 0.001 * np.maximum(1, scripts.sum(axis=0))
-    return {"languages": languages, "scores": (scores / ORDERS).astype(np.float32), "allowed": allowed}
+    prior = max(languages, key=many.__getitem__, default=None)
+    return {"languages": languages, "scores": (scores / ORDERS).astype(np.float32), "allowed": allowed, "prior": prior}
 
 
 def viterbi(scores: np.ndarray, fresh: np.ndarray, penalty: float, block: int = 256) -> np.ndarray:
@@ -209,14 +216,15 @@ def label_words(model: dict, texts: list[str], penalty: float = SWITCH) -> tuple
     return doc, start - base, end - base, viterbi(word, fresh, penalty), scored
 
 
-def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", penalty: float = SWITCH, keep: tuple[str, ...] = ()) -> DataFrame:
+def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", penalty: float = SWITCH, keep: tuple[str, ...] = (), guess: bool = False) -> DataFrame:
     """(doc_id, lang_pred, score, spans) and the columns `keep` for each row of docs.
 
     spans: the runs of words of one language, with first and last code point (end exclusive). lang_pred is
     the language with the most letters, ties to the first in alphabet order, `und` for null texts and texts
     without a letter; score is its share of all letters, 0 for `und`. Words in scripts of none of the
-    learned languages count against the score. With no language learned all is `und`. Repeated rows are
-    judged alike; ids and other columns are not looked at, nulls in them stay.
+    learned languages count against the score. A text with words in such scripts only is `und`, or with `guess`
+    a single span of the language of most labelled rows, with score 0. With no language learned all is `und`.
+    Repeated rows are judged alike; ids and other columns are not looked at, nulls in them stay.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -238,7 +246,10 @@ def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
             a, b = cut[d], cut[d + 1]
             letters = (end[a:b] - start[a:b]).astype(np.int64)
             if a == b or not names or not scored[a:b].any():
-                out.append(("und", 0.0, []))
+                if guess and a < b and names:
+                    out.append((held["prior"], 0.0, [{"start": int(start[a]), "end": int(end[b - 1]), "lang": held["prior"]}]))
+                else:
+                    out.append(("und", 0.0, []))
                 continue
             good = scored[a:b]
             mass = np.bincount(lang[a:b][good], weights=letters[good], minlength=len(names))

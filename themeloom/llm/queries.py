@@ -23,7 +23,7 @@ def _fold(n: int) -> Column:
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = langid.fit(langid.training_rows(docs, _fold(3) != 1))
-    out = langid.identify(docs, model)
+    out = langid.identify(docs, model, guess=True)
     return out.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
