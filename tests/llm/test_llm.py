@@ -283,6 +283,13 @@ def test_fingerprints(docs, empty):
     assert fingerprint.compare_with_edits(empty).count() == 0
 
 
+def test_fingerprints_of_long_texts(spark):
+    side = {c: [f"{c}{i}" for i in range(5000)] for c in "abc"}
+    rows = [(1, " ".join(side["a"])), (2, " ".join(side["b"])), (3, " ".join(side["b"] + side["c"]))]
+    got = {r.doc_id: r for r in fingerprint.compare_with_edits(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[1].near_next == got[3].near_next == 0 and abs(got[2].near_next - 0.5) < 0.25
+
+
 def test_fingerprint_of_one_row(spark):
     got = fingerprint.compare_with_edits(spark.createDataFrame([(4, "ab cd")], "doc_id bigint, text string")).collect()
     assert len(got) == 1 and got[0].near_next == 1.0

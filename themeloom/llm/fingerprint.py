@@ -2,60 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Samples of a fingerprint; the likeness of two has a standard deviation of at most 0.5 / sqrt(SAMPLES).
 SAMPLES = 64
-#: Terms are words hashed to so many dimensions; a dimension's weight is how often its words occur.
-DIMENSIONS = 4096
 #: Samples that one aggregation takes the minima of: code for more grows too long for the JIT compiler.
 AT_ONCE = 32
-#: Weights up to which samples are drawn beforehand, for all terms of a dimension at once.
-LIGHT = 16
 #: Documents of one range of ids that are sorted together.
 RANGE = 256
 #: Documents whose terms a task counts, so that the counts stay in memory; ranges up to which their first ids are broadcast.
 TASK, BROADCAST_ROWS = 1024, 200_000
 
 
-def _uniform(sample: Column, seed: int) -> Column:
-    """A uniform number in (0, 1) from the dimension, the sample and a seed."""
-    return (F.shiftrightunsigned(F.xxhash64("dim", sample, F.lit(seed)), 12) + F.lit(0.5)) / F.lit(float(1 << 52))
+def _drawn(sample: Column) -> Column:
+    """A number whose minimum over the terms (term, log_weight) of a text is the consistent weighted sample.
 
-
-def sample_table(spark: SparkSession, samples: int = SAMPLES, dimensions: int = DIMENSIONS) -> DataFrame:
-    """(dim, g): for each dimension and sample a gamma(2, 1) number r, the logarithm c of another, a uniform offset b.
-
-    The table has `dimensions` rows of 3 * samples numbers, whatever the input.
+    Two hashes of the term and the sample give five uniform numbers, and those a gamma(2, 1) number r, the
+    logarithm c of another and an offset b. With t = floor(ln w / r + b) and ln a = c - r * (t - b) - r, the term
+    with the least ln a is sampled, along with t. ln a is put into the high 31 bits, in order; below it stand
+    32 bits of the term's own hash, mixed with t.
     """
-    def gamma(k: Column, seed: int) -> Column:
-        return -F.log(_uniform(k, seed) * _uniform(k, seed + 1))
-
-    each = F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda k: F.struct(gamma(k, 1).alias("r"), F.log(gamma(k, 3)).alias("c"), _uniform(k, 5).alias("b")))
-    return spark.range(dimensions).select(F.col("id").cast("int").alias("dim")).select("dim", each.alias("g"))
 
+    def uniform(h: Column, shift: int, bits: int) -> Column:
+        return (F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << bits) - 1)) + F.lit(0.5)) / F.lit(float(1 << bits))
 
-def _drawn(samples: int) -> Column:
-    """For each sample, AT_ONCE to an array, a number whose minimum over the terms of a text is the consistent weighted sample.
-
-    With t = floor(ln w / r + b) and ln a = c - r * (t - b) - r, the term with the least ln a is sampled, along
-    with t. ln a is put into the high 31 bits, in order; below it stand the dimension and t.
-    """
-
-    def one(g: Column) -> Column:
-        t = F.floor(F.log("weight") / g["r"] + g["b"])
-        score = F.greatest(F.lit(-64.0), F.least(F.lit(63.99), g["c"] - g["r"] * (t - g["b"]) - g["r"]))
-        high = F.shiftleft(F.floor((score + 64.0) * F.lit(float(1 << 24))), 32)
-        return high + F.shiftleft(F.col("dim").cast("bigint"), 16) + F.pmod(t, F.lit(65536))
-
-    return F.array(*[F.transform(F.slice("g", k + 1, AT_ONCE), one) for k in range(0, samples, AT_ONCE)])
-
-
-def drawn_table(table: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """(dim, weight, v): the numbers of _drawn for the weights 1 to LIGHT, which most terms have."""
-    light = table.select("dim", "g", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(LIGHT).cast("bigint"))).alias("weight"))
-    return light.select("dim", "weight", _drawn(samples).alias("v"))
+    one, two = (F.xxhash64("term", sample, F.lit(seed)) for seed in (1, 2))
+    r = -F.log(uniform(one, 32, 32) * uniform(one, 0, 32))
+    c = F.log(-F.log(uniform(two, 43, 21) * uniform(two, 22, 21)))
+    b = uniform(two, 0, 22)
+    t = F.floor(F.col("log_weight") / r + b)
+    score = F.greatest(F.lit(-64.0), F.least(F.lit(63.99), c - r * (t - b) - r))
+    high = F.shiftleft(F.floor((score + 64.0) * F.lit(float(1 << 24))), 32)
+    tag = F.col("term").bitwiseXOR(F.pmod(t, F.lit(65536)) * F.lit(0x9E3779B1))
+    return high.bitwiseOR(tag.bitwiseAND(F.lit((1 << 32) - 1)))
 
 
 def words_of(text: Column) -> Column:
@@ -63,24 +43,20 @@ def words_of(text: Column) -> Column:
     return F.split(F.regexp_replace(F.lower(text), r"^\s+|\s+$", ""), r"\s+")
 
 
-def fingerprints(rows: DataFrame, keys: list[str], text: str = "text", samples: int = SAMPLES, dimensions: int = DIMENSIONS) -> DataFrame:
+def fingerprints(rows: DataFrame, keys: list[str], text: str = "text", samples: int = SAMPLES) -> DataFrame:
     """keys and fp, an array of samples, for each row of rows(keys, text); keys identify a row.
 
-    Rows that are partitioned by some of the keys already are not shuffled: terms are counted and sampled
-    where their text is.
+    Terms are words, told apart by 64 bits of hash. Rows that are partitioned by some of the keys already are
+    not shuffled: terms are counted and sampled where their text is.
     """
     word = rows.select(*keys, F.explode(words_of(F.col(text))).alias("word"))
-    dim = F.when(F.col("word") == "", F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("word"), F.lit(dimensions - 1))).cast("int")
-    terms = word.select(*keys, dim.alias("dim")).groupBy(*keys, "dim").agg(F.count("*").alias("weight"))
-    table = sample_table(rows.sparkSession, samples, dimensions)
-    terms = terms.join(F.broadcast(drawn_table(table, samples)), ["dim", "weight"], "left").join(F.broadcast(table), "dim")
-    drawn = terms.select(*keys, F.posexplode(F.coalesce("v", _drawn(samples))).alias("first", "v"))
-    low = drawn.groupBy(*keys, "first").agg(*[F.min(F.get("v", F.lit(k))).alias(f"m{k}") for k in range(AT_ONCE)])
-    mask = F.lit((1 << 32) - 1)
-    part = F.array(*[F.col(f"m{k}").bitwiseAND(mask).cast("int") for k in range(AT_ONCE)])
-    parts = low.select(*keys, "first", part.alias("part")).groupBy(*keys)
+    terms = word.select(*keys, F.xxhash64("word").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("weight"))
     many = range(samples // AT_ONCE)
-    return parts.agg(*[F.max(F.when(F.col("first") == k, F.col("part"))).alias(f"p{k}") for k in many]).select(*keys, F.concat(*[f"p{k}" for k in many]).alias("fp"))
+    drawn = terms.select(*keys, "term", F.log("weight").alias("log_weight"), F.explode(F.array(*[F.lit(k * AT_ONCE) for k in many])).alias("first"))
+    low = drawn.groupBy(*keys, "first").agg(*[F.min(_drawn(F.col("first") + k)).alias(f"m{k}") for k in range(AT_ONCE)])
+    part = F.array(*[F.shiftright(F.shiftleft(F.col(f"m{k}"), 32), 32).cast("int") for k in range(AT_ONCE)])
+    parts = low.select(*keys, "first", part.alias("part")).groupBy(*keys)
+    return parts.agg(*[F.max(F.when(F.col("first") == k * AT_ONCE, F.col("part"))).alias(f"p{k}") for k in many]).select(*keys, F.concat(*[f"p{k}" for k in many]).alias("fp"))
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
