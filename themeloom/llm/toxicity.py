@@ -29,7 +29,7 @@ CALIBRATE = 4
 #: Labels (a number and a class each), and rows of evidence, up to which they are broadcast; beyond, a shuffle joins them.
 BROADCAST_ROWS = 2_000_000
 #: Bytes of labelled text that are counted together in a task, before and after the shuffle.
-SLICE, BUCKET = 12_000_000, 24_000_000
+SLICE, BUCKET = 8_000_000, 8_000_000
 #: Bins of the normalised log-likelihood ratio, over -SPAN to SPAN, that calibration gathers.
 BINS, SPAN = 4000, 2.0
 
