@@ -130,7 +130,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("guest", F.lit(0)).unionByName(guests)
     together = TASK // RANGE
     rows = rows.withColumn("task", F.floor(F.col("range") / together)).repartition(parts, "task")
-    inside = Window.partitionBy("task", "range").orderBy("guest", "at", "tie", "text")
+    inside = Window.partitionBy("task", "range").orderBy("guest", "at", "tie", "text", "doc_id")  # with all columns, so that both uses share one shuffle
     number = F.pmod("range", F.lit(together)) * F.lit(1 << 40) + F.row_number().over(inside)
     return rows.withColumns({"row": number, "after": F.lead("text").over(inside)})
 
