@@ -320,7 +320,7 @@ def test_decontamination(spark, docs, empty):
 def test_licences(spark, empty):
     plain = [f"ordinary words about thing number {i} and nothing else" for i in range(300)]
     rows = [(i, t) for i, t in enumerate(plain)] + [
-        (1000, "intro\nReleased under the MIT License.\nend"), (1001, "x\nLicensed under the Apache License, Version 2.0."), (1002, None), (1003, ""),
+        (1000, "intro\n\nReleased under the MIT License.\n\nend"), (1001, "x\nLicensed under the Apache License, Version 2.0."), (1002, None), (1003, ""),
         (1004, "Licensed under CC BY-NC 4.0."), (1005, "This work is licensed under the GNU General Public License, version 3."),
     ]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")

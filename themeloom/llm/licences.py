@@ -41,42 +41,93 @@ TEMPLATES = {
     "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
     "unlicense": ["This is free and unencumbered software released into the public domain"],
 }
-#: Licence-like phrases of no family above, the seeds of the unknown class.
+#: Short names and identifiers of each family, from the public list of licence identifiers.
+NAMES = {
+    "agpl": ["AGPL-3.0", "AGPLv3", "GNU AGPL"],
+    "apache": ["Apache-2.0", "Apache License 2.0", "Apache 2"],
+    "bsd": ["BSD-3-Clause", "BSD-2-Clause", "BSD", "New BSD"],
+    "cc-by": ["CC-BY-4.0", "CC BY 3.0", "Creative Commons Attribution"],
+    "cc-by-nc": ["CC-BY-NC-4.0", "CC BY-NC 3.0", "Creative Commons Attribution-NonCommercial"],
+    "cc-by-sa": ["CC-BY-SA-4.0", "CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike"],
+    "gpl": ["GPL-3.0-or-later", "GPL-2.0", "GPLv3", "GPLv2", "GNU GPL", "GNU General Public License"],
+    "lgpl": ["LGPL-2.1", "LGPL-3.0-or-later", "LGPLv3", "GNU LGPL"],
+    "mit": ["MIT", "MIT/X11", "Expat"],
+    "mpl": ["MPL-2.0", "MPL 2.0", "Mozilla Public License"],
+    "unlicense": ["Unlicense"],
+}
+#: Wordings around a name; the last of every four, and its families' names in it, are held out for the calibration.
+WORDINGS = [
+    "SPDX-License-Identifier: {}", "License: {}", "licensed under the {} license", "this file is under {}", "released under {}", "distributed under the terms of the {} license",
+    "available under the {} licence", "the code is {} licensed",
+]
+#: Licence-like phrases of no family above, the seeds of the unknown class.
 UNKNOWN_SEEDS = [
     "licensed under the terms of the enclosed agreement", "released under a custom license, see the license file", "all rights reserved, use is subject to license terms",
     "permission is granted to use this material under the house license", "distributed under the terms of the community license agreement, version 1",
-    "this content may be used under the vendor license only", "subject to the following license conditions and warranty terms",
+    "this content may be used under the vendor license only", "subject to the following license conditions and warranty terms", "SPDX-License-Identifier: LicenseRef-Proprietary",
+    "copying of this file is permitted under the terms of the in-house licence", "you may use this software only under the end user license agreement",
+]
+#: Ordinary sentences with words that licences have.
+ORDINARY_SEEDS = [
+    "he lost his driving licence on the way home", "a fishing license costs ten dollars a year", "the licence fee for television rose again", "her licence plate was from Texas",
+    "doctors need a license to practise in this state", "the warranty of the car ends in May", "we had permission to leave early", "students at MIT built a small robot",
+    "Apache helicopters flew over the valley", "the general public was free to enter", "terms of the contract were agreed in writing", "the software version of the radio is old",
+    "creative people share common ideas", "the bar lost its liquor license", "conditions on the road were poor without any warning", "the copyright office opens at nine",
 ]
 NONE, UNKNOWN = "none", "unknown"
 CLASSES = [NONE, UNKNOWN, *sorted(TEMPLATES)]
 BUCKETS = 1 << 16
-#: Paragraphs without a licence word that the classifier is fitted on, at most (a bounded sample).
-ORDINARY = 4000
-#: A family is named from this calibrated probability, and when so much of a template's words stand in the paragraph in order.
-SURE, MATCH = 0.5, 0.6
+#: Lines without a licence word that the classifier is fitted on, at most, and code points of one (a bounded sample).
+ORDINARY, LONGEST = 3000, 5000
+#: Words of a window of a paragraph; windows overlap by half.
+WINDOW = 40
+#: A family is named from this calibrated probability, and when so much of a template's word pairs stand in the window; from
+#: NEAR on a template alone decides between the families.
+SURE, MATCH, NEAR = 0.5, 0.6, 0.85
 
 _VALUES = byte_values(9)
 
 
-def _features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Paragraphs (lines with a word) of texts: text, first and last byte (of the joined bytes); and, by line, n-gram buckets."""
+def _features(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
+    """Windows of the paragraphs of texts, and n-gram buckets with the window that they stand in.
+
+    A paragraph is a run of lines with a word, between lines without. start, end: bytes of each window in the texts
+    joined by line feeds; text, paragraph (its number in the text) of each window; owner, bucket: one for each n-gram.
+    """
     data, at = separated(LOWER[data], off)
     start, end = spans(ALNUM[data])
     word = span_hash(prefix(_VALUES[data]), start, end)
-    breaks = np.flatnonzero(data == 10)
-    line = np.searchsorted(breaks, start)
+    line = np.searchsorted(np.flatnonzero(data == 10), start)
+    text = np.searchsorted(at, start, "right") - 1
+    new = np.ones(len(word), bool)
+    new[1:] = (line[1:] > line[:-1] + 1) | (text[1:] != text[:-1])
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(word)))
+    half = WINDOW // 2
+    windows = np.maximum(1, -(-size // half) - 1)
+    base = np.cumsum(windows) - windows
+    block = np.cumsum(new) - 1
+    place = np.arange(len(word)) - first[block] if len(word) else np.zeros(0, np.int64)
+    step, last = place // half, windows[block] - 1 if len(word) else np.zeros(0, np.int64)
     pair = mix(word[:-1] * U64(3) + word[1:])
-    same = line[1:] == line[:-1]
-    key = np.concatenate([word, pair[same]])
-    owner = np.concatenate([line, line[1:][same]])
-    return at, breaks, owner, (key & U64(BUCKETS - 1)).astype(np.int64)
-
-
-def _rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    raw = [t.replace("\n", " ").encode() for t in texts]
-    off = np.cumsum([0, *map(len, raw)])
-    _, _, owner, bucket = _features(np.frombuffer(b"".join(raw), np.uint8), off)
-    return owner, bucket
+    both = ~new[1:]
+    owner, bucket = [], []
+    for back in (0, 1):  # a word stands in the window that begins with its step and in the one before
+        own = step - back
+        inside = (own >= 0) & (own <= last)
+        owner.append((base[block] + own)[inside])
+        bucket.append(word[inside])
+        near = inside[:-1] & both & (step[1:] <= own[:-1] + 1)
+        owner.append((base[block] + own)[:-1][near])
+        bucket.append(pair[near])
+    of = np.repeat(np.arange(len(first)), windows)
+    begin = first[of] + (np.arange(len(of)) - base[of]) * half
+    stop = np.minimum(begin + WINDOW, first[of] + size[of]) - 1
+    head = np.searchsorted(text[first], np.arange(len(off))) if len(first) else np.zeros(len(off), np.int64)
+    return {
+        "data": data, "start": start[begin], "end": end[stop], "text": text[begin], "paragraph": of - head[text[begin]], "many": np.bincount(text[first], minlength=len(off) - 1),
+        "owner": np.concatenate(owner), "bucket": (np.concatenate(bucket) & U64(BUCKETS - 1)).astype(np.int64),
+    }
 
 
 def _logits(weights: np.ndarray, owner: np.ndarray, bucket: np.ndarray, n: int) -> np.ndarray:
@@ -91,49 +142,63 @@ def _logits(weights: np.ndarray, owner: np.ndarray, bucket: np.ndarray, n: int)
     return out + weights[-1]
 
 
-def variants(seed: int = 3) -> tuple[list[str], list[int]]:
-    """Training paragraphs of the licence classes: templates whole, with words lost, cut, and with others around."""
+def variants(ordinary: list[str], seed: int = 3) -> tuple[list[str], list[int], list[bool]]:
+    """Training windows, their classes, and which ones calibrate: templates and names in wordings, whole, with words lost,
+    amid words of the project's and of ordinary lines. Those that calibrate have wordings that no other one has."""
     rng = np.random.default_rng(seed)
     filler = ["project", "code", "version", "copyright", "2020", "authors", "see", "file", "data", "notice", "page", "text", "team"]
-    texts, labels = [], []
-    for label, seeds in [(1, UNKNOWN_SEEDS), *((CLASSES.index(f), t) for f, t in TEMPLATES.items())]:
-        for text in seeds:
-            for k in range(30):
-                words = text.split()
-                if k:
-                    words = [w for w in words if rng.random() > 0.06 * (k % 3)]
-                    before, after = (list(rng.choice(filler, rng.integers(0, 5))) for _ in range(2))
-                    words = before + words + after
-                texts.append(" ".join(words))
-                labels.append(label)
-    return texts, labels
+    around = [w for line in ordinary[:500] for w in line.split()[:60]] or filler
+    seeds = [(1, t, k % 5 == 4) for k, t in enumerate(UNKNOWN_SEEDS)] + [(0, t, k % 5 == 4) for k, t in enumerate(ORDINARY_SEEDS)]
+    for family, templates in TEMPLATES.items():
+        label = CLASSES.index(family)
+        seeds += [(label, t, len(templates) > 1 and k == len(templates) - 1) for k, t in enumerate(templates)]
+        seeds += [(label, w.format(n), k % 4 == 3) for n in NAMES[family] for k, w in enumerate(WORDINGS)]
+    texts, labels, held = [], [], []
+    for label, text, out in seeds:
+        for k in range(16):
+            words = text.split()
+            if k and len(words) > 6:
+                words = [w for w in words if rng.random() > 0.06 * (k % 3)]
+            if k % 4:
+                room = max(0, WINDOW - len(words)) if k % 4 == 3 else 8
+                some = around if k % 2 else filler
+                before = int(rng.integers(0, room + 1))
+                lead, after = (int(rng.integers(0, max(1, len(some) - n))) for n in (before, room - before))
+                words = some[lead : lead + before] + words + some[after : after + room - before]
+            texts.append(" ".join(words[:WINDOW]))
+            labels.append(label)
+            held.append(out)
+    return texts, labels, held
 
 
 def fit(docs: DataFrame, text_col: str = "text", sample: int = ORDINARY) -> dict:
-    """Multinomial logistic regression, by gradient steps on the driver, on template variants and ordinary paragraphs.
+    """Multinomial logistic regression, by gradient steps on the driver, on licence windows and ordinary lines.
 
-    The ordinary ones are at most `sample` lines of docs without a word of licences, drawn by a hash of the
-    line from about 2 * sample texts. A fifth of all is left out of the fit and sets the temperature.
+    The ordinary ones are the `sample` lines of docs of least hash, of those of LONGEST code points at most without a word
+    of licences. What variants() and a fifth of those lines hold out sets the temperature. The same rows give the same
+    model however they are laid out.
     """
-    share = min(1.0, 2.0 * sample / max(1, docs.count()))
-    some = docs.where(F.col(text_col).isNotNull()).where(F.pmod(F.xxhash64(text_col), F.lit(1 << 20)) < int(share * (1 << 20)))
-    lines = some.select(F.explode(F.split(text_col, "\n")).alias("line"))
+    lines = docs.where(F.col(text_col).isNotNull()).select(F.explode(F.split(text_col, "\n")).alias("line"))
     odd = r"(?i)licen[sc]e|copyright|warrant|permi|redistribut|public domain|creative commons"
-    plain = lines.where(~F.col("line").rlike(odd) & F.col("line").rlike(r"\w")).where(F.pmod(F.xxhash64("line"), F.lit(8)) == 0)
-    ordinary = [r["line"][:2000] for r in plain.limit(sample).collect()]
-    texts, labels = variants()
-    texts, labels = texts + ordinary, np.array(labels + [0] * len(ordinary))
-    owner, bucket = _rows(texts)
-    held = np.arange(len(texts)) % 5 == 4
+    plain = lines.where((F.length("line") <= LONGEST) & F.col("line").rlike(r"\w") & ~F.col("line").rlike(odd))
+    least = plain.select(F.xxhash64("line").alias("h"), "line").orderBy("h", "line").limit(sample)
+    ordinary = list(dict.fromkeys(r["line"] for r in least.collect()))
+    texts, labels, held = variants(ordinary)
+    texts, labels, held = texts + ordinary, labels + [0] * len(ordinary), np.array(held + [k % 5 == 4 for k in range(len(ordinary))])
+    raw = [t.replace("\n", " ").encode() for t in texts]
+    got = _features(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    owner, bucket = got["owner"], got["bucket"]
+    labels, held = np.array(labels)[got["text"]], held[got["text"]]
+    n = len(labels)
     y = np.eye(len(CLASSES), dtype=np.float32)[labels]
-    many = np.maximum(1, np.bincount(owner, minlength=len(texts)))
+    many = np.maximum(1, np.bincount(owner, minlength=n))
     scale = 1 / np.sqrt(many)
-    weight = np.where(labels == 0, 1.0, max(1.0, len(ordinary) / max(1, (labels > 0).sum()))).astype(np.float32)
+    weight = np.where(labels == 0, 1.0, max(1.0, (labels == 0).sum() / max(1, (labels > 0).sum()))).astype(np.float32)
     weight[held] = 0
     w, g2 = np.zeros((BUCKETS + 1, len(CLASSES)), np.float32), np.full((BUCKETS + 1, len(CLASSES)), 1e-6, np.float32)
     used, place = np.unique(bucket, return_inverse=True)
     for _ in range(120):  # full-batch steps of AdaGrad over the features that occur
-        z = _logits(w, owner, bucket, len(texts))
+        z = _logits(w, owner, bucket, n)
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         d = (p - y) * weight[:, None] / weight.sum()
@@ -147,7 +212,7 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = ORDINARY) -> dict
         bias = d.sum(axis=0)
         g2[-1] += bias**2
         w[-1] -= 0.3 * bias / np.sqrt(g2[-1])
-    z = _logits(w, owner, bucket, len(texts))[held]
+    z = _logits(w, owner, bucket, n)[held]
     loss = []
     temperatures = np.geomspace(0.2, 5, 40)
     for t in temperatures:
@@ -161,7 +226,7 @@ def _words(text: str) -> list[str]:
     return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
-_TEMPLATE_WORDS = {f: [_words(t) for t in ts] for f, ts in TEMPLATES.items()}
+_TEMPLATE_WORDS = {f: [_words(t) for t in [*ts, *(w.format(n) for n in NAMES[f] for w in WORDINGS)]] for f, ts in TEMPLATES.items()}
 
 
 def template_match(family: str, words: list[str]) -> float:
@@ -170,29 +235,31 @@ def template_match(family: str, words: list[str]) -> float:
     return max(sum(p in held for p in zip(t, t[1:], strict=False)) / (len(t) - 1) for t in _TEMPLATE_WORDS[family])
 
 
-def judge(p: np.ndarray, line: str) -> tuple[str, float, float]:
-    """(class, probability, template match) of a paragraph that may carry a licence.
+def judge(p: np.ndarray, window: str) -> tuple[str, float, float]:
+    """(class, probability, template match) of a window that may carry a licence.
 
-    The likeliest family is confirmed by its templates; failing that, the family whose template matches
-    best if that is near whole; failing that, a paragraph that is no ordinary one is `unknown`.
+    The likeliest family is confirmed by its templates; failing that, the family whose template matches best is taken if
+    that is near whole; failing that, a window that is no ordinary one is `unknown`.
     """
-    words = _words(line)
+    words = _words(window)
     top = int(p[2:].argmax()) + 2
     match = template_match(CLASSES[top], words)
     if match >= MATCH and p[top] >= max(p[0], p[1]) * SURE:
         return CLASSES[top], float(p[top]), match
-    if 1 - p[0] >= SURE:
-        return UNKNOWN, float(1 - p[0]), match
-    return NONE, float(p[0]), match
+    best, name = max((template_match(f, words), f) for f in TEMPLATES)
+    if best >= NEAR:
+        return name, float(1 - p[0]), best
+    return UNKNOWN, float(1 - p[0]), match
 
 
 def scan(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_paragraphs, licences, n_unknown, found) for each row of docs.
 
-    A paragraph is a line with a letter or digit; all of all texts are classified. licences: the sorted
-    distinct families; found: paragraph number, family or `unknown`, calibrated probability, template match
-    of each licence paragraph. Null and empty texts have none. Repeated rows are scanned each; ids and other
-    columns are not looked at.
+    A paragraph is a run of lines with a letter or digit; all of all texts are classified, in windows of WINDOW words that
+    overlap by half. licences: the sorted distinct families; found: paragraph number, family or `unknown`, calibrated
+    probability, template match, once for each paragraph and family, from its surest window; `unknown` only where a
+    paragraph has no family. Null and empty texts have none. Repeated rows are scanned each; ids and other columns
+    are not looked at.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -204,25 +271,21 @@ def scan(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             many, found = [], []
             for i, j, data, off in slices(batch.column(1), 2 << 20):
-                at, breaks, owner, bucket = _features(data, off)
-                lines, line = np.unique(owner, return_inverse=True)
-                z = _logits(weights, line, bucket, len(lines))
+                got = _features(data, off)
+                z = _logits(weights, got["owner"], got["bucket"], len(got["text"]))
                 z -= z.max(axis=1, keepdims=True)
                 p = np.exp(z)
                 p /= p.sum(axis=1, keepdims=True)
-                text = np.searchsorted(at, breaks[lines], "right") - 1 if len(lines) else np.zeros(0, np.int64)
-                first = np.searchsorted(text, np.arange(j - i))
-                many += np.bincount(text, minlength=j - i).tolist()
-                rows: list[list] = [[] for _ in range(j - i)]
+                many += got["many"].tolist()
+                rows: list[dict] = [{} for _ in range(j - i)]
                 for x in np.flatnonzero(p[:, 0] < SURE):
-                    d, stop = int(text[x]), int(breaks[lines[x]])
-                    begin = int(breaks[lines[x] - 1]) + 1 if lines[x] else 0
-                    # the joined bytes have one separator for each text before
-                    line_text = data[begin - d : min(stop - d, int(off[d + 1]))].tobytes().decode("utf-8", "replace")
-                    name, probability, match = judge(p[x], line_text)
-                    if name != NONE:
-                        rows[d].append({"paragraph": int(x - first[d]), "licence": name, "probability": probability, "template": match})
-                found += rows
+                    name, probability, match = judge(p[x], got["data"][got["start"][x] : got["end"][x]].tobytes().decode("utf-8", "replace"))
+                    key, held = (int(got["paragraph"][x]), name), rows[int(got["text"][x])]
+                    held[key] = max(held.get(key, (0.0, 0.0)), (probability, match))
+                for held in rows:
+                    named = {k for k, name in held if name != UNKNOWN}
+                    ordered = sorted((k, v) for k, v in held.items() if k[1] != UNKNOWN or k[0] not in named)
+                    found.append([{"paragraph": k, "licence": name, "probability": a, "template": b} for (k, name), (a, b) in ordered])
             names = [sorted({r["licence"] for r in x} - {UNKNOWN}) for x in found]
             unknown = [sum(r["licence"] == UNKNOWN for r in x) for x in found]
             yield pa.RecordBatch.from_arrays(
