@@ -2,14 +2,16 @@
 
 import datetime as dt
 import json
+from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from themeloom.functions import text as tx
 from themeloom.operators import clustering, extraction, feed, matching, report, sampling, themes
-from themeloom.sources import jsonl
+from themeloom.sources import jsonl, paged
 from themeloom.streaming import ingest
 
 
@@ -145,3 +147,92 @@ def test_stream_is_idempotent(spark, tmp_path):
         stream = ingest.reviews_stream(spark, str(src), "review_id string, timestamp timestamp")
         ingest.append_new(stream, out, str(tmp_path / f"check{k}")).awaitTermination()
     assert spark.read.parquet(out).count() == 1
+
+
+def test_waits_grow_and_end():
+    held = list(extraction.waits(6, 1.0, 4.0))
+    assert len(held) == 6 and all(0.5 * min(4, 2**k) <= w <= 1.5 * min(4, 2**k) for k, w in enumerate(held))
+    said = ("tokens per day exceeded", "rate limit reached", "no such field")
+    assert [extraction.outcome(RuntimeError(x)) for x in said] == ["daily_cap", "again", "failed"]
+
+
+def test_failed_reviews_go_to_dead_letters_and_a_cap_stops_later_waves(spark, tmp_path):
+    def make():
+        def call(text):
+            if "cap" in text:
+                raise RuntimeError("tokens per day exceeded")
+            if "bad" in text:
+                raise ValueError("malformed")
+            return [{"theme": text, "severity": "low", "sentiment": "neutral", "feature_area": "other", "segment_hint": ""}] * 6
+
+        return call
+
+    extraction.register("staged", make)
+    rows = spark.createDataFrame([(str(i), "bad" if i % 7 == 0 else f"t{i}") for i in range(40)], "review_id string, text string")
+    at, dead = str(tmp_path / "cache"), str(tmp_path / "dead")
+    first = extraction.extract(rows, extraction.cached(spark, at, "k"), "staged", 2, waves=2)
+    extraction.store(first, at, dead, "k")
+    held = extraction.cached(spark, at, "k")
+    assert held.count() == 34 and held.where("size(issues) = 4").count() == 34
+    assert spark.read.parquet(dead).count() == 6
+    again = extraction.extract(rows, held, "staged", 2)
+    assert again.where("cached").count() == 34 and again.count() == 40
+    assert extraction.cached(spark, at, "other").count() == 0
+    capped = extraction.extract(rows.withColumn("text", F.lit("cap")), held.where("false"), "staged", 2, waves=3)
+    assert capped.where("status = 'daily_cap' and issues is null").count() == 40
+    with pytest.raises(RuntimeError):
+        extraction.register("locked", make, "NO_SUCH_SECRET_IS_SET")
+        extraction.backend("locked")
+    assert extraction.throughput(10, 20, 5.0, 30) == {"reviews_per_second": 2.0, "calls_per_minute": 240.0, "seconds_left": 15.0}
+
+
+def test_tools_and_schema():
+    schema = extraction.json_schema()["properties"]["issues"]
+    assert schema["maxItems"] == 4 and schema["items"]["properties"]["feature_area"]["enum"] == themes.AREAS and set(schema["items"]["required"]) == set(extraction.FIELDS)
+    assert extraction.nested_tool("t")["function"]["parameters"] == extraction.flat_tool("t")["input_schema"]
+
+
+def pages(country, token):
+    """A feed of three pages of four reviews, a day apart, newest first."""
+    at = int(token or 0)
+    rows = [{"id": f"{country}{at * 4 + k}", "rating": 3, "content": "x", "date": datetime(2024, 1, 20 - at * 4 - k)} for k in range(4)]
+    return rows, str(at + 1) if at < 2 else None
+
+
+@pytest.mark.parametrize(("options", "most"), [({}, 12), ({"cap": "5"}, 5), ({"cutoff": "2024-01-14"}, 7)])
+def test_paged_feed_stops(options, most):
+    reader = paged.PagedReader({"client": f"{__name__}:pages", "countries": "us, gb", **options})
+    got = [list(reader.read(p)) for p in reader.partitions()]
+    assert [len(x) for x in got] == [most, most] and [r[0] for r in got[0]] == list(range(most)) and {r[-1] for r in got[1]} == {"gb"}
+
+
+def test_guards(spark):
+    model = spark.createDataFrame([(1,), (2,), (2,)], "review_id int")
+    ids, only_model, only_gold = matching.common_ids(model, model.where("review_id = 2").union(spark.createDataFrame([(9,)], "review_id int")))
+    assert [r[0] for r in ids.collect()] == [2] and (only_model, only_gold) == (1, 1)
+    with pytest.raises(ValueError):
+        matching.common_ids(model, model.where("false"))
+    with pytest.raises(ValueError):
+        feed.check_target("xx")
+
+
+@pytest.mark.parametrize("threshold", [0.55, 0.9])
+def test_average_linkage_against_plain(spark, threshold):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(40, 6)) + 2 * rng.integers(0, 2, size=(40, 6))
+    rows = [(i % 2, i, v[i].tolist()) for i in range(40)] + [(0, 40, (2 * v[0]).tolist())]
+    want = {}
+    for part in (0, 1):
+        ids = [r[1] for r in rows if r[0] == part]
+        u = {i: np.array(rows[i][2]) / np.linalg.norm(rows[i][2]) for i in ids}
+        groups = [[i] for i in ids]
+        while len(groups) > 1:
+            d, a, b = min((1 - np.mean([u[i] @ u[j] for i in x for j in y]), a, b) for a, x in enumerate(groups) for b, y in enumerate(groups) if a < b)
+            if d >= threshold:
+                break
+            groups[a] += groups.pop(b)
+        want |= {i: min(g) for g in groups for i in g}
+    frame = spark.createDataFrame(rows, "part int, id int, v array<double>")
+    for small in (clustering.SMALL, 0):
+        got = {r.id: r.cluster for r in clustering.average_linkage(frame, threshold, "part", "id", "v", small=small).collect()}
+        assert got == want

@@ -42,20 +42,23 @@ def oracle_sql() -> dict[str, str]:
 # Projections and scalar rules -------------------------------------------------------------------------------------
 
 
+_CONTENT = "CASE WHEN review_id % 5 = 0 THEN '  ' ELSE app_version END"
+
+
 @query(
-    "SELECT review_id, rating, CASE WHEN trim(app_version) <> '' THEN app_version ELSE '' END AS app_version, 'android' AS platform, country, ts AS timestamp FROM reviews WHERE platform = 'android'", b.REVIEWS
+    f"SELECT review_id, rating, trim({_CONTENT}) AS text, CASE WHEN trim(app_version) <> '' THEN app_version ELSE '' END AS app_version, 'android' AS platform, country, ts AS timestamp FROM reviews WHERE platform = 'android' AND trim({_CONTENT}) <> ''",
+    b.REVIEWS,
 )
 def norm_android(s, d):
     raw = b.reviews(s, d).where("platform = 'android'")
-    feed = raw.select(F.lit(0).alias("seq"), F.col("review_id").alias("reviewId"), F.col("rating").alias("score"), F.lit("x").alias("content"), F.col("ts").alias("at"), F.lit("").alias("reviewCreatedVersion"), F.col("app_version").alias("appVersion"), "country")
-    out = fd.normalise_android(feed.drop("country")).join(raw.select("review_id", F.col("country").alias("c")), "review_id")
-    return out.select("review_id", "rating", "app_version", "platform", F.col("c").alias("country"), F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+    feed = raw.select(F.lit(0).alias("seq"), F.col("review_id").alias("reviewId"), F.col("rating").alias("score"), F.expr(_CONTENT).alias("content"), F.col("ts").alias("at"), F.lit("").alias("reviewCreatedVersion"), F.col("app_version").alias("appVersion"), "country")
+    return fd.normalise_android(feed, F.col("country")).drop("seq").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-@query("SELECT concat_ws('-', 'ios', country, CAST(review_id AS VARCHAR)) AS review_id, rating, '' AS title, country FROM reviews WHERE platform = 'ios'", b.REVIEWS)
+@query("SELECT concat_ws('-', 'ios', country, CAST(review_id AS VARCHAR)) AS review_id, rating, '' AS title, country FROM reviews WHERE platform = 'ios' AND review_id % 5 <> 0", b.REVIEWS)
 def norm_ios_key(s, d):
     raw = b.reviews(s, d).where("platform = 'ios'")
-    feed = raw.select(F.lit(0).alias("seq"), F.col("review_id").cast("string").alias("id"), "rating", F.lit("x").alias("content"), F.col("ts").alias("date"), F.lit(None).cast("string").alias("app_version"), F.lit(None).cast("string").alias("title"), "country")
+    feed = raw.select(F.lit(0).alias("seq"), F.col("review_id").cast("string").alias("id"), "rating", F.expr(_CONTENT).alias("content"), F.col("ts").alias("date"), F.lit(None).cast("string").alias("app_version"), F.lit(None).cast("string").alias("title"), "country")
     return fd.normalise_ios(feed).select("review_id", "rating", "title", "country")
 
 
@@ -181,12 +184,11 @@ def src_per_country_cap(s, d):
     return fd.cap_per_group(b.reviews(s, d), "country", 100, F.col("ts").desc(), F.col("review_id")).select("country", "review_id", "rank")
 
 
-@query("SELECT l_partkey, arg_min(l_suppkey, l_orderkey * 100 + l_linenumber) AS app FROM (SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn FROM lineitem WHERE l_shipdate IS NOT NULL) WHERE rn = 1 GROUP BY l_partkey")
+@query("SELECT p_brand, arg_min(p_partkey, p_partkey) AS hit, arg_min(p_name, p_partkey) AS name FROM part WHERE starts_with(p_name, substr(p_brand, 1, 1) || 'a') OR starts_with(p_name, 'a') GROUP BY p_brand")
 def src_first_prefix_match(s, d):
-    """The first hit in order for each key: here the first supplier of a part."""
-    li = table(s, d, "lineitem").where("l_shipdate is not null")
-    one = li.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey")).alias("x")).select("l_orderkey", "l_linenumber", "x.*")
-    return one.groupBy("l_partkey").agg(F.min_by("l_suppkey", F.expr("l_orderkey * 100 + l_linenumber")).alias("app"))
+    """The first hit in order of each search whose name begins as expected."""
+    hits = table(s, d, "part").where(F.col("p_name").startswith(F.concat(F.substring("p_brand", 1, 1), F.lit("a"))) | F.col("p_name").startswith("a"))
+    return hits.groupBy("p_brand").agg(F.min("p_partkey").alias("hit"), F.min_by("p_name", "p_partkey").alias("name"))
 
 
 # Aggregations over reviews ----------------------------------------------------------------------------------------
@@ -201,14 +203,11 @@ def combine_union(s, d):
 
 @query(
     """SELECT k AS rating, coalesce(n, 0) AS n, round_even(coalesce(n, 0) * 100.0 / t, 1) AS pct, repeat('#', CAST(round_even(coalesce(n, 0) * 100.0 / t / 2, 0) AS INTEGER)) AS bar
-    FROM (SELECT unnest([1, 2, 3, 4, 5]) AS k) LEFT JOIN (SELECT rating, count(*) AS n FROM reviews GROUP BY 1) ON k = rating, (SELECT count(*) AS t FROM reviews)""", b.REVIEWS
+    FROM (SELECT unnest([1, 2, 3, 4, 5, NULL]) AS k) LEFT JOIN (SELECT CASE WHEN rating BETWEEN 1 AND 4 THEN rating END AS r, count(*) AS n FROM reviews GROUP BY 1) ON k IS NOT DISTINCT FROM r, (SELECT count(*) AS t FROM reviews)""", b.REVIEWS
 )
 def rating_histogram(s, d):
-    r = b.reviews(s, d).groupBy("rating").agg(F.count("*").alias("c"))
-    total = r.agg(F.sum("c").alias("t"))
-    dom = s.range(1, 6).select(F.col("id").cast("int").alias("rating"))
-    held = dom.join(r, "rating", "left").crossJoin(F.broadcast(total)).withColumn("n", F.coalesce("c", F.lit(0)))
-    return held.select("rating", "n", tx.percent(F.col("n"), F.col("t"), 1).alias("pct"), tx.bar(F.col("n") * 100.0 / F.col("t")).alias("bar"))
+    """Ratings 1 to 5 and, with a null rating, all others; fives count as unrated here, so that this bucket is filled."""
+    return fd.rating_histogram(b.reviews(s, d).withColumn("rating", F.when(F.col("rating") < 5, F.col("rating"))))
 
 
 @query("SELECT country, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, country) AS place FROM reviews GROUP BY country", b.REVIEWS)
@@ -354,15 +353,17 @@ def extract_cache_split(s, d):
     return table(s, d, "orders").join(held, F.col("o_orderkey") == F.col("event_id"), "left").select(F.col("o_orderkey").alias("review_id"), F.col("event_id").isNotNull().alias("cached"))
 
 
-_RULES = {"downloads": "down", "stability": "th", "monetization": "licen"}
+#: A lexicon for the invented prose of the tables.
+_LEXICON = {"down": "downloads", "idiot": "social", "stupid": "social", "licen": "monetization", "mail": "account", "tion": "discovery", "crash": "stability"}
+_RULE_ROWS = "rules AS (SELECT * FROM (VALUES " + ", ".join(f"({k}, '{w}', '{a}')" for k, (w, a) in enumerate(_LEXICON.items())) + ") r(k, word, area))"
+_FOUND = "found AS (SELECT doc_id, word, area, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS issue_pos FROM documents JOIN rules ON contains(lower(text), word) QUALIFY issue_pos < 4)"
 
 
-@query("SELECT doc_id, area FROM documents, (VALUES ('downloads', 'down'), ('stability', 'th'), ('monetization', 'licen')) r(area, word) WHERE contains(lower(text), word)")
+@query("SELECT doc_id, issue_pos, word AS theme, area, 'medium' AS severity FROM found", _RULE_ROWS, _FOUND)
 def extract_rules(s, d):
-    """The offline extractor: areas whose lexicon word stands in the text."""
-    low = F.lower("text")
-    found = F.array(*[F.when(F.contains(low, F.lit(w)), F.lit(a)) for a, w in _RULES.items()])
-    return table(s, d, "documents").select("doc_id", F.explode(F.array_compact(found)).alias("area"))
+    """The offline extractor: issues by the words of a lexicon that stand in the text."""
+    held = table(s, d, "documents").select("doc_id", F.posexplode(extraction.rule_issues(F.col("text"), _LEXICON)).alias("issue_pos", "i"))
+    return held.select("doc_id", F.col("issue_pos").cast("bigint").alias("issue_pos"), "i.theme", F.col("i.feature_area").alias("area"), "i.severity")
 
 
 # Themes, scores ---------------------------------------------------------------------------------------------------
@@ -491,12 +492,14 @@ def hac_clusters(s, d):
     return clustering.average_linkage(table(s, d, "embeddings"), 0.9, "label", "vec_id", "embedding")
 
 
-@query("SELECT doc_id AS review_id, 'ok' AS status, (doc_id % 4 = 0) AS cached FROM documents")
+@query("SELECT doc_id AS review_id, 'ok' AS status, doc_id % 4 = 0 AS cached, coalesce(CASE WHEN doc_id % 4 = 0 THEN 'kept' ELSE string_agg(word || ':' || area, ' ' ORDER BY issue_pos) END, '') AS issues FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id", _RULE_ROWS, _FOUND)
 def extract_run(s, d):
     """Extraction with a quarter of the reviews in the cache."""
     docs = table(s, d, "documents").select(F.col("doc_id").alias("review_id"), "text")
-    cache = docs.where("review_id % 4 = 0").select("review_id", F.array().cast(extraction.ISSUES).alias("issues"))
-    return extraction.extract(docs, cache).select("review_id", "status", "cached")
+    kept = F.struct(F.lit("kept").alias("theme"), *[F.lit("").alias(c) for c in ("severity", "sentiment", "feature_area", "segment_hint")])
+    out = extraction.extract(docs, docs.where("review_id % 4 = 0").select("review_id", F.array(kept).alias("issues")), lexicon=_LEXICON)
+    said = F.transform("issues", lambda i: F.when(F.col("cached"), i["theme"]).otherwise(F.concat(i["theme"], F.lit(":"), i["feature_area"])))
+    return out.select("review_id", "status", "cached", F.array_join(said, " ").alias("issues"))
 
 
 # Evaluation -------------------------------------------------------------------------------------------------------
@@ -532,10 +535,10 @@ def ids_except(s, d):
     return table(s, d, "documents").select("doc_id").exceptAll(table(s, d, "labels").select("doc_id")).distinct()
 
 
-@query("SELECT quality = 0 AS gold_has, n_chars < 1000 AS model_has, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2")
+@query("SELECT g AS gold_has, m AS model_has, count(quality) AS n FROM (VALUES (true), (false)) a(g), (VALUES (true), (false)) c(m) LEFT JOIN (SELECT * FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL) ON (quality = 0) = g AND (n_chars < 12) = m GROUP BY 1, 2")
 def eval_confusion(s, d):
-    held = table(s, d, "documents").join(table(s, d, "labels"), "doc_id")
-    return held.groupBy((F.col("quality") == 0).alias("gold_has"), (F.col("n_chars") < 1000).alias("model_has")).agg(F.count("*").alias("n"))
+    held = table(s, d, "documents").join(table(s, d, "labels").where("quality is not null"), "doc_id")
+    return matching.confusion(held, F.col("quality") == 0, F.col("n_chars") < 12)
 
 
 _LEVEL = "CASE {0} WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3 END"
@@ -583,10 +586,12 @@ def eval_area_confusion(s, d):
     return m.groupBy(F.get("gold", F.col("c.gi"))["feature_area"].alias("gold_area"), F.get("model", F.col("c.mi"))["feature_area"].alias("model_area")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT t.review_id, count(*) AS n_matches, CAST(sum(t.p.score) AS DOUBLE) AS total FROM taken t GROUP BY 1", b.ISSUES, b.PAIRS, _CANDS, _GREEDY)
+@query(
+    "SELECT t.review_id, row_number() OVER (PARTITION BY t.review_id ORDER BY t.p.score DESC, t.p.mi DESC, t.p.gi DESC) - 1 AS k, CAST(t.p.mi AS INTEGER) AS mi, CAST(t.p.gi AS INTEGER) AS gi, CAST(t.p.score AS DOUBLE) AS score, ma AS model_area, ga AS gold_area, ma = ga AS area_match, ms = gs AS severity_match FROM taken t JOIN cands c ON t.review_id = c.review_id AND t.p.mi = c.mi AND t.p.gi = c.gi",
+    b.ISSUES, b.PAIRS, _CANDS, _GREEDY,
+)
 def match_records(s, d):
-    m = matching.match(b.model_and_gold(s, d)).where("size(matches) > 0")
-    return m.select("review_id", F.size("matches").cast("bigint").alias("n_matches"), F.aggregate("matches", F.lit(0.0), lambda a, x: a + x["score"]).alias("total"))
+    return matching.match_records(matching.match(b.model_and_gold(s, d))).withColumn("k", F.col("k").cast("bigint"))
 
 
 # Comparison of platforms ------------------------------------------------------------------------------------------
@@ -603,10 +608,20 @@ def _per_platform(rows):
     return held.crossJoin(F.broadcast(held.agg(F.sum("a").alias("n_a"), F.sum("i").alias("n_i"))))
 
 
-@query("SELECT greatest(min(ts) FILTER (WHERE platform = 'android'), min(ts) FILTER (WHERE platform = 'ios')) AS lo, least(max(ts) FILTER (WHERE platform = 'android'), max(ts) FILTER (WHERE platform = 'ios')) AS hi FROM reviews", b.REVIEWS)
-def matched_window(s, d):
+_WINDOW = "span AS (SELECT greatest(min(ts) FILTER (WHERE platform = 'android'), min(ts) FILTER (WHERE platform = 'ios')) AS lo, least(max(ts) FILTER (WHERE platform = 'android'), max(ts) FILTER (WHERE platform = 'ios')) AS hi FROM reviews WHERE country = 'nation_3')"
+_MATCHED = "matched AS (SELECT joined.* FROM joined, span WHERE country = 'nation_3' AND ts BETWEEN lo AND hi)"
+
+
+def _window(s, d):
+    """The dates on which both platforms have reviews from the country, as one row."""
     side = lambda f, p: f(F.when(F.col("platform") == p, F.col("ts")))
-    return b.reviews(s, d).agg(F.greatest(side(F.min, "android"), side(F.min, "ios")).alias("lo"), F.least(side(F.max, "android"), side(F.max, "ios")).alias("hi"))
+    held = b.reviews(s, d).where("country = 'nation_3'")
+    return held.agg(F.greatest(side(F.min, "android"), side(F.min, "ios")).alias("lo"), F.least(side(F.max, "android"), side(F.max, "ios")).alias("hi"))
+
+
+@query("SELECT lo, hi FROM span", b.REVIEWS, _WINDOW)
+def matched_window(s, d):
+    return _window(s, d)
 
 
 @query("SELECT theme, count(*) FILTER (WHERE platform = 'android') AS android, count(*) FILTER (WHERE platform = 'ios') AS ios FROM joined GROUP BY theme", b.ISSUES, b.REVIEWS, _JOINED)
@@ -629,11 +644,24 @@ def platform_skew(s, d):
     return out.select("theme", "a", "i", F.round(F.greatest("share_a", "share_i") / F.least("share_a", "share_i"), 6).alias("ratio"), kind.alias("kind"))
 
 
-@query(f"SELECT f.theme, round(f.a::DOUBLE / f.n_a, 9) AS full_share, round(m.a::DOUBLE / m.n_a, 9) AS matched_share FROM counts f JOIN ({_COUNTS.split(' AS ', 1)[1][1:-1].replace('FROM joined', 'FROM joined WHERE country = $$nation_3$$')}) m ON f.theme = m.theme", b.ISSUES, b.REVIEWS, _JOINED, _COUNTS)
+def _side_sql(rows: str) -> str:
+    return f"SELECT theme, count(*) FILTER (WHERE platform = 'android') AS a, count(*) FILTER (WHERE platform = 'ios') AS i, sum(count(*) FILTER (WHERE platform = 'android')) OVER () AS n_a, sum(count(*) FILTER (WHERE platform = 'ios')) OVER () AS n_i FROM {rows} GROUP BY theme"
+
+
+_SHARES = ", ".join(f"round({x}.{c}::DOUBLE / nullif({x}.n_{c}, 0), 9) AS {n}_{c}" for x, n in (("f", "full"), ("m", "matched")) for c in "ai")
+
+
+@query(f"SELECT f.theme, {_SHARES}, round(f.a::DOUBLE / f.n_a - f.i::DOUBLE / f.n_i, 9) AS full_gap, round(m.a::DOUBLE / nullif(m.n_a, 0) - m.i::DOUBLE / nullif(m.n_i, 0), 9) AS matched_gap FROM ({_side_sql('joined')}) f JOIN ({_side_sql('matched')}) m ON f.theme = m.theme", b.ISSUES, b.REVIEWS, _JOINED, _WINDOW, _MATCHED)
 def skew_full_vs_matched(s, d):
+    """Both platforms' shares of a theme and their gap, over all reviews and over the matched country and dates."""
     j = _joined(s, d)
-    full, part = (_per_platform(x).select("theme", F.round(F.col("a") / F.col("n_a"), 9).alias(n)) for x, n in ((j, "full_share"), (j.where("country = 'nation_3'"), "matched_share")))
-    return full.join(part, "theme")
+    part = j.where("country = 'nation_3'").crossJoin(F.broadcast(_window(s, d))).where("ts between lo and hi")
+
+    def shares(rows, name):
+        share = {c: F.try_divide(F.col(c), F.col(f"n_{c}")) for c in "ai"}
+        return _per_platform(rows).select("theme", *[F.round(v, 9).alias(f"{name}_{c}") for c, v in share.items()], F.round(share["a"] - share["i"], 9).alias(f"{name}_gap"))
+
+    return shares(j, "full").join(shares(part, "matched"), "theme")
 
 
 @query("SELECT feature_area, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 9) AS pct FROM issues GROUP BY 1", b.ISSUES)
@@ -651,3 +679,43 @@ def theme_top_area(s, d):
 @query("SELECT theme, review_id, line, rank FROM (SELECT *, row_number() OVER (PARTITION BY theme ORDER BY severity, review_id, issue_pos) AS rank FROM issues) WHERE rank <= 3", b.ISSUES)
 def top_quotes(s, d):
     return fd.cap_per_group(b.issues(s, d, True), "theme", 3, F.col("severity"), F.col("review_id"), F.col("issue_pos")).select("theme", "review_id", "line", "rank")
+
+
+@query("SELECT label, vec_id, rank FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY round(sim, 6) DESC, vec_id) AS rank FROM sims) WHERE rank <= 3", _SIMS)
+def quotes_by_likeness(s, d):
+    """The three members nearest to the middle of their cluster."""
+    sims = themes.medoids(table(s, d, "embeddings"), ["label"])
+    return fd.cap_per_group(sims, "label", 3, F.round("sim", 6).desc(), F.col("vec_id")).select("label", "vec_id", "rank")
+
+
+@query("SELECT c.theme, c.sentiment, c.size, i.review_id, i.issue_pos, i.severity FROM clusters c JOIN issues i ON c.theme = i.theme AND c.sentiment = i.sentiment WHERE c.size >= 3", b.ISSUES, b.CLUSTERS)
+def cluster_records(s, d):
+    """The members of cluster records."""
+    held = themes.cluster_record(b.issues(s, d, True), ["theme", "sentiment"], 3)
+    return held.select("theme", "sentiment", "size", F.explode("members").alias("m")).select("theme", "sentiment", "size", "m.review_id", F.col("m.issue_pos").cast("bigint").alias("issue_pos"), "m.severity")
+
+
+_PARTS = (("frequency", "freq_part", 0.4), ("severity", "sev_part", 0.4), ("strategic_fit", "fit_part", 0.2))
+
+
+@query(" UNION ALL ".join(f"SELECT theme, sentiment, '{k}' AS component, round({c} / {w}, 9) AS normalized, CAST({w} AS DOUBLE) AS weight, round({c}, 9) AS contribution FROM scored" for k, c, w in _PARTS), b.ISSUES, b.CLUSTERS, _SCORED.format(floor=10))
+def score_breakdown_members(s, d):
+    held = themes.score_record(_scored(s, d, 10))
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("component"), F.col(f"breakdown.{k}").alias("x")) for k, _, _ in _PARTS])).alias("r")
+    return held.select("theme", "sentiment", rows).select("theme", "sentiment", "r.component", F.round("r.x.normalized", 9).alias("normalized"), "r.x.weight", F.round("r.x.contribution", 9).alias("contribution"))
+
+
+_HITS = ", ".join(f"len(list_filter(string_split(lower(coalesce(text, '')), ' '), lambda w: w IN ({', '.join(repr(w) for w in v)}))) AS {k}" for k, v in sorted(fd.STOP_WORDS.items()))
+_BEST = "CASE greatest(" + ", ".join(sorted(fd.STOP_WORDS)) + ") WHEN 0 THEN NULL " + " ".join(f"WHEN {k} THEN '{k}'" for k in sorted(fd.STOP_WORDS)) + " END"
+
+
+@query(f"SELECT doc_id, {_BEST} AS lang_found, CASE WHEN de + en + es + fr > 0 THEN round(greatest(de, en, es, fr)::DOUBLE / (de + en + es + fr), 9) ELSE 0.0 END AS lang_confidence FROM (SELECT doc_id, {_HITS} FROM documents)")
+def lang_detect(s, d):
+    return fd.detect_language(table(s, d, "documents")).select("doc_id", "lang_found", F.round("lang_confidence", 9).alias("lang_confidence"))
+
+
+@query("SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS pos FROM documents")
+def sample_positions(s, d):
+    """A seeded order of each stratum, as explicit positions."""
+    order = Window.partitionBy("lang").orderBy(F.md5(F.concat(F.lit("7:"), F.col("doc_id").cast("string"))), "doc_id")
+    return table(s, d, "documents").select("lang", "doc_id", F.row_number().over(order).alias("pos"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.plans.session import materialise
+from themeloom.plans.session import materialise, workers_find_package
+
+#: Distinct vectors of a part up to which one task clusters it (its distances take 8 * SMALL ** 2 bytes at most).
+SMALL = 3000
 
 
 def _dot(a: str, b: str) -> Column:
@@ -29,22 +34,66 @@ def nearest(state: DataFrame) -> DataFrame:
     return best.select("part", F.col("cid_a").alias("cid"), F.col("m.cid_b").alias("other"), F.col("m.dist").alias("dist"))
 
 
-def average_linkage(points: DataFrame, threshold: float, part: str, id_col: str, vec: str, most_rounds: int = 200) -> DataFrame:
+def merge_small(ids: np.ndarray, sums: np.ndarray, size: np.ndarray, threshold: float) -> np.ndarray:
+    """The cluster of each id of one part, by the same rounds on a matrix of distances; ids ascend."""
+    alive, home = np.arange(len(ids)), np.arange(len(ids))
+    while len(alive) > 1:
+        s, n = sums[alive], size[alive]
+        far = np.round(1 - (s @ s.T) / np.outer(n, n), 12)
+        np.fill_diagonal(far, np.inf)
+        other = far.argmin(axis=1)
+        own = np.arange(len(alive))
+        low = own[(other[other] == own) & (own < other) & (far[own, other] < threshold)]
+        if not len(low):
+            break
+        into, gone = alive[low], alive[other[low]]
+        sums[into] += sums[gone]
+        size[into] += size[gone]
+        moved = np.arange(len(ids))
+        moved[gone] = into
+        home, alive = moved[home], np.setdiff1d(alive, gone)
+    return ids[home]
+
+
+def _in_tasks(first: DataFrame, threshold: float) -> DataFrame:
+    """(part, cid, into) of small parts, each clustered whole in one task."""
+    workers_find_package(first.sparkSession)
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("cid", ignore_index=True)
+        size = frame["size"].to_numpy(float)
+        ids = frame["cid"].to_numpy()
+        into = merge_small(ids, np.stack(frame["u"]) * size[:, None], size, threshold)
+        return pd.DataFrame({"part": frame["part"], "cid": ids, "into": into})
+
+    kind = {f.name: f.dataType.simpleString() for f in first.schema}
+    return first.groupBy("part").applyInPandas(run, f"part {kind['part']}, cid {kind['cid']}, into {kind['cid']}")
+
+
+def average_linkage(points: DataFrame, threshold: float, part: str, id_col: str, vec: str, most_rounds: int = 200, small: int = SMALL) -> DataFrame:
     """(part, id, cluster) with cluster the least id of its members; clusters at or beyond threshold stay apart.
 
     Equal vectors start as one cluster with their number. All reciprocal nearest neighbours under the
     threshold merge in a round, which gives the tree of one-at-a-time merging (average linkage is
-    reducible). A zero vector has no direction and is an error. Work in a part grows with the square of its
-    distinct vectors, so parts should be bounded (a sentiment and an area, say).
+    reducible). A zero vector has no direction and is an error. Parts of up to `small` distinct vectors are clustered in a
+    task each; in larger ones each round is a join. Work in a part grows with the square of its distinct vectors, so parts
+    should be bounded (a sentiment and an area, say).
     """
     spark = points.sparkSession
     zero = F.aggregate(vec, F.lit(0.0), lambda s, x: s + F.abs(x.cast("double"))) == 0
     checked = F.when(zero, F.raise_error(F.lit("zero vector"))).otherwise(unit(vec))
     held = materialise(points.select(F.col(part).alias("part"), F.col(id_col).alias("id"), F.transform(checked, lambda x: F.round(x, 12)).alias("u")))
-    first = held.groupBy("part", "u").agg(F.min("id").alias("cid"), F.count("*").alias("size"))
-    first = materialise(first)
+    first = materialise(held.groupBy("part", "u").agg(F.min("id").alias("cid"), F.count("*").alias("size")))
     assigned = held.join(first, ["part", "u"]).select("part", "id", "cid")
-    state = first.select("part", "cid", F.transform("u", lambda x: x * F.col("size")).alias("s"), "size")
+    parts = first.groupBy("part").agg((F.count("*") > small).alias("large"))
+    sized = first.join(parts, "part")
+    named = lambda rows: rows.select(F.col("part").alias(part), F.col("id").alias(id_col), F.col("cid").alias("cluster"))
+    done = _in_tasks(sized.where("not large").drop("large"), threshold)
+    done = named(assigned.join(done, ["part", "cid"]).select("part", "id", F.col("into").alias("cid")))
+    if parts.where("large").isEmpty():
+        return done
+    assigned = assigned.join(parts.where("large").select("part"), "part", "left_semi")
+    state = sized.where("large").select("part", "cid", F.transform("u", lambda x: x * F.col("size")).alias("s"), "size")
     for _ in range(most_rounds):
         state = materialise(state)
         nn = materialise(nearest(state).where(F.col("dist") < threshold))
@@ -52,7 +101,7 @@ def average_linkage(points: DataFrame, threshold: float, part: str, id_col: str,
         merged = nn.join(back, ["part", "cid", "other"]).where("cid < other").select("part", F.col("other").alias("cid"), F.col("cid").alias("into"))
         merged = materialise(merged)
         if merged.isEmpty():
-            return assigned.select(F.col("part").alias(part), F.col("id").alias(id_col), F.col("cid").alias("cluster"))
+            return done.unionByName(named(assigned))
         assigned = materialise(assigned.join(merged, ["part", "cid"], "left").select("part", "id", F.coalesce("into", "cid").alias("cid")))
         moved = state.join(merged, ["part", "cid"], "left").withColumn("cid", F.coalesce("into", "cid")).drop("into")
         sums = moved.groupBy("part", "cid").agg(F.sum("size").alias("size"), F.array_sort(F.collect_list(F.struct("size", "s"))).alias("x"))

@@ -8,17 +8,20 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.plans.session import workers_find_package
+from themeloom.functions.text import DAILY_MARKS, RETRY_CODES, RETRY_MARKS
+from themeloom.operators.themes import AREAS
+from themeloom.plans.session import materialise, workers_find_package
 
 #: The fields of an issue and the labels they may have.
 FIELDS = {
     "theme": None,
     "severity": ["low", "medium", "high"],
     "sentiment": ["positive", "neutral", "negative"],
-    "feature_area": ["core_listening", "discovery", "downloads", "stability", "social", "monetization", "account", "other"],
+    "feature_area": AREAS,
     "segment_hint": None,
 }
 MOST_ISSUES = 4
@@ -50,47 +53,77 @@ def json_schema() -> dict:
     return {"type": "object", "properties": {"issues": {"type": "array", "maxItems": MOST_ISSUES, "items": one}}, "required": ["issues"]}
 
 
-def rules() -> Backend:
-    """The offline backend: areas by words of a small lexicon."""
-    words = {"crash": "stability", "download": "downloads", "ads": "monetization", "login": "account", "playlist": "core_listening", "search": "discovery"}
+#: The offline lexicon: a word that stands anywhere in the lower-cased text, and the area of the issue that it reports.
+RULES = {"crash": "stability", "download": "downloads", "ads": "monetization", "login": "account", "playlist": "core_listening", "search": "discovery"}
 
-    def run(text: str) -> list[dict]:
-        low = text.lower()
-        return [{"theme": w, "severity": "medium", "sentiment": "negative", "feature_area": a, "segment_hint": ""} for w, a in words.items() if w in low]
 
-    return run
+def rule_issues(text: Column, lexicon: dict[str, str] = RULES) -> Column:
+    """The issues that the lexicon finds in a text, in its order, at most MOST_ISSUES; none for a null text."""
+    rows = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(a).alias("area")) for w, a in lexicon.items()])
+    hits = F.filter(rows, lambda r: F.coalesce(F.contains(F.lower(text), r["word"]), F.lit(False)))
+    issue = lambda r: F.struct(
+        r["word"].alias("theme"), F.lit("medium").alias("severity"), F.lit("negative").alias("sentiment"), r["area"].alias("feature_area"), F.lit("").alias("segment_hint")
+    )
+    return F.slice(F.transform(hits, issue), 1, MOST_ISSUES).cast(ISSUES)
 
 
-register("rules", rules)
+def flat_tool(name: str) -> dict:
+    """The tool as a flat record of name, description and input schema."""
+    return {"name": name, "description": PROMPT, "input_schema": json_schema()}
+
+
+def nested_tool(name: str) -> dict:
+    """The tool as a function record inside a typed one."""
+    return {"type": "function", "function": {"name": name, "description": PROMPT, "parameters": json_schema()}}
+
+
+def outcome(error: Exception) -> str:
+    """What an error means: `daily_cap` (stop), `again` (transient) or `failed`."""
+    said = str(error).lower()
+    if any(mark in said for mark in DAILY_MARKS):
+        return "daily_cap"
+    transient = getattr(error, "status_code", None) in RETRY_CODES or any(mark in said for mark in RETRY_MARKS)
+    return "again" if transient else "failed"
+
+
+def waits(retries: int, base: float, cap: float) -> Iterator[float]:
+    """The jittered pause before each further attempt."""
+    for k in range(retries):
+        yield min(cap, base * 2**k) * random.uniform(0.5, 1.5)
 
 
 def with_retry(call: Callable[[], list[dict]], retries: int = 5, base: float = 1.0, cap: float = 30.0, wait: Callable[[float], None] = time.sleep) -> tuple[list[dict] | None, str, int]:
     """(issues, status, attempts): transient errors are tried again, an exhausted daily allowance is not."""
-    from themeloom.functions.text import DAILY_MARKS, RETRY_CODES, RETRY_MARKS
-
-    for attempt in range(1, retries + 2):
+    pauses, attempts, said = waits(retries, base, cap), 0, "again"
+    while said == "again":
+        attempts += 1
         try:
-            return call(), "ok", attempt
-        except Exception as e:
-            said, code = str(e).lower(), getattr(e, "status_code", None)
-            if any(m in said for m in DAILY_MARKS):
-                return None, "daily_cap", attempt
-            if attempt > retries or not (code in RETRY_CODES or any(m in said for m in RETRY_MARKS)):
-                return None, "failed", attempt
-            wait(min(cap, base * 2 ** (attempt - 1)) * random.uniform(0.5, 1.5))
-    return None, "failed", retries + 1
-
-
-def extract(reviews: DataFrame, cache: DataFrame, provider: str = "rules", tasks: int = 5) -> DataFrame:
+            return call(), "ok", attempts
+        except Exception as error:
+            said = outcome(error)
+        if said == "again":
+            pause = next(pauses, None)
+            if pause is None:
+                said = "failed"
+            else:
+                wait(pause)
+    return None, said, attempts
+
+
+def extract(reviews: DataFrame, cache: DataFrame, provider: str = "rules", tasks: int = 5, waves: int = 1, lexicon: dict[str, str] = RULES) -> DataFrame:
     """(review_id, issues, status, cached): cached issues where there are some, else what the backend gives.
 
-    reviews(review_id, text), cache(review_id, issues) of one cache key. Issues are capped. A failed review
-    keeps its row with null issues and its status; after a daily cap a task calls no more.
+    reviews(review_id, text), cache(review_id, issues) of one cache key. Issues are capped. The offline rules are column
+    expressions. A backend is called in `tasks` tasks at once, and the reviews in `waves` runs one after another, each
+    written before the next: a failed review keeps its row with null issues and its status; after a daily cap a task calls
+    no more, and no further wave calls at all.
     """
+    hits = reviews.join(cache, "review_id").select("review_id", F.slice("issues", 1, MOST_ISSUES).alias("issues"), F.lit("ok").alias("status"), F.lit(True).alias("cached"))
+    todo = reviews.join(cache, "review_id", "left_anti").select("review_id", "text")
+    if provider == "rules":
+        return hits.unionByName(todo.select("review_id", rule_issues(F.col("text"), lexicon).alias("issues"), F.lit("ok").alias("status"), F.lit(False).alias("cached")))
     workers_find_package(reviews.sparkSession)
     make = backend(provider)
-    hits = reviews.join(cache, "review_id").select("review_id", F.slice("issues", 1, MOST_ISSUES).alias("issues"), F.lit("ok").alias("status"), F.lit(True).alias("cached"))
-    todo = reviews.join(cache, "review_id", "left_anti").select("review_id", "text").repartition(tasks)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call, closed = make(), False
@@ -103,5 +136,39 @@ def extract(reviews: DataFrame, cache: DataFrame, provider: str = "rules", tasks
             yield pd.DataFrame({"review_id": frame["review_id"], "issues": [x for x, _ in out], "status": [y for _, y in out]})
 
     kind = reviews.schema["review_id"].dataType.simpleString()
-    fresh = todo.mapInPandas(run, f"review_id {kind}, issues {ISSUES}, status string").withColumn("cached", F.lit(False))
-    return hits.unionByName(fresh)
+    schema, closed, out = f"review_id {kind}, issues {ISSUES}, status string", False, hits
+    for wave in range(waves):
+        part = todo if waves == 1 else todo.where(F.pmod(F.xxhash64("review_id"), F.lit(waves)) == wave)
+        if closed:
+            fresh = part.select("review_id", F.lit(None).cast(ISSUES).alias("issues"), F.lit("daily_cap").alias("status"))
+        else:
+            fresh = part.repartition(tasks).mapInPandas(run, schema)
+            fresh = fresh if waves == 1 else materialise(fresh)
+            closed = waves > 1 and not fresh.where("status = 'daily_cap'").isEmpty()
+        out = out.unionByName(fresh.withColumn("cached", F.lit(False)))
+    return out
+
+
+def store(results: DataFrame, cache_path: str, dead_path: str, cache_key: str) -> None:
+    """Append fresh issues to the cache of a key and failed reviews, with their status, to the dead letters.
+
+    results is that of extract(); it is written once and read for both, so no backend is called twice.
+    """
+    held = materialise(results.where("not cached").withColumn("cache_key", F.lit(cache_key)))
+    held.where("status = 'ok'").select("review_id", "issues", "cache_key").write.partitionBy("cache_key").mode("append").parquet(cache_path)
+    held.where("status <> 'ok'").select("review_id", "status", "cache_key").write.partitionBy("cache_key").mode("append").parquet(dead_path)
+
+
+def cached(spark: SparkSession, cache_path: str, cache_key: str) -> DataFrame:
+    """The cache of a key, one row for each review; empty where nothing was written."""
+    try:
+        held = spark.read.parquet(cache_path)
+    except AnalysisException:
+        return spark.createDataFrame([], f"review_id string, issues {ISSUES}")
+    return held.where(F.col("cache_key") == cache_key).dropDuplicates(["review_id"]).select("review_id", "issues")
+
+
+def throughput(done: int, calls: int, seconds: float, left: int) -> dict[str, float]:
+    """Reviews a second, calls a minute and seconds to go."""
+    rate = done / seconds if seconds > 0 else 0.0
+    return {"reviews_per_second": rate, "calls_per_minute": 60 * calls / seconds if seconds > 0 else 0.0, "seconds_left": left / rate if rate else float("inf")}

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from themeloom.functions.text import first_truthy, strip
+from themeloom.functions.text import bar, first_truthy, percent, strip
 
+#: Frequent short words by which a language is told.
+STOP_WORDS = {
+    "de": ["der", "die", "und", "das", "ist", "nicht", "ein", "eine", "zu", "auf", "für", "mit", "von", "den"],
+    "en": ["the", "of", "and", "to", "in", "is", "that", "it", "was", "for", "on", "are", "with", "as"],
+    "es": ["el", "la", "de", "que", "y", "los", "se", "del", "las", "un", "por", "con", "no", "una"],
+    "fr": ["le", "les", "des", "et", "une", "du", "pour", "dans", "est", "qui", "pas", "sur", "au", "ce"],
+}
 
-def normalise_android(feed: DataFrame, country: str = "us") -> DataFrame:
+
+def normalise_android(feed: DataFrame, country: str | Column = "us") -> DataFrame:
     """Reviews from (seq, reviewId, score, content, at, reviewCreatedVersion, appVersion); blank texts and null times go."""
     out = feed.select(
         "seq", F.col("reviewId").alias("review_id"), F.col("score").cast("int").alias("rating"), strip(F.col("content")).alias("text"), F.col("at").cast("timestamp").alias("timestamp"),
-        first_truthy(F.col("reviewCreatedVersion"), F.col("appVersion")).alias("app_version"), F.lit("android").alias("platform"), F.lit(country).alias("country"),
+        first_truthy(F.col("reviewCreatedVersion"), F.col("appVersion")).alias("app_version"), F.lit("android").alias("platform"), (F.lit(country) if isinstance(country, str) else country).alias("country"),
     )
     return out.where("text <> '' and timestamp is not null")
 
@@ -56,3 +64,35 @@ def split_by_language(rows: DataFrame, target: str, least: float = 0.5, lang: st
         "kept": F.coalesce(keep, F.lit(False)), "detected_language": F.coalesce(lang, F.lit("unknown")),
         "confidence": F.bround(F.when(known, F.col(confidence)).otherwise(0.0), 4),
     })
+
+
+def check_target(code: str) -> str:
+    """A language code that detection knows; any other is an error."""
+    if code not in STOP_WORDS:
+        raise ValueError(f"unsupported language {code!r}; known: {sorted(STOP_WORDS)}")
+    return code
+
+
+def _count_of(words: Column, wanted: list[str]) -> Column:
+    return F.size(F.filter(words, lambda w: w.isin(wanted)))
+
+
+def detect_language(rows: DataFrame, text: str = "text") -> DataFrame:
+    """rows with lang_found and lang_confidence: the language with most stop words among the words of the text, ties to the
+    first in alphabet order, and its share of all stop words; null and 0 without one. Words end at single spaces."""
+    words = F.split(F.lower(F.coalesce(text, F.lit(""))), " ")
+    hits = {k: _count_of(words, v) for k, v in sorted(STOP_WORDS.items())}
+    best = F.greatest(*hits.values())
+    found = F.coalesce(*[F.when((n == best) & (n > 0), F.lit(k)) for k, n in hits.items()])
+    total = sum(hits.values(), F.lit(0))
+    return rows.withColumns({"lang_found": found, "lang_confidence": F.when(total > 0, best / total).otherwise(0.0)})
+
+
+def rating_histogram(rows: DataFrame, rating: str = "rating") -> DataFrame:
+    """rating, n, pct, bar for each of 1 to 5, zeros shown, and with a null rating for all other rows; shares are of all rows."""
+    inside = F.when(F.col(rating).between(1, 5), F.col(rating))
+    held = rows.groupBy(inside.alias("held")).agg(F.count("*").alias("c"))
+    domain = rows.sparkSession.range(1).select(F.explode(F.array(*[F.lit(k).cast("int") for k in (1, 2, 3, 4, 5, None)])).alias("rating"))
+    out = domain.join(held, F.col("rating").eqNullSafe(F.col("held")), "left").withColumn("n", F.coalesce("c", F.lit(0)))
+    out = out.crossJoin(F.broadcast(held.agg(F.sum("c").alias("t"))))  # one row
+    return out.select("rating", "n", percent(F.col("n"), F.col("t"), 1).alias("pct"), bar(F.col("n") * 100.0 / F.col("t")).alias("bar"))

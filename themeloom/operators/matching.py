@@ -55,3 +55,30 @@ def metrics(matched: DataFrame) -> DataFrame:
         count(lambda q: q["m"]["severity"].eqNullSafe(q["g"]["severity"])).alias("severity_exact"),
         count(lambda q: F.coalesce(F.abs(F.try_element_at(level, q["m"]["severity"]) - F.try_element_at(level, q["g"]["severity"])) <= 1, F.lit(False))).alias("severity_within_one"),
     )
+
+
+def match_records(matched: DataFrame) -> DataFrame:
+    """review_id, k (from 0, by score), mi, gi, score, model_area, gold_area, area_match, severity_match of match()'s pairs."""
+    rows = matched.select("review_id", "model", "gold", F.posexplode("matches").alias("k", "c"))
+    m, g = F.get("model", F.col("c.mi")), F.get("gold", F.col("c.gi"))
+    return rows.select(
+        "review_id", "k", "c.mi", "c.gi", "c.score", m["feature_area"].alias("model_area"), g["feature_area"].alias("gold_area"),
+        (m["feature_area"] == g["feature_area"]).alias("area_match"), (m["severity"] == g["severity"]).alias("severity_match"),
+    )
+
+
+def common_ids(model: DataFrame, gold: DataFrame, key: str = "review_id") -> tuple[DataFrame, int, int]:
+    """The ids of both sides, and how many only the model and only gold has; a side without rows is an error."""
+    for side, rows in (("model", model), ("gold", gold)):
+        if rows.isEmpty():
+            raise ValueError(f"no {side} rows: label and extract the sample before comparing")
+    a, b = model.select(key).distinct(), gold.select(key).distinct()
+    return a.intersect(b), a.exceptAll(b).count(), b.exceptAll(a).count()
+
+
+def confusion(rows: DataFrame, gold: Column, model: Column) -> DataFrame:
+    """gold_has, model_has, n: all four cells, empty ones as 0."""
+    sides = F.explode(F.array(F.lit(True), F.lit(False)))
+    cells = rows.sparkSession.range(1).select(sides.alias("gold_has")).select("gold_has", sides.alias("model_has"))
+    held = rows.groupBy(gold.alias("gold_has"), model.alias("model_has")).agg(F.count("*").alias("c"))
+    return cells.join(held, ["gold_has", "model_has"], "left").select("gold_has", "model_has", F.coalesce("c", F.lit(0)).alias("n"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from themeloom.functions.text import strip
 
+#: The areas of a product that an issue can belong to.
+AREAS = ["core_listening", "discovery", "social", "monetization", "account", "stability", "downloads", "other"]
 #: The published weights, the severity scale, the strategic fit of areas and their parents.
 WEIGHTS = {"frequency": 0.40, "severity": 0.40, "strategic_fit": 0.20}
 SEVERITY = {"low": 1.0, "medium": 2.0, "high": 3.0}
@@ -63,6 +65,25 @@ def score(clusters: DataFrame, floor: int = 10, weights: dict[str, float] | None
     return held.withColumns(parts).withColumn("score", F.col("freq_part") + F.col("sev_part") + F.col("fit_part"))
 
 
+def score_record(scored: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """score()'s rows with `breakdown`: a struct for each component of its normalised value, weight and contribution."""
+    w = weights or WEIGHTS
+    norm = {"frequency": "freq_norm", "severity": "sev_norm", "strategic_fit": "fit_mean"}
+    part = {"frequency": "freq_part", "severity": "sev_part", "strategic_fit": "fit_part"}
+    members = [F.struct(F.col(norm[k]).alias("normalized"), F.lit(w[k]).alias("weight"), F.col(part[k]).alias("contribution")).alias(k) for k in norm]
+    return scored.withColumn("breakdown", F.struct(*members))
+
+
+def cluster_record(issues: DataFrame, keys: list[str], least: int = 1) -> DataFrame:
+    """keys, size, severity_mean, fit_mean and members, the issues of a cluster in order as structs, of clusters of `least`.
+
+    issues(review_id, issue_pos, severity, feature_area, ...) of checked clusters: members are held in one row.
+    """
+    member = F.struct("review_id", "issue_pos", "severity", "feature_area")
+    held = issues.groupBy(*keys).agg(F.array_sort(F.collect_list(member)).alias("members"))
+    return components(issues, keys).where(F.col("size") >= least).join(held, keys)
+
+
 def platform_skew(counts: DataFrame, even: float = 1.2, least: int = 3) -> DataFrame:
     """(theme, a, i, share_a, share_i, skew) from counts(theme, a, i, n_a, n_i) of themes with evidence on a side."""
     held = counts.where(F.greatest("a", "i") >= least).withColumns({"share_a": F.col("a") / F.col("n_a"), "share_i": F.col("i") / F.col("n_i")})

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from themeloom.operators import themes
 from themeloom.plans.session import table
 
-AREAS = ["core_listening", "stability", "discovery", "downloads", "social", "monetization", "account", "other"]
-_AREA_SQL = "[" + ", ".join(f"'{a}'" for a in AREAS) + "]"
+_AREA_SQL = "[" + ", ".join(f"'{a}'" for a in themes.AREAS) + "]"
 _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 #: WITH clauses for DuckDB.
@@ -49,7 +48,7 @@ def issues(spark: SparkSession, d: str, positions: bool = False) -> DataFrame:
         F.col("l_orderkey").alias("review_id"), *(["issue_pos"] if positions else []), F.col("l_linenumber").alias("line"),
         F.when(F.col("l_returnflag") == "R", "high").when(F.col("l_returnflag") == "A", "medium").otherwise("low").alias("severity"),
         F.when(F.col("l_linestatus") == "F", "negative").otherwise("positive").alias("sentiment"),
-        F.element_at(F.array(*map(F.lit, AREAS)), (F.col("l_partkey") % 8 + 1).cast("int")).alias("feature_area"), F.col("p_name").alias("theme"),
+        F.element_at(F.array(*map(F.lit, themes.AREAS)), (F.col("l_partkey") % 8 + 1).cast("int")).alias("feature_area"), F.col("p_name").alias("theme"),
     )
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import importlib
+import time
 from collections.abc import Iterator
+from datetime import datetime
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -16,13 +18,18 @@ class CountryPartition(InputPartition):
 
 
 class PagedReader(DataSourceReader):
-    """Asks client(country, token) -> (rows, next token) page by page; rows are dicts of SCHEMA but seq and country."""
+    """Asks client(country, token) -> (rows, next token) page by page; rows are dicts of SCHEMA but seq and country.
+
+    Pages are newest first: a country ends at its `cap`, at the first row before `cutoff` (an ISO time), at an empty page
+    or at a null token; `delay` seconds pass between two pages.
+    """
 
     def __init__(self, options: dict):
         module, _, name = options["client"].partition(":")
         self.module, self.name = module, name
         self.countries = [c.strip() for c in options.get("countries", "us").split(",")]
-        self.most = int(options.get("cap", 500))
+        self.most, self.delay = int(options.get("cap", 500)), float(options.get("delay", 0))
+        self.cutoff = datetime.fromisoformat(options["cutoff"]) if options.get("cutoff") else None
 
     def partitions(self) -> list[InputPartition]:
         return [CountryPartition(c) for c in self.countries]
@@ -33,12 +40,13 @@ class PagedReader(DataSourceReader):
         while seq < self.most:
             rows, token = client(partition.country, token)
             for r in rows:
-                if seq >= self.most:
+                if seq >= self.most or (self.cutoff and r.get("date") and r["date"] < self.cutoff):
                     return
                 yield (seq, r.get("id"), r.get("rating"), r.get("content"), r.get("date"), r.get("app_version"), r.get("title"), partition.country)
                 seq += 1
             if not rows or token is None:
                 return
+            time.sleep(self.delay)
 
 
 class PagedFeed(DataSource):
