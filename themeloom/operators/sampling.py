@@ -31,7 +31,7 @@ def allocate(pools: DataFrame, target: int, by: str = "platform") -> DataFrame:
 def draw(rows: DataFrame, quotas: DataFrame, keys: list[str], seed: int = 42, id_col: str = "review_id") -> DataFrame:
     """The rows of each stratum with the least md5 ranks, as many as quotas(keys, n) says."""
     ranked = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(draw_rank(seed, id_col), id_col)))
-    return ranked.join(F.broadcast(quotas.select(*keys, F.col("n").alias("_n"))), keys).where("_rn <= _n").drop("_rn", "_n")
+    return ranked.join(quotas.select(*keys, F.col("n").alias("_n")), keys).where("_rn <= _n").drop("_rn", "_n")
 
 
 def fixed(rows: DataFrame, quotas: dict[int, int], seed: int = 42, by: str | None = None, strict: bool = True) -> DataFrame:
@@ -40,7 +40,8 @@ def fixed(rows: DataFrame, quotas: dict[int, int], seed: int = 42, by: str | Non
     keys = [*([by] if by else []), "rating"]
     want = spark.createDataFrame(list(quotas.items()), "rating int, n int")
     if by:
-        want = want.crossJoin(rows.select(by).where(F.col(by).isNotNull()).distinct())
+        each = F.explode(F.array(*[F.struct(F.lit(r).alias("rating"), F.lit(n).alias("n")) for r, n in quotas.items()])).alias("q")
+        want = rows.select(by).where(F.col(by).isNotNull()).distinct().select(by, each).select(by, "q.*")
     if strict:
         have = rows.groupBy(*keys).count()
         short = want.join(have, keys, "left").where("coalesce(count, 0) < n")

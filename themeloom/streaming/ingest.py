@@ -15,16 +15,24 @@ def reviews_stream(spark: SparkSession, path: str, schema: str | StructType, lat
     return rows.where("review_id is not null").withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(["review_id"])
 
 
-def append_new(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append the reviews that target lacks; a batch that runs again adds nothing."""
+def append_new(stream: DataFrame, target: str, checkpoint: str, days: int = 1) -> StreamingQuery:
+    """Append the reviews that target lacks; a batch that runs again, or ran in part, adds only what is missing.
+
+    target is partitioned by the day of the timestamp; of it only the days of the batch, and `days` before and after,
+    are read: within those a review_id is appended once.
+    """
 
     def put(batch: DataFrame, number: int) -> None:
+        batch = batch.withColumn("day", F.to_date("timestamp"))
+        span = batch.agg(F.date_sub(F.min("day"), days).alias("lo"), F.date_add(F.max("day"), days).alias("hi")).first()
+        if span["lo"] is None:
+            return
         try:
-            held = batch.sparkSession.read.schema(batch.schema).parquet(target).select("review_id")
-            batch = batch.join(held, "review_id", "left_anti")
+            held = batch.sparkSession.read.schema(batch.schema).parquet(target)
+            batch = batch.join(held.where(F.col("day").between(span["lo"], span["hi"])).select("review_id"), "review_id", "left_anti")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-        batch.withColumn("_batch", F.lit(number)).drop("_batch").write.mode("append").parquet(target)
+        batch.write.partitionBy("day").mode("append").parquet(target)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
