@@ -2,11 +2,13 @@
 
 A rolling hash of K bytes sets triggers: in every LENGTH-byte window the K-gram of least hash (the leftmost of
 equal ones) is the trigger, so equal windows have the same trigger at the same place. The windows that share one
-trigger make a phrase; it runs to the end of its last window, so it overlaps the next phrase and no phrase that
-matters begins with another. A repetitive corpus has few distinct phrases: equal ones need one comparison for all
-their windows, and only phrases that agree in the trigger but not in whole have the LENGTH-byte beginnings of
-their suffixes sorted. Each class of equal suffixes then knows the least document it stands in, over the
-occurrences that the parse gives to its phrases.
+trigger make a phrase; it runs to the end of its last window. A repetitive corpus has few distinct phrases: equal ones
+need one comparison for all their windows, and only phrases that agree in the trigger but not in whole are sorted.
+There the text up to the end of the trigger is a word of the dictionary, and what follows is its parse. The suffixes
+of the dictionary's words are sorted, and so are the distinct continuations of the parse; no suffix begins with another,
+as the trigger stands at its end alone. The two ranks together put all windows of the trigger into corpus order, where
+equal windows are neighbours: they have one suffix of the dictionary, and continuations that agree as far as the window
+goes. Each class of equal windows then knows the least document it stands in.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ _PLACE = U64((1 << 24) - 1)
 
 
 def phrases(flat: np.ndarray, base: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Phrases of texts flat[base[i]:base[i + 1]]: (first window, windows, trigger hash, phrase hash), in order."""
+    """Phrases of texts flat[base[i]:base[i + 1]]: (first window, windows, trigger hash, phrase hash, place of the trigger)."""
     k = min(K, length)
     w = length - k + 1
     out: list[tuple] = []
@@ -71,11 +73,11 @@ def phrases(flat: np.ndarray, base: np.ndarray, length: int) -> tuple[np.ndarray
         first = np.flatnonzero(new)
         many = np.diff(np.append(first, len(window)))
         p = window[first]
-        out.append((p + a, many, gram[trigger[first]], span_hash(sums, p, p + many - 1 + length)))
+        out.append((p + a, many, gram[trigger[first]], span_hash(sums, p, p + many - 1 + length), trigger[first] - p))
     if not out:
         z = np.zeros(0, np.int64)
-        return z, z, z.astype(U64), z.astype(U64)
-    return tuple(np.concatenate([o[i] for o in out]) for i in range(4))
+        return z, z, z.astype(U64), z.astype(U64), z
+    return tuple(np.concatenate([o[i] for o in out]) for i in range(5))
 
 
 class Parse:
@@ -88,7 +90,7 @@ class Parse:
         self.ids = frame["doc_id"].to_numpy(np.int64)
         self.base = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         self.flat = np.frombuffer(b"".join(raw), np.uint8)
-        self.at, self.many, trigger, whole = phrases(self.flat, self.base, length)
+        self.at, self.many, trigger, whole, self.lead = phrases(self.flat, self.base, length)
         # A trigger's hash is the least of its window: mixed again, or all would meet in the first buckets.
         self.core = (mix(trigger) >> U64(32)).astype(np.uint32)
         self.doc = self.ids[np.searchsorted(self.base, self.at, "right") - 1]
@@ -124,7 +126,7 @@ class Parse:
         return out
 
     def strings(self, status: np.ndarray) -> list[tuple[int, bytes]]:
-        """For each bucket the phrases whose suffixes have to be sorted: window counts, triggers, documents and bytes."""
+        """For each bucket the phrases that have to be sorted: window counts, places of triggers, triggers, documents and bytes."""
         out = []
         for b, s in self._parts():
             e = np.flatnonzero(status[s] == PARTLY) + s.start
@@ -132,10 +134,22 @@ class Parse:
                 i = self.entry_at[e]
                 size = self.many[i] - 1 + self.length
                 text = b"".join(self.flat[p : p + n].tobytes() for p, n in zip(self.at[i], size, strict=True))
-                out.append((int(b), _join(self.many[i].astype(np.uint8), self.entry_core[e], self.entry_doc[e], np.frombuffer(text, np.uint8))))
+                out.append((int(b), _join(self.many[i].astype(np.uint16), self.lead[i].astype(np.uint16), self.entry_core[e], self.entry_doc[e], np.frombuffer(text, np.uint8))))
         return out
 
-    def covered(self, status: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    def flags(self, status: np.ndarray, held: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where each sorted entry's windows begin in a list of flags, and that list, from the answers of the buckets."""
+        base, out, size = np.zeros(len(status), np.int64), [], 0
+        for b, s in self._parts():
+            e = np.flatnonzero(status[s] == PARTLY) + s.start
+            if len(e):
+                many = self.many[self.entry_at[e]]
+                base[e] = size + np.cumsum(many) - many
+                size += int(many.sum())
+                out.append(np.unpackbits(np.frombuffer(held[int(b)], np.uint8), count=int(many.sum())) if int(b) in held else np.zeros(int(many.sum()), np.uint8))
+        return base, np.concatenate(out) if out else np.zeros(0, np.uint8)
+
+    def covered(self, status: np.ndarray, base: np.ndarray, flags: np.ndarray) -> np.ndarray:
         """Which bytes of flat a window with an earlier document covers."""
         edge = np.zeros(len(self.flat) + 1, np.int32)
         entry = self.number
@@ -143,9 +157,9 @@ class Parse:
         np.add.at(edge, self.at[whole], 1)
         np.add.at(edge, self.at[whole] + self.many[whole] - 1 + self.length, -1)
         part = np.flatnonzero(~whole & (status[entry] == PARTLY))
-        mask, at = masks[entry[part]], self.at[part]
         for o in range(int(self.many[part].max(initial=0))):
-            p = at[(mask >> U64(o)) & U64(1) == 1] + o
+            part = part[self.many[part] > o]
+            p = self.at[part[flags[base[entry[part]] + o] == 1]] + o
             np.add.at(edge, p, 1)
             np.add.at(edge, p + self.length, -1)
         np.cumsum(edge, out=edge)
@@ -198,36 +212,82 @@ def compare_phrases(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(payload=[s.tobytes() for s in np.split(status, ends[:-1])])
 
 
+def _rows_of(text: np.ndarray, start: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    """text[start:start + size] of each, filled up with zeros to `width` bytes; text goes on for `width` bytes more."""
+    if not width:
+        return np.zeros((len(start), 0), np.uint8)
+    rows = np.lib.stride_tricks.sliding_window_view(text, width)[start]
+    rows[np.arange(width) >= size[:, None]] = 0
+    return rows
+
+
+def _ranked(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each distinct row, and the rank of each row, in byte order."""
+    keys = np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel() if rows.shape[1] else np.zeros(len(rows), "V1")
+    order = np.argsort(keys.view(f"S{keys.itemsize}"), kind="stable")
+    new = np.append(True, (rows[order[1:]] != rows[order[:-1]]).any(axis=1)) if len(rows) else np.zeros(0, bool)
+    rank = np.empty(len(rows), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return order[new], rank
+
+
+def _classes(text: np.ndarray, start: np.ndarray, lead: np.ndarray, many: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of phrases, each phrase's one after another, in corpus order, and which of them begin a new class.
+
+    A phrase has its trigger of K bytes at `lead`: text[start : start + lead + k] is its word, the rest its continuation.
+    """
+    k = min(K, length)
+    word = _rows_of(text, start, lead + k, length)
+    first, of = _ranked(np.concatenate([word, (lead + k).astype(">u2").view(np.uint8).reshape(-1, 2)], axis=1))
+    suffixes = lead[first] + 1  # of each distinct word, down to its trigger
+    base = np.cumsum(suffixes) - suffixes
+    owner = np.repeat(first, suffixes)
+    shift = np.arange(len(owner)) - np.repeat(base, suffixes)
+    _, suffix_rank = _ranked(_rows_of(text, start[owner] + shift, lead[owner] + k - shift, length))
+    after = _rows_of(text, start + lead + k, many - 1 + length - lead - k, length - k)
+    follow, follow_rank = _ranked(after)
+    entry = np.repeat(np.arange(len(many)), many)
+    place = np.arange(len(entry)) - np.repeat(np.cumsum(many) - many, many)
+    head, tail = suffix_rank[base[of[entry]] + place], follow_rank[entry]
+    order = np.lexsort((tail, head))
+    head, tail = head[order], tail[order]
+    needed = (length - k - lead[entry] + place)[order]  # bytes of the continuation that the window has
+    new = np.append(True, head[1:] != head[:-1])
+    near = np.flatnonzero(~new & np.append(False, tail[1:] != tail[:-1]))
+    for at in range(0, len(near), 100_000):
+        i = near[at : at + 100_000]
+        differ = (after[follow[tail[i]]] != after[follow[tail[i - 1]]]) & (np.arange(after.shape[1]) < needed[i][:, None])
+        new[i] = differ.any(axis=1)
+    return order, new
+
+
 def sort_suffixes(rows: pd.DataFrame, length: int) -> pd.DataFrame:
-    """One bucket of phrases: for each a mask of its windows that an earlier document has as well.
+    """One bucket of phrases: for each a bit for each window, set where an earlier document has it as well.
 
-    The suffixes of at least `length` bytes of the phrases of a trigger are sorted by their first `length`
-    bytes, as many triggers at a time as have about SORTED suffixes; neighbours that are equal form a class.
+    As many triggers are sorted at a time as have about SORTED windows.
     """
-    parts = [_split(p, "u1", "<u4", "id", "rest") for p in rows["payload"]]
-    many, core, doc, text = (np.concatenate([p[i] for p in parts]) for i in range(4))
-    many = many.astype(np.int64)
-    base = np.concatenate([[0], np.cumsum(many - 1 + length)])[:-1]
-    every = np.lib.stride_tricks.sliding_window_view(text, length)
+    parts = [_split(p, "<u2", "<u2", "<u4", "id", "rest") for p in rows["payload"]]
+    many, lead, core, doc, text = (np.concatenate([p[i] for p in parts]) for i in range(5))
+    many, lead = many.astype(np.int64), lead.astype(np.int64)
+    text = np.append(text, np.zeros(length, np.uint8))
+    start = np.cumsum(many - 1 + length) - (many - 1 + length)
+    flag_base = np.cumsum(many) - many
     order = np.argsort(core, kind="stable")
     core, reach = core[order], np.cumsum(many[order])
-    masks, at = np.zeros(len(many), U64), 0
+    flags, at = np.zeros(int(many.sum()), np.uint8), 0
     while at < len(order):
         stop = int(np.searchsorted(reach, (reach[at - 1] if at else 0) + SORTED, "right"))
         stop = int(np.searchsorted(core, core[min(max(stop, at + 1), len(core)) - 1], "right"))
         own = order[at:stop]
+        ranked, new = _classes(text, start[own], lead[own], many[own], length)
         entry = np.repeat(own, many[own])
-        place = np.arange(len(entry)) - np.repeat(np.cumsum(many[own]) - many[own], many[own])
-        suffix = np.ascontiguousarray(every[base[entry] + place]).view(f"S{length}").ravel()
-        rank = np.argsort(suffix, kind="stable")
-        suffix = suffix[rank]
-        new = np.append(True, suffix[1:] != suffix[:-1])
-        owner = doc[entry[rank]]
-        hit = rank[np.minimum.reduceat(owner, np.flatnonzero(new))[np.cumsum(new) - 1] < owner]
-        np.bitwise_or.at(masks, entry[hit], U64(1) << place[hit].astype(U64))
+        window = flag_base[entry] + np.arange(len(entry)) - np.repeat(np.cumsum(many[own]) - many[own], many[own])
+        owner = doc[entry[ranked]]
+        earlier = np.minimum.reduceat(owner, np.flatnonzero(new))[np.cumsum(new) - 1] < owner
+        flags[window[ranked[earlier]]] = 1
         at = stop
-    ends = np.cumsum([len(p[0]) for p in parts])
-    return rows.assign(payload=[m.tobytes() for m in np.split(masks, ends[:-1])])
+    ends = np.cumsum([int(p[0].sum(dtype=np.int64)) for p in parts])
+    return rows.assign(payload=[np.packbits(m).tobytes() for m in np.split(flags, ends[:-1])])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -239,8 +299,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     a null doc_id come before and after none: they stay whole. Texts shorter than `length` stay whole.
 
     Rows are dealt to groups of about GROUP_BYTES by a hash of doc_id; only dictionaries of phrases, and the
-    few phrases that have to be sorted, go to the buckets of their triggers, and answers of a byte or eight
-    bytes for each come back. The number of buckets grows with the groups.
+    few phrases that have to be sorted, go to the buckets of their triggers, and answers of a byte, or a bit
+    for each window, come back. The number of buckets grows with the groups.
     """
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *keep)
@@ -270,12 +330,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         parse = Parse(frame, length, buckets)
         own = rows["bucket"] < 0
         status = np.frombuffer(rows.loc[own, "payload"].iloc[0], np.uint8) if own.any() else np.zeros(len(parse.entry_core), np.uint8)
-        masks = np.zeros(len(parse.entry_core), U64)
-        held = dict(zip(rows["bucket"], rows["payload"], strict=True))
-        for b, s in parse._parts():
-            if int(b) in held:
-                masks[np.flatnonzero(status[s] == PARTLY) + s.start] = np.frombuffer(held[int(b)], "<u8")
-        gone = parse.covered(status, masks)
+        gone = parse.covered(status, *parse.flags(status, dict(zip(rows["bucket"], rows["payload"], strict=True))))
         out = []
         for a, b in zip(parse.base, parse.base[1:], strict=False):
             off = gone[a:b]
