@@ -51,15 +51,18 @@ def _any_size(w: Column, most: int) -> Column:
     return F.coalesce(*[F.when(F.size(w) == k, F.xxhash64(*[F.get(w, F.lit(j)) for j in range(k)])) for k in range(1, most + 1)])
 
 
-def minima(items: DataFrame, most: int) -> DataFrame:
-    """(hash, k, item_id): the least hashes of the shingles of each item, as many as its size partition has."""
+def minima(items: DataFrame, most: int, share: float) -> DataFrame:
+    """(hash, k, item_id, need): the least hashes of the shingles of each item, as many as its size partition has, and how
+    many of them a document has for certain that holds `share` of the item: all but as many as it may lack shingles."""
     many = F.lit(PARTITIONS[-1][1])
     for top, m in reversed(PARTITIONS[:-1]):
         many = F.when(F.col("n") <= top, F.lit(m)).otherwise(many)
     each = items.select("item_id", "k", "n", F.explode("shingles").alias("s")).select("item_id", "k", "n", F.split("s", " ").alias("w"))
     hashes = each.select("item_id", "k", "n", _any_size(F.col("w"), most).alias("hash"))
     least = hashes.groupBy("item_id", "k", "n").agg(F.array_sort(F.collect_set("hash")).alias("h"))
-    return least.select("item_id", "k", F.explode(F.slice("h", F.lit(1), many)).alias("hash"))
+    need = F.greatest(F.lit(1), F.size("low") - F.floor(F.col("n") * (1 - share) + 1e-9)).cast("int")
+    least = least.select("item_id", "k", "n", F.slice("h", F.lit(1), many).alias("low"))
+    return least.select("item_id", "k", need.alias("need"), F.explode("low").alias("hash"))
 
 
 def _with_size(hashes: Column, k: int) -> Column:
@@ -78,7 +81,7 @@ def contaminated(
     that repeat an id are one (the greatest text speaks); no documents or items give no rows.
     """
     items = materialise(item_index(benchmark, shingle))
-    index = materialise(minima(items, shingle))
+    index = materialise(minima(items, shingle, share))
     small = index.count() <= BROADCAST_ROWS
     bound = F.broadcast if small else (lambda df: df)
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most `shingle` values
@@ -89,7 +92,8 @@ def contaminated(
     held = docs.select("doc_id", words(F.col("text")).alias("w"))
     keyed = [_with_size(shingle_hashes(F.col("w"), k), k) for k in sizes]
     found = held.select("doc_id", F.explode(F.concat(*keyed)).alias("x")).select("doc_id", "x.k", "x.hash")
-    pairs = materialise(found.join(bound(index), ["k", "hash"]).groupBy("doc_id", "item_id").agg(F.count("*").alias("hits")))
+    pairs = found.join(bound(index), ["k", "hash"]).groupBy("doc_id", "item_id", "need").agg(F.count_distinct("hash").alias("hits"))
+    pairs = materialise(pairs.where("hits >= need"))
     hot = pairs.select("doc_id").distinct()
     few = pairs.count() <= BROADCAST_ROWS
     texts = docs.join(F.broadcast(hot) if few else hot, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
