@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from themeloom.functions import text as tx
-from themeloom.operators import clustering, extraction, feed, matching, report, sampling, themes
+from themeloom.operators import clustering, embedding, extraction, feed, matching, report, sampling, themes
 from themeloom.sources import jsonl, paged
 from themeloom.streaming import ingest
 
@@ -236,3 +236,34 @@ def test_average_linkage_against_plain(spark, threshold):
     for small in (clustering.SMALL, 0):
         got = {r.id: r.cluster for r in clustering.average_linkage(frame, threshold, "part", "id", "v", small=small).collect()}
         assert got == want
+
+
+def test_embedding_counts_hashed_trigrams(spark):
+    import hashlib
+    import math
+
+    texts = ["Crash on start", "crash at login", "", None, "ads", "ads", "naïve é"]
+    held = {t or "" for t in texts}
+    slot = lambda g: int(hashlib.md5(g.encode()).hexdigest()[:4], 16) % 16
+    tf = {}
+    for t in held:
+        p = f" {t.lower()} "
+        for i in range(max(len(p) - 2, 1)):
+            tf[t, slot(p[i : i + 3])] = tf.get((t, slot(p[i : i + 3])), 0) + 1
+    df = {k: sum(1 for _, j in tf if j == k) for _, k in tf}
+    want = {x: n * (math.log((1 + len(held)) / (1 + df[x[1]])) + 1) for x, n in tf.items()}
+    rows = spark.createDataFrame([(t,) for t in texts], "said string")
+    got = {r.text: r.embedding for r in embedding.embed(rows, "said", 16).collect()}
+    assert set(got) == held
+    for t, vec in got.items():
+        assert vec == pytest.approx([want.get((t, k), 0.0) for k in range(16)])
+    assert embedding.embed(rows.limit(0), "said", 16).count() == 0
+
+
+def test_equal_themes_cluster_by_their_embedding(spark):
+    themes_ = ["crash on start", "crash at start", "too many ads", "so many ads", "playlist lost"]
+    rows = spark.createDataFrame([("p", t) for t in themes_], "part string, theme string")
+    points = rows.join(embedding.embed(rows, "theme", 256).withColumnRenamed("text", "theme"), "theme")
+    got = {r.theme: r.cluster for r in clustering.average_linkage(points, 0.55, "part", "theme", "embedding").collect()}
+    assert got["crash on start"] == got["crash at start"] and got["too many ads"] == got["so many ads"]
+    assert len(set(got.values())) == 3

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from themeloom.functions import text as tx
-from themeloom.operators import clustering, extraction, matching, sampling, themes
+from themeloom.operators import clustering, embedding, extraction, matching, sampling, themes
 from themeloom.operators import feed as fd
 from themeloom.plans import bridge as b
 from themeloom.plans.session import table
@@ -492,6 +492,27 @@ def hac_clusters(s, d):
     return clustering.average_linkage(table(s, d, "embeddings"), 0.9, "label", "vec_id", "embedding")
 
 
+_GRAMS = "grams AS (SELECT theme, unnest(list_transform(range(1, greatest(length(p) - 1, 2)), lambda i: substr(p, i, 3))) AS g FROM (SELECT DISTINCT p_name AS theme, ' ' || lower(p_name) || ' ' AS p FROM part))"
+_SLOTS = f"slots AS (SELECT theme, CAST('0x' || substr(md5(g), 1, 4) AS INTEGER) % {embedding.SLOTS} AS slot, count(*) AS tf FROM grams GROUP BY 1, 2)"
+
+
+@query("SELECT theme, slot, round(tf * (ln((1.0 + (SELECT count(DISTINCT p_name) FROM part)) / (1.0 + count(*) OVER (PARTITION BY slot))) + 1.0), 6) AS weight FROM slots", _GRAMS, _SLOTS)
+def theme_embeddings(s, d):
+    """The weights of all themes' hashed trigrams."""
+    held = embedding.trigram_weights(table(s, d, "part"), "p_name")
+    return held.select(F.col("text").alias("theme"), "slot", F.round("weight", 6).alias("weight"))
+
+
+@query()
+def theme_clusters(s, d):
+    """The themes of each sentiment and area, embedded and clustered by average linkage."""
+    pairs = b.issues(s, d).groupBy("sentiment", "feature_area", "theme").agg(F.count("*").alias("issues"))
+    vectors = embedding.embed(table(s, d, "part"), "p_name").withColumnRenamed("text", "theme")
+    points = pairs.join(vectors, "theme").withColumn("part", F.concat_ws("/", "sentiment", "feature_area"))
+    found = clustering.average_linkage(points, 0.55, "part", "theme", "embedding")
+    return found.select("part", "theme", "cluster")
+
+
 @query("SELECT doc_id AS review_id, 'ok' AS status, doc_id % 4 = 0 AS cached, coalesce(CASE WHEN doc_id % 4 = 0 THEN 'kept' ELSE string_agg(word || ':' || area, ' ' ORDER BY issue_pos) END, '') AS issues FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id", _RULE_ROWS, _FOUND)
 def extract_run(s, d):
     """Extraction with a quarter of the reviews in the cache."""
