@@ -38,13 +38,23 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
-def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item (0.8 of its five-word shingles)."""
-    leaks = materialise(decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+def _without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    leaks = materialise(decontam.contaminated(docs, benchmark).select("doc_id").distinct())
     few = leaks.count() <= decontam.BROADCAST_ROWS
     return docs.join(F.broadcast(leaks) if few else leaks.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item (0.8 of its five-word shingles); rows without a doc_id are judged by their text."""
+    benchmark = table(spark, sf_dir, "benchmark")
+    clean = _without_leaks(docs.where("doc_id is not null"), benchmark)
+    loose = docs.where("doc_id is null")
+    if loose.isEmpty():
+        return clean
+    keyed = loose.select(F.xxhash64("text").alias("doc_id"), "text", F.struct(*docs.columns).alias("_row"))
+    return clean.union(_without_leaks(keyed, benchmark).select("_row.*"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The packed pieces of what is left."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), most=1024, end_id=2)
