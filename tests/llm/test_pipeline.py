@@ -38,3 +38,13 @@ def test_language_stage_keeps_texts_with_letters(spark, lang):
     rows = [(1, "the cat and the dog", lang), (2, "สวัสดี ครับ", None), (3, "12 !", None), (4, None, None)]
     got = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), SF).collect()
     assert {r.doc_id: r.lang for r in got} == {1: lang or "und", 2: lang or "und"}
+
+
+def test_decontamination_judges_rows_without_an_id(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, f"before it {item} and after", "x"), (None, "a clean text of its own words", "x"), (None, None, "y"), (7, f"here {item} too", "y"), (8, "another clean text", "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _row string")
+    got = corpus_pipeline.drop_benchmark_leaks(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(str(rows[k]) for k in (1, 2, 4))
+    assert corpus_pipeline.drop_benchmark_leaks(spark, docs.limit(0), SF).count() == 0
