@@ -32,3 +32,19 @@ x AS (SELECT item_id, k, len(s) AS n, unnest(s) AS sh FROM i)
 SELECT doc_id, item_id, CAST(any_value(n) AS INTEGER) AS n_item, CAST(count(*) AS INTEGER) AS n_shared, count(*)::DOUBLE / any_value(n) AS containment
 FROM x JOIN d ON x.k = d.k AND x.sh = d.sh GROUP BY 1, 2 HAVING count(*) >= 0.8 * any_value(n)
 """
+
+OP13 = """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.id <> b.id AND len(a.v) = len(b.v) WHERE a.id % 50 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (SELECT p.anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
