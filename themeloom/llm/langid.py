@@ -176,8 +176,9 @@ def viterbi(scores: np.ndarray, fresh: np.ndarray, penalty: float, block: int =
     for b in range(1, m):
         v = (entry[b - 1][:, None] + gain[b - 1]).max(axis=0)
         entry[b] = v - v.max()
-    v, back = entry, np.zeros((block, m, k), np.int8)
-    own = np.arange(k)
+    kind = np.int16 if k <= 1 << 15 else np.int32
+    v, back = entry, np.zeros((block, m, k), kind)
+    own = np.arange(k, dtype=kind)
     for t in range(block):
         top = v.argmax(axis=1)
         moved = v[np.arange(m), top] - cost[:, t]

@@ -171,18 +171,31 @@ def variants(ordinary: list[str], seed: int = 3) -> tuple[list[str], list[int],
     return texts, labels, held
 
 
+def _least_lines(lines: DataFrame, sample: int) -> list[str]:
+    """The `sample` distinct lines of least hash of lines(h, line), in that order; all, if there are no more.
+
+    Only hashes under a bound that leaves about twice as many are shuffled; the bound rises until it is enough.
+    """
+    share = 2 * sample / max(1, lines.agg(F.approx_count_distinct("h")).first()[0])
+    while True:
+        some = lines if share >= 1 else lines.where(F.col("h") < int((share - 0.5) * 2**64))
+        held = some.distinct().orderBy("h", "line").limit(sample).collect()
+        if share >= 1 or len(held) == sample:
+            return [r["line"] for r in held]
+        share *= 4
+
+
 def fit(docs: DataFrame, text_col: str = "text", sample: int = ORDINARY) -> dict:
     """Multinomial logistic regression, by gradient steps on the driver, on licence windows and ordinary lines.
 
-    The ordinary ones are the `sample` lines of docs of least hash, of those of LONGEST code points at most without a word
+    The ordinary ones are the `sample` distinct lines of docs of least hash, of those of LONGEST code points at most without a word
     of licences. What variants() and a fifth of those lines hold out sets the temperature. The same rows give the same
     model however they are laid out.
     """
     lines = docs.where(F.col(text_col).isNotNull()).select(F.explode(F.split(text_col, "\n")).alias("line"))
     odd = r"(?i)licen[sc]e|copyright|warrant|permi|redistribut|public domain|creative commons"
     plain = lines.where((F.length("line") <= LONGEST) & F.col("line").rlike(r"\w") & ~F.col("line").rlike(odd))
-    least = plain.select(F.xxhash64("line").alias("h"), "line").orderBy("h", "line").limit(sample)
-    ordinary = list(dict.fromkeys(r["line"] for r in least.collect()))
+    ordinary = _least_lines(plain.select(F.xxhash64("line").alias("h"), "line"), sample)
     texts, labels, held = variants(ordinary)
     texts, labels, held = texts + ordinary, labels + [0] * len(ordinary), np.array(held + [k % 5 == 4 for k in range(len(ordinary))])
     raw = [t.replace("\n", " ").encode() for t in texts]

@@ -7,15 +7,15 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from themeloom.llm.kernel import small_batches
 from themeloom.llm.tokens import pieces, rank_ids
+from themeloom.plans.session import materialise
 
-#: Documents whose pieces are packed together in one task; the tail of each such group wastes a bin at most.
+#: Pieces that are packed together in one task; the tail of each such group wastes a bin at most.
 GROUP = 8192
 
 
@@ -137,35 +137,38 @@ def local_search(bins: list[list[int]], lengths: list[int], most: int) -> list[l
 
 
 def pack_pieces(held: DataFrame, groups: int, most: int) -> DataFrame:
-    """held with sequence_id and offset. Pieces are dealt over `groups` by a hash; only lengths are packed."""
+    """held with sequence_id and offset. Pieces are dealt over `groups` by a hash; only lengths are packed.
 
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["doc_id", "piece", "ids_crc32"], ignore_index=True)
-        lengths = frame["length"].tolist()
+    Columns stay Arrow columns, so wide ids beside nulls come back as they are.
+    """
+
+    def run(key: tuple, part: pa.Table) -> pa.Table:
+        part = part.drop_columns(["_group"]).sort_by([(c, "ascending") for c in ("doc_id", "piece", "ids_crc32")])
+        lengths = part["length"].to_pylist()
         small = [i for i, n in enumerate(lengths) if n < most]
         short = [lengths[i] for i in small]
         found = [[small[i] for i in b] for b in local_search(best_fit(short, most), short, most)]
         found += [[i] for i, n in enumerate(lengths) if n >= most]
-        sequence, offset = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
+        sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
         for k, members in enumerate(found):
             at = 0
             for i in sorted(members):
-                sequence[i], offset[i] = key[0] * (1 << 32) + k, at
+                sequence[i], offset[i] = key[0].as_py() * (1 << 32) + k, at
                 at += lengths[i]
-        return frame.drop(columns="grp").assign(sequence_id=sequence, offset=offset)
+        return part.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    grp = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).alias("grp")
+    group = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).alias("_group")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in held.schema) + ", sequence_id bigint, offset bigint"
-    return held.select("*", grp).groupBy("grp").applyInPandas(run, schema)
+    return held.select("*", group).groupBy("_group").applyInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, path: str, most: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each row of docs.
 
     A document is its token ids and end_id; longer ones than `most` are cut into full pieces behind a first
-    one that takes the rest. Pieces are packed within groups of about GROUP documents, dealt by a hash of
+    one that takes the rest. Pieces are packed within groups of about GROUP pieces, dealt by a hash of
     (doc_id, piece), so one long document or a hot key does not land in one task. Null and empty texts are the end
     id alone; repeated rows are packed each; null ids are packed under a null id; no rows give none.
     """
-    rows = docs.count()
-    return pack_pieces(piece_table(docs, path, most, end_id, id_col, text_col), max(1, -(-rows // GROUP)), most)
+    held = materialise(piece_table(docs, path, most, end_id, id_col, text_col))
+    return pack_pieces(held, max(1, -(-held.count() // GROUP)), most)

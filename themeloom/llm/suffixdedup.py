@@ -17,6 +17,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +26,14 @@ from themeloom.llm.kernel import U64, byte_values, mix, prefix, small_batches, s
 LENGTH, K = 50, 20
 #: Bytes of text that are parsed together in a task, and bytes that are hashed at once.
 GROUP_BYTES, SLICE = 2_500_000, 1 << 18
-#: Suffixes that are sorted at once.
-SORTED = 200_000
+#: Suffixes that are sorted at once, and bytes of them: fewer suffixes where windows are long.
+SORTED, SORTED_BYTES = 200_000, 64 << 20
+#: Longest window: a single phrase's suffixes take the square of it.
+LONGEST = 8192
 NONE, WHOLE, PARTLY = 0, 1, 2
 
 _VALUES = byte_values(7)
+_RESULT = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())]
 _PLACE = U64((1 << 24) - 1)
 
 
@@ -134,7 +138,8 @@ class Parse:
                 i = self.entry_at[e]
                 size = self.many[i] - 1 + self.length
                 text = b"".join(self.flat[p : p + n].tobytes() for p, n in zip(self.at[i], size, strict=True))
-                out.append((int(b), _join(self.many[i].astype(np.uint16), self.lead[i].astype(np.uint16), self.entry_core[e], self.entry_doc[e], np.frombuffer(text, np.uint8))))
+                parts = self.many[i].astype(np.uint16), self.lead[i].astype(np.uint16), self.entry_core[e], self.entry_doc[e], np.frombuffer(text, np.uint8)
+                out.append((int(b), _join(*parts)))
         return out
 
     def flags(self, status: np.ndarray, held: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -276,7 +281,7 @@ def sort_suffixes(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     core, reach = core[order], np.cumsum(many[order])
     flags, at = np.zeros(int(many.sum()), np.uint8), 0
     while at < len(order):
-        stop = int(np.searchsorted(reach, (reach[at - 1] if at else 0) + SORTED, "right"))
+        stop = int(np.searchsorted(reach, (reach[at - 1] if at else 0) + min(SORTED, SORTED_BYTES // length), "right"))
         stop = int(np.searchsorted(core, core[min(max(stop, at + 1), len(core)) - 1], "right"))
         own = order[at:stop]
         ranked, new = _classes(text, start[own], lead[own], many[own], length)
@@ -293,21 +298,25 @@ def sort_suffixes(rows: pd.DataFrame, length: int) -> pd.DataFrame:
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) and the columns `keep` for each row of docs.
 
-    Each byte of a whole text (UTF-8, null: empty) is removed that a `length`-byte string covers which also
+    Each byte of a whole text (UTF-8, null: empty) is removed that a string of `length` bytes (LONGEST at most) covers which also
     starts in a row with a smaller doc_id. kept is the rest as a string; parts of characters at a cut are
     left out of it (not of kept_sha256). Repeats inside a row and between rows of one doc_id stay. Rows with
-    a null doc_id come before and after none: they stay whole. Texts shorter than `length` stay whole.
+    a null doc_id come before and after none: they stay whole. Texts shorter than `length` stay whole. The
+    columns `keep` stay Arrow columns all along, so wide numbers beside nulls come back as they are.
 
     Rows are dealt to groups of about GROUP_BYTES by a hash of doc_id; only dictionaries of phrases, and the
     few phrases that have to be sorted, go to the buckets of their triggers, and answers of a byte, or a bit
     for each window, come back. The number of buckets grows with the groups.
     """
+    if not 0 < length <= LONGEST:
+        raise ValueError(f"length is 1 to {LONGEST}")
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *keep)
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-total // GROUP_BYTES))
     buckets = groups
-    placed = source.where("doc_id is not null").withColumn("_order", F.xxhash64("text")).withColumn("_group", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(groups)))
+    whole = source.where("doc_id is not null").withColumn("_order", F.xxhash64("text")).withColumn("_group", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(groups)))
+    placed = whole.select("doc_id", "text", "_order", "_group")
     said = "bucket bigint, g bigint, payload binary"
 
     def ask(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -326,7 +335,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     def sort(frame: pd.DataFrame) -> pd.DataFrame:
         return frame if frame["bucket"].iloc[0] < 0 else sort_suffixes(frame, length)
 
-    def cut(frame: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        frame = left.select(["doc_id", "text", "_order"]).to_pandas().assign(_row=np.arange(left.num_rows))
+        rows = right.select(["bucket", "payload"]).to_pandas()
         parse = Parse(frame, length, buckets)
         own = rows["bucket"] < 0
         status = np.frombuffer(rows.loc[own, "payload"].iloc[0], np.uint8) if own.any() else np.zeros(len(parse.entry_core), np.uint8)
@@ -336,16 +347,26 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             off = gone[a:b]
             rest = parse.flat[a:b][~off].tobytes()
             runs = int(off[:1].sum() + np.count_nonzero(off[1:] & ~off[:-1]))
-            out.append((b - a, int(off.sum()), runs, hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore")))
-        new = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-        return pd.concat([parse.frame.drop(columns=["text", "_order", "_group"]), new], axis=1)
+            out.append((int(b - a), int(off.sum()), runs, hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore")))
+        held = left.take(pa.array(parse.frame["_row"].to_numpy())).select(["doc_id", *(f.name for f in extra)])
+        new = list(zip(*out, strict=True)) if out else [[]] * 5
+        for (name, kind), x in zip(_RESULT, new, strict=True):
+            held = held.append_column(name, pa.array(x, kind))
+        return held
 
     extra = [f for f in source.schema if f.name not in ("doc_id", "text")]
     schema = ", ".join(["doc_id bigint", *(f"`{f.name}` {f.dataType.simpleString()}" for f in extra), "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"])
     first = placed.groupBy("_group").applyInPandas(ask, said).groupBy("bucket").applyInPandas(compare, said)
     second = placed.groupBy("_group").cogroup(first.groupBy("g")).applyInPandas(ask_again, said).groupBy("bucket").applyInPandas(sort, said)
-    out = placed.groupBy("_group").cogroup(second.groupBy("g")).applyInPandas(cut, schema)
-    whole = source.where("doc_id is null").select(
-        "doc_id", *keep, F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept")
+    out = whole.groupBy("_group").cogroup(second.groupBy("g")).applyInArrow(cut, schema)
+    nothing = F.lit(0).cast("bigint")
+    loose = source.where("doc_id is null").select(
+        "doc_id",
+        *keep,
+        F.octet_length("text").cast("bigint").alias("n_bytes"),
+        nothing.alias("n_removed"),
+        nothing.alias("n_spans"),
+        F.sha2("text", 256).alias("kept_sha256"),
+        F.col("text").alias("kept"),
     )
-    return out.unionByName(whole)
+    return out.unionByName(loose)
