@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from themeloom.llm import decontam, langid, neardup, packing, suffixdedup
@@ -23,10 +23,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, that of the smallest doc_id (five-word shingles, 0.8).
 
-    Rows that repeat a doc_id are one document; those without a doc_id are linked with nothing and stay.
+    Rows that repeat a doc_id are one document, that of the greatest text; those without a doc_id are linked with nothing
+    and stay.
     """
     kept = materialise(neardup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct())
-    one = docs.join(kept.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    one = docs.join(kept.hint("merge"), "doc_id", "left_semi")
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").desc(), F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind]))
+    one = one.withColumn("_first", F.row_number().over(order)).where("_first = 1").select(*docs.columns)
     return one.union(docs.where("doc_id is null"))
 
 
@@ -34,7 +37,8 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Documents without the passages that one of smaller doc_id has too; n_chars is counted anew."""
     kept = {c: f"_keep{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "n_chars")}
     rows = docs.select("doc_id", "text", *[F.col(c).alias(k) for c, k in kept.items()])
-    out = suffixdedup.remove_repeats(rows, keep=tuple(kept.values())).select("doc_id", F.col("kept").alias("text"), *[F.col(k).alias(c) for c, k in kept.items()])
+    out = suffixdedup.remove_repeats(rows, keep=tuple(kept.values()))
+    out = out.select("doc_id", F.col("kept").alias("text"), *[F.col(k).alias(c) for c, k in kept.items()])
     return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
