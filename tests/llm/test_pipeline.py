@@ -48,3 +48,19 @@ def test_decontamination_judges_rows_without_an_id(spark):
     assert got.columns == docs.columns
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(str(rows[k]) for k in (1, 2, 4))
     assert corpus_pipeline.drop_benchmark_leaks(spark, docs.limit(0), SF).count() == 0
+
+
+def test_near_duplicate_stage_keeps_the_greatest_text_of_a_repeated_id(spark):
+    rows = [(1, "a text of one kind", 5), (1, "b text of another kind", None), (2, "quite different words here", 1), (None, "x", 2), (None, "x", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(str(rows[k]) for k in (1, 2, 3, 4))
+
+
+def test_every_stage_takes_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.count() == 0, name
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns
