@@ -481,8 +481,10 @@ _NEAR = """pairs AS (SELECT label, a.vec_id AS va, b.vec_id AS vb, round(1 - sum
 @query("SELECT x.label, x.va AS first_id, x.vb AS second_id FROM nn x JOIN nn y ON x.label = y.label AND x.va = y.vb AND x.vb = y.va WHERE x.va < x.vb AND x.dist < 0.9", _SIMS, _NEAR)
 def hac_round1_pairs(s, d):
     """The pairs that the first round of clustering merges."""
-    e = table(s, d, "embeddings").select(F.col("label").alias("part"), F.col("vec_id").alias("cid"), clustering.unit("embedding").alias("s"), F.lit(1).alias("size"))
-    nn = clustering.nearest(e).where("dist < 0.9")
+    e = table(s, d, "embeddings")
+    e = e.select(F.col("label").alias("part"), F.col("vec_id").alias("cid"), F.lit(1).cast("bigint").alias("size"), clustering.sparse(e, "embedding").alias("u"))
+    e = e.select("part", "cid", "size", "u.i", "u.x")
+    nn = clustering.nearest(e, e, 0.9)
     back = nn.select("part", F.col("other").alias("cid"), F.col("cid").alias("other"))
     return nn.join(back, ["part", "cid", "other"]).where("cid < other").select(F.col("part").alias("label"), F.col("cid").alias("first_id"), F.col("other").alias("second_id"))
 
@@ -493,13 +495,14 @@ def hac_clusters(s, d):
 
 
 _GRAMS = "grams AS (SELECT theme, unnest(list_transform(range(1, greatest(length(p) - 1, 2)), lambda i: substr(p, i, 3))) AS g FROM (SELECT DISTINCT p_name AS theme, ' ' || lower(p_name) || ' ' AS p FROM part))"
-_SLOTS = f"slots AS (SELECT theme, CAST('0x' || substr(md5(g), 1, 4) AS INTEGER) % {embedding.SLOTS} AS slot, count(*) AS tf FROM grams GROUP BY 1, 2)"
+_SLOTS = f"slots AS (SELECT theme, CAST('0x' || substr(md5(g), 1, 5) AS INTEGER) % {embedding.SLOTS} AS slot, count(*) AS tf FROM grams GROUP BY 1, 2)"
 
 
 @query("SELECT theme, slot, round(tf * (ln((1.0 + (SELECT count(DISTINCT p_name) FROM part)) / (1.0 + count(*) OVER (PARTITION BY slot))) + 1.0), 6) AS weight FROM slots", _GRAMS, _SLOTS)
 def theme_embeddings(s, d):
     """The weights of all themes' hashed trigrams."""
-    held = embedding.trigram_weights(table(s, d, "part"), "p_name")
+    part = table(s, d, "part")
+    held = embedding.weights(part, "p_name", embedding.fit(part, "p_name"))
     return held.select(F.col("text").alias("theme"), "slot", F.round("weight", 6).alias("weight"))
 
 
@@ -507,7 +510,8 @@ def theme_embeddings(s, d):
 def theme_clusters(s, d):
     """The themes of each sentiment and area, embedded and clustered by average linkage."""
     pairs = b.issues(s, d).groupBy("sentiment", "feature_area", "theme").agg(F.count("*").alias("issues"))
-    vectors = embedding.embed(table(s, d, "part"), "p_name").withColumnRenamed("text", "theme")
+    part = table(s, d, "part")
+    vectors = embedding.embed(part, "p_name", embedding.fit(part, "p_name")).withColumnRenamed("text", "theme")
     points = pairs.join(vectors, "theme").withColumn("part", F.concat_ws("/", "sentiment", "feature_area"))
     found = clustering.average_linkage(points, 0.55, "part", "theme", "embedding")
     return found.select("part", "theme", "cluster")

@@ -3,18 +3,30 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from themeloom.plans.session import materialise, workers_find_package
 
-#: Distinct vectors of a part up to which one task clusters it (its distances take 8 * SMALL ** 2 bytes at most).
+#: Distinct vectors of a part up to which one task clusters it (its products take 8 * SMALL ** 2 bytes).
 SMALL = 3000
+#: Clusters of a block: a task compares two blocks of a large part at a time.
+BLOCK = 1024
+#: Columns of a block's matrix that are multiplied at once.
+COLUMNS = 2048
 
 
-def _dot(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+def sparse(points: DataFrame, vec: str) -> Column:
+    """A vector, dense or as (i, x), as slots and values of length one; no zero vectors, which have no direction."""
+    dense = isinstance(points.schema[vec].dataType, ArrayType)
+    x = F.transform(F.col(vec) if dense else F.col(f"{vec}.x"), lambda v: v.cast("double"))
+    i = F.sequence(F.lit(0), F.size(vec) - 1) if dense else F.col(f"{vec}.i")
+    square = F.aggregate(x, F.lit(0.0), lambda s, v: s + v * v)
+    length = F.when((square == 0) | F.isnan(square), F.raise_error(F.lit("zero vector"))).otherwise(F.sqrt(square))
+    return F.struct(i.alias("i"), F.transform(x, lambda v: F.round(v / length, 12)).alias("x"))
 
 
 def unit(vec: str) -> Column:
@@ -22,24 +34,45 @@ def unit(vec: str) -> Column:
     return F.transform(vec, lambda x: x.cast("double") / length)
 
 
-def nearest(state: DataFrame) -> DataFrame:
-    """(part, cid, other, dist): the nearest other cluster of each cluster of its part, ties to the smaller id.
+class _Block:
+    """Sparse vectors of some clusters, ids ascending."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by("cid").combine_chunks()
+        self.ids, self.size = rows["cid"], rows["size"].to_numpy().astype(float)
+        lists = rows["i"].combine_chunks()
+        self.row = np.repeat(np.arange(len(rows)), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+        self.slot = lists.flatten().to_numpy()
+        self.x = rows["x"].combine_chunks().flatten().to_numpy()
+
+    def dense(self, slots: np.ndarray) -> np.ndarray:
+        """The columns of some slots, which ascend."""
+        at = np.searchsorted(slots, self.slot)
+        ok = (at < len(slots)) & (slots[np.minimum(at, len(slots) - 1)] == self.slot)
+        out = np.zeros((len(self.size), len(slots)))
+        np.add.at(out, (self.row[ok], at[ok]), self.x[ok])
+        return out
+
+
+def products(a: _Block, b: _Block) -> np.ndarray:
+    """Inner products of all vectors of two blocks, over the slots that both have, some at a time."""
+    slots = np.intersect1d(a.slot, b.slot)
+    out = np.zeros((len(a.size), len(b.size)))
+    for at in range(0, len(slots), COLUMNS):
+        some = slots[at : at + COLUMNS]
+        out += a.dense(some) @ b.dense(some).T
+    return out
 
-    The distance is 1 - S_a . S_b / (|a| |b|) for sums S of unit vectors: that of average linkage.
-    """
-    a, b = (state.select("part", F.col("cid").alias(f"cid_{x}"), F.col("s").alias(f"s_{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
-    pairs = a.join(b, "part").where("cid_a <> cid_b")
-    pairs = pairs.withColumn("dist", F.round(1 - _dot("s_a", "s_b") / (F.col("size_a") * F.col("size_b")), 12))
-    best = pairs.groupBy("part", "cid_a").agg(F.min(F.struct("dist", "cid_b")).alias("m"))
-    return best.select("part", F.col("cid_a").alias("cid"), F.col("m.cid_b").alias("other"), F.col("m.dist").alias("dist"))
 
+def merge_small(ids: np.ndarray, gram: np.ndarray, size: np.ndarray, threshold: float) -> np.ndarray:
+    """The cluster of each id of one part; ids ascend, gram has the inner products of their sums, which are updated.
 
-def merge_small(ids: np.ndarray, sums: np.ndarray, size: np.ndarray, threshold: float) -> np.ndarray:
-    """The cluster of each id of one part, by the same rounds on a matrix of distances; ids ascend."""
+    The distance 1 - S_a . S_b / (|a| |b|) for sums S of unit vectors is that of average linkage.
+    """
     alive, home = np.arange(len(ids)), np.arange(len(ids))
     while len(alive) > 1:
-        s, n = sums[alive], size[alive]
-        far = np.round(1 - (s @ s.T) / np.outer(n, n), 12)
+        n = size[alive]
+        far = np.round(1 - gram[np.ix_(alive, alive)] / np.outer(n, n), 12)
         np.fill_diagonal(far, np.inf)
         other = far.argmin(axis=1)
         own = np.arange(len(alive))
@@ -47,7 +80,8 @@ def merge_small(ids: np.ndarray, sums: np.ndarray, size: np.ndarray, threshold:
         if not len(low):
             break
         into, gone = alive[low], alive[other[low]]
-        sums[into] += sums[gone]
+        gram[into] += gram[gone]
+        gram[:, into] += gram[:, gone]
         size[into] += size[gone]
         moved = np.arange(len(ids))
         moved[gone] = into
@@ -57,32 +91,115 @@ def merge_small(ids: np.ndarray, sums: np.ndarray, size: np.ndarray, threshold:
 
 def _in_tasks(first: DataFrame, threshold: float) -> DataFrame:
     """(part, cid, into) of small parts, each clustered whole in one task."""
-    workers_find_package(first.sparkSession)
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("cid", ignore_index=True)
-        size = frame["size"].to_numpy(float)
-        ids = frame["cid"].to_numpy()
-        into = merge_small(ids, np.stack(frame["u"]) * size[:, None], size, threshold)
-        return pd.DataFrame({"part": frame["part"], "cid": ids, "into": into})
+    def run(rows: pa.Table) -> pa.Table:
+        block = _Block(rows)
+        gram = products(block, block) * np.outer(block.size, block.size)
+        into = merge_small(np.arange(len(block.size)), gram, block.size.copy(), threshold)
+        part = rows["part"].take(pa.array(np.zeros(len(into), np.int64)))  # one part
+        return pa.table({"part": part, "cid": block.ids, "into": block.ids.take(pa.array(into))})
 
     kind = {f.name: f.dataType.simpleString() for f in first.schema}
-    return first.groupBy("part").applyInPandas(run, f"part {kind['part']}, cid {kind['cid']}, into {kind['cid']}")
+    held = first.select("part", "cid", "size", "u.i", "u.x")
+    return held.groupBy("part").applyInArrow(run, f"part {kind['part']}, cid {kind['cid']}, into {kind['cid']}")
+
+
+def nearest(asked: DataFrame, held: DataFrame, threshold: float = float("inf")) -> DataFrame:
+    """(part, cid, other, dist): of each asked cluster the nearest other one that is held in its part, ties to the smaller id.
+
+    Both sides are (part, cid, size, i, x). A part is cut into blocks of about BLOCK clusters by a hash; each pair of an
+    asked and a held block is one matrix product in a task, which hands on a row for each asked cluster at most.
+    """
+    workers_find_package(held.sparkSession)
+    count = lambda rows, name: rows.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+    blocks = count(asked, "qn").join(count(held, "tn"), "part")
+    cut = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["part", "cid", "size", "i", "x", "qb", "tb"]
+    q = asked.join(blocks, "part").withColumn("qb", cut("qn")).withColumn("tb", every("tn")).select(*columns)
+    t = held.join(blocks, "part").withColumn("tb", cut("tn")).withColumn("qb", every("qn")).select(*columns)
+    t = t.toDF(*columns)  # attributes of its own, as both sides may be one table
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"part": left["part"].slice(0, 0), "cid": left["cid"].slice(0, 0), "other": left["cid"].slice(0, 0), "dist": pa.array([], pa.float64())})
+        a, b = _Block(left), _Block(right)
+        far = np.round(1 - products(a, b) / np.outer(a.size, b.size), 12)
+        own = pa.compute.index_in(a.ids, value_set=b.ids.combine_chunks())
+        same = np.flatnonzero(pa.compute.is_valid(own).to_numpy())
+        far[same, own.drop_null().to_numpy()] = np.inf
+        other = far.argmin(axis=1)
+        dist = far[np.arange(len(other)), other]
+        ok = pa.array(np.flatnonzero(dist < threshold))
+        part = left["part"].take(pa.array(np.zeros(len(ok), np.int64)))  # one part
+        return pa.table({"part": part, "cid": a.ids.take(ok), "other": b.ids.take(pa.array(other)).take(ok), "dist": pa.array(dist).take(ok)})
+
+    kind = {f.name: f.dataType.simpleString() for f in held.schema}
+    found = q.groupBy("part", "qb", "tb").cogroup(t.groupBy("part", "qb", "tb"))
+    found = found.applyInArrow(run, f"part {kind['part']}, cid {kind['cid']}, other {kind['cid']}, dist double")
+    best = found.groupBy("part", "cid").agg(F.min(F.struct("dist", "other")).alias("m"))
+    return best.select("part", "cid", F.col("m.other").alias("other"), F.col("m.dist").alias("dist"))
+
+
+def _summed(pairs: DataFrame) -> DataFrame:
+    """(part, cid, size, i, x) of pairs (part, cid, size, i, x, size_b, i_b, x_b): sums of two sparse vectors."""
+
+    def run(batches):
+        for batch in batches:
+            held = {c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("i", "x", "i_b", "x_b")}
+            i, x = [], []
+            for ia, xa, ib, xb in zip(held["i"], held["x"], held["i_b"], held["x_b"], strict=True):
+                slots, place = np.unique(np.concatenate([ia, ib]), return_inverse=True)
+                i.append(slots.astype(np.int32))
+                x.append(np.bincount(place, weights=np.concatenate([xa, xb])))
+            size = pa.compute.add(batch["size"], batch["size_b"])
+            out = [batch["part"], batch["cid"], size, pa.array(i, pa.list_(pa.int32())), pa.array(x, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(out, names=["part", "cid", "size", "i", "x"])
+
+    kind = {f.name: f.dataType.simpleString() for f in pairs.schema}
+    return pairs.mapInArrow(run, f"part {kind['part']}, cid {kind['cid']}, size bigint, i array<int>, x array<double>")
+
+
+def _in_rounds(state: DataFrame, threshold: float, most_rounds: int) -> DataFrame:
+    """(part, cid, into) for the clusters of large parts that were merged into others, directly.
+
+    Merging two clusters brings neither nearer to a third than the nearer of them was (average linkage is reducible). So
+    a nearest neighbour stays until it is merged, and only merged clusters and those that lost their neighbour are searched
+    again; a cluster with none under the threshold will never have one, and is neither asked nor held any more.
+    """
+    state, out = materialise(state), None
+    near = materialise(nearest(state, state, threshold))
+    for _ in range(most_rounds):
+        back = near.select("part", F.col("other").alias("cid"), F.col("cid").alias("other"))
+        merged = materialise(near.join(back, ["part", "cid", "other"]).where("cid < other").select("part", F.col("other").alias("cid"), F.col("cid").alias("into")))
+        if merged.isEmpty():
+            return out
+        out = merged if out is None else out.unionByName(merged)
+        alive = state.join(near.select("part", "cid"), ["part", "cid"], "left_semi")
+        gone = merged.join(alive.toDF("part", "cid", "size_b", "i_b", "x_b"), ["part", "cid"])
+        gone = gone.select("part", F.col("into").alias("cid"), "size_b", "i_b", "x_b")
+        new = materialise(_summed(alive.join(gone, ["part", "cid"])))
+        ends = merged.select("part", "cid").union(merged.select("part", F.col("into").alias("cid")))
+        state = materialise(alive.join(ends, ["part", "cid"], "left_anti").unionByName(new))
+        kept = near.join(ends, ["part", "cid"], "left_anti")
+        lost = ends.withColumnRenamed("cid", "other")
+        stays = kept.join(lost, ["part", "other"], "left_anti").select("part", "cid", "other", "dist")
+        asked = state.join(stays, ["part", "cid"], "left_anti")
+        near = materialise(stays.unionByName(nearest(asked, state, threshold)))
+    raise RuntimeError(f"clusters have not settled after {most_rounds} rounds")
 
 
 def average_linkage(points: DataFrame, threshold: float, part: str, id_col: str, vec: str, most_rounds: int = 200, small: int = SMALL) -> DataFrame:
     """(part, id, cluster) with cluster the least id of its members; clusters at or beyond threshold stay apart.
 
-    Equal vectors start as one cluster with their number. All reciprocal nearest neighbours under the
-    threshold merge in a round, which gives the tree of one-at-a-time merging (average linkage is
-    reducible). A zero vector has no direction and is an error. Parts of up to `small` distinct vectors are clustered in a
-    task each; in larger ones each round is a join. Work in a part grows with the square of its distinct vectors, so parts
-    should be bounded (a sentiment and an area, say).
+    `vec` is an array of numbers, or sparse: (i, x) with ascending slots i. Equal vectors start as one cluster with their
+    number. All reciprocal nearest neighbours under the threshold merge in a round, which gives the tree of
+    one-at-a-time merging. A zero vector has no direction and is an error. Parts of up to `small` distinct vectors are
+    clustered in a task each; larger ones in rounds of blocks (see nearest), searching again what a merge has changed.
     """
     spark = points.sparkSession
-    zero = F.aggregate(vec, F.lit(0.0), lambda s, x: s + F.abs(x.cast("double"))) == 0
-    checked = F.when(zero, F.raise_error(F.lit("zero vector"))).otherwise(unit(vec))
-    held = materialise(points.select(F.col(part).alias("part"), F.col(id_col).alias("id"), F.transform(checked, lambda x: F.round(x, 12)).alias("u")))
+    workers_find_package(spark)
+    held = materialise(points.select(F.col(part).alias("part"), F.col(id_col).alias("id"), sparse(points, vec).alias("u")))
     first = materialise(held.groupBy("part", "u").agg(F.min("id").alias("cid"), F.count("*").alias("size")))
     assigned = held.join(first, ["part", "u"]).select("part", "id", "cid")
     parts = first.groupBy("part").agg((F.count("*") > small).alias("large"))
@@ -92,18 +209,15 @@ def average_linkage(points: DataFrame, threshold: float, part: str, id_col: str,
     done = named(assigned.join(done, ["part", "cid"]).select("part", "id", F.col("into").alias("cid")))
     if parts.where("large").isEmpty():
         return done
+    scaled = F.transform("u.x", lambda v: v * F.col("size"))
+    moved = _in_rounds(sized.where("large").select("part", "cid", "size", "u.i", scaled.alias("x")), threshold, most_rounds)
     assigned = assigned.join(parts.where("large").select("part"), "part", "left_semi")
-    state = sized.where("large").select("part", "cid", F.transform("u", lambda x: x * F.col("size")).alias("s"), "size")
-    for _ in range(most_rounds):
-        state = materialise(state)
-        nn = materialise(nearest(state).where(F.col("dist") < threshold))
-        back = nn.select("part", F.col("cid").alias("other"), F.col("other").alias("cid"))
-        merged = nn.join(back, ["part", "cid", "other"]).where("cid < other").select("part", F.col("other").alias("cid"), F.col("cid").alias("into"))
-        merged = materialise(merged)
-        if merged.isEmpty():
-            return done.unionByName(named(assigned))
-        assigned = materialise(assigned.join(merged, ["part", "cid"], "left").select("part", "id", F.coalesce("into", "cid").alias("cid")))
-        moved = state.join(merged, ["part", "cid"], "left").withColumn("cid", F.coalesce("into", "cid")).drop("into")
-        sums = moved.groupBy("part", "cid").agg(F.sum("size").alias("size"), F.array_sort(F.collect_list(F.struct("size", "s"))).alias("x"))
-        state = sums.select("part", "cid", F.aggregate("x", F.transform(F.col("x")[0]["s"], lambda _: F.lit(0.0)), lambda a, y: F.zip_with(a, y["s"], lambda p, q: p + q)).alias("s"), "size")
-    raise RuntimeError(f"clusters of {spark.sparkContext.appName} have not settled")
+    if moved is None:
+        return done.unionByName(named(assigned))
+    while True:  # a cluster may be merged on: chains are halved until all lead to where they end
+        ahead = moved.join(moved.toDF("part", "into", "next"), ["part", "into"], "left")
+        if ahead.where("next is not null").isEmpty():
+            break
+        moved = materialise(ahead.select("part", "cid", F.coalesce("next", "into").alias("into")))
+    large = assigned.join(moved, ["part", "cid"], "left").select("part", "id", F.coalesce("into", "cid").alias("cid"))
+    return done.unionByName(named(large))
