@@ -212,8 +212,6 @@ def test_guards(spark):
     assert [r[0] for r in ids.collect()] == [2] and (only_model, only_gold) == (1, 1)
     with pytest.raises(ValueError):
         matching.common_ids(model, model.where("false"))
-    with pytest.raises(ValueError):
-        feed.check_target("xx")
 
 
 @pytest.mark.parametrize("threshold", [0.55, 0.9])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from themeloom.functions import text as tx
-from themeloom.operators import clustering, embedding, extraction, matching, sampling, themes
+from themeloom.operators import clustering, embedding, extraction, language, matching, sampling, themes
 from themeloom.operators import feed as fd
 from themeloom.plans import bridge as b
 from themeloom.plans.session import table
@@ -164,6 +164,18 @@ def window_take_while(s, d):
     return fd.take_while(b.feed(s, d).crossJoin(F.broadcast(_cut(s, d))), F.col("cut"), "feed").select("event_id")
 
 
+_HOLES = "holes AS (SELECT event_id, feed, seq, content, CASE WHEN event_id % 13 <> 0 THEN rid END AS rid, CASE WHEN event_id % 17 <> 0 THEN ts END AS ts FROM feed)"
+_GOOD = f"good AS (SELECT feed, rid, min(seq) AS first, arg_min(event_id, seq) AS event_id FROM holes WHERE rid IS NOT NULL AND ts >= {_CUT} AND trim(content) <> '' GROUP BY 1, 2)"
+_STOPS = f"stops AS (SELECT h.feed, min(seq) AS stop FROM holes h LEFT JOIN good g ON h.feed = g.feed AND h.rid = g.rid AND g.first < h.seq WHERE h.rid IS NOT NULL AND h.ts < {_CUT} AND g.feed IS NULL GROUP BY 1)"
+
+
+@query("SELECT g.feed, rid, event_id FROM good g LEFT JOIN stops s ON g.feed = s.feed WHERE stop IS NULL OR first < stop", b.FEED, _HOLES, _GOOD, _STOPS)
+def feed_accept(s, d):
+    """What reading each feed in order accepts, with null keys, null times, blank texts and keys seen before."""
+    rows = b.feed(s, d).withColumns({"rid": F.when(F.col("event_id") % 13 != 0, F.col("rid")), "ts": F.when(F.col("event_id") % 17 != 0, F.col("ts"))})
+    return fd.accept(rows.crossJoin(F.broadcast(_cut(s, d))), F.col("cut"), "feed", "rid").select("feed", "rid", "event_id")
+
+
 @query("SELECT rid, event_id FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY feed, seq) AS rn FROM feed WHERE trim(content) <> '') WHERE rn = 1", b.FEED)
 def dedup_first(s, d):
     return fd.keep_one(b.feed(s, d).where(tx.strip(F.col("content")) != ""), "rid", F.struct("feed", "seq")).select("rid", "event_id")
@@ -234,35 +246,53 @@ def platform_rating_pivot(s, d):
 
 # Language filter --------------------------------------------------------------------------------------------------
 
-_SPLIT = "split AS (SELECT doc_id, lang, coalesce(lang = 'en' OR confidence < 0.5, false) AS kept, coalesce(lang, 'unknown') AS detected_language, round_even(CASE WHEN lang IS NULL THEN 0.0 ELSE confidence END, 4) AS confidence FROM docs)"
+#: Detection as SQL: trigrams, a profile of each language's commonest, and posteriors of even odds.
+_DETECT = rf"""grams AS (SELECT doc_id, unnest(list_transform(range(1, length(w) + 1), lambda i: substr('_' || w || '_', i, 3))) AS g
+  FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{{L}}]+')) AS w FROM documents) WHERE w <> ''),
+ counts AS (SELECT g, lang, count(*) AS c FROM grams JOIN documents USING (doc_id) WHERE lang IS NOT NULL GROUP BY ALL),
+ vocab AS (SELECT DISTINCT g FROM (SELECT g, row_number() OVER (PARTITION BY lang ORDER BY c DESC, g) AS rn FROM counts) WHERE rn <= {language.MOST}),
+ totals AS (SELECT lang, sum(c) AS n FROM counts SEMI JOIN vocab USING (g) GROUP BY lang),
+ profile AS (SELECT v.g, t.lang, CAST(round({language.UNIT} * ln((coalesce(c.c, 0) + 1.0) / (t.n + (SELECT count(*) FROM vocab)))) AS BIGINT) AS w
+  FROM vocab v CROSS JOIN totals t LEFT JOIN counts c ON c.g = v.g AND c.lang = t.lang),
+ scores AS (SELECT doc_id, lang, sum(w) AS s FROM grams JOIN profile USING (g) GROUP BY ALL),
+ odds AS (SELECT doc_id, lang, exp((s - max(s) OVER (PARTITION BY doc_id)) / {language.UNIT * language.OVERLAP}.0) AS e FROM scores),
+ ranked AS (SELECT doc_id, lang, e / sum(e) OVER (PARTITION BY doc_id) AS p, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY e DESC, lang) AS INTEGER) AS rank FROM odds)"""
+_SPLIT = """split AS (SELECT d.doc_id, coalesce(r.lang = 'en' OR p < 0.5, false) AS kept, coalesce(r.lang, 'unknown') AS detected_language,
+ round_even(coalesce(p, 0.0), 4) AS confidence FROM documents d LEFT JOIN ranked r ON d.doc_id = r.doc_id AND rank = 1)"""
+
+
+def _texts(s, d):
+    return table(s, d, "documents").select("doc_id", "text", "lang")
 
 
 def _split(s, d):
-    return fd.split_by_language(b.docs(s, d), "en")
+    """The documents, detected by a profile that their own labels give."""
+    docs = _texts(s, d)
+    return language.split(docs.select("doc_id", "text"), language.fit(docs), "en")
 
 
-@query("SELECT doc_id FROM split WHERE kept", b.DOCS, _SPLIT)
+@query("SELECT doc_id FROM split WHERE kept", _DETECT, _SPLIT)
 def lang_kept(s, d):
     return _split(s, d).where("kept").select("doc_id")
 
 
-@query("SELECT doc_id, detected_language, confidence FROM split WHERE NOT kept", b.DOCS, _SPLIT)
+@query("SELECT doc_id, detected_language, confidence FROM split WHERE NOT kept", _DETECT, _SPLIT)
 def lang_dropped(s, d):
     return _split(s, d).where("not kept").select("doc_id", "detected_language", "confidence")
 
 
-@query("SELECT detected_language, count(*) AS n FROM split WHERE NOT kept GROUP BY 1", b.DOCS, _SPLIT)
+@query("SELECT detected_language, count(*) AS n FROM split WHERE NOT kept GROUP BY 1", _DETECT, _SPLIT)
 def lang_drop_breakdown(s, d):
     return _split(s, d).where("not kept").groupBy("detected_language").agg(F.count("*").alias("n"))
 
 
-@query("SELECT count(*) AS n, count(*) FILTER (WHERE kept) AS n_kept, round(count(*) FILTER (WHERE kept) * 100.0 / count(*), 9) AS pct_kept FROM split", b.DOCS, _SPLIT)
+@query("SELECT count(*) AS n, count(*) FILTER (WHERE kept) AS n_kept, round(count(*) FILTER (WHERE kept) * 100.0 / count(*), 9) AS pct_kept FROM split", _DETECT, _SPLIT)
 def lang_filter_summary(s, d):
     c = _split(s, d).agg(F.count("*").alias("n"), F.count_if("kept").alias("n_kept"))
     return c.withColumn("pct_kept", F.round(F.try_divide(F.col("n_kept") * 100.0, F.col("n")), 9))
 
 
-@query("SELECT CASE WHEN rn <= 2 THEN detected_language ELSE '(other languages)' END AS language, CAST(sum(n) AS BIGINT) AS n FROM (SELECT *, row_number() OVER (ORDER BY n DESC, detected_language) AS rn FROM (SELECT detected_language, count(*) AS n FROM split GROUP BY 1)) GROUP BY 1", b.DOCS, _SPLIT)
+@query("SELECT CASE WHEN rn <= 2 THEN detected_language ELSE '(other languages)' END AS language, CAST(sum(n) AS BIGINT) AS n FROM (SELECT *, row_number() OVER (ORDER BY n DESC, detected_language) AS rn FROM (SELECT detected_language, count(*) AS n FROM split GROUP BY 1)) GROUP BY 1", _DETECT, _SPLIT)
 def lang_top_with_other(s, d):
     c = _split(s, d).groupBy("detected_language").agg(F.count("*").alias("n")).withColumn("rn", F.row_number().over(Window.orderBy(F.col("n").desc(), "detected_language")))
     return c.groupBy(F.when(F.col("rn") <= 2, F.col("detected_language")).otherwise("(other languages)").alias("language")).agg(F.sum("n").alias("n"))
@@ -730,13 +760,21 @@ def score_breakdown_members(s, d):
     return held.select("theme", "sentiment", rows).select("theme", "sentiment", "r.component", F.round("r.x.normalized", 9).alias("normalized"), "r.x.weight", F.round("r.x.contribution", 9).alias("contribution"))
 
 
-_HITS = ", ".join(f"len(list_filter(string_split(lower(coalesce(text, '')), ' '), lambda w: w IN ({', '.join(repr(w) for w in v)}))) AS {k}" for k, v in sorted(fd.STOP_WORDS.items()))
-_BEST = "CASE greatest(" + ", ".join(sorted(fd.STOP_WORDS)) + ") WHEN 0 THEN NULL " + " ".join(f"WHEN {k} THEN '{k}'" for k in sorted(fd.STOP_WORDS)) + " END"
-
-
-@query(f"SELECT doc_id, {_BEST} AS lang_found, CASE WHEN de + en + es + fr > 0 THEN round(greatest(de, en, es, fr)::DOUBLE / (de + en + es + fr), 9) ELSE 0.0 END AS lang_confidence FROM (SELECT doc_id, {_HITS} FROM documents)")
+@query("SELECT d.doc_id, r.lang AS lang_found, round(p, 9) AS lang_confidence FROM documents d LEFT JOIN ranked r ON d.doc_id = r.doc_id AND rank = 1", _DETECT)
 def lang_detect(s, d):
-    return fd.detect_language(table(s, d, "documents")).select("doc_id", "lang_found", F.round("lang_confidence", 9).alias("lang_confidence"))
+    """The likeliest language of each text, null where no known trigram stands in it."""
+    docs = _texts(s, d)
+    held = language.detect(docs.select("doc_id", "text"), language.fit(docs))
+    best = F.col("ranked")[0]
+    return held.select("doc_id", best["lang"].alias("lang_found"), F.round(best["p"], 9).alias("lang_confidence"))
+
+
+@query("SELECT doc_id, rank, lang, round(p, 9) AS p FROM ranked", _DETECT)
+def lang_ranked(s, d):
+    """All languages of each text by falling posterior."""
+    docs = _texts(s, d)
+    held = language.detect(docs.select("doc_id", "text"), language.fit(docs))
+    return held.select("doc_id", F.posexplode("ranked").alias("at", "x")).select("doc_id", (F.col("at") + 1).alias("rank"), "x.lang", F.round("x.p", 9).alias("p"))
 
 
 @query("SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS pos FROM documents")

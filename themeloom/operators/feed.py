@@ -7,14 +7,6 @@ from pyspark.sql import functions as F
 
 from themeloom.functions.text import bar, first_truthy, percent, strip
 
-#: Frequent short words by which a language is told.
-STOP_WORDS = {
-    "de": ["der", "die", "und", "das", "ist", "nicht", "ein", "eine", "zu", "auf", "für", "mit", "von", "den"],
-    "en": ["the", "of", "and", "to", "in", "is", "that", "it", "was", "for", "on", "are", "with", "as"],
-    "es": ["el", "la", "de", "que", "y", "los", "se", "del", "las", "un", "por", "con", "no", "una"],
-    "fr": ["le", "les", "des", "et", "une", "du", "pour", "dans", "est", "qui", "pas", "sur", "au", "ce"],
-}
-
 
 def normalise_android(feed: DataFrame, country: str | Column = "us") -> DataFrame:
     """Reviews from (seq, reviewId, score, content, at, reviewCreatedVersion, appVersion); blank texts and null times go."""
@@ -36,10 +28,33 @@ def normalise_ios(feed: DataFrame) -> DataFrame:
 
 
 def take_while(feed: DataFrame, cutoff: Column, by: str, order: str = "seq", ts: str = "ts", counts: Column | None = None) -> DataFrame:
-    """Rows of each feed before the first one older than cutoff; rows that `counts` is false for never stop it."""
+    """Rows of each feed before the first one older than cutoff; rows that `counts` is false for never stop it.
+
+    The least `order` past the cutoff is an aggregate of each feed, joined back: no feed is sorted or gathered in a task.
+    `order` is any type that compares, without nulls; a null feed is a feed.
+    """
     late = (F.col(ts) < cutoff) if counts is None else ((F.col(ts) < cutoff) & counts)
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return feed.withColumn("_stop", F.max(F.coalesce(late, F.lit(False)).cast("int")).over(w)).where("_stop = 0").drop("_stop")
+    stops = feed.where(late).groupBy(F.col(by).alias("_feed")).agg(F.min(order).alias("_stop"))
+    held = feed.join(stops, F.col(by).eqNullSafe(F.col("_feed")), "left")
+    return held.where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).select(*feed.columns)
+
+
+def accept(feed: DataFrame, cutoff: Column, by: str, key: str, order: str = "seq", ts: str = "ts", text: str = "content") -> DataFrame:
+    """The rows of each feed that reading it in order accepts, with the checks one after another.
+
+    A row without a key, or with a key that an accepted row before it has, is passed over; then one without a time; then the
+    first row older than cutoff ends the feed; then a blank text is passed over. So skipped rows never end a feed, and a
+    blank first copy does not hide a later good one. Up to where a feed ends, a key's accepted row is its least good one:
+    aggregates of each key and feed say so, without a sort. Rows come back once for each feed and key.
+    """
+    good = F.col(key).isNotNull() & (F.col(ts) >= cutoff) & (strip(F.col(text)) != "")
+    firsts = feed.where(good).groupBy(F.col(by).alias("_feed"), F.col(key).alias("_key"))
+    firsts = firsts.agg(F.min(order).alias("_first"), F.min_by(F.struct(*feed.columns), order).alias("_row"))
+    late = feed.where(F.col(key).isNotNull() & (F.col(ts) < cutoff)).select(F.col(by).alias("_f"), F.col(key).alias("_k"), F.col(order).alias("_o"))
+    seen = late.join(firsts, F.col("_f").eqNullSafe(F.col("_feed")) & (F.col("_k") == F.col("_key")) & (F.col("_first") < F.col("_o")), "left_anti")
+    stops = seen.groupBy("_f").agg(F.min("_o").alias("_stop"))
+    held = firsts.join(stops, F.col("_feed").eqNullSafe(F.col("_f")), "left")
+    return held.where(F.col("_stop").isNull() | (F.col("_first") < F.col("_stop"))).select("_row.*")
 
 
 def keep_one(rows: DataFrame, key: str, order: Column) -> DataFrame:
@@ -66,28 +81,6 @@ def split_by_language(rows: DataFrame, target: str, least: float = 0.5, lang: st
     })
 
 
-def check_target(code: str) -> str:
-    """A language code that detection knows; any other is an error."""
-    if code not in STOP_WORDS:
-        raise ValueError(f"unsupported language {code!r}; known: {sorted(STOP_WORDS)}")
-    return code
-
-
-def _count_of(words: Column, wanted: list[str]) -> Column:
-    return F.size(F.filter(words, lambda w: w.isin(wanted)))
-
-
-def detect_language(rows: DataFrame, text: str = "text") -> DataFrame:
-    """rows with lang_found and lang_confidence: the language with most stop words among the words of the text, ties to the
-    first in alphabet order, and its share of all stop words; null and 0 without one. Words end at single spaces."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), " ")
-    hits = {k: _count_of(words, v) for k, v in sorted(STOP_WORDS.items())}
-    best = F.greatest(*hits.values())
-    found = F.coalesce(*[F.when((n == best) & (n > 0), F.lit(k)) for k, n in hits.items()])
-    total = sum(hits.values(), F.lit(0))
-    return rows.withColumns({"lang_found": found, "lang_confidence": F.when(total > 0, best / total).otherwise(0.0)})
-
-
 def rating_histogram(rows: DataFrame, rating: str = "rating") -> DataFrame:
     """rating, n, pct, bar for each of 1 to 5, zeros shown, and with a null rating for all other rows; shares are of all rows."""
     inside = F.when(F.col(rating).between(1, 5), F.col(rating))

@@ -83,14 +83,9 @@ FEED = """feed AS (SELECT event_id, event_type AS feed, user_id % 500 AS rid, ts
 
 
 def feed(spark: SparkSession, d: str) -> DataFrame:
+    """Feeds in an order that disagrees with their times; `seq` is a pair that compares, so nothing is numbered."""
     e = table(spark, d, "events")
-    shifted = F.col("ts") + F.make_dt_interval(hours=(F.col("event_id") % 7).cast("int"))
-    seq = F.row_number().over(Window.partitionBy("event_type").orderBy(shifted.desc(), "event_id"))
-    return e.select("event_id", F.col("event_type").alias("feed"), (F.col("user_id") % 500).alias("rid"), "ts", F.when(F.col("event_id") % 11 == 0, "  ").otherwise(F.col("props")).alias("content"), seq.alias("seq"))
-
-
-DOCS = "docs AS (SELECT doc_id, lang, least(1.0, n_chars / 2000.0) AS confidence, text FROM documents)"
-
-
-def docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "lang", F.least(F.lit(1.0), F.col("n_chars") / 2000.0).alias("confidence"), "text")
+    shifted = F.unix_micros(F.col("ts").cast("timestamp")) + (F.col("event_id") % 7) * 3_600_000_000
+    content = F.when(F.col("event_id") % 11 == 0, "  ").otherwise(F.col("props"))
+    seq = F.struct((-shifted).alias("at"), F.col("event_id"))
+    return e.select("event_id", F.col("event_type").alias("feed"), (F.col("user_id") % 500).alias("rid"), "ts", content.alias("content"), seq.alias("seq"))
