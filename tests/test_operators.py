@@ -116,12 +116,16 @@ def test_retry():
             raise RuntimeError("Connection reset")
         return [{"theme": "x"}]
 
-    assert extraction.with_retry(flaky, wait=waits.append)[1:] == ("ok", 3) and len(waits) == 2
+    issues, status, log = extraction.with_retry(flaky, wait=waits.append)
+    assert (issues, status, len(waits)) == ([{"theme": "x"}], "ok", 2)
+    assert [(a["attempt"], a["kind"], a["waited"]) for a in log] == [(1, "server", 0.0), (2, "server", waits[0]), (3, "ok", waits[1])]
 
     def capped():
         raise RuntimeError("tokens per day exceeded, rate limit")
 
-    assert extraction.with_retry(capped, wait=waits.append)[1:] == ("daily_cap", 1)
+    _, status, log = extraction.with_retry(capped, wait=waits.append)
+    assert status == "daily_cap" and [a["kind"] for a in log] == ["daily_cap"]
+    assert extraction.with_retry(flaky, stopped=lambda: True) == (None, "daily_cap", [])
     with pytest.raises(ValueError):
         extraction.backend("none")
 
@@ -153,37 +157,7 @@ def test_waits_grow_and_end():
     held = list(extraction.waits(6, 1.0, 4.0))
     assert len(held) == 6 and all(0.5 * min(4, 2**k) <= w <= 1.5 * min(4, 2**k) for k, w in enumerate(held))
     said = ("tokens per day exceeded", "rate limit reached", "no such field")
-    assert [extraction.outcome(RuntimeError(x)) for x in said] == ["daily_cap", "again", "failed"]
-
-
-def test_failed_reviews_go_to_dead_letters_and_a_cap_stops_later_waves(spark, tmp_path):
-    def make():
-        def call(text):
-            if "cap" in text:
-                raise RuntimeError("tokens per day exceeded")
-            if "bad" in text:
-                raise ValueError("malformed")
-            return [{"theme": text, "severity": "low", "sentiment": "neutral", "feature_area": "other", "segment_hint": ""}] * 6
-
-        return call
-
-    extraction.register("staged", make)
-    rows = spark.createDataFrame([(str(i), "bad" if i % 7 == 0 else f"t{i}") for i in range(40)], "review_id string, text string")
-    at, dead = str(tmp_path / "cache"), str(tmp_path / "dead")
-    first = extraction.extract(rows, extraction.cached(spark, at, "k"), "staged", 2, waves=2)
-    extraction.store(first, at, dead, "k")
-    held = extraction.cached(spark, at, "k")
-    assert held.count() == 34 and held.where("size(issues) = 4").count() == 34
-    assert spark.read.parquet(dead).count() == 6
-    again = extraction.extract(rows, held, "staged", 2)
-    assert again.where("cached").count() == 34 and again.count() == 40
-    assert extraction.cached(spark, at, "other").count() == 0
-    capped = extraction.extract(rows.withColumn("text", F.lit("cap")), held.where("false"), "staged", 2, waves=3)
-    assert capped.where("status = 'daily_cap' and issues is null").count() == 40
-    with pytest.raises(RuntimeError):
-        extraction.register("locked", make, "NO_SUCH_SECRET_IS_SET")
-        extraction.backend("locked")
-    assert extraction.throughput(10, 20, 5.0, 30) == {"reviews_per_second": 2.0, "calls_per_minute": 240.0, "seconds_left": 15.0}
+    assert [extraction.outcome(RuntimeError(x)) for x in said] == ["daily_cap", "rate_limit", "failed"]
 
 
 def test_tools_and_schema():

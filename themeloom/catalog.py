@@ -11,6 +11,7 @@ from themeloom.functions import text as tx
 from themeloom.operators import clustering, embedding, extraction, language, matching, sampling, themes
 from themeloom.operators import feed as fd
 from themeloom.plans import bridge as b
+from themeloom.plans.ranking import numbered
 from themeloom.plans.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -225,7 +226,7 @@ def rating_histogram(s, d):
 @query("SELECT country, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, country) AS place FROM reviews GROUP BY country", b.REVIEWS)
 def country_counts(s, d):
     c = b.reviews(s, d).groupBy("country").agg(F.count("*").alias("n"))
-    return c.withColumn("place", F.row_number().over(Window.orderBy(F.col("n").desc(), "country")))
+    return numbered(c, F.col("n").desc(), F.col("country"), name="place")
 
 
 @query("SELECT platform, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, count(*) FILTER (WHERE country = 'nation_3') AS n_home FROM reviews GROUP BY platform", b.REVIEWS)
@@ -423,8 +424,8 @@ def cluster_members(s, d):
 
 @query("SELECT theme, sentiment, size, 'c_' || lpad(CAST(row_number() OVER (ORDER BY size DESC, sentiment, theme) AS VARCHAR), 4, '0') AS cluster_id FROM clusters WHERE size >= 3", b.ISSUES, b.CLUSTERS)
 def cluster_rank(s, d):
-    held = b.clusters(s, d).where("size >= 3")
-    return held.select("theme", "sentiment", "size", F.format_string("c_%04d", F.row_number().over(Window.orderBy(F.col("size").desc(), "sentiment", "theme"))).alias("cluster_id"))
+    held = numbered(b.clusters(s, d).where("size >= 3"), F.col("size").desc(), F.col("sentiment"), F.col("theme"), name="place")
+    return held.select("theme", "sentiment", "size", F.format_string("c_%04d", "place").alias("cluster_id"))
 
 
 @query("SELECT count(*) FILTER (WHERE size < 450) AS noise, CAST(sum(size) FILTER (WHERE size >= 450) AS BIGINT) AS covered, round(coalesce(sum(size) FILTER (WHERE size >= 450), 0) / sum(size), 9) AS share FROM clusters", b.ISSUES, b.CLUSTERS)
@@ -450,7 +451,7 @@ def _scored(s, d, floor=450):
 @query("SELECT theme, sentiment, size, round(score, 9) AS score, row_number() OVER (ORDER BY round(score, 9) DESC, theme, sentiment) AS rank FROM scored", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=10))
 def score_rank(s, d):
     out = _scored(s, d, 10).select("theme", "sentiment", "size", F.round("score", 9).alias("score"))
-    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc(), "theme", "sentiment")))
+    return numbered(out, F.col("score").desc(), F.col("theme"), F.col("sentiment"))
 
 
 @query("SELECT theme, sentiment, round(freq_part, 9) AS freq_part, round(sev_part, 9) AS sev_part, round(fit_part, 9) AS fit_part, round(score, 9) AS score FROM scored", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=450))
@@ -483,7 +484,9 @@ def topk_per_group(s, d):
 
 @query("SELECT theme, sentiment, rank() OVER (ORDER BY size DESC) AS prevalence, rank() OVER (ORDER BY round(score, 9) DESC) AS priority, rank() OVER (ORDER BY size DESC) - rank() OVER (ORDER BY round(score, 9) DESC) AS moved FROM scored", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=10))
 def rank_prevalence_vs_priority(s, d):
-    out = _scored(s, d, 10).withColumns({"prevalence": F.rank().over(Window.orderBy(F.col("size").desc())), "priority": F.rank().over(Window.orderBy(F.round("score", 9).desc()))})
+    out = _scored(s, d, 10).select("theme", "sentiment", "size", F.round("score", 9).alias("score"))
+    out = numbered(out, F.col("size").desc(), F.col("theme"), F.col("sentiment"), name="prevalence", key="size")
+    out = numbered(out, F.col("score").desc(), F.col("theme"), F.col("sentiment"), name="priority", key="score")
     return out.select("theme", "sentiment", "prevalence", "priority", (F.col("prevalence") - F.col("priority")).alias("moved"))
 
 

@@ -7,14 +7,11 @@ import random
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.functions.text import DAILY_MARKS, RETRY_CODES, RETRY_MARKS
+from themeloom.functions.text import DAILY_MARKS, RATE_MARKS, RETRY_CODES, RETRY_MARKS
 from themeloom.operators.themes import AREAS
-from themeloom.plans.session import materialise, workers_find_package
 
 #: The fields of an issue and the labels they may have.
 FIELDS = {
@@ -78,12 +75,13 @@ def nested_tool(name: str) -> dict:
 
 
 def outcome(error: Exception) -> str:
-    """What an error means: `daily_cap` (stop), `again` (transient) or `failed`."""
-    said = str(error).lower()
+    """What an error means: `daily_cap` (stop), `rate_limit` or `server` (try again), or `failed`."""
+    said, code = str(error).lower(), getattr(error, "status_code", None)
     if any(mark in said for mark in DAILY_MARKS):
         return "daily_cap"
-    transient = getattr(error, "status_code", None) in RETRY_CODES or any(mark in said for mark in RETRY_MARKS)
-    return "again" if transient else "failed"
+    if code not in RETRY_CODES and not any(mark in said for mark in RETRY_MARKS):
+        return "failed"
+    return "rate_limit" if code == 429 or any(mark in said for mark in RATE_MARKS) else "server"
 
 
 def waits(retries: int, base: float, cap: float) -> Iterator[float]:
@@ -92,83 +90,42 @@ def waits(retries: int, base: float, cap: float) -> Iterator[float]:
         yield min(cap, base * 2**k) * random.uniform(0.5, 1.5)
 
 
-def with_retry(call: Callable[[], list[dict]], retries: int = 5, base: float = 1.0, cap: float = 30.0, wait: Callable[[float], None] = time.sleep) -> tuple[list[dict] | None, str, int]:
-    """(issues, status, attempts): transient errors are tried again, an exhausted daily allowance is not."""
-    pauses, attempts, said = waits(retries, base, cap), 0, "again"
-    while said == "again":
-        attempts += 1
+def with_retry(
+    call: Callable[[], list[dict]],
+    retries: int = 5,
+    base: float = 1.0,
+    cap: float = 30.0,
+    wait: Callable[[float], None] = time.sleep,
+    stopped: Callable[[], bool] = lambda: False,
+) -> tuple[list[dict] | None, str, list[dict]]:
+    """(issues, status, attempts): transient errors are tried again, an exhausted daily allowance is not.
+
+    attempts has a record of each call: at (seconds), attempt, kind (ok, rate_limit, server, failed, daily_cap), said, and
+    the seconds waited before it. Before each call `stopped` is asked; if it says so there is no further call.
+    """
+    pauses, log, waited = waits(retries, base, cap), [], 0.0
+    while not stopped():
+        found, kind, said, at = None, "ok", None, time.time()
         try:
-            return call(), "ok", attempts
+            found = call()
         except Exception as error:
-            said = outcome(error)
-        if said == "again":
-            pause = next(pauses, None)
-            if pause is None:
-                said = "failed"
-            else:
-                wait(pause)
-    return None, said, attempts
-
-
-def extract(reviews: DataFrame, cache: DataFrame, provider: str = "rules", tasks: int = 5, waves: int = 1, lexicon: dict[str, str] = RULES) -> DataFrame:
-    """(review_id, issues, status, cached): cached issues where there are some, else what the backend gives.
-
-    reviews(review_id, text), cache(review_id, issues) of one cache key. Issues are capped. The offline rules are column
-    expressions. A backend is called in `tasks` tasks at once, and the reviews in `waves` runs one after another, each
-    written before the next: a failed review keeps its row with null issues and its status; after a daily cap a task calls
-    no more, and no further wave calls at all.
+            kind, said = outcome(error), str(error)
+        log.append({"at": at, "attempt": len(log) + 1, "kind": kind, "said": said, "waited": waited})
+        if kind in ("ok", "failed", "daily_cap"):
+            return found, kind, log
+        waited = next(pauses, None)
+        if waited is None:
+            return None, "failed", log
+        wait(waited)
+    return None, "daily_cap", log
+
+
+def extract(reviews: DataFrame, cache: DataFrame, lexicon: dict[str, str] = RULES) -> DataFrame:
+    """(review_id, issues, status, cached): cached issues where there are some, else what the offline rules find.
+
+    reviews(review_id, text), cache(review_id, issues) of one cache key. Issues are capped. The rules are column expressions;
+    a backend that is called, fails and has a daily allowance is run by operators/runs.py.
     """
     hits = reviews.join(cache, "review_id").select("review_id", F.slice("issues", 1, MOST_ISSUES).alias("issues"), F.lit("ok").alias("status"), F.lit(True).alias("cached"))
     todo = reviews.join(cache, "review_id", "left_anti").select("review_id", "text")
-    if provider == "rules":
-        return hits.unionByName(todo.select("review_id", rule_issues(F.col("text"), lexicon).alias("issues"), F.lit("ok").alias("status"), F.lit(False).alias("cached")))
-    workers_find_package(reviews.sparkSession)
-    make = backend(provider)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call, closed = make(), False
-        for frame in frames:
-            out = []
-            for text in frame["text"]:
-                issues, status, _ = (None, "daily_cap", 0) if closed else with_retry(lambda t=text: call(t or ""))
-                closed |= status == "daily_cap"
-                out.append((None if issues is None else issues[:MOST_ISSUES], status))
-            yield pd.DataFrame({"review_id": frame["review_id"], "issues": [x for x, _ in out], "status": [y for _, y in out]})
-
-    kind = reviews.schema["review_id"].dataType.simpleString()
-    schema, closed, out = f"review_id {kind}, issues {ISSUES}, status string", False, hits
-    for wave in range(waves):
-        part = todo if waves == 1 else todo.where(F.pmod(F.xxhash64("review_id"), F.lit(waves)) == wave)
-        if closed:
-            fresh = part.select("review_id", F.lit(None).cast(ISSUES).alias("issues"), F.lit("daily_cap").alias("status"))
-        else:
-            fresh = part.repartition(tasks).mapInPandas(run, schema)
-            fresh = fresh if waves == 1 else materialise(fresh)
-            closed = waves > 1 and not fresh.where("status = 'daily_cap'").isEmpty()
-        out = out.unionByName(fresh.withColumn("cached", F.lit(False)))
-    return out
-
-
-def store(results: DataFrame, cache_path: str, dead_path: str, cache_key: str) -> None:
-    """Append fresh issues to the cache of a key and failed reviews, with their status, to the dead letters.
-
-    results is that of extract(); it is written once and read for both, so no backend is called twice.
-    """
-    held = materialise(results.where("not cached").withColumn("cache_key", F.lit(cache_key)))
-    held.where("status = 'ok'").select("review_id", "issues", "cache_key").write.partitionBy("cache_key").mode("append").parquet(cache_path)
-    held.where("status <> 'ok'").select("review_id", "status", "cache_key").write.partitionBy("cache_key").mode("append").parquet(dead_path)
-
-
-def cached(spark: SparkSession, cache_path: str, cache_key: str) -> DataFrame:
-    """The cache of a key, one row for each review; empty where nothing was written."""
-    try:
-        held = spark.read.parquet(cache_path)
-    except AnalysisException:
-        return spark.createDataFrame([], f"review_id string, issues {ISSUES}")
-    return held.where(F.col("cache_key") == cache_key).dropDuplicates(["review_id"]).select("review_id", "issues")
-
-
-def throughput(done: int, calls: int, seconds: float, left: int) -> dict[str, float]:
-    """Reviews a second, calls a minute and seconds to go."""
-    rate = done / seconds if seconds > 0 else 0.0
-    return {"reviews_per_second": rate, "calls_per_minute": 60 * calls / seconds if seconds > 0 else 0.0, "seconds_left": left / rate if rate else float("inf")}
+    return hits.unionByName(todo.select("review_id", rule_issues(F.col("text"), lexicon).alias("issues"), F.lit("ok").alias("status"), F.lit(False).alias("cached")))

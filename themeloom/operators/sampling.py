@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Quotas by rating of the development, smoke and blind samples.
 DEV, SMOKE, BLIND = {1: 10, 2: 4, 3: 3, 4: 2, 5: 1}, {1: 5, 2: 2, 3: 2, 4: 1}, {1: 18, 2: 12, 3: 10, 4: 5, 5: 5}
+#: Parts that a stratum is cut into before its members are ranked.
+SALT = 32
 
 
 def draw_rank(seed: int, id_col: str = "review_id"):
@@ -29,9 +31,16 @@ def allocate(pools: DataFrame, target: int, by: str = "platform") -> DataFrame:
 
 
 def draw(rows: DataFrame, quotas: DataFrame, keys: list[str], seed: int = 42, id_col: str = "review_id") -> DataFrame:
-    """The rows of each stratum with the least md5 ranks, as many as quotas(keys, n) says."""
-    ranked = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(draw_rank(seed, id_col), id_col)))
-    return ranked.join(quotas.select(*keys, F.col("n").alias("_n")), keys).where("_rn <= _n").drop("_rn", "_n")
+    """The rows of each stratum with the least md5 ranks, as many as quotas(keys, n) says, with their place `pos` from 1.
+
+    Each stratum is cut into SALT parts by a hash; the first n of each part hold the first n of all, so a task sees a part of
+    a stratum, and then SALT * n rows at most.
+    """
+    order = [draw_rank(seed, id_col), F.col(id_col)]
+    held = rows.join(quotas.select(*keys, F.col("n").alias("_n")), keys).withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALT)))
+    first = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))
+    held = held.withColumn("_rn", first).where("_rn <= _n").withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return held.where("pos <= _n").select(*rows.columns, "pos")
 
 
 def fixed(rows: DataFrame, quotas: dict[int, int], seed: int = 42, by: str | None = None, strict: bool = True) -> DataFrame:
@@ -51,6 +60,6 @@ def fixed(rows: DataFrame, quotas: dict[int, int], seed: int = 42, by: str | Non
 
 
 def with_pins(picked: DataFrame, corpus: DataFrame, pins: DataFrame, id_col: str = "review_id") -> DataFrame:
-    """picked and the pinned rows of corpus that it lacks; pins(id) outside corpus are ignored."""
+    """picked and the pinned rows of corpus that it lacks, without a pos; pins(id) outside corpus are ignored."""
     missing = corpus.join(pins, id_col, "left_semi").join(picked.select(id_col), id_col, "left_anti")
-    return picked.unionByName(missing)
+    return picked.unionByName(missing, allowMissingColumns=True)

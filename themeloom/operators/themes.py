@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,11 +97,14 @@ def platform_skew(counts: DataFrame, even: float = 1.2, least: int = 3) -> DataF
 
 
 def medoids(members: DataFrame, keys: list[str], vec: str = "embedding", id_col: str = "vec_id") -> DataFrame:
-    """keys, id_col, sim: likeness of each member to the normalised mean of its cluster's normalised vectors."""
+    """keys, id_col, sim: likeness of each member to the normalised mean of its cluster's normalised vectors.
+
+    Vectors of a cluster have one length. They are summed inside tasks, and a task hands on one vector for each cluster.
+    """
     norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     unit = members.select(*keys, id_col, F.transform(vec, lambda x: x.cast("double") / F.greatest(norm, F.lit(1e-12))).alias("u"))
-    dims = unit.select(*keys, F.posexplode("u").alias("d", "x")).groupBy(*keys, "d").agg(F.avg("x").alias("m"))
-    centre = dims.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "m"))), lambda s: s["m"]).alias("c"), F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("len"))
+    centre = unit.groupBy(*keys).agg(vector_to_array(Summarizer.mean(array_to_vector("u"))).alias("c"))
+    centre = centre.withColumn("len", F.sqrt(F.aggregate("c", F.lit(0.0), lambda a, x: a + x * x)))
     both = unit.join(centre, keys)
     dot = F.aggregate(F.zip_with("u", "c", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     return both.select(*keys, id_col, (dot / F.greatest("len", F.lit(1e-12))).alias("sim"))

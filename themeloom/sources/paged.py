@@ -23,6 +23,7 @@ from pyspark.sql.datasource import (
 )
 
 from themeloom.plans.session import workers_find_package
+from themeloom.sources.shared import open_folder
 
 SCHEMA = "seq bigint, id string, rating int, content string, date timestamp, app_version string, title string, country string"
 _FIELDS = ("id", "rating", "content", "date", "app_version", "title")
@@ -115,7 +116,7 @@ class PageLog:
     """Fetched pages as files, one for each page of a country, in a folder that driver and executors share."""
 
     def __init__(self, uri: str):
-        self.store, self.root = fs.FileSystem.from_uri(uri)
+        self.store, self.root = open_folder(uri)
 
     def _path(self, country: str, number: int) -> str:
         return f"{self.root}/{country}/{number:09d}.json"
