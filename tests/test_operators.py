@@ -162,7 +162,7 @@ def test_waits_grow_and_end():
 
 def test_tools_and_schema():
     schema = extraction.json_schema()["properties"]["issues"]
-    assert schema["maxItems"] == 4 and schema["items"]["properties"]["feature_area"]["enum"] == themes.AREAS and set(schema["items"]["required"]) == set(extraction.FIELDS)
+    assert schema["maxItems"] == 4 and schema["items"]["properties"]["feature_area"]["enum"] == themes.AREAS and set(schema["items"]["required"]) == set(extraction.DECLARATION.names)
     assert extraction.nested_tool("t")["function"]["parameters"] == extraction.flat_tool("t")["input_schema"]
 
 

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from themeloom.functions import text as tx
-from themeloom.operators import clustering, embedding, extraction, language, matching, sampling, themes
+from themeloom.operators import clustering, embedding, extraction, language, matching, rules, sampling, themes
 from themeloom.operators import feed as fd
 from themeloom.plans import bridge as b
 from themeloom.plans.ranking import numbered
-from themeloom.plans.session import table
+from themeloom.plans.session import materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -134,6 +134,42 @@ def json_tool_args(s, d):
     return e.select("event_id", F.get_json_object(F.coalesce(F.nullif(args, F.lit("")), F.lit("{}")), "$.k").alias("k"))
 
 
+#: Tool arguments as a model might give them: whole, empty, cut off, with a label that does not exist, without a field.
+_ARGS = r"""args AS (SELECT review_id, CASE WHEN review_id % 7 = 0 THEN '' WHEN review_id % 7 = 1 THEN left(a, length(a) - 5) ELSE a END AS a
+  FROM (SELECT review_id, '{"issues": [' || string_agg('{"theme": "' || theme || '", ' || CASE WHEN line % 5 = 4 THEN '' ELSE '"severity": "' ||
+    CASE WHEN line % 5 = 3 THEN 'grave' ELSE severity END || '", ' END || '"sentiment": "' || sentiment || '", "feature_area": "' || feature_area ||
+    '", "segment_hint": ""}', ', ' ORDER BY issue_pos) || ']}' AS a FROM issues GROUP BY review_id)),
+ parsed AS (SELECT review_id, a <> '' AND NOT json_valid(a) AS broken,
+  CASE WHEN a <> '' AND json_valid(a) THEN from_json(a, '{"issues": [{"theme": "VARCHAR", "severity": "VARCHAR", "sentiment": "VARCHAR", "feature_area": "VARCHAR"}]}').issues ELSE [] END AS x FROM args),
+ kept AS (SELECT review_id, broken, len(x) > 4 AS more, x[1:4] AS x FROM parsed)"""
+
+
+@query(
+    """SELECT review_id, array_to_string(list_transform(x, lambda i: concat_ws('/', i.theme, i.severity, i.sentiment, i.feature_area)), ',') AS issues,
+    array_to_string(list_concat(CASE WHEN broken THEN ['malformed'] ELSE [] END, CASE WHEN more THEN ['too many'] ELSE [] END,
+      list_filter(list_transform(x, lambda i, k: CASE WHEN i.severity IS NULL THEN (k - 1) || '.severity missing' WHEN i.severity NOT IN ('low', 'medium', 'high') THEN (k - 1) || '.severity=' || i.severity END), lambda p: p IS NOT NULL)), ',') AS problems
+    FROM kept""",
+    b.ISSUES,
+    _ARGS,
+)
+def json_tool_issues(s, d):
+    """Whole issues from tool arguments, checked against the declaration."""
+    i = b.issues(s, d, True)
+    severity = F.when(F.col("line") % 5 == 3, "grave").otherwise(F.col("severity"))
+    item = F.concat(
+        F.lit('{"theme": "'), "theme", F.lit('", '),
+        F.when(F.col("line") % 5 == 4, "").otherwise(F.concat(F.lit('"severity": "'), severity, F.lit('", '))),
+        F.lit('"sentiment": "'), "sentiment", F.lit('", "feature_area": "'), "feature_area", F.lit('", "segment_hint": ""}'),
+    )
+    held = i.groupBy("review_id").agg(F.array_sort(F.collect_list(F.struct("issue_pos", item.alias("x")))).alias("x"))
+    whole = F.concat(F.lit('{"issues": ['), F.array_join("x.x", ", "), F.lit("]}"))
+    held = held.select("review_id", whole.alias("a"))
+    said = F.when(F.col("review_id") % 7 == 0, "").when(F.col("review_id") % 7 == 1, F.expr("left(a, length(a) - 5)")).otherwise(F.col("a"))
+    held = held.select("review_id", extraction.DECLARATION.parse(said).alias("p"))
+    each = F.transform("p.issues", lambda x: F.concat_ws("/", x["theme"], x["severity"], x["sentiment"], x["feature_area"]))
+    return held.select("review_id", F.array_join(each, ",").alias("issues"), F.array_join("p.problems", ",").alias("problems"))
+
+
 @query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END AS n FROM events")
 def map_header_filter(s, d):
     e = table(s, d, "events")
@@ -384,17 +420,34 @@ def extract_cache_split(s, d):
     return table(s, d, "orders").join(held, F.col("o_orderkey") == F.col("event_id"), "left").select(F.col("o_orderkey").alias("review_id"), F.col("event_id").isNotNull().alias("cached"))
 
 
-#: A lexicon for the invented prose of the tables.
-_LEXICON = {"down": "downloads", "idiot": "social", "stupid": "social", "licen": "monetization", "mail": "account", "tion": "discovery", "crash": "stability"}
-_RULE_ROWS = "rules AS (SELECT * FROM (VALUES " + ", ".join(f"({k}, '{w}', '{a}')" for k, (w, a) in enumerate(_LEXICON.items())) + ") r(k, word, area))"
-_FOUND = "found AS (SELECT doc_id, word, area, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS issue_pos FROM documents JOIN rules ON contains(lower(text), word) QUALIFY issue_pos < 4)"
+#: Rules for the invented prose: its 300 commonest words and as many word pairs, labelled by their rank.
+_RULE_LABELS = {"severity": ("low", "medium", "high"), "sentiment": ("negative", "neutral", "positive", "negative"), "feature_area": tuple(themes.AREAS)}
+_PICK_LABEL = lambda values: "CASE k % " + str(len(values)) + " " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+_RULES = rf"""words AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}'']+'), lambda w: w <> '') AS w FROM documents),
+ seqs AS (SELECT doc_id, unnest(range(0, len(w))) AS place, unnest(w) AS phrase, 1 AS n FROM words
+  UNION ALL SELECT doc_id, unnest(range(0, len(w) - 1)), unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])), 2 FROM words),
+ common AS (SELECT phrase, n, row_number() OVER (PARTITION BY n ORDER BY count(*) DESC, phrase) AS k FROM seqs GROUP BY 1, 2),
+ rules AS (SELECT phrase, {", ".join(f"{_PICK_LABEL(v)} AS {c}" for c, v in _RULE_LABELS.items())} FROM common WHERE k <= 300)"""
+_FOUND = """found AS (SELECT doc_id, phrase, severity, sentiment, feature_area, row_number() OVER (PARTITION BY doc_id ORDER BY min(place), length(phrase), phrase) - 1 AS issue_pos
+  FROM seqs JOIN rules USING (phrase) GROUP BY doc_id, phrase, severity, sentiment, feature_area QUALIFY issue_pos < 4)"""
+
+
+def _corpus_rules(s, d):
+    docs = table(s, d, "documents").select("doc_id", "text")
+    n = F.size(F.split("phrase", " "))
+    common = rules.sequences(docs, "text", [1, 2], "doc_id").groupBy("phrase").agg(F.count("*").alias("c")).withColumn("n", n)
+    k = F.row_number().over(Window.partitionBy("n").orderBy(F.col("c").desc(), "phrase"))
+    common = common.withColumn("k", k).where("k <= 300")
+    labels = [F.element_at(F.array(*map(F.lit, v)), (F.col("k") % len(v) + 1)).alias(c) for c, v in _RULE_LABELS.items()]
+    return materialise(common.select("phrase", F.col("phrase").alias("theme"), *labels))
 
 
-@query("SELECT doc_id, issue_pos, word AS theme, area, 'medium' AS severity FROM found", _RULE_ROWS, _FOUND)
+@query("SELECT doc_id, issue_pos, phrase AS theme, severity, sentiment, feature_area FROM found", _RULES, _FOUND)
 def extract_rules(s, d):
-    """The offline extractor: issues by the words of a lexicon that stand in the text."""
-    held = table(s, d, "documents").select("doc_id", F.posexplode(extraction.rule_issues(F.col("text"), _LEXICON)).alias("issue_pos", "i"))
-    return held.select("doc_id", F.col("issue_pos").cast("bigint").alias("issue_pos"), "i.theme", F.col("i.feature_area").alias("area"), "i.severity")
+    """The offline extractor: issues by the phrases of 600 rules that stand in the text, in their order."""
+    held = rules.find(table(s, d, "documents").select(F.col("doc_id").alias("review_id"), "text"), _corpus_rules(s, d))
+    held = held.select(F.col("review_id").alias("doc_id"), F.posexplode("issues").alias("issue_pos", "i"))
+    return held.select("doc_id", F.col("issue_pos").cast("bigint").alias("issue_pos"), "i.theme", "i.severity", "i.sentiment", "i.feature_area")
 
 
 # Themes, scores ---------------------------------------------------------------------------------------------------
@@ -550,14 +603,21 @@ def theme_clusters(s, d):
     return found.select("part", "theme", "cluster")
 
 
-@query("SELECT doc_id AS review_id, 'ok' AS status, doc_id % 4 = 0 AS cached, coalesce(CASE WHEN doc_id % 4 = 0 THEN 'kept' ELSE string_agg(word || ':' || area, ' ' ORDER BY issue_pos) END, '') AS issues FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id", _RULE_ROWS, _FOUND)
+@query(
+    """SELECT doc_id AS review_id, 'ok' AS status, doc_id % 4 = 0 AS cached, coalesce(CASE WHEN doc_id % 4 = 0 THEN 'kept'
+    ELSE string_agg(phrase || ':' || feature_area, ',' ORDER BY issue_pos) END, '') AS issues FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
+    _RULES,
+    _FOUND,
+)
 def extract_run(s, d):
-    """Extraction with a quarter of the reviews in the cache."""
+    """Extraction by rules with a quarter of the reviews in the cache."""
     docs = table(s, d, "documents").select(F.col("doc_id").alias("review_id"), "text")
     kept = F.struct(F.lit("kept").alias("theme"), *[F.lit("").alias(c) for c in ("severity", "sentiment", "feature_area", "segment_hint")])
-    out = extraction.extract(docs, docs.where("review_id % 4 = 0").select("review_id", F.array(kept).alias("issues")), lexicon=_LEXICON)
+    cache = docs.where("review_id % 4 = 0").select("review_id", F.array(kept).alias("issues"))
+    held = _corpus_rules(s, d)
+    out = extraction.with_cache(docs, cache, lambda rows: rules.find(rows, held))
     said = F.transform("issues", lambda i: F.when(F.col("cached"), i["theme"]).otherwise(F.concat(i["theme"], F.lit(":"), i["feature_area"])))
-    return out.select("review_id", "status", "cached", F.array_join(said, " ").alias("issues"))
+    return out.select("review_id", "status", "cached", F.array_join(said, ",").alias("issues"))
 
 
 # Evaluation -------------------------------------------------------------------------------------------------------

@@ -7,23 +7,28 @@ import random
 import time
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from themeloom.functions.text import DAILY_MARKS, RATE_MARKS, RETRY_CODES, RETRY_MARKS
+from themeloom.operators.schema import Declaration, Field
 from themeloom.operators.themes import AREAS
 
 #: The fields of an issue and the labels they may have.
-FIELDS = {
-    "theme": None,
-    "severity": ["low", "medium", "high"],
-    "sentiment": ["positive", "neutral", "negative"],
-    "feature_area": AREAS,
-    "segment_hint": None,
-}
-MOST_ISSUES = 4
+DECLARATION = Declaration(
+    "issues",
+    (
+        Field("theme"),
+        Field("severity", ("low", "medium", "high")),
+        Field("sentiment", ("positive", "neutral", "negative")),
+        Field("feature_area", tuple(AREAS)),
+        Field("segment_hint"),
+    ),
+    most=4,
+)
+MOST_ISSUES = DECLARATION.most
+ISSUES = DECLARATION.ddl()
 PROMPT = "List the product issues that the review reports, as the schema says."
-ISSUES = "array<struct<theme:string,severity:string,sentiment:string,feature_area:string,segment_hint:string>>"
 
 Backend = Callable[[str], list[dict]]
 _BACKENDS: dict[str, tuple[Callable[[], Backend], str | None]] = {}
@@ -45,23 +50,7 @@ def backend(name: str) -> Callable[[], Backend]:
 
 def json_schema() -> dict:
     """The tool schema of an issue list; every field is required."""
-    item = {k: {"type": "string", **({"enum": v} if v else {})} for k, v in FIELDS.items()}
-    one = {"type": "object", "properties": item, "required": list(item)}
-    return {"type": "object", "properties": {"issues": {"type": "array", "maxItems": MOST_ISSUES, "items": one}}, "required": ["issues"]}
-
-
-#: The offline lexicon: a word that stands anywhere in the lower-cased text, and the area of the issue that it reports.
-RULES = {"crash": "stability", "download": "downloads", "ads": "monetization", "login": "account", "playlist": "core_listening", "search": "discovery"}
-
-
-def rule_issues(text: Column, lexicon: dict[str, str] = RULES) -> Column:
-    """The issues that the lexicon finds in a text, in its order, at most MOST_ISSUES; none for a null text."""
-    rows = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(a).alias("area")) for w, a in lexicon.items()])
-    hits = F.filter(rows, lambda r: F.coalesce(F.contains(F.lower(text), r["word"]), F.lit(False)))
-    issue = lambda r: F.struct(
-        r["word"].alias("theme"), F.lit("medium").alias("severity"), F.lit("negative").alias("sentiment"), r["area"].alias("feature_area"), F.lit("").alias("segment_hint")
-    )
-    return F.slice(F.transform(hits, issue), 1, MOST_ISSUES).cast(ISSUES)
+    return DECLARATION.json_schema()
 
 
 def flat_tool(name: str) -> dict:
@@ -120,12 +109,15 @@ def with_retry(
     return None, "daily_cap", log
 
 
-def extract(reviews: DataFrame, cache: DataFrame, lexicon: dict[str, str] = RULES) -> DataFrame:
-    """(review_id, issues, status, cached): cached issues where there are some, else what the offline rules find.
+def with_cache(reviews: DataFrame, cache: DataFrame, found: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(review_id, issues, status, cached): cached issues where there are some, else what `found` gives for the rest.
 
-    reviews(review_id, text), cache(review_id, issues) of one cache key. Issues are capped. The rules are column expressions;
-    a backend that is called, fails and has a daily allowance is run by operators/runs.py.
+    reviews(review_id, text), cache(review_id, issues) of one cache key; found(reviews) gives (review_id, issues) of those
+    with issues, the others have none. Issues are capped. A backend that is called, fails and has a daily allowance is run
+    by operators/runs.py.
     """
-    hits = reviews.join(cache, "review_id").select("review_id", F.slice("issues", 1, MOST_ISSUES).alias("issues"), F.lit("ok").alias("status"), F.lit(True).alias("cached"))
+    capped = F.slice("issues", 1, MOST_ISSUES).alias("issues")
+    hits = reviews.join(cache, "review_id").select("review_id", capped, F.lit("ok").alias("status"), F.lit(True).alias("cached"))
     todo = reviews.join(cache, "review_id", "left_anti").select("review_id", "text")
-    return hits.unionByName(todo.select("review_id", rule_issues(F.col("text"), lexicon).alias("issues"), F.lit("ok").alias("status"), F.lit(False).alias("cached")))
+    fresh = todo.join(found(todo), "review_id", "left").withColumn("issues", F.coalesce("issues", F.array().cast(ISSUES)))
+    return hits.unionByName(fresh.select("review_id", capped, F.lit("ok").alias("status"), F.lit(False).alias("cached")))
