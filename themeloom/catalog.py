@@ -233,10 +233,10 @@ def src_per_country_cap(s, d):
     return fd.cap_per_group(b.reviews(s, d), "country", 100, F.col("ts").desc(), F.col("review_id")).select("country", "review_id", "rank")
 
 
-@query("SELECT p_brand, arg_min(p_partkey, p_partkey) AS hit, arg_min(p_name, p_partkey) AS name FROM part WHERE starts_with(p_name, substr(p_brand, 1, 1) || 'a') OR starts_with(p_name, 'a') GROUP BY p_brand")
+@query("SELECT p_brand, min(p_partkey) AS hit, arg_min(p_name, p_partkey) AS name FROM part WHERE starts_with(p_name, substr(lower(p_type), 1, 1)) GROUP BY p_brand")
 def src_first_prefix_match(s, d):
     """The first hit in order of each search whose name begins as expected."""
-    hits = table(s, d, "part").where(F.col("p_name").startswith(F.concat(F.substring("p_brand", 1, 1), F.lit("a"))) | F.col("p_name").startswith("a"))
+    hits = table(s, d, "part").where(F.col("p_name").startswith(F.substring(F.lower("p_type"), 1, 1)))
     return hits.groupBy("p_brand").agg(F.min("p_partkey").alias("hit"), F.min_by("p_name", "p_partkey").alias("name"))
 
 
@@ -712,6 +712,42 @@ def match_records(s, d):
     return matching.match_records(matching.match(b.model_and_gold(s, d))).withColumn("k", F.col("k").cast("bigint"))
 
 
+_SIDE = "concat_ws('/', {0}.theme, {0}.feature_area, {0}.severity)"
+_RECORD = f"""pairs AS (SELECT t.review_id, string_agg({_SIDE.format('m')} || ' > ' || {_SIDE.format('g')} || ' ' || (m.feature_area = g.feature_area) || ' ' || (m.severity = g.severity), ', '
+    ORDER BY t.p.score DESC, t.p.mi DESC, t.p.gi DESC) AS matches FROM taken t JOIN sides m ON t.review_id = m.review_id AND m.odd = 1 AND m.k = t.p.mi
+    JOIN sides g ON t.review_id = g.review_id AND g.odd = 0 AND g.k = t.p.gi GROUP BY 1),
+  rest AS (SELECT review_id, string_agg(CASE WHEN odd = 1 THEN {_SIDE.format('s')} END, ', ' ORDER BY k) AS um, string_agg(CASE WHEN odd = 0 THEN {_SIDE.format('s')} END, ', ' ORDER BY k) AS ug
+    FROM sides s WHERE (odd = 0 OR k < 4) AND NOT EXISTS (SELECT 1 FROM taken t WHERE t.review_id = s.review_id AND (odd = 1 AND t.p.mi = s.k OR odd = 0 AND t.p.gi = s.k)) GROUP BY 1),
+  has AS (SELECT review_id, bool_or(odd = 0) AS g, bool_or(odd = 1) AS m FROM sides GROUP BY 1)"""
+
+
+@query(
+    """SELECT o_orderkey AS review_id, o_orderpriority AS review_text, coalesce(g, false) AS gold_has_issue, coalesce(m, false) AS model_has_issue, coalesce(matches, '') AS matches,
+    coalesce(um, '') AS unmatched_model_issues, coalesce(ug, '') AS unmatched_gold_issues
+    FROM orders LEFT JOIN has ON o_orderkey = has.review_id LEFT JOIN pairs ON o_orderkey = pairs.review_id LEFT JOIN rest ON o_orderkey = rest.review_id""",
+    b.ISSUES,
+    b.PAIRS,
+    _CANDS,
+    _GREEDY,
+    _RECORD,
+)
+def match_record_nested(s, d):
+    """Whole match records of all reviews, with their text and what either side has left; nested parts rendered."""
+    held = matching.match_record(matching.match(b.labelled(s, d)))
+    side = lambda x, name: F.concat_ws("/", x[name], x["feature_area"], x["severity"])
+    pair = lambda q: F.concat(side(q["model"], "theme"), F.lit(" > "), side(q["gold"], "desc"), F.lit(" "), q["feature_area_match"].cast("string"), F.lit(" "), q["severity_match"].cast("string"))
+    said = lambda c, f: F.array_join(F.transform(c, f), ", ").alias(c)
+    return held.select(
+        "review_id",
+        "review_text",
+        "gold_has_issue",
+        "model_has_issue",
+        said("matches", pair),
+        said("unmatched_model_issues", lambda x: side(x, "theme")),
+        said("unmatched_gold_issues", lambda x: side(x, "desc")),
+    )
+
+
 # Comparison of platforms ------------------------------------------------------------------------------------------
 
 _JOINED = "joined AS (SELECT i.*, r.platform, r.country, r.ts FROM issues i JOIN reviews r ON i.review_id = r.review_id WHERE platform IS NOT NULL)"
@@ -806,11 +842,129 @@ def quotes_by_likeness(s, d):
     return fd.cap_per_group(sims, "label", 3, F.round("sim", 6).desc(), F.col("vec_id")).select("label", "vec_id", "rank")
 
 
-@query("SELECT c.theme, c.sentiment, c.size, i.review_id, i.issue_pos, i.severity FROM clusters c JOIN issues i ON c.theme = i.theme AND c.sentiment = i.sentiment WHERE c.size >= 3", b.ISSUES, b.CLUSTERS)
+#: Clusters of the issues of one area and sentiment: their middle, and how near each theme is to it.
+_CENTRE = """w AS (SELECT theme, slot, tf * (ln((1.0 + (SELECT count(DISTINCT p_name) FROM part)) / (1.0 + count(*) OVER (PARTITION BY slot))) + 1.0) AS x FROM slots),
+ u AS (SELECT theme, slot, x / sqrt(sum(x * x) OVER (PARTITION BY theme)) AS u FROM w),
+ cnt AS (SELECT sentiment, feature_area, theme, count(*) AS n FROM issues GROUP BY 1, 2, 3),
+ mid AS (SELECT sentiment, feature_area, slot, sum(n * u) AS m FROM cnt JOIN u USING (theme) GROUP BY 1, 2, 3),
+ len AS (SELECT sentiment, feature_area, sqrt(sum(m * m)) AS l FROM mid GROUP BY 1, 2),
+ near AS (SELECT sentiment, feature_area, theme, sum(u * m) / any_value(l) AS sim FROM cnt JOIN u USING (theme) JOIN mid USING (sentiment, feature_area, slot) JOIN len USING (sentiment, feature_area) GROUP BY 1, 2, 3)"""
+_KEYS = ["sentiment", "feature_area"]
+
+
+def _cluster_records(s, d):
+    part = table(s, d, "part")
+    vectors = embedding.embed(part, "p_name", embedding.fit(part, "p_name")).withColumnRenamed("text", "theme")
+    i = b.issues(s, d, True).withColumns({"segment_hint": F.lit(""), "cluster": F.concat_ws("/", *_KEYS)})
+    return themes.cluster_record(i, ["cluster"], vectors, 3)
+
+
+@query("SELECT sentiment || '/' || feature_area AS cluster, theme, review_id, issue_pos, severity, round(sim, 6) AS centroid_sim FROM issues JOIN near USING (sentiment, feature_area, theme)", b.ISSUES, _GRAMS, _SLOTS, _CENTRE)
 def cluster_records(s, d):
-    """The members of cluster records."""
-    held = themes.cluster_record(b.issues(s, d, True), ["theme", "sentiment"], 3)
-    return held.select("theme", "sentiment", "size", F.explode("members").alias("m")).select("theme", "sentiment", "size", "m.review_id", F.col("m.issue_pos").cast("bigint").alias("issue_pos"), "m.severity")
+    """The members of whole cluster records, with their likeness to the middle."""
+    m = _cluster_records(s, d).select("cluster", F.explode("members").alias("m"))
+    return m.select("cluster", "m.theme", "m.review_id", F.col("m.issue_pos").cast("bigint").alias("issue_pos"), "m.severity", F.round("m.centroid_sim", 6).alias("centroid_sim"))
+
+
+def _counted(column: str) -> str:
+    inner = f"SELECT sentiment || '/' || feature_area AS cluster, {column} AS v, count(*) AS n FROM issues GROUP BY 1, 2"
+    return f"(SELECT cluster, string_agg(v || '=' || n, ',' ORDER BY v) AS {column}_breakdown FROM ({inner}) GROUP BY 1)"
+
+
+@query(
+    f"""SELECT cluster, label, size, unique_themes, sentiment_breakdown, severity_breakdown, feature_area_breakdown
+    FROM (SELECT sentiment || '/' || feature_area AS cluster, count(*) AS size, count(DISTINCT theme) AS unique_themes FROM issues GROUP BY 1)
+    JOIN (SELECT sentiment || '/' || feature_area AS cluster, arg_max(theme, sim) AS label FROM near GROUP BY 1) USING (cluster)
+    JOIN {_counted('sentiment')} USING (cluster) JOIN {_counted('severity')} USING (cluster) JOIN {_counted('feature_area')} USING (cluster)""",
+    b.ISSUES,
+    _GRAMS,
+    _SLOTS,
+    _CENTRE,
+)
+def cluster_record_heads(s, d):
+    """Label, size and breakdowns of whole cluster records; maps rendered."""
+    said = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias(c)
+    return _cluster_records(s, d).select("cluster", "label", "size", "unique_themes", *[said(f"{c}_breakdown") for c in ("sentiment", "severity", "feature_area")])
+
+
+@query("SELECT review_id, count(*) AS n FROM issues GROUP BY review_id ORDER BY n DESC, review_id LIMIT 3", b.ISSUES)
+def issue_rich_first(s, d):
+    """The three reviews with most issues."""
+    return themes.issue_rich_first(b.nested(s, d), 3).select("review_id", F.size("issues").cast("bigint").alias("n"))
+
+
+@query(
+    """SELECT count(*) AS processed, count(e.event_id) AS cache_hits, CAST(sum(n) AS BIGINT) AS issues, count(*) FILTER (WHERE n = 0) AS without,
+    round_even(count(*) FILTER (WHERE n = 0) * 100.0 / count(*), 1) AS pct_without FROM (SELECT o_orderkey, count(review_id) FILTER (WHERE severity <> 'low') AS n FROM orders
+    LEFT JOIN issues ON o_orderkey = review_id GROUP BY 1) LEFT JOIN (SELECT event_id FROM events WHERE event_id % 2 = 0) e ON o_orderkey = event_id""",
+    b.ISSUES,
+)
+def extract_totals(s, d):
+    """What an extraction did: reviews, cache hits, issues that are not minor, and reviews without one."""
+    n = b.issues(s, d).where("severity <> 'low'").groupBy("review_id").agg(F.count("*").alias("n"))
+    held = table(s, d, "events").where("event_id % 2 = 0").select("event_id")
+    o = table(s, d, "orders").select(F.col("o_orderkey").alias("review_id")).join(n, "review_id", "left").join(held, F.col("review_id") == F.col("event_id"), "left")
+    o = o.withColumn("n", F.coalesce("n", F.lit(0)))
+    none = F.count_if(F.col("n") == 0)
+    return o.agg(F.count("*").alias("processed"), F.count("event_id").alias("cache_hits"), F.sum("n").alias("issues"), none.alias("without"), tx.percent(none, F.count("*"), 1).alias("pct_without"))
+
+
+_TEXTS = "texts AS (SELECT doc_id AS review_id, CAST(1 + doc_id % 5 AS INTEGER) AS rating, text FROM documents WHERE text IS NOT NULL)"
+
+
+@query(
+    "SELECT review_id, text, pos FROM (SELECT *, CAST(row_number() OVER (PARTITION BY rating ORDER BY md5('42:' || CAST(review_id AS VARCHAR)), review_id) AS INTEGER) AS pos FROM texts) WHERE pos <= CASE rating "
+    + " ".join(f"WHEN {k} THEN {n}" for k, n in sampling.BLIND.items())
+    + " ELSE 0 END",
+    _TEXTS,
+)
+def sample_blind_texts(s, d):
+    """The blind sample: ids and texts alone, with their place in the seeded order of each stratum."""
+    docs = table(s, d, "documents").where("text is not null").select(F.col("doc_id").alias("review_id"), (F.col("doc_id") % 5 + 1).cast("int").alias("rating"), "text")
+    return sampling.fixed(docs, sampling.BLIND, strict=False).select("review_id", "text", "pos")
+
+
+_SIDES = "a::DOUBLE / nullif(n_a, 0) AS sa, i::DOUBLE / nullif(n_i, 0) AS si"
+_SAID = """CASE WHEN sa IS NULL OR si IS NULL OR greatest(sa, si) = 0 THEN NULL WHEN least(sa, si) = 0 THEN side || ' only' WHEN ratio < 1.2 THEN '~ even (' || side || ' ' || times || 'x)' ELSE side || ' ' || times || 'x' END"""
+
+
+def _label_sql(rows: str) -> str:
+    inner = f"SELECT theme, {_SIDES} FROM ({_side_sql(rows)})"
+    named = f"SELECT *, CASE WHEN sa >= si THEN 'Android' ELSE 'iOS' END AS side, greatest(sa, si) / nullif(least(sa, si), 0) AS ratio FROM ({inner})"
+    return f"SELECT theme, round(ratio, 6) AS ratio, {_SAID} AS label FROM (SELECT *, format('{{:.1f}}', round_even(ratio, 1)) AS times FROM ({named}))"
+
+
+@query(f"SELECT f.theme, f.ratio AS full_ratio, f.label AS full_label, m.ratio AS matched_ratio, m.label AS matched_label FROM ({_label_sql('joined')}) f JOIN ({_label_sql('matched')}) m ON f.theme = m.theme", b.ISSUES, b.REVIEWS, _JOINED, _WINDOW, _MATCHED)
+def skew_labels(s, d):
+    """How uneven the platforms are in each theme, in ratio and words, over all reviews and over the matched ones."""
+    j = _joined(s, d)
+    part = j.where("country = 'nation_3'").crossJoin(F.broadcast(_window(s, d))).where("ts between lo and hi")
+
+    def said(rows, name):
+        a, i = (F.try_divide(F.col(c), F.col(f"n_{c}")) for c in "ai")
+        ratio = F.try_divide(F.greatest(a, i), F.least(a, i))
+        return _per_platform(rows).select("theme", F.round(ratio, 6).alias(f"{name}_ratio"), themes.skew_label(a, i).alias(f"{name}_label"))
+
+    return said(j, "full").join(said(part, "matched"), "theme")
+
+
+@query("SELECT theme, review_id, platform, stars, rank FROM (SELECT i.theme, i.review_id, r.platform, r.rating AS stars, row_number() OVER (PARTITION BY i.theme ORDER BY round(sim, 6) DESC, i.review_id, i.issue_pos) AS rank FROM issues i JOIN near USING (sentiment, feature_area, theme) JOIN reviews r ON i.review_id = r.review_id) WHERE rank <= 3", b.ISSUES, b.REVIEWS, _GRAMS, _SLOTS, _CENTRE)
+def quotes_with_platform(s, d):
+    """Three quotes of each theme, nearest to the middle of their cluster first, with platform and stars."""
+    m = _cluster_records(s, d).select(F.explode("members").alias("m")).select("m.*")
+    rows = m.join(b.reviews(s, d).select("review_id", "platform", F.col("rating").alias("stars")), "review_id")
+    rows = fd.cap_per_group(rows, "theme", 3, F.round("centroid_sim", 6).desc(), F.col("review_id"), F.col("issue_pos"))
+    return rows.select("theme", "review_id", "platform", "stars", "rank")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'x-ratelimit-left=' || event_type ELSE 'retry-after=1,x-ratelimit-left=' || event_type END AS kept FROM events")
+def map_header_values(s, d):
+    """The headers that are kept, with their values."""
+    e = table(s, d, "events")
+    name = F.when(F.col("event_id") % 2 == 0, "content-type").otherwise(F.lit("Retry-After"))
+    held = F.map_filter(F.create_map(F.lit("X-RateLimit-Left"), F.col("event_type"), name, F.lit("1")), lambda k, v: F.lower(k).rlike("^(x-ratelimit|retry-after)"))
+    each = F.transform(F.map_entries(held), lambda x: F.concat(F.lower(x["key"]), F.lit("="), x["value"]))
+    return e.select("event_id", F.array_join(F.array_sort(each), ",").alias("kept"))
 
 
 _PARTS = (("frequency", "freq_part", 0.4), ("severity", "sev_part", 0.4), ("strategic_fit", "fit_part", 0.2))

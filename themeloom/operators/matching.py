@@ -67,6 +67,33 @@ def match_records(matched: DataFrame) -> DataFrame:
     )
 
 
+def match_record(matched: DataFrame) -> DataFrame:
+    """One record for each of match()'s rows(review_id, review_text, has_issue, model, gold): what a person needs to judge it.
+
+    review_id, review_text (null: empty), gold_has_issue (has_issue, or whether gold has issues where that is null),
+    model_has_issue, matches (model, gold, feature_area_match, severity_match; best first) and the issues of either side that
+    are left, in their order. Model issues keep theme, area and severity, gold ones desc, area and severity.
+    """
+    model = lambda i: F.struct(*[i[c].alias(c) for c in ("theme", "feature_area", "severity")])
+    gold = lambda i: F.struct(*[i[c].alias(c) for c in ("desc", "feature_area", "severity")])
+    same = lambda q, c: F.get("model", q["mi"])[c].eqNullSafe(F.get("gold", q["gi"])[c])
+    pair = lambda q: F.struct(
+        model(F.get("model", q["mi"])).alias("model"),
+        gold(F.get("gold", q["gi"])).alias("gold"),
+        same(q, "feature_area").alias("feature_area_match"),
+        same(q, "severity").alias("severity_match"),
+    )
+    return matched.select(
+        "review_id",
+        F.coalesce("review_text", F.lit("")).alias("review_text"),
+        F.coalesce("has_issue", F.size("gold") > 0).alias("gold_has_issue"),
+        (F.size("model") > 0).alias("model_has_issue"),
+        F.transform("matches", pair).alias("matches"),
+        F.transform("unmatched_model", lambda i: model(F.get("model", i))).alias("unmatched_model_issues"),
+        F.transform("unmatched_gold", lambda i: gold(F.get("gold", i))).alias("unmatched_gold_issues"),
+    )
+
+
 def common_ids(model: DataFrame, gold: DataFrame, key: str = "review_id") -> tuple[DataFrame, int, int]:
     """The ids of both sides, and how many only the model and only gold has; a side without rows is an error."""
     for side, rows in (("model", model), ("gold", gold)):

@@ -76,24 +76,66 @@ def score_record(scored: DataFrame, weights: dict[str, float] | None = None) ->
     return scored.withColumn("breakdown", F.struct(*members))
 
 
-def cluster_record(issues: DataFrame, keys: list[str], least: int = 1) -> DataFrame:
-    """keys, size, severity_mean, fit_mean and members, the issues of a cluster in order as structs, of clusters of `least`.
+def centroid_sims(members: DataFrame, keys: list[str], theme: str = "theme", vec: str = "embedding") -> DataFrame:
+    """keys, theme, centroid_sim: likeness of each theme of a cluster to the normalised mean of its members' unit vectors.
 
-    issues(review_id, issue_pos, severity, feature_area, ...) of checked clusters: members are held in one row.
+    members has a row for each issue, with the sparse vector (i, x) of its theme; equal themes are counted, not repeated.
     """
-    member = F.struct("review_id", "issue_pos", "severity", "feature_area")
-    held = issues.groupBy(*keys).agg(F.array_sort(F.collect_list(member)).alias("members"))
-    return components(issues, keys).where(F.col("size") >= least).join(held, keys)
+    counted = members.groupBy(*keys, theme).agg(F.count("*").alias("_n"), F.first(vec).alias("_v"))
+    norm = F.sqrt(F.aggregate("_v.x", F.lit(0.0), lambda a, x: a + x * x))
+    rows = counted.withColumn("_norm", norm).select(*keys, theme, "_n", "_norm", F.explode(F.arrays_zip("_v.i", "_v.x")).alias("_e"))
+    rows = rows.select(*keys, theme, "_n", F.col("_e.i").alias("_i"), (F.col("_e.x") / F.col("_norm")).alias("_u"))
+    mean = rows.groupBy(*keys, "_i").agg(F.sum(F.col("_n") * F.col("_u")).alias("_m"))
+    length = mean.groupBy(*keys).agg(F.sqrt(F.sum(F.col("_m") * F.col("_m"))).alias("_len"))
+    dots = rows.join(mean, [*keys, "_i"]).groupBy(*keys, theme).agg(F.sum(F.col("_u") * F.col("_m")).alias("_dot"))
+    return dots.join(length, keys).select(*keys, theme, (F.col("_dot") / F.col("_len")).alias("centroid_sim"))
+
+
+def cluster_record(issues: DataFrame, keys: list[str], vectors: DataFrame, least: int = 1) -> DataFrame:
+    """One record for each cluster of `least` issues: keys, label, size, unique_themes, three breakdowns and members.
+
+    issues(review_id, issue_pos, theme, severity, sentiment, feature_area, segment_hint and keys); vectors(theme, embedding)
+    sparse. The label is the theme nearest to the middle, ties to the first member. Breakdowns are maps of the values that
+    occur (null as `null`); members are structs in order of review and place, each with its likeness to the middle. A record
+    holds its members, so keys have to be selective.
+    """
+    sims = centroid_sims(issues.join(vectors, "theme"), keys)
+    held = issues.join(sims, [*keys, "theme"])
+    member = F.struct("review_id", "issue_pos", "theme", "severity", "sentiment", "feature_area", "segment_hint", "centroid_sim")
+    counts = [breakdown(issues, keys, c).groupBy(*keys).agg(_as_map("value", "n").alias(f"{c}_breakdown")) for c in ("sentiment", "severity", "feature_area")]
+    first = F.max_by("theme", F.struct("centroid_sim", -F.col("review_id"), -F.col("issue_pos")))
+    out = held.groupBy(*keys).agg(
+        first.alias("label"), F.count("*").alias("size"), F.count_distinct("theme").alias("unique_themes"), F.array_sort(F.collect_list(member)).alias("members")
+    )
+    out = out.where(F.col("size") >= least)
+    for c in counts:
+        out = out.join(c, keys)
+    return out.select(*keys, "label", "size", "unique_themes", "sentiment_breakdown", "severity_breakdown", "feature_area_breakdown", "members")
+
+
+def _as_map(key: str, value: str) -> Column:
+    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))
+
+
+def issue_rich_first(rows: DataFrame, n: int) -> DataFrame:
+    """The n rows(review_id, issues) with most issues, ties by review_id."""
+    return rows.orderBy(F.size("issues").desc(), "review_id").limit(n)
+
+
+def skew_label(a: Column, i: Column, even: float = 1.2) -> Column:
+    """What two shares say: `Android 4.5x`, `iOS only`, `~ even (iOS 1.1x)`; null without any."""
+    ratio = F.try_divide(F.greatest(a, i), F.least(a, i))
+    side = F.when(a >= i, "Android").otherwise("iOS")
+    times = F.format_string("%.1f", F.bround(ratio, 1))
+    said = F.when(F.greatest(a, i) == 0, None).when(F.least(a, i) == 0, F.concat(side, F.lit(" only")))
+    said = said.when(ratio < even, F.concat(F.lit("~ even ("), side, F.lit(" "), times, F.lit("x)")))
+    return said.otherwise(F.concat(side, F.lit(" "), times, F.lit("x")))
 
 
 def platform_skew(counts: DataFrame, even: float = 1.2, least: int = 3) -> DataFrame:
     """(theme, a, i, share_a, share_i, skew) from counts(theme, a, i, n_a, n_i) of themes with evidence on a side."""
     held = counts.where(F.greatest("a", "i") >= least).withColumns({"share_a": F.col("a") / F.col("n_a"), "share_i": F.col("i") / F.col("n_i")})
-    ratio = F.greatest("share_a", "share_i") / F.least("share_a", "share_i")
-    side = F.when(F.col("share_a") >= F.col("share_i"), "Android").otherwise("iOS")
-    text = F.when(F.least("a", "i") == 0, F.concat(side, F.lit(" only")))
-    text = text.when(ratio < even, F.concat(F.lit("~ even ("), side, F.lit(" "), F.format_string("%.1f", F.bround(ratio, 1)), F.lit("x)")))
-    return held.withColumn("skew", text.otherwise(F.concat(side, F.lit(" "), F.format_string("%.1f", F.bround(ratio, 1)), F.lit("x"))))
+    return held.withColumn("skew", skew_label(F.col("share_a"), F.col("share_i"), even))
 
 
 def medoids(members: DataFrame, keys: list[str], vec: str = "embedding", id_col: str = "vec_id") -> DataFrame:

@@ -65,7 +65,7 @@ def nested(spark: SparkSession, d: str) -> DataFrame:
 
 #: Model issues are the odd lines of an order (four at most), gold ones the even lines.
 PAIRS = """sides AS (SELECT review_id, line % 2 AS odd, feature_area, severity,
-  row_number() OVER (PARTITION BY review_id, line % 2 ORDER BY issue_pos) - 1 AS k FROM issues)"""
+  row_number() OVER (PARTITION BY review_id, line % 2 ORDER BY issue_pos) - 1 AS k, theme FROM issues)"""
 
 
 def model_and_gold(spark: SparkSession, d: str) -> DataFrame:
@@ -77,6 +77,20 @@ def model_and_gold(spark: SparkSession, d: str) -> DataFrame:
     return held.select("review_id", F.slice(cut("m"), 1, 4).alias("model"), cut("g").alias("gold"))
 
 
+def labelled(spark: SparkSession, d: str) -> DataFrame:
+    """(review_id, review_text, has_issue, model, gold) of all orders: odd lines are the model's issues, even ones gold."""
+    i = issues(spark, d, True)
+    side = lambda odd, name: F.array_sort(
+        F.collect_list(F.when(F.col("line") % 2 == odd, F.struct("issue_pos", F.col("theme").alias(name), "feature_area", "severity")))
+    )
+    held = i.groupBy("review_id").agg(side(1, "theme").alias("model"), side(0, "desc").alias("gold"))
+    r = table(spark, d, "orders").select(F.col("o_orderkey").alias("review_id"), F.col("o_orderpriority").alias("review_text"))
+    none = F.lit(None).cast("boolean")
+    out = r.join(held, "review_id", "left").withColumn("has_issue", F.when(F.col("review_id") % 5 == 0, F.size("gold") > 0).otherwise(none))
+    empty = lambda c, name: F.coalesce(c, F.array().cast(f"array<struct<issue_pos:int,{name}:string,feature_area:string,severity:string>>"))
+    return out.withColumns({"model": F.slice(empty(F.col("model"), "theme"), 1, 4), "gold": empty(F.col("gold"), "desc")})
+
+
 FEED = """feed AS (SELECT event_id, event_type AS feed, user_id % 500 AS rid, ts,
   CASE WHEN event_id % 11 = 0 THEN '  ' ELSE props END AS content,
   row_number() OVER (PARTITION BY event_type ORDER BY ts + to_hours(CAST(event_id % 7 AS INTEGER)) DESC, event_id) AS seq FROM events)"""
