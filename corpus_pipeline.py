@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from themeloom.llm import decontam, langid, neardup, packing, suffixdedup
-from themeloom.plans.session import materialise, table
+from themeloom.plans.session import materialise, settle, table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,10 +74,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each on what its predecessor kept."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in order, each written and read again as the next one's documents."""
+    docs, since = table(spark, sf_dir, "documents"), written()
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        docs = settle(stage(spark, docs, sf_dir), since)  # what a stage wrote on its way goes
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from themeloom.functions import text as tx
 from themeloom.operators import clustering, extraction, feed, matching, report, sampling, themes
+from themeloom.plans import session
 from themeloom.sources import jsonl, paged
 from themeloom.streaming import ingest
 
@@ -208,3 +209,24 @@ def test_average_linkage_against_plain(spark, threshold):
     for small in (clustering.SMALL, 0):
         got = {r.id: r.cluster for r in clustering.average_linkage(frame, threshold, "part", "id", "v", small=small).collect()}
         assert got == want
+
+
+def test_settled_tables_outlive_what_was_written_before(spark):
+    first = session.materialise(spark.range(3))
+    since = session.written()
+    middle = session.materialise(spark.range(5))
+    out = session.settle(middle.selectExpr("id * 2 AS id"), since)
+    assert sorted(r.id for r in out.collect()) == [0, 2, 4, 6, 8] and first.count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        middle.collect()
+    assert session.written() == since + 1
+
+
+def test_stream_repeats_across_days(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    (src / "1.json").write_text("".join(f'{{"review_id": "{i}", "timestamp": "2024-01-0{d}T23:59:0{d}Z"}}\n' for i, d in (("a", 1), ("a", 2), ("b", 2), ("c", 5))))
+    for k in (1, 2, 3):
+        stream = ingest.reviews_stream(spark, str(src), "review_id string, timestamp timestamp", lateness="9 days")
+        ingest.append_new(stream, out, str(tmp_path / f"check{k}")).awaitTermination()
+    assert sorted(r.review_id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]

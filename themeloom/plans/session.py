@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -28,13 +29,15 @@ def workers_find_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a local one of our own only where none is set."""
+    """The folder of spark.checkpoint.dir. Where none is set: a temporary one in local mode, else one in the warehouse, which
+    driver and executors share."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
-        at = tempfile.mkdtemp(prefix="spark-themeloom-")
+        one_machine = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+        at = tempfile.mkdtemp(prefix="spark-themeloom-") if one_machine else f"{spark.conf.get('spark.sql.warehouse.dir')}/_themeloom"
         spark.sparkContext.setCheckpointDir(at)
         at = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return at.rstrip("/")
@@ -49,9 +52,23 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Delete the tables that materialise() wrote; results that read them must be stored before."""
-    while _WRITTEN:
+def settle(df: DataFrame, since: int) -> DataFrame:
+    """materialise(df), and then delete what was written between `since`, a value of written(), and df."""
+    out = materialise(df)
+    kept = _WRITTEN.pop()
+    release(since)
+    _WRITTEN.append(kept)
+    return out
+
+
+def written() -> int:
+    """How many tables materialise() has written that are still there."""
+    return len(_WRITTEN)
+
+
+def release(since: int = 0) -> None:
+    """Delete the tables that materialise() wrote after the first `since`; results that read them must be stored before."""
+    while len(_WRITTEN) > since:
         spark, path = _WRITTEN.pop()
         try:
             jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

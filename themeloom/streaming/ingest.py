@@ -23,16 +23,20 @@ def append_new(stream: DataFrame, target: str, checkpoint: str, days: int = 1) -
     """
 
     def put(batch: DataFrame, number: int) -> None:
-        batch = batch.withColumn("day", F.to_date("timestamp"))
-        span = batch.agg(F.date_sub(F.min("day"), days).alias("lo"), F.date_add(F.max("day"), days).alias("hi")).first()
-        if span["lo"] is None:
-            return
+        batch = batch.withColumn("day", F.to_date("timestamp")).persist()  # the plan before it has state: evaluate it once
         try:
-            held = batch.sparkSession.read.schema(batch.schema).parquet(target)
-            batch = batch.join(held.where(F.col("day").between(span["lo"], span["hi"])).select("review_id"), "review_id", "left_anti")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-        batch.write.partitionBy("day").mode("append").parquet(target)
+            span = batch.agg(F.date_sub(F.min("day"), days).alias("lo"), F.date_add(F.max("day"), days).alias("hi")).first()
+            if span["lo"] is None:
+                return
+            new = batch
+            try:
+                held = batch.sparkSession.read.schema(batch.schema).parquet(target)
+                new = batch.join(held.where(F.col("day").between(span["lo"], span["hi"])).select("review_id"), "review_id", "left_anti")
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+            new.write.partitionBy("day").mode("append").parquet(target)
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
