@@ -11,69 +11,161 @@ from pyspark.sql import functions as F
 
 from themeloom.llm.kernel import ALNUM, LOWER, U64, byte_values, mix, prefix, separated, slices, small_batches, span_hash, spans
 
-#: Short notices of each licence family, from the public licence texts.
+#: Sentences of each licence family, from the public licence texts and their notices.
 TEMPLATES = {
-    "agpl": ["licensed under the GNU Affero General Public License version 3", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
+    "agpl": [
+        "licensed under the GNU Affero General Public License version 3",
+        "under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU Affero General Public License along with this program",
+    ],
     "apache": [
         "Licensed under the Apache License, Version 2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS",
+        "See the License for the specific language governing permissions and limitations under the License",
+    ],
+    "boost": [
+        "Distributed under the Boost Software License, Version 1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation",
     ],
     "bsd": [
         "licensed under the BSD 3-Clause License",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES",
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES",
     ],
     "cc-by": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "cc-by-nc-nd": ["Licensed under CC BY-NC-ND 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"],
+    "cc-by-nc-sa": ["Licensed under CC BY-NC-SA 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"],
+    "cc-by-nd": ["Licensed under CC BY-ND 4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"],
     "cc-by-sa": ["Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "cc0": [
+        "Licensed under CC0 1.0 Universal",
+        "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or neighboring rights",
+    ],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0",
+    ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY",
+        "You should have received a copy of the GNU General Public License along with this program",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE",
+    ],
+    "lgpl": [
+        "licensed under the GNU Lesser General Public License, version 3",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; version 2.1 of the License",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY",
+        "You should have received a copy of the GNU Lesser General Public License along with this library",
     ],
-    "lgpl": ["licensed under the GNU Lesser General Public License, version 3", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"],
     "mit": [
         "Released under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY",
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY",
+    ],
+    "mpl": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        "If a copy of the MPL was not distributed with this file, You can obtain one",
+    ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary",
+    ],
+    "zlib": [
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages",
+        "The origin of this software must not be misrepresented; you must not claim that you wrote the original software",
     ],
-    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
-    "unlicense": ["This is free and unencumbered software released into the public domain"],
 }
 #: Short names and identifiers of each family, from the public list of licence identifiers.
 NAMES = {
-    "agpl": ["AGPL-3.0", "AGPLv3", "GNU AGPL"],
-    "apache": ["Apache-2.0", "Apache License 2.0", "Apache 2"],
-    "bsd": ["BSD-3-Clause", "BSD-2-Clause", "BSD", "New BSD"],
+    "agpl": ["AGPL-3.0", "AGPLv3", "GNU AGPL", "GNU Affero General Public License"],
+    "apache": ["Apache-2.0", "Apache License 2.0", "Apache 2", "Apache"],
+    "boost": ["BSL-1.0", "Boost Software License"],
+    "bsd": ["BSD-3-Clause", "BSD-2-Clause", "BSD", "New BSD", "Simplified BSD", "2-clause BSD"],
     "cc-by": ["CC-BY-4.0", "CC BY 3.0", "Creative Commons Attribution"],
     "cc-by-nc": ["CC-BY-NC-4.0", "CC BY-NC 3.0", "Creative Commons Attribution-NonCommercial"],
+    "cc-by-nc-nd": ["CC-BY-NC-ND-4.0", "CC BY-NC-ND 3.0", "Creative Commons Attribution-NonCommercial-NoDerivatives"],
+    "cc-by-nc-sa": ["CC-BY-NC-SA-4.0", "CC BY-NC-SA 3.0", "Creative Commons Attribution-NonCommercial-ShareAlike"],
+    "cc-by-nd": ["CC-BY-ND-4.0", "CC BY-ND 3.0", "Creative Commons Attribution-NoDerivatives"],
     "cc-by-sa": ["CC-BY-SA-4.0", "CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike"],
-    "gpl": ["GPL-3.0-or-later", "GPL-2.0", "GPLv3", "GPLv2", "GNU GPL", "GNU General Public License"],
-    "lgpl": ["LGPL-2.1", "LGPL-3.0-or-later", "LGPLv3", "GNU LGPL"],
+    "cc0": ["CC0-1.0", "CC0"],
+    "epl": ["EPL-2.0", "Eclipse Public License"],
+    "gpl": ["GPL-3.0-or-later", "GPL-2.0", "GPLv3", "GPLv2", "GPL v2", "GPL version 3", "GNU GPL", "GNU General Public License"],
+    "isc": ["ISC"],
+    "lgpl": ["LGPL-2.1", "LGPL-3.0-or-later", "LGPLv3", "LGPL v2.1", "GNU LGPL", "GNU Lesser General Public License"],
     "mit": ["MIT", "MIT/X11", "Expat"],
     "mpl": ["MPL-2.0", "MPL 2.0", "Mozilla Public License"],
     "unlicense": ["Unlicense"],
+    "zlib": ["zlib", "zlib/libpng"],
 }
 #: Wordings around a name; the last of every four, and its families' names in it, are held out for the calibration.
 WORDINGS = [
-    "SPDX-License-Identifier: {}", "License: {}", "licensed under the {} license", "this file is under {}", "released under {}", "distributed under the terms of the {} license",
-    "available under the {} licence", "the code is {} licensed",
-]
+    "SPDX-License-Identifier: {}",
+    "License: {}",
+    "licensed under the {} license",
+    "this file is under {}",
+    "licensed under {}",
+    "released under {}",
+    "{} licensed",
+    "distributed under the terms of the {} license",
+    "license {} only",
+    "available under the {} licence",
+    "this code is {} licensed",
+    "the {} license applies",
+]
 #: Licence-like phrases of no family above, the seeds of the unknown class.
 UNKNOWN_SEEDS = [
-    "licensed under the terms of the enclosed agreement", "released under a custom license, see the license file", "all rights reserved, use is subject to license terms",
-    "permission is granted to use this material under the house license", "distributed under the terms of the community license agreement, version 1",
-    "this content may be used under the vendor license only", "subject to the following license conditions and warranty terms", "SPDX-License-Identifier: LicenseRef-Proprietary",
-    "copying of this file is permitted under the terms of the in-house licence", "you may use this software only under the end user license agreement",
-]
+    "licensed under the terms of the enclosed agreement",
+    "released under a custom license, see the license file",
+    "all rights reserved, use is subject to license terms",
+    "permission is granted to use this material under the house license",
+    "distributed under the terms of the community license agreement, version 1",
+    "this content may be used under the vendor license only",
+    "subject to the following license conditions and warranty terms",
+    "SPDX-License-Identifier: LicenseRef-Proprietary",
+    "copying of this file is permitted under the terms of the in-house licence",
+    "you may use this software only under the end user license agreement",
+]
 #: Ordinary sentences with words that licences have.
 ORDINARY_SEEDS = [
-    "he lost his driving licence on the way home", "a fishing license costs ten dollars a year", "the licence fee for television rose again", "her licence plate was from Texas",
-    "doctors need a license to practise in this state", "the warranty of the car ends in May", "we had permission to leave early", "students at MIT built a small robot",
-    "Apache helicopters flew over the valley", "the general public was free to enter", "terms of the contract were agreed in writing", "the software version of the radio is old",
-    "creative people share common ideas", "the bar lost its liquor license", "conditions on the road were poor without any warning", "the copyright office opens at nine",
-]
+    "he lost his driving licence on the way home",
+    "a fishing license costs ten dollars a year",
+    "the licence fee for television rose again",
+    "her licence plate was from Texas",
+    "doctors need a license to practise in this state",
+    "the warranty of the car ends in May",
+    "we had permission to leave early",
+    "students at MIT built a small robot",
+    "Apache helicopters flew over the valley",
+    "the general public was free to enter",
+    "terms of the contract were agreed in writing",
+    "the software version of the radio is old",
+    "creative people share common ideas",
+    "the bar lost its liquor license",
+    "conditions on the road were poor without any warning",
+    "the copyright office opens at nine",
+    "the studio has to license the music from its owner",
+    "news was released under embargo until noon",
+    "leaflets were distributed under the door",
+    "the film was released under another title",
+    "goods are distributed under seal by the customs",
+    "a song that the band had to license before the tour",
+    "the MIT professor spoke about free trade",
+    "an eclipse was seen by the public in May",
+    "the boost to the economy was small",
+    "files are available under the desk",
+]
 NONE, UNKNOWN = "none", "unknown"
 CLASSES = [NONE, UNKNOWN, *sorted(TEMPLATES)]
 BUCKETS = 1 << 16
@@ -155,7 +247,7 @@ def variants(ordinary: list[str], seed: int = 3) -> tuple[list[str], list[int],
         seeds += [(label, w.format(n), k % 4 == 3) for n in NAMES[family] for k, w in enumerate(WORDINGS)]
     texts, labels, held = [], [], []
     for label, text, out in seeds:
-        for k in range(16):
+        for k in range(16 if label < 2 or text in TEMPLATES.get(CLASSES[label], ()) else 6):
             words = text.split()
             if k and len(words) > 6:
                 words = [w for w in words if rng.random() > 0.06 * (k % 3)]
@@ -210,15 +302,17 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = ORDINARY) -> dict
     weight[held] = 0
     w, g2 = np.zeros((BUCKETS + 1, len(CLASSES)), np.float32), np.full((BUCKETS + 1, len(CLASSES)), 1e-6, np.float32)
     used, place = np.unique(bucket, return_inverse=True)
+    by_owner, by_place = np.argsort(owner, kind="stable"), np.argsort(place, kind="stable")
+    windows, first = np.unique(owner[by_owner], return_index=True)
+    at, begin = bucket[by_owner], np.flatnonzero(np.diff(place[by_place], prepend=-1))
+    sent = owner[by_place]
     for _ in range(120):  # full-batch steps of AdaGrad over the features that occur
-        z = _logits(w, owner, bucket, n)
+        z = np.repeat(w[-1:], n, axis=0)
+        z[windows] += np.add.reduceat(w[at], first, axis=0) * scale[windows, None].astype(np.float32)
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         d = (p - y) * weight[:, None] / weight.sum()
-        each = d[owner] * scale[owner][:, None]
-        grad = np.zeros((len(used), len(CLASSES)), np.float32)
-        for c in range(len(CLASSES)):
-            grad[:, c] = np.bincount(place, weights=each[:, c], minlength=len(used))
+        grad = np.add.reduceat((d * scale[:, None]).astype(np.float32)[sent], begin, axis=0) if len(used) else np.zeros((0, len(CLASSES)), np.float32)
         grad += 1e-6 * w[used]
         g2[used] += grad**2
         w[used] -= 0.3 * grad / np.sqrt(g2[used])
@@ -239,29 +333,48 @@ def _words(text: str) -> list[str]:
     return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
-_TEMPLATE_WORDS = {f: [_words(t) for t in [*ts, *(w.format(n) for n in NAMES[f] for w in WORDINGS)]] for f, ts in TEMPLATES.items()}
+_TEMPLATE_WORDS = [(f, _words(t)) for f, ts in TEMPLATES.items() for t in [*ts, *(w.format(n) for n in NAMES[f] for w in WORDINGS)]]
+_PAIRS = np.array([len(t) - 1 for _, t in _TEMPLATE_WORDS])
+#: The templates that have each word pair, with how often.
+_OF_PAIR: dict[tuple[str, str], dict[int, int]] = {}
+for _k, (_, _t) in enumerate(_TEMPLATE_WORDS):
+    for _p in zip(_t, _t[1:], strict=False):
+        _OF_PAIR.setdefault(_p, {}).setdefault(_k, 0)
+        _OF_PAIR[_p][_k] += 1
 
 
-def template_match(family: str, words: list[str]) -> float:
-    """The greatest share of a template's word pairs of the family that stand in the paragraph."""
-    held = set(zip(words, words[1:], strict=False))
-    return max(sum(p in held for p in zip(t, t[1:], strict=False)) / (len(t) - 1) for t in _TEMPLATE_WORDS[family])
+def template_matches(words: list[str]) -> dict[str, tuple[float, int]]:
+    """Of each family the greatest share of a template's word pairs that stand in the paragraph, and how many pairs of its
+    templates that are near whole there stand, of the longest."""
+    seen = np.zeros(len(_PAIRS), np.int64)
+    for pair in set(zip(words, words[1:], strict=False)):
+        for k, n in _OF_PAIR.get(pair, {}).items():
+            seen[k] += n
+    out: dict[str, tuple[float, int]] = {}
+    for k in np.flatnonzero(seen):
+        share, family = seen[k] / _PAIRS[k], _TEMPLATE_WORDS[k][0]
+        best, longest = out.get(family, (0.0, 0))
+        out[family] = max(best, float(share)), max(longest, int(seen[k]) if share >= NEAR else 0)
+    return out
 
 
 def judge(p: np.ndarray, window: str) -> tuple[str, float, float]:
     """(class, probability, template match) of a window that may carry a licence.
 
-    The likeliest family is confirmed by its templates; failing that, the family whose template matches best is taken if
-    that is near whole; failing that, a window that is no ordinary one is `unknown`.
+    The likeliest family is confirmed by its templates, unless another family has a longer template near whole, as names and
+    sentences of one licence stand in those of another. Failing that, the family of the longest template that is near whole
+    is taken; failing that, a window that is no ordinary one is `unknown`.
     """
-    words = _words(window)
+    held = template_matches(_words(window))
     top = int(p[2:].argmax()) + 2
-    match = template_match(CLASSES[top], words)
+    match, own = held.get(CLASSES[top], (0.0, 0))
+    longest, _, name = max(((n, share, f) for f, (share, n) in held.items()), default=(0, 0.0, ""))
+    if match >= MATCH and p[top] >= max(p[0], p[1]) * SURE and longest <= own:
+        return CLASSES[top], float(p[top]), match
+    if longest:
+        return name, float(1 - p[0]), held[name][0]
     if match >= MATCH and p[top] >= max(p[0], p[1]) * SURE:
         return CLASSES[top], float(p[top]), match
-    best, name = max((template_match(f, words), f) for f in TEMPLATES)
-    if best >= NEAR:
-        return name, float(1 - p[0]), best
     return UNKNOWN, float(1 - p[0]), match
 
 
