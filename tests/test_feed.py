@@ -74,7 +74,10 @@ def test_profile_edges(spark, tmp_path):
     language.fit(docs).save(str(tmp_path / "profile"))
     profile = language.Profile.load(spark, str(tmp_path / "profile"))
     assert profile.languages == ["de", "en"]
-    asked = spark.createDataFrame([(1, "the\nhat", "x"), (1, "und die", "y"), (None, "THE HAT", "z"), (7, None, None), (8, "жук", ""), (1, "the\nhat", "w")], "doc_id long, text string, ranked_ string")
+    asked = spark.createDataFrame(
+        [(1, "the\nhat", "x"), (1, "und die", "y"), (None, "THE HAT", "z"), (7, None, None), (8, "жук", ""), (1, "the\nhat", "w")],
+        "doc_id long, text string, ranked_ string",
+    )
     got = language.detect(asked, profile)
     assert got.columns == [*asked.columns, "ranked"] and got.count() == 6
     found = {r.ranked_: r.ranked and r.ranked[0].lang for r in got.collect()}

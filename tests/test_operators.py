@@ -80,13 +80,19 @@ def test_published_skews(spark):
 
 def test_explode_and_cap(spark):
     issue = lambda t, h="h": {"theme": t, "severity": "low", "sentiment": None, "feature_area": "other", "segment_hint": h}
-    rows = spark.createDataFrame([("r", [issue(" a "), issue(" "), issue(None), issue("b", None), issue("c")])], f"review_id string, issues {extraction.ISSUES}")
+    rows = spark.createDataFrame(
+        [("r", [issue(" a "), issue(" "), issue(None), issue("b", None), issue("c")])],
+        f"review_id string, issues {extraction.ISSUES}",
+    )
     got = themes.explode_issues(themes.cap_issues(rows)).collect()
     assert [(r.theme, r.segment_hint, r.issue_pos) for r in got] == [("a", "h", 0), ("b", "", 3)]
 
 
 def test_matcher_ties_and_nulls(spark):
-    rows = spark.createDataFrame([(1, [("other", "low"), ("other", "low")], [("other", "low"), ("other", "low")]), (2, [(None, "high")], [(None, "low")])], f"k int, model {matching.ISSUE}, gold {matching.ISSUE}")
+    rows = spark.createDataFrame(
+        [(1, [("other", "low"), ("other", "low")], [("other", "low"), ("other", "low")]), (2, [(None, "high")], [(None, "low")])],
+        f"k int, model {matching.ISSUE}, gold {matching.ISSUE}",
+    )
     got = {r.k: r for r in matching.match(rows).collect()}
     assert [(m.mi, m.gi) for m in got[1].matches] == [(1, 1), (0, 0)]
     assert [(m.score, m.mi, m.gi) for m in got[2].matches] == [(2.0, 0, 0)]
@@ -225,7 +231,9 @@ def test_settled_tables_outlive_what_was_written_before(spark):
 def test_stream_repeats_across_days(spark, tmp_path):
     src, out = tmp_path / "in", str(tmp_path / "out")
     src.mkdir()
-    (src / "1.json").write_text("".join(f'{{"review_id": "{i}", "timestamp": "2024-01-0{d}T23:59:0{d}Z"}}\n' for i, d in (("a", 1), ("a", 2), ("b", 2), ("c", 5))))
+    (src / "1.json").write_text(
+        "".join(f'{{"review_id": "{i}", "timestamp": "2024-01-0{d}T23:59:0{d}Z"}}\n' for i, d in (("a", 1), ("a", 2), ("b", 2), ("c", 5))),
+    )
     for k in (1, 2, 3):
         stream = ingest.reviews_stream(spark, str(src), "review_id string, timestamp timestamp", lateness="9 days")
         ingest.append_new(stream, out, str(tmp_path / f"check{k}")).awaitTermination()

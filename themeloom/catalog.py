@@ -47,23 +47,39 @@ _CONTENT = "CASE WHEN review_id % 5 = 0 THEN '  ' ELSE app_version END"
 
 
 @query(
-    f"SELECT review_id, rating, trim({_CONTENT}) AS text, CASE WHEN trim(app_version) <> '' THEN app_version ELSE '' END AS app_version, 'android' AS platform, country, ts AS timestamp FROM reviews WHERE platform = 'android' AND trim({_CONTENT}) <> ''",
+    f"""SELECT review_id, rating, trim({_CONTENT}) AS text, CASE WHEN trim(app_version) <> '' THEN app_version ELSE '' END AS app_version,
+    'android' AS platform, country, ts AS timestamp FROM reviews WHERE platform = 'android' AND trim({_CONTENT}) <> ''""",
     b.REVIEWS,
 )
 def norm_android(s, d):
     raw = b.reviews(s, d).where("platform = 'android'")
-    feed = raw.select(F.lit(0).alias("seq"), F.col("review_id").alias("reviewId"), F.col("rating").alias("score"), F.expr(_CONTENT).alias("content"), F.col("ts").alias("at"), F.lit("").alias("reviewCreatedVersion"), F.col("app_version").alias("appVersion"), "country")
+    feed = raw.select(
+        F.lit(0).alias("seq"), F.col("review_id").alias("reviewId"), F.col("rating").alias("score"),
+        F.expr(_CONTENT).alias("content"), F.col("ts").alias("at"), F.lit("").alias("reviewCreatedVersion"),
+        F.col("app_version").alias("appVersion"), "country",
+    )
     return fd.normalise_android(feed, F.col("country")).drop("seq").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-@query("SELECT concat_ws('-', 'ios', country, CAST(review_id AS VARCHAR)) AS review_id, rating, '' AS title, country FROM reviews WHERE platform = 'ios' AND review_id % 5 <> 0", b.REVIEWS)
+@query(
+    """SELECT concat_ws('-', 'ios', country, CAST(review_id AS VARCHAR)) AS review_id, rating, '' AS title, country FROM reviews
+    WHERE platform = 'ios' AND review_id % 5 <> 0""",
+    b.REVIEWS,
+)
 def norm_ios_key(s, d):
     raw = b.reviews(s, d).where("platform = 'ios'")
-    feed = raw.select(F.lit(0).alias("seq"), F.col("review_id").cast("string").alias("id"), "rating", F.expr(_CONTENT).alias("content"), F.col("ts").alias("date"), F.lit(None).cast("string").alias("app_version"), F.lit(None).cast("string").alias("title"), "country")
+    feed = raw.select(
+        F.lit(0).alias("seq"), F.col("review_id").cast("string").alias("id"), "rating", F.expr(_CONTENT).alias("content"),
+        F.col("ts").alias("date"), F.lit(None).cast("string").alias("app_version"), F.lit(None).cast("string").alias("title"),
+        "country",
+    )
     return fd.normalise_ios(feed).select("review_id", "rating", "title", "country")
 
 
-@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(ts, '%f') <> '000000' THEN '.' || strftime(ts, '%f') ELSE '' END || '+00:00' AS iso FROM events")
+@query(
+    """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(ts, '%f') <> '000000' THEN '.' || strftime(ts,
+    '%f') ELSE '' END || '+00:00' AS iso FROM events""",
+)
 def norm_iso8601(s, d):
     return table(s, d, "events").select("event_id", tx.iso8601(F.col("ts")).alias("iso"))
 
@@ -75,7 +91,7 @@ def norm_to_utc(s, d):
 
 @query(
     r"""SELECT event_id, regexp_replace(regexp_replace(chr(9) || ' ' || event_type || chr(160) || ' ', '^[\s\x{1c}-\x{1f}\x{a0}]+', ''), '[\s\x{1c}-\x{1f}\x{a0}]+$', '') AS text,
-    coalesce(nullif(CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END, ''), nullif(CASE WHEN event_id % 2 = 0 THEN '' END, ''), '') AS version FROM events"""
+    coalesce(nullif(CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END, ''), nullif(CASE WHEN event_id % 2 = 0 THEN '' END, ''), '') AS version FROM events""",
 )
 def norm_strip_coalesce(s, d):
     e = table(s, d, "events")
@@ -84,7 +100,10 @@ def norm_strip_coalesce(s, d):
     return e.select("event_id", tx.strip(padded).alias("text"), tx.first_truthy(first, F.when(F.col("event_id") % 2 == 0, "")).alias("version"))
 
 
-@query("SELECT doc_id, CASE WHEN length(text) > 60 THEN substr(replace(text, chr(10), ' '), 1, 60) || '...' ELSE replace(text, chr(10), ' ') END AS snippet FROM documents")
+@query(
+    """SELECT doc_id, CASE WHEN length(text) > 60 THEN substr(replace(text, chr(10), ' '), 1, 60) || '...' ELSE replace(text, chr(10), ' ') END AS snippet
+    FROM documents""",
+)
 def str_snippet(s, d):
     return table(s, d, "documents").select("doc_id", tx.snippet(F.col("text")).alias("snippet"))
 
@@ -94,12 +113,15 @@ def cache_key_hash(s, d):
     return table(s, d, "documents").select("doc_id", tx.cache_key(F.col("source"), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string")).alias("key"))
 
 
-_ERRORS = "errors AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN 429 WHEN 1 THEN 503 WHEN 2 THEN 400 END AS status, CASE event_id % 7 WHEN 0 THEN 'Rate limit hit' WHEN 1 THEN 'tokens per DAY exceeded' WHEN 2 THEN 'Connection reset' WHEN 3 THEN 'quota' ELSE event_type END AS msg FROM events)"
+_ERRORS = """errors AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN 429 WHEN 1 THEN 503 WHEN 2 THEN 400 END AS status,
+  CASE event_id % 7 WHEN 0 THEN 'Rate limit hit' WHEN 1 THEN 'tokens per DAY exceeded' WHEN 2 THEN 'Connection reset' WHEN 3 THEN
+  'quota' ELSE event_type END AS msg FROM events)"""
 
 
 def _errors(s, d):
     case = "CASE event_id % 5 WHEN 0 THEN 429 WHEN 1 THEN 503 WHEN 2 THEN 400 END"
-    msg = "CASE event_id % 7 WHEN 0 THEN 'Rate limit hit' WHEN 1 THEN 'tokens per DAY exceeded' WHEN 2 THEN 'Connection reset' WHEN 3 THEN 'quota' ELSE event_type END"
+    msg = """CASE event_id % 7 WHEN 0 THEN 'Rate limit hit' WHEN 1 THEN 'tokens per DAY exceeded' WHEN 2 THEN 'Connection reset' WHEN 3 THEN
+  'quota' ELSE event_type END"""
     return table(s, d, "events").select("event_id", F.expr(case).alias("status"), F.expr(msg).alias("msg"))
 
 
@@ -127,7 +149,10 @@ def backoff_schedule(s, d):
     return table(s, d, "events").select("event_id", tx.backoff(F.col("event_id") % 8 + 1).alias("seconds"))
 
 
-@query("SELECT event_id, CAST(json_extract_string(coalesce(nullif(CASE WHEN event_id % 5 = 0 THEN '' ELSE props END, ''), '{}'), '$.k') AS VARCHAR) AS k FROM events")
+@query(
+    """SELECT event_id, CAST(json_extract_string(coalesce(nullif(CASE WHEN event_id % 5 = 0 THEN '' ELSE props END, ''), '{}'), '$.k') AS VARCHAR) AS k
+    FROM events""",
+)
 def json_tool_args(s, d):
     e = table(s, d, "events")
     args = F.when(F.col("event_id") % 5 == 0, "").otherwise(F.col("props"))
@@ -140,14 +165,16 @@ _ARGS = r"""args AS (SELECT review_id, CASE WHEN review_id % 7 = 0 THEN '' WHEN
     CASE WHEN line % 5 = 3 THEN 'grave' ELSE severity END || '", ' END || '"sentiment": "' || sentiment || '", "feature_area": "' || feature_area ||
     '", "segment_hint": ""}', ', ' ORDER BY issue_pos) || ']}' AS a FROM issues GROUP BY review_id)),
  parsed AS (SELECT review_id, a <> '' AND NOT json_valid(a) AS broken,
-  CASE WHEN a <> '' AND json_valid(a) THEN from_json(a, '{"issues": [{"theme": "VARCHAR", "severity": "VARCHAR", "sentiment": "VARCHAR", "feature_area": "VARCHAR"}]}').issues ELSE [] END AS x FROM args),
+  CASE WHEN a <> '' AND json_valid(a) THEN from_json(a,
+  '{"issues": [{"theme": "VARCHAR", "severity": "VARCHAR", "sentiment": "VARCHAR", "feature_area": "VARCHAR"}]}').issues ELSE [] END AS x FROM args),
  kept AS (SELECT review_id, broken, len(x) > 4 AS more, x[1:4] AS x FROM parsed)"""
 
 
 @query(
     """SELECT review_id, array_to_string(list_transform(x, lambda i: concat_ws('/', i.theme, i.severity, i.sentiment, i.feature_area)), ',') AS issues,
     array_to_string(list_concat(CASE WHEN broken THEN ['malformed'] ELSE [] END, CASE WHEN more THEN ['too many'] ELSE [] END,
-      list_filter(list_transform(x, lambda i, k: CASE WHEN i.severity IS NULL THEN (k - 1) || '.severity missing' WHEN i.severity NOT IN ('low', 'medium', 'high') THEN (k - 1) || '.severity=' || i.severity END), lambda p: p IS NOT NULL)), ',') AS problems
+      list_filter(list_transform(x, lambda i, k: CASE WHEN i.severity IS NULL THEN (k - 1) || '.severity missing' WHEN i.severity NOT IN ('low',
+      'medium', 'high') THEN (k - 1) || '.severity=' || i.severity END), lambda p: p IS NOT NULL)), ',') AS problems
     FROM kept""",
     b.ISSUES,
     _ARGS,
@@ -174,7 +201,10 @@ def json_tool_issues(s, d):
 def map_header_filter(s, d):
     e = table(s, d, "events")
     name = F.when(F.col("event_id") % 2 == 0, "content-type").otherwise(F.lit("Retry-After"))
-    held = F.map_filter(F.create_map(F.lit("X-RateLimit-Left"), F.col("event_type"), name, F.lit("1")), lambda k, v: F.lower(k).rlike("^(x-ratelimit|retry-after)"))
+    held = F.map_filter(
+        F.create_map(F.lit("X-RateLimit-Left"), F.col("event_type"), name, F.lit("1")),
+        lambda k, v: F.lower(k).rlike("^(x-ratelimit|retry-after)"),
+    )
     return e.select("event_id", F.size(held).alias("n"))
 
 
@@ -193,7 +223,8 @@ def window_lookback(s, d):
     return b.feed(s, d).crossJoin(F.broadcast(_cut(s, d))).where("ts >= cut").select("event_id")
 
 
-_TAKE = f"SELECT event_id FROM (SELECT *, max(CASE WHEN ts < {_CUT} THEN 1 ELSE 0 END) OVER (PARTITION BY feed ORDER BY seq ROWS UNBOUNDED PRECEDING) AS stop FROM feed) WHERE stop = 0"
+_TAKE = f"""SELECT event_id FROM (SELECT *, max(CASE WHEN ts < {_CUT} THEN 1 ELSE 0 END) OVER (PARTITION BY feed
+  ORDER BY seq ROWS UNBOUNDED PRECEDING) AS stop FROM feed) WHERE stop = 0"""
 
 
 @query(_TAKE, b.FEED)
@@ -201,9 +232,12 @@ def window_take_while(s, d):
     return fd.take_while(b.feed(s, d).crossJoin(F.broadcast(_cut(s, d))), F.col("cut"), "feed").select("event_id")
 
 
-_HOLES = "holes AS (SELECT event_id, feed, seq, content, CASE WHEN event_id % 13 <> 0 THEN rid END AS rid, CASE WHEN event_id % 17 <> 0 THEN ts END AS ts FROM feed)"
-_GOOD = f"good AS (SELECT feed, rid, min(seq) AS first, arg_min(event_id, seq) AS event_id FROM holes WHERE rid IS NOT NULL AND ts >= {_CUT} AND trim(content) <> '' GROUP BY 1, 2)"
-_STOPS = f"stops AS (SELECT h.feed, min(seq) AS stop FROM holes h LEFT JOIN good g ON h.feed = g.feed AND h.rid = g.rid AND g.first < h.seq WHERE h.rid IS NOT NULL AND h.ts < {_CUT} AND g.feed IS NULL GROUP BY 1)"
+_HOLES = """holes AS (SELECT event_id, feed, seq, content, CASE WHEN event_id % 13 <> 0 THEN rid END AS rid,
+  CASE WHEN event_id % 17 <> 0 THEN ts END AS ts FROM feed)"""
+_GOOD = f"""good AS (SELECT feed, rid, min(seq) AS first, arg_min(event_id, seq) AS event_id FROM holes
+  WHERE rid IS NOT NULL AND ts >= {_CUT} AND trim(content) <> '' GROUP BY 1, 2)"""
+_STOPS = f"""stops AS (SELECT h.feed, min(seq) AS stop FROM holes h LEFT JOIN good g ON h.feed = g.feed AND h.rid = g.rid AND g.first < h.seq
+  WHERE h.rid IS NOT NULL AND h.ts < {_CUT} AND g.feed IS NULL GROUP BY 1)"""
 
 
 @query("SELECT g.feed, rid, event_id FROM good g LEFT JOIN stops s ON g.feed = s.feed WHERE stop IS NULL OR first < stop", b.FEED, _HOLES, _GOOD, _STOPS)
@@ -213,7 +247,10 @@ def feed_accept(s, d):
     return fd.accept(rows.crossJoin(F.broadcast(_cut(s, d))), F.col("cut"), "feed", "rid").select("feed", "rid", "event_id")
 
 
-@query("SELECT rid, event_id FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY feed, seq) AS rn FROM feed WHERE trim(content) <> '') WHERE rn = 1", b.FEED)
+@query(
+    """SELECT rid, event_id FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY feed, seq) AS rn FROM feed WHERE trim(content) <> '') WHERE rn = 1""",
+    b.FEED,
+)
 def dedup_first(s, d):
     return fd.keep_one(b.feed(s, d).where(tx.strip(F.col("content")) != ""), "rid", F.struct("feed", "seq")).select("rid", "event_id")
 
@@ -228,12 +265,19 @@ def last_n_events(s, d):
     return fd.cap_per_group(b.feed(s, d), "feed", 50, F.col("seq").desc()).select("feed", "event_id", "rank")
 
 
-@query("SELECT country, review_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY ts DESC, review_id) AS rank FROM reviews) WHERE rank <= 100", b.REVIEWS)
+@query(
+    """SELECT country, review_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY ts DESC, review_id) AS rank FROM reviews)
+    WHERE rank <= 100""",
+    b.REVIEWS,
+)
 def src_per_country_cap(s, d):
     return fd.cap_per_group(b.reviews(s, d), "country", 100, F.col("ts").desc(), F.col("review_id")).select("country", "review_id", "rank")
 
 
-@query("SELECT p_brand, min(p_partkey) AS hit, arg_min(p_name, p_partkey) AS name FROM part WHERE starts_with(p_name, substr(lower(p_type), 1, 1)) GROUP BY p_brand")
+@query(
+    """SELECT p_brand, min(p_partkey) AS hit, arg_min(p_name, p_partkey) AS name FROM part WHERE starts_with(p_name, substr(lower(p_type), 1, 1))
+    GROUP BY p_brand""",
+)
 def src_first_prefix_match(s, d):
     """The first hit in order of each search whose name begins as expected."""
     hits = table(s, d, "part").where(F.col("p_name").startswith(F.substring(F.lower("p_type"), 1, 1)))
@@ -243,7 +287,11 @@ def src_first_prefix_match(s, d):
 # Aggregations over reviews ----------------------------------------------------------------------------------------
 
 
-@query("SELECT platform, country, count(*) AS n, count(rating) AS rated FROM (SELECT * FROM reviews WHERE platform = 'android' UNION ALL SELECT * FROM reviews WHERE platform = 'ios') GROUP BY ALL", b.REVIEWS)
+@query(
+    """SELECT platform, country, count(*) AS n, count(rating) AS rated FROM (SELECT * FROM reviews WHERE platform = 'android' UNION ALL SELECT * FROM reviews
+    WHERE platform = 'ios') GROUP BY ALL""",
+    b.REVIEWS,
+)
 def combine_union(s, d):
     r = b.reviews(s, d)
     both = fd.combine(r.where("platform = 'android'"), r.where("platform = 'ios'").withColumn("title", F.lit("")))
@@ -251,8 +299,11 @@ def combine_union(s, d):
 
 
 @query(
-    """SELECT k AS rating, coalesce(n, 0) AS n, round_even(coalesce(n, 0) * 100.0 / t, 1) AS pct, repeat('#', CAST(round_even(coalesce(n, 0) * 100.0 / t / 2, 0) AS INTEGER)) AS bar
-    FROM (SELECT unnest([1, 2, 3, 4, 5, NULL]) AS k) LEFT JOIN (SELECT CASE WHEN rating BETWEEN 1 AND 4 THEN rating END AS r, count(*) AS n FROM reviews GROUP BY 1) ON k IS NOT DISTINCT FROM r, (SELECT count(*) AS t FROM reviews)""", b.REVIEWS
+    """SELECT k AS rating, coalesce(n, 0) AS n, round_even(coalesce(n, 0) * 100.0 / t, 1) AS pct, repeat('#', CAST(round_even(coalesce(n,
+      0) * 100.0 / t / 2, 0) AS INTEGER)) AS bar
+    FROM (SELECT unnest([1, 2, 3, 4, 5, NULL]) AS k) LEFT JOIN (SELECT CASE WHEN rating BETWEEN 1 AND 4 THEN rating END AS r, count(*) AS n
+      FROM reviews GROUP BY 1) ON k IS NOT DISTINCT FROM r, (SELECT count(*) AS t FROM reviews)""",
+    b.REVIEWS,
 )
 def rating_histogram(s, d):
     """Ratings 1 to 5 and, with a null rating, all others; fives count as unrated here, so that this bucket is filled."""
@@ -265,18 +316,32 @@ def country_counts(s, d):
     return numbered(c, F.col("n").desc(), F.col("country"), name="place")
 
 
-@query("SELECT platform, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, count(*) FILTER (WHERE country = 'nation_3') AS n_home FROM reviews GROUP BY platform", b.REVIEWS)
+@query(
+    """SELECT platform, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, count(*) FILTER (WHERE country = 'nation_3') AS n_home FROM reviews
+    GROUP BY platform""",
+    b.REVIEWS,
+)
 def platform_summary(s, d):
-    return b.reviews(s, d).groupBy("platform").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count_if(F.col("country") == "nation_3").alias("n_home"))
+    return b.reviews(s, d).groupBy("platform").agg(
+        F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        F.count_if(F.col("country") == "nation_3").alias("n_home"),
+    )
 
 
-@query("SELECT coalesce(platform, 'untagged') AS platform, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 9) AS pct FROM reviews GROUP BY 1", b.REVIEWS)
+@query(
+    """SELECT coalesce(platform, 'untagged') AS platform, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 9) AS pct FROM reviews GROUP BY 1""",
+    b.REVIEWS,
+)
 def platform_share(s, d):
     c = b.reviews(s, d).groupBy(F.coalesce("platform", F.lit("untagged")).alias("platform")).agg(F.count("*").alias("n"))
     return c.crossJoin(F.broadcast(c.agg(F.sum("n").alias("t")))).select("platform", "n", F.round(F.col("n") * 100.0 / F.col("t"), 9).alias("pct"))
 
 
-@query("SELECT platform, count(*) FILTER (WHERE rating = 1) AS r1, count(*) FILTER (WHERE rating = 2) AS r2, count(*) FILTER (WHERE rating = 3) AS r3, count(*) FILTER (WHERE rating = 4) AS r4, count(*) FILTER (WHERE rating = 5) AS r5, count(*) AS total FROM reviews GROUP BY platform", b.REVIEWS)
+@query(
+    """SELECT platform, count(*) FILTER (WHERE rating = 1) AS r1, count(*) FILTER (WHERE rating = 2) AS r2, count(*) FILTER (WHERE rating = 3) AS r3,
+    count(*) FILTER (WHERE rating = 4) AS r4, count(*) FILTER (WHERE rating = 5) AS r5, count(*) AS total FROM reviews GROUP BY platform""",
+    b.REVIEWS,
+)
 def platform_rating_pivot(s, d):
     return b.reviews(s, d).groupBy("platform").agg(*[F.count_if(F.col("rating") == k).alias(f"r{k}") for k in range(1, 6)], F.count("*").alias("total"))
 
@@ -293,7 +358,8 @@ _DETECT = rf"""grams AS (SELECT doc_id, unnest(list_transform(range(1, length(w)
   FROM vocab v CROSS JOIN totals t LEFT JOIN counts c ON c.g = v.g AND c.lang = t.lang),
  scores AS (SELECT doc_id, lang, sum(w) AS s FROM grams JOIN profile USING (g) GROUP BY ALL),
  odds AS (SELECT doc_id, lang, exp((s - max(s) OVER (PARTITION BY doc_id)) / {language.UNIT * language.OVERLAP}.0) AS e FROM scores),
- ranked AS (SELECT doc_id, lang, e / sum(e) OVER (PARTITION BY doc_id) AS p, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY e DESC, lang) AS INTEGER) AS rank FROM odds)"""
+ ranked AS (SELECT doc_id, lang, e / sum(e) OVER (PARTITION BY doc_id) AS p, CAST(row_number() OVER (PARTITION BY doc_id
+  ORDER BY e DESC, lang) AS INTEGER) AS rank FROM odds)"""
 _SPLIT = """split AS (SELECT d.doc_id, coalesce(r.lang = 'en' OR p < 0.5, false) AS kept, coalesce(r.lang, 'unknown') AS detected_language,
  round_even(coalesce(p, 0.0), 4) AS confidence FROM documents d LEFT JOIN ranked r ON d.doc_id = r.doc_id AND rank = 1)"""
 
@@ -323,24 +389,41 @@ def lang_drop_breakdown(s, d):
     return _split(s, d).where("not kept").groupBy("detected_language").agg(F.count("*").alias("n"))
 
 
-@query("SELECT count(*) AS n, count(*) FILTER (WHERE kept) AS n_kept, round(count(*) FILTER (WHERE kept) * 100.0 / count(*), 9) AS pct_kept FROM split", _DETECT, _SPLIT)
+@query(
+    """SELECT count(*) AS n, count(*) FILTER (WHERE kept) AS n_kept, round(count(*) FILTER (WHERE kept) * 100.0 / count(*), 9) AS pct_kept FROM split""",
+    _DETECT,
+    _SPLIT,
+)
 def lang_filter_summary(s, d):
     c = _split(s, d).agg(F.count("*").alias("n"), F.count_if("kept").alias("n_kept"))
     return c.withColumn("pct_kept", F.round(F.try_divide(F.col("n_kept") * 100.0, F.col("n")), 9))
 
 
-@query("SELECT CASE WHEN rn <= 2 THEN detected_language ELSE '(other languages)' END AS language, CAST(sum(n) AS BIGINT) AS n FROM (SELECT *, row_number() OVER (ORDER BY n DESC, detected_language) AS rn FROM (SELECT detected_language, count(*) AS n FROM split GROUP BY 1)) GROUP BY 1", _DETECT, _SPLIT)
+@query(
+    """SELECT CASE WHEN rn <= 2 THEN detected_language ELSE '(other languages)' END AS language, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT *, row_number() OVER (ORDER BY n DESC, detected_language) AS rn FROM (SELECT detected_language, count(*) AS n FROM split GROUP BY 1))
+    GROUP BY 1""",
+    _DETECT,
+    _SPLIT,
+)
 def lang_top_with_other(s, d):
-    c = _split(s, d).groupBy("detected_language").agg(F.count("*").alias("n")).withColumn("rn", F.row_number().over(Window.orderBy(F.col("n").desc(), "detected_language")))
+    c = _split(s, d).groupBy("detected_language").agg(F.count("*").alias("n")).withColumn(
+        "rn", F.row_number().over(Window.orderBy(F.col("n").desc(), "detected_language")),
+    )
     return c.groupBy(F.when(F.col("rn") <= 2, F.col("detected_language")).otherwise("(other languages)").alias("language")).agg(F.sum("n").alias("n"))
 
 
 # Sampling ---------------------------------------------------------------------------------------------------------
 
 _POOLS = "pools AS (SELECT platform, rating, count(*) AS pool FROM reviews WHERE platform IS NOT NULL GROUP BY 1, 2)"
-_ALLOC = """shares AS (SELECT *, least(500, sum(pool) OVER (PARTITION BY platform)) AS goal, least(500, sum(pool) OVER (PARTITION BY platform))::DOUBLE * pool / sum(pool) OVER (PARTITION BY platform) AS share FROM pools),
- alloc AS (SELECT platform, rating, pool, CAST(least(floor(share) + CASE WHEN row_number() OVER (PARTITION BY platform ORDER BY share - floor(share) DESC, rating DESC) <= goal - sum(floor(share)) OVER (PARTITION BY platform) THEN 1 ELSE 0 END, pool) AS BIGINT) AS n FROM shares)"""
-_PICK = "picked AS (SELECT r.review_id, r.platform, r.rating FROM (SELECT *, row_number() OVER (PARTITION BY platform, rating ORDER BY md5('42:' || CAST(review_id AS VARCHAR)), review_id) AS rn FROM reviews WHERE platform IS NOT NULL) r JOIN alloc a ON r.platform = a.platform AND r.rating = a.rating WHERE rn <= n)"
+_ALLOC = """shares AS (SELECT *, least(500, sum(pool) OVER (PARTITION BY platform)) AS goal, least(500,
+  sum(pool) OVER (PARTITION BY platform))::DOUBLE * pool / sum(pool) OVER (PARTITION BY platform) AS share FROM pools),
+ alloc AS (SELECT platform, rating, pool, CAST(least(floor(share) + CASE WHEN row_number() OVER (PARTITION BY platform
+  ORDER BY share - floor(share) DESC, rating DESC) <= goal - sum(floor(share)) OVER (PARTITION BY platform) THEN 1 ELSE 0 END, pool) AS BIGINT) AS n
+  FROM shares)"""
+_PICK = """picked AS (SELECT r.review_id, r.platform, r.rating FROM (SELECT *, row_number() OVER (PARTITION BY platform, rating
+  ORDER BY md5('42:' || CAST(review_id AS VARCHAR)), review_id) AS rn FROM reviews WHERE platform IS NOT NULL) r
+  JOIN alloc a ON r.platform = a.platform AND r.rating = a.rating WHERE rn <= n)"""
 
 
 def _tagged(s, d):
@@ -365,7 +448,14 @@ def balance_sample(s, d):
     return _picked(s, d).select("review_id", "platform", "rating")
 
 
-@query("SELECT * FROM picked UNION ALL SELECT review_id, platform, rating FROM reviews WHERE platform IS NOT NULL AND review_id IN (SELECT event_id FROM events WHERE event_id % 97 = 0) AND review_id NOT IN (SELECT review_id FROM picked)", b.REVIEWS, _POOLS, _ALLOC, _PICK)
+@query(
+    """SELECT * FROM picked UNION ALL SELECT review_id, platform, rating FROM reviews WHERE platform IS NOT NULL AND review_id IN (SELECT event_id
+    FROM events WHERE event_id % 97 = 0) AND review_id NOT IN (SELECT review_id FROM picked)""",
+    b.REVIEWS,
+    _POOLS,
+    _ALLOC,
+    _PICK,
+)
 def balance_with_pins(s, d):
     pins = table(s, d, "events").where("event_id % 97 = 0").select(F.col("event_id").alias("review_id"))
     return sampling.with_pins(_picked(s, d), _tagged(s, d), pins).select("review_id", "platform", "rating")
@@ -388,7 +478,10 @@ def sample_platform_strata(s, d):
     return sampling.fixed(_tagged(s, d), sampling.SMOKE, by="platform").select("review_id", "platform", "rating")
 
 
-@query("SELECT review_id, country FROM (" + _fixed_sql(sampling.BLIND).replace("SELECT review_id, rating", "SELECT review_id, rating, country") + ")", b.REVIEWS)
+@query(
+    "SELECT review_id, country FROM (" + _fixed_sql(sampling.BLIND).replace("SELECT review_id, rating", "SELECT review_id, rating, country") + ")",
+    b.REVIEWS,
+)
 def sample_blind_projection(s, d):
     return sampling.fixed(b.reviews(s, d), sampling.BLIND, strict=False).select("review_id", "country")
 
@@ -407,17 +500,29 @@ def issues_explode(s, d):
     return themes.explode_issues(b.nested(s, d)).withColumn("issue_pos", F.col("issue_pos").cast("bigint"))
 
 
-@query("SELECT count(*) AS processed, CAST(sum(n) AS BIGINT) AS issues, count(*) FILTER (WHERE n = 0) AS without, round(sum(n)::DOUBLE / count(*), 9) AS mean FROM (SELECT o_orderkey, count(review_id) AS n FROM orders LEFT JOIN issues ON o_orderkey = review_id GROUP BY 1)", b.ISSUES)
+@query(
+    """SELECT count(*) AS processed, CAST(sum(n) AS BIGINT) AS issues, count(*) FILTER (WHERE n = 0) AS without, round(sum(n)::DOUBLE / count(*), 9) AS mean
+    FROM (SELECT o_orderkey, count(review_id) AS n FROM orders LEFT JOIN issues ON o_orderkey = review_id GROUP BY 1)""",
+    b.ISSUES,
+)
 def extract_summary(s, d):
     n = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
     o = table(s, d, "orders").select("o_orderkey").join(n, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.coalesce("n", F.lit(0)).alias("n"))
-    return o.agg(F.count("*").alias("processed"), F.sum("n").alias("issues"), F.count_if(F.col("n") == 0).alias("without"), F.round(F.sum("n") / F.count("*"), 9).alias("mean"))
+    return o.agg(
+        F.count("*").alias("processed"), F.sum("n").alias("issues"), F.count_if(F.col("n") == 0).alias("without"),
+        F.round(F.sum("n") / F.count("*"), 9).alias("mean"),
+    )
 
 
-@query("SELECT o_orderkey AS review_id, e.event_id IS NOT NULL AS cached FROM orders LEFT JOIN (SELECT event_id FROM events WHERE event_id % 2 = 0) e ON o_orderkey = event_id")
+@query(
+    """SELECT o_orderkey AS review_id, e.event_id IS NOT NULL AS cached FROM orders LEFT JOIN (SELECT event_id FROM events
+    WHERE event_id % 2 = 0) e ON o_orderkey = event_id""",
+)
 def extract_cache_split(s, d):
     held = table(s, d, "events").where("event_id % 2 = 0").select("event_id")
-    return table(s, d, "orders").join(held, F.col("o_orderkey") == F.col("event_id"), "left").select(F.col("o_orderkey").alias("review_id"), F.col("event_id").isNotNull().alias("cached"))
+    return table(s, d, "orders").join(held, F.col("o_orderkey") == F.col("event_id"), "left").select(
+        F.col("o_orderkey").alias("review_id"), F.col("event_id").isNotNull().alias("cached"),
+    )
 
 
 #: Rules for the invented prose: its 300 commonest words and as many word pairs, labelled by their rank.
@@ -428,7 +533,8 @@ _RULES = rf"""words AS (SELECT doc_id, list_filter(string_split_regex(lower(text
   UNION ALL SELECT doc_id, unnest(range(0, len(w) - 1)), unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])), 2 FROM words),
  common AS (SELECT phrase, n, row_number() OVER (PARTITION BY n ORDER BY count(*) DESC, phrase) AS k FROM seqs GROUP BY 1, 2),
  rules AS (SELECT phrase, {", ".join(f"{_PICK_LABEL(v)} AS {c}" for c, v in _RULE_LABELS.items())} FROM common WHERE k <= 300)"""
-_FOUND = """found AS (SELECT doc_id, phrase, severity, sentiment, feature_area, row_number() OVER (PARTITION BY doc_id ORDER BY min(place), length(phrase), phrase) - 1 AS issue_pos
+_FOUND = """found AS (SELECT doc_id, phrase, severity, sentiment, feature_area, row_number() OVER (PARTITION BY doc_id
+  ORDER BY min(place), length(phrase), phrase) - 1 AS issue_pos
   FROM seqs JOIN rules USING (phrase) GROUP BY doc_id, phrase, severity, sentiment, feature_area QUALIFY issue_pos < 4)"""
 
 
@@ -466,7 +572,9 @@ def cluster_breakdowns(s, d):
 
 @query("SELECT sentiment, count(*) AS n, count(DISTINCT theme) AS unique_themes FROM issues GROUP BY sentiment", b.ISSUES)
 def cluster_partition_sizes(s, d):
-    return b.issues(s, d).groupBy(F.coalesce("sentiment", F.lit("unknown")).alias("sentiment")).agg(F.count("*").alias("n"), F.countDistinct("theme").alias("unique_themes"))
+    return b.issues(s, d).groupBy(F.coalesce("sentiment", F.lit("unknown")).alias("sentiment")).agg(
+        F.count("*").alias("n"), F.countDistinct("theme").alias("unique_themes"),
+    )
 
 
 @query("SELECT theme, sentiment, string_agg(CAST(review_id AS VARCHAR), ',' ORDER BY review_id, issue_pos) AS members FROM issues GROUP BY 1, 2", b.ISSUES)
@@ -475,22 +583,43 @@ def cluster_members(s, d):
     return held.select("theme", "sentiment", F.array_join(F.transform("m", lambda x: x["review_id"].cast("string")), ",").alias("members"))
 
 
-@query("SELECT theme, sentiment, size, 'c_' || lpad(CAST(row_number() OVER (ORDER BY size DESC, sentiment, theme) AS VARCHAR), 4, '0') AS cluster_id FROM clusters WHERE size >= 3", b.ISSUES, b.CLUSTERS)
+@query(
+    """SELECT theme, sentiment, size, 'c_' || lpad(CAST(row_number() OVER (ORDER BY size DESC, sentiment, theme) AS VARCHAR), 4, '0') AS cluster_id
+    FROM clusters WHERE size >= 3""",
+    b.ISSUES,
+    b.CLUSTERS,
+)
 def cluster_rank(s, d):
     held = numbered(b.clusters(s, d).where("size >= 3"), F.col("size").desc(), F.col("sentiment"), F.col("theme"), name="place")
     return held.select("theme", "sentiment", "size", F.format_string("c_%04d", "place").alias("cluster_id"))
 
 
-@query("SELECT count(*) FILTER (WHERE size < 450) AS noise, CAST(sum(size) FILTER (WHERE size >= 450) AS BIGINT) AS covered, round(coalesce(sum(size) FILTER (WHERE size >= 450), 0) / sum(size), 9) AS share FROM clusters", b.ISSUES, b.CLUSTERS)
+@query(
+    """SELECT count(*) FILTER (WHERE size < 450) AS noise, CAST(sum(size) FILTER (WHERE size >= 450) AS BIGINT) AS covered,
+    round(coalesce(sum(size) FILTER (WHERE size >= 450), 0) / sum(size), 9) AS share FROM clusters""",
+    b.ISSUES,
+    b.CLUSTERS,
+)
 def cluster_coverage(s, d):
     size = F.col("size")
     kept = F.sum(F.when(size >= 450, size))
-    return b.clusters(s, d).agg(F.count_if(size < 450).alias("noise"), kept.alias("covered"), F.round(F.coalesce(kept, F.lit(0)) / F.sum(size), 9).alias("share"))
+    return b.clusters(s, d).agg(
+        F.count_if(size < 450).alias("noise"), kept.alias("covered"),
+        F.round(F.coalesce(kept, F.lit(0)) / F.sum(size), 9).alias("share"),
+    )
 
 
-@query("SELECT theme, sentiment, size, round(severity_mean, 9) AS severity_mean, round(fit_mean, 9) AS fit_mean, round(ln(1 + size), 9) AS log_size FROM clusters", b.ISSUES, b.CLUSTERS)
+@query(
+    """SELECT theme, sentiment, size, round(severity_mean, 9) AS severity_mean, round(fit_mean, 9) AS fit_mean, round(ln(1 + size), 9) AS log_size
+    FROM clusters""",
+    b.ISSUES,
+    b.CLUSTERS,
+)
 def score_components(s, d):
-    return b.clusters(s, d).select("theme", "sentiment", "size", F.round("severity_mean", 9).alias("severity_mean"), F.round("fit_mean", 9).alias("fit_mean"), F.round(F.log1p("size"), 9).alias("log_size"))
+    return b.clusters(s, d).select(
+        "theme", "sentiment", "size", F.round("severity_mean", 9).alias("severity_mean"),
+        F.round("fit_mean", 9).alias("fit_mean"), F.round(F.log1p("size"), 9).alias("log_size"),
+    )
 
 
 _SCORED = """scored AS (SELECT *, 0.4 * ln(1 + size) / ln(1 + max(size) OVER ()) AS freq_part, 0.4 * severity_mean / 3 AS sev_part, 0.2 * fit_mean AS fit_part,
@@ -501,13 +630,24 @@ def _scored(s, d, floor=450):
     return themes.score(b.clusters(s, d), floor)
 
 
-@query("SELECT theme, sentiment, size, round(score, 9) AS score, row_number() OVER (ORDER BY round(score, 9) DESC, theme, sentiment) AS rank FROM scored", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=10))
+@query(
+    """SELECT theme, sentiment, size, round(score, 9) AS score, row_number() OVER (ORDER BY round(score, 9) DESC, theme, sentiment) AS rank FROM scored""",
+    b.ISSUES,
+    b.CLUSTERS,
+    _SCORED.format(floor=10),
+)
 def score_rank(s, d):
     out = _scored(s, d, 10).select("theme", "sentiment", "size", F.round("score", 9).alias("score"))
     return numbered(out, F.col("score").desc(), F.col("theme"), F.col("sentiment"))
 
 
-@query("SELECT theme, sentiment, round(freq_part, 9) AS freq_part, round(sev_part, 9) AS sev_part, round(fit_part, 9) AS fit_part, round(score, 9) AS score FROM scored", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=450))
+@query(
+    """SELECT theme, sentiment, round(freq_part, 9) AS freq_part, round(sev_part, 9) AS sev_part, round(fit_part, 9) AS fit_part, round(score, 9) AS score
+    FROM scored""",
+    b.ISSUES,
+    b.CLUSTERS,
+    _SCORED.format(floor=450),
+)
 def score_breakdown_struct(s, d):
     return _scored(s, d).select("theme", "sentiment", *[F.round(c, 9).alias(c) for c in ("freq_part", "sev_part", "fit_part", "score")])
 
@@ -517,25 +657,51 @@ def score_excluded(s, d):
     return b.clusters(s, d).agg(F.count_if(F.col("size") < 450).alias("excluded"), F.count("*").alias("n"))
 
 
-@query("SELECT w.name AS scenario, theme, sentiment, round(w.f / 0.4 * freq_part + w.s / 0.4 * sev_part + w.t / 0.2 * fit_part, 9) AS score FROM scored, (VALUES ('base', 0.4, 0.4, 0.2), ('volume', 0.7, 0.2, 0.1), ('severity', 0.1, 0.8, 0.1)) w(name, f, s, t)", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=450))
+@query(
+    """SELECT w.name AS scenario, theme, sentiment, round(w.f / 0.4 * freq_part + w.s / 0.4 * sev_part + w.t / 0.2 * fit_part, 9) AS score
+    FROM scored, (VALUES ('base', 0.4, 0.4, 0.2), ('volume', 0.7, 0.2, 0.1), ('severity', 0.1, 0.8, 0.1)) w(name, f, s, t)""",
+    b.ISSUES,
+    b.CLUSTERS,
+    _SCORED.format(floor=450),
+)
 def score_sensitivity(s, d):
-    w = F.broadcast(s.createDataFrame([("base", 0.4, 0.4, 0.2), ("volume", 0.7, 0.2, 0.1), ("severity", 0.1, 0.8, 0.1)], "scenario string, f double, s double, t double"))
+    w = F.broadcast(
+        s.createDataFrame(
+            [("base", 0.4, 0.4, 0.2), ("volume", 0.7, 0.2, 0.1), ("severity", 0.1, 0.8, 0.1)],
+            "scenario string, f double, s double, t double",
+        ),
+    )
     return _scored(s, d).crossJoin(w).select("scenario", "theme", "sentiment", F.round(F.expr("f * freq_norm + s * sev_norm + t * fit_mean"), 9).alias("score"))
 
 
-@query("SELECT theme, sentiment, size, round(score, 9) AS score FROM scored ORDER BY round(score, 9) DESC, theme, sentiment LIMIT 15", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=10))
+@query(
+    """SELECT theme, sentiment, size, round(score, 9) AS score FROM scored ORDER BY round(score, 9) DESC, theme, sentiment LIMIT 15""",
+    b.ISSUES,
+    b.CLUSTERS,
+    _SCORED.format(floor=10),
+)
 def topk_global(s, d):
     out = _scored(s, d, 10).select("theme", "sentiment", "size", F.round("score", 9).alias("score"))
     return out.orderBy(F.col("score").desc(), "theme", "sentiment").limit(15)
 
 
-@query("SELECT feature_area, theme, n, rank FROM (SELECT feature_area, theme, count(*) AS n, row_number() OVER (PARTITION BY feature_area ORDER BY count(*) DESC, theme) AS rank FROM issues GROUP BY 1, 2) WHERE rank <= 8", b.ISSUES)
+@query(
+    """SELECT feature_area, theme, n, rank FROM (SELECT feature_area, theme, count(*) AS n, row_number() OVER (PARTITION BY feature_area
+    ORDER BY count(*) DESC, theme) AS rank FROM issues GROUP BY 1, 2) WHERE rank <= 8""",
+    b.ISSUES,
+)
 def topk_per_group(s, d):
     c = b.issues(s, d).groupBy("feature_area", "theme").agg(F.count("*").alias("n"))
     return fd.cap_per_group(c, "feature_area", 8, F.col("n").desc(), F.col("theme")).select("feature_area", "theme", "n", "rank")
 
 
-@query("SELECT theme, sentiment, rank() OVER (ORDER BY size DESC) AS prevalence, rank() OVER (ORDER BY round(score, 9) DESC) AS priority, rank() OVER (ORDER BY size DESC) - rank() OVER (ORDER BY round(score, 9) DESC) AS moved FROM scored", b.ISSUES, b.CLUSTERS, _SCORED.format(floor=10))
+@query(
+    """SELECT theme, sentiment, rank() OVER (ORDER BY size DESC) AS prevalence, rank() OVER (ORDER BY round(score, 9) DESC) AS priority,
+    rank() OVER (ORDER BY size DESC) - rank() OVER (ORDER BY round(score, 9) DESC) AS moved FROM scored""",
+    b.ISSUES,
+    b.CLUSTERS,
+    _SCORED.format(floor=10),
+)
 def rank_prevalence_vs_priority(s, d):
     out = _scored(s, d, 10).select("theme", "sentiment", "size", F.round("score", 9).alias("score"))
     out = numbered(out, F.col("size").desc(), F.col("theme"), F.col("sentiment"), name="prevalence", key="size")
@@ -546,8 +712,10 @@ def rank_prevalence_vs_priority(s, d):
 # Vectors ----------------------------------------------------------------------------------------------------------
 
 _SIMS = """dims AS (SELECT label, vec_id, unnest(embedding)::DOUBLE AS x, unnest(generate_series(1, len(embedding))) AS d FROM embeddings),
- unit AS (SELECT label, vec_id, d, x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) AS u FROM dims), mean AS (SELECT label, d, avg(u) AS m FROM unit GROUP BY 1, 2),
- sims AS (SELECT label, vec_id, sum(u * m) / any_value(len) AS sim FROM unit JOIN mean USING (label, d) JOIN (SELECT label, sqrt(sum(m * m)) AS len FROM mean GROUP BY 1) USING (label) GROUP BY 1, 2)"""
+ unit AS (SELECT label, vec_id, d, x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) AS u FROM dims), mean AS (SELECT label, d, avg(u) AS m FROM unit
+  GROUP BY 1, 2),
+ sims AS (SELECT label, vec_id, sum(u * m) / any_value(len) AS sim FROM unit JOIN mean USING (label, d) JOIN (SELECT label, sqrt(sum(m * m)) AS len
+  FROM mean GROUP BY 1) USING (label) GROUP BY 1, 2)"""
 
 
 @query("SELECT label, vec_id, round(sim, 6) AS sim FROM sims", _SIMS)
@@ -560,19 +728,30 @@ def cluster_medoid(s, d):
     return themes.medoids(table(s, d, "embeddings"), ["label"]).groupBy("label").agg(F.max_by("vec_id", F.struct("sim", -F.col("vec_id"))).alias("medoid"))
 
 
-_NEAR = """pairs AS (SELECT label, a.vec_id AS va, b.vec_id AS vb, round(1 - sum(a.u * b.u), 12) AS dist FROM unit a JOIN unit b USING (label, d) WHERE a.vec_id <> b.vec_id GROUP BY 1, 2, 3),
+_NEAR = """pairs AS (SELECT label, a.vec_id AS va, b.vec_id AS vb, round(1 - sum(a.u * b.u), 12) AS dist FROM unit a JOIN unit b USING (label, d)
+  WHERE a.vec_id <> b.vec_id GROUP BY 1, 2, 3),
  nn AS (SELECT label, va, arg_min(vb, (dist, vb)) AS vb, min(dist) AS dist FROM pairs GROUP BY 1, 2)"""
 
 
-@query("SELECT x.label, x.va AS first_id, x.vb AS second_id FROM nn x JOIN nn y ON x.label = y.label AND x.va = y.vb AND x.vb = y.va WHERE x.va < x.vb AND x.dist < 0.9", _SIMS, _NEAR)
+@query(
+    """SELECT x.label, x.va AS first_id, x.vb AS second_id FROM nn x JOIN nn y ON x.label = y.label AND x.va = y.vb AND x.vb = y.va
+    WHERE x.va < x.vb AND x.dist < 0.9""",
+    _SIMS,
+    _NEAR,
+)
 def hac_round1_pairs(s, d):
     """The pairs that the first round of clustering merges."""
     e = table(s, d, "embeddings")
-    e = e.select(F.col("label").alias("part"), F.col("vec_id").alias("cid"), F.lit(1).cast("bigint").alias("size"), clustering.sparse(e, "embedding").alias("u"))
+    e = e.select(
+        F.col("label").alias("part"), F.col("vec_id").alias("cid"), F.lit(1).cast("bigint").alias("size"),
+        clustering.sparse(e, "embedding").alias("u"),
+    )
     e = e.select("part", "cid", "size", "u.i", "u.x")
     nn = clustering.nearest(e, e, 0.9)
     back = nn.select("part", F.col("other").alias("cid"), F.col("cid").alias("other"))
-    return nn.join(back, ["part", "cid", "other"]).where("cid < other").select(F.col("part").alias("label"), F.col("cid").alias("first_id"), F.col("other").alias("second_id"))
+    return nn.join(back, ["part", "cid", "other"]).where("cid < other").select(
+        F.col("part").alias("label"), F.col("cid").alias("first_id"), F.col("other").alias("second_id"),
+    )
 
 
 @query()
@@ -580,11 +759,17 @@ def hac_clusters(s, d):
     return clustering.average_linkage(table(s, d, "embeddings"), 0.9, "label", "vec_id", "embedding")
 
 
-_GRAMS = "grams AS (SELECT theme, unnest(list_transform(range(1, greatest(length(p) - 1, 2)), lambda i: substr(p, i, 3))) AS g FROM (SELECT DISTINCT p_name AS theme, ' ' || lower(p_name) || ' ' AS p FROM part))"
+_GRAMS = """grams AS (SELECT theme, unnest(list_transform(range(1, greatest(length(p) - 1, 2)), lambda i: substr(p, i, 3))) AS g
+  FROM (SELECT DISTINCT p_name AS theme, ' ' || lower(p_name) || ' ' AS p FROM part))"""
 _SLOTS = f"slots AS (SELECT theme, CAST('0x' || substr(md5(g), 1, 5) AS INTEGER) % {embedding.SLOTS} AS slot, count(*) AS tf FROM grams GROUP BY 1, 2)"
 
 
-@query("SELECT theme, slot, round(tf * (ln((1.0 + (SELECT count(DISTINCT p_name) FROM part)) / (1.0 + count(*) OVER (PARTITION BY slot))) + 1.0), 6) AS weight FROM slots", _GRAMS, _SLOTS)
+@query(
+    """SELECT theme, slot, round(tf * (ln((1.0 + (SELECT count(DISTINCT p_name) FROM part)) / (1.0 + count(*) OVER (PARTITION BY slot))) + 1.0), 6) AS weight
+    FROM slots""",
+    _GRAMS,
+    _SLOTS,
+)
 def theme_embeddings(s, d):
     """The weights of all themes' hashed trigrams."""
     part = table(s, d, "part")
@@ -640,7 +825,9 @@ def join_anti_aged_out(s, d):
 
 @query("SELECT event_id, coalesce(lang, '') AS lang FROM events LEFT JOIN documents ON event_id = doc_id")
 def join_left_default(s, d):
-    return table(s, d, "events").join(table(s, d, "documents").select("doc_id", "lang"), F.col("event_id") == F.col("doc_id"), "left").select("event_id", F.coalesce("lang", F.lit("")).alias("lang"))
+    return table(s, d, "events").join(table(s, d, "documents").select("doc_id", "lang"), F.col("event_id") == F.col("doc_id"), "left").select(
+        "event_id", F.coalesce("lang", F.lit("")).alias("lang"),
+    )
 
 
 @query("SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels")
@@ -653,7 +840,10 @@ def ids_except(s, d):
     return table(s, d, "documents").select("doc_id").exceptAll(table(s, d, "labels").select("doc_id")).distinct()
 
 
-@query("SELECT g AS gold_has, m AS model_has, count(quality) AS n FROM (VALUES (true), (false)) a(g), (VALUES (true), (false)) c(m) LEFT JOIN (SELECT * FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL) ON (quality = 0) = g AND (n_chars < 12) = m GROUP BY 1, 2")
+@query(
+    """SELECT g AS gold_has, m AS model_has, count(quality) AS n FROM (VALUES (true), (false)) a(g), (VALUES (true), (false)) c(m) LEFT JOIN (SELECT *
+    FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL) ON (quality = 0) = g AND (n_chars < 12) = m GROUP BY 1, 2""",
+)
 def eval_confusion(s, d):
     held = table(s, d, "documents").join(table(s, d, "labels").where("quality is not null"), "doc_id")
     return matching.confusion(held, F.col("quality") == 0, F.col("n_chars") < 12)
@@ -669,18 +859,36 @@ _GREEDY = """lists AS (SELECT review_id, list({'score': score, 'mi': mi, 'gi': g
    lambda a, x: CASE WHEN len(list_filter(a, lambda q: q.mi = x[1].mi OR q.gi = x[1].gi)) > 0 THEN a ELSE list_concat(a, x) END)) AS p FROM lists)"""
 
 
-@query("SELECT review_id, CAST(mi AS INTEGER) AS mi, CAST(gi AS INTEGER) AS gi, CAST(score AS DOUBLE) AS score FROM cands WHERE score > 0", b.ISSUES, b.PAIRS, _CANDS)
+@query(
+    """SELECT review_id, CAST(mi AS INTEGER) AS mi, CAST(gi AS INTEGER) AS gi, CAST(score AS DOUBLE) AS score FROM cands WHERE score > 0""",
+    b.ISSUES,
+    b.PAIRS,
+    _CANDS,
+)
 def match_candidates(s, d):
     held = b.model_and_gold(s, d)
     return held.select("review_id", F.explode(matching.candidates(F.col("model"), F.col("gold"))).alias("c")).select("review_id", "c.mi", "c.gi", "c.score")
 
 
-@query("SELECT review_id, CAST(p.mi AS INTEGER) AS mi, CAST(p.gi AS INTEGER) AS gi, CAST(p.score AS DOUBLE) AS score FROM taken", b.ISSUES, b.PAIRS, _CANDS, _GREEDY)
+@query(
+    """SELECT review_id, CAST(p.mi AS INTEGER) AS mi, CAST(p.gi AS INTEGER) AS gi, CAST(p.score AS DOUBLE) AS score FROM taken""",
+    b.ISSUES,
+    b.PAIRS,
+    _CANDS,
+    _GREEDY,
+)
 def match_greedy(s, d):
     return matching.match(b.model_and_gold(s, d)).select("review_id", F.explode("matches").alias("c")).select("review_id", "c.mi", "c.gi", "c.score")
 
 
-@query("SELECT s.review_id, CAST(s.k AS INTEGER) AS mi FROM sides s WHERE odd = 1 AND k < 4 AND review_id IN (SELECT review_id FROM sides WHERE odd = 0) AND NOT EXISTS (SELECT 1 FROM taken t WHERE t.review_id = s.review_id AND t.p.mi = s.k)", b.ISSUES, b.PAIRS, _CANDS, _GREEDY)
+@query(
+    """SELECT s.review_id, CAST(s.k AS INTEGER) AS mi FROM sides s WHERE odd = 1 AND k < 4 AND review_id IN (SELECT review_id FROM sides
+    WHERE odd = 0) AND NOT EXISTS (SELECT 1 FROM taken t WHERE t.review_id = s.review_id AND t.p.mi = s.k)""",
+    b.ISSUES,
+    b.PAIRS,
+    _CANDS,
+    _GREEDY,
+)
 def match_unmatched(s, d):
     return matching.match(b.model_and_gold(s, d)).select("review_id", F.explode("unmatched_model").alias("mi"))
 
@@ -689,40 +897,66 @@ _PARENT = "CASE {0} " + " ".join(f"WHEN '{a}' THEN '{p}'" for a, p in themes.PAR
 
 
 @query(
-    f"""SELECT (SELECT count(*) FROM sides WHERE odd = 1 AND k < 4 AND review_id IN (SELECT review_id FROM sides WHERE odd = 0)) AS n_model, count(*) AS n_matched, count(*) FILTER (WHERE ma = ga) AS area_strict,
+    f"""SELECT (SELECT count(*) FROM sides WHERE odd = 1 AND k < 4 AND review_id IN (SELECT review_id FROM sides
+      WHERE odd = 0)) AS n_model, count(*) AS n_matched, count(*) FILTER (WHERE ma = ga) AS area_strict,
     count(*) FILTER (WHERE {_PARENT.format('ma')} = {_PARENT.format('ga')}) AS area_parent, count(*) FILTER (WHERE ms = gs) AS severity_exact,
     count(*) FILTER (WHERE abs({_LEVEL.format('ms')} - {_LEVEL.format('gs')}) <= 1) AS severity_within_one
-    FROM taken t JOIN cands c ON t.review_id = c.review_id AND t.p.mi = c.mi AND t.p.gi = c.gi""", b.ISSUES, b.PAIRS, _CANDS, _GREEDY
+    FROM taken t JOIN cands c ON t.review_id = c.review_id AND t.p.mi = c.mi AND t.p.gi = c.gi""",
+    b.ISSUES,
+    b.PAIRS,
+    _CANDS,
+    _GREEDY,
 )
 def eval_metrics(s, d):
     return matching.metrics(matching.match(b.model_and_gold(s, d)))
 
 
-@query("SELECT ga AS gold_area, ma AS model_area, count(*) AS n FROM taken t JOIN cands c ON t.review_id = c.review_id AND t.p.mi = c.mi AND t.p.gi = c.gi GROUP BY 1, 2", b.ISSUES, b.PAIRS, _CANDS, _GREEDY)
+@query(
+    """SELECT ga AS gold_area, ma AS model_area, count(*) AS n FROM taken t JOIN cands c ON t.review_id = c.review_id AND t.p.mi = c.mi AND t.p.gi = c.gi
+    GROUP BY 1, 2""",
+    b.ISSUES,
+    b.PAIRS,
+    _CANDS,
+    _GREEDY,
+)
 def eval_area_confusion(s, d):
     m = matching.match(b.model_and_gold(s, d)).select(F.explode("matches").alias("c"), "model", "gold")
-    return m.groupBy(F.get("gold", F.col("c.gi"))["feature_area"].alias("gold_area"), F.get("model", F.col("c.mi"))["feature_area"].alias("model_area")).agg(F.count("*").alias("n"))
+    return m.groupBy(
+        F.get("gold", F.col("c.gi"))["feature_area"].alias("gold_area"),
+        F.get("model", F.col("c.mi"))["feature_area"].alias("model_area"),
+    ).agg(
+        F.count("*").alias("n"),
+    )
 
 
 @query(
-    "SELECT t.review_id, row_number() OVER (PARTITION BY t.review_id ORDER BY t.p.score DESC, t.p.mi DESC, t.p.gi DESC) - 1 AS k, CAST(t.p.mi AS INTEGER) AS mi, CAST(t.p.gi AS INTEGER) AS gi, CAST(t.p.score AS DOUBLE) AS score, ma AS model_area, ga AS gold_area, ma = ga AS area_match, ms = gs AS severity_match FROM taken t JOIN cands c ON t.review_id = c.review_id AND t.p.mi = c.mi AND t.p.gi = c.gi",
-    b.ISSUES, b.PAIRS, _CANDS, _GREEDY,
+    """SELECT t.review_id, row_number() OVER (PARTITION BY t.review_id ORDER BY t.p.score DESC, t.p.mi DESC, t.p.gi DESC) - 1 AS k,
+    CAST(t.p.mi AS INTEGER) AS mi, CAST(t.p.gi AS INTEGER) AS gi, CAST(t.p.score AS DOUBLE) AS score, ma AS model_area, ga AS gold_area,
+    ma = ga AS area_match, ms = gs AS severity_match FROM taken t JOIN cands c ON t.review_id = c.review_id AND t.p.mi = c.mi AND t.p.gi = c.gi""",
+    b.ISSUES,
+    b.PAIRS,
+    _CANDS,
+    _GREEDY,
 )
 def match_records(s, d):
     return matching.match_records(matching.match(b.model_and_gold(s, d))).withColumn("k", F.col("k").cast("bigint"))
 
 
 _SIDE = "concat_ws('/', {0}.theme, {0}.feature_area, {0}.severity)"
-_RECORD = f"""pairs AS (SELECT t.review_id, string_agg({_SIDE.format('m')} || ' > ' || {_SIDE.format('g')} || ' ' || (m.feature_area = g.feature_area) || ' ' || (m.severity = g.severity), ', '
+_RECORD = f"""pairs AS (SELECT t.review_id, string_agg({_SIDE.format('m')} || ' > ' || {_SIDE.format('g')} || ' ' || (m.feature_area = g.feature_area) || ' ' ||
+  (m.severity = g.severity), ', '
     ORDER BY t.p.score DESC, t.p.mi DESC, t.p.gi DESC) AS matches FROM taken t JOIN sides m ON t.review_id = m.review_id AND m.odd = 1 AND m.k = t.p.mi
     JOIN sides g ON t.review_id = g.review_id AND g.odd = 0 AND g.k = t.p.gi GROUP BY 1),
-  rest AS (SELECT review_id, string_agg(CASE WHEN odd = 1 THEN {_SIDE.format('s')} END, ', ' ORDER BY k) AS um, string_agg(CASE WHEN odd = 0 THEN {_SIDE.format('s')} END, ', ' ORDER BY k) AS ug
-    FROM sides s WHERE (odd = 0 OR k < 4) AND NOT EXISTS (SELECT 1 FROM taken t WHERE t.review_id = s.review_id AND (odd = 1 AND t.p.mi = s.k OR odd = 0 AND t.p.gi = s.k)) GROUP BY 1),
+  rest AS (SELECT review_id, string_agg(CASE WHEN odd = 1 THEN {_SIDE.format('s')} END, ', '
+  ORDER BY k) AS um, string_agg(CASE WHEN odd = 0 THEN {_SIDE.format('s')} END, ', ' ORDER BY k) AS ug
+    FROM sides s WHERE (odd = 0 OR k < 4) AND NOT EXISTS (SELECT 1 FROM taken t
+  WHERE t.review_id = s.review_id AND (odd = 1 AND t.p.mi = s.k OR odd = 0 AND t.p.gi = s.k)) GROUP BY 1),
   has AS (SELECT review_id, bool_or(odd = 0) AS g, bool_or(odd = 1) AS m FROM sides GROUP BY 1)"""
 
 
 @query(
-    """SELECT o_orderkey AS review_id, o_orderpriority AS review_text, coalesce(g, false) AS gold_has_issue, coalesce(m, false) AS model_has_issue, coalesce(matches, '') AS matches,
+    """SELECT o_orderkey AS review_id, o_orderpriority AS review_text, coalesce(g, false) AS gold_has_issue, coalesce(m, false) AS model_has_issue,
+      coalesce(matches, '') AS matches,
     coalesce(um, '') AS unmatched_model_issues, coalesce(ug, '') AS unmatched_gold_issues
     FROM orders LEFT JOIN has ON o_orderkey = has.review_id LEFT JOIN pairs ON o_orderkey = pairs.review_id LEFT JOIN rest ON o_orderkey = rest.review_id""",
     b.ISSUES,
@@ -762,7 +996,9 @@ def _per_platform(rows):
     return held.crossJoin(F.broadcast(held.agg(F.sum("a").alias("n_a"), F.sum("i").alias("n_i"))))
 
 
-_WINDOW = "span AS (SELECT greatest(min(ts) FILTER (WHERE platform = 'android'), min(ts) FILTER (WHERE platform = 'ios')) AS lo, least(max(ts) FILTER (WHERE platform = 'android'), max(ts) FILTER (WHERE platform = 'ios')) AS hi FROM reviews WHERE country = 'nation_3')"
+_WINDOW = """span AS (SELECT greatest(min(ts) FILTER (WHERE platform = 'android'), min(ts) FILTER (WHERE platform = 'ios')) AS lo,
+  least(max(ts) FILTER (WHERE platform = 'android'), max(ts) FILTER (WHERE platform = 'ios')) AS hi FROM reviews
+  WHERE country = 'nation_3')"""
 _MATCHED = "matched AS (SELECT joined.* FROM joined, span WHERE country = 'nation_3' AND ts BETWEEN lo AND hi)"
 
 
@@ -778,20 +1014,37 @@ def matched_window(s, d):
     return _window(s, d)
 
 
-@query("SELECT theme, count(*) FILTER (WHERE platform = 'android') AS android, count(*) FILTER (WHERE platform = 'ios') AS ios FROM joined GROUP BY theme", b.ISSUES, b.REVIEWS, _JOINED)
+@query(
+    """SELECT theme, count(*) FILTER (WHERE platform = 'android') AS android, count(*) FILTER (WHERE platform = 'ios') AS ios FROM joined GROUP BY theme""",
+    b.ISSUES,
+    b.REVIEWS,
+    _JOINED,
+)
 def platform_breakdown(s, d):
     return _per_platform(_joined(s, d)).select("theme", F.col("a").alias("android"), F.col("i").alias("ios"))
 
 
-_COUNTS = "counts AS (SELECT theme, count(*) FILTER (WHERE platform = 'android') AS a, count(*) FILTER (WHERE platform = 'ios') AS i, sum(count(*) FILTER (WHERE platform = 'android')) OVER () AS n_a, sum(count(*) FILTER (WHERE platform = 'ios')) OVER () AS n_i FROM joined GROUP BY theme)"
+_COUNTS = """counts AS (SELECT theme, count(*) FILTER (WHERE platform = 'android') AS a, count(*) FILTER (WHERE platform = 'ios') AS i,
+  sum(count(*) FILTER (WHERE platform = 'android')) OVER () AS n_a, sum(count(*) FILTER (WHERE platform = 'ios')) OVER () AS n_i
+  FROM joined GROUP BY theme)"""
 
 
 @query("SELECT theme, round(a::DOUBLE / n_a, 9) AS share_a, round(i::DOUBLE / n_i, 9) AS share_i FROM counts", b.ISSUES, b.REVIEWS, _JOINED, _COUNTS)
 def platform_share_by_theme(s, d):
-    return themes.platform_skew(_per_platform(_joined(s, d)), least=0).select("theme", F.round("share_a", 9).alias("share_a"), F.round("share_i", 9).alias("share_i"))
+    return themes.platform_skew(_per_platform(_joined(s, d)), least=0).select(
+        "theme", F.round("share_a", 9).alias("share_a"), F.round("share_i", 9).alias("share_i"),
+    )
 
 
-@query("SELECT theme, a, i, round(greatest(a::DOUBLE / n_a, i::DOUBLE / n_i) / least(a::DOUBLE / n_a, i::DOUBLE / n_i), 6) AS ratio, CASE WHEN least(a, i) = 0 THEN 'only' WHEN greatest(a::DOUBLE / n_a, i::DOUBLE / n_i) / least(a::DOUBLE / n_a, i::DOUBLE / n_i) < 1.2 THEN 'even' ELSE 'skew' END AS kind FROM counts WHERE greatest(a, i) >= 3", b.ISSUES, b.REVIEWS, _JOINED, _COUNTS)
+@query(
+    """SELECT theme, a, i, round(greatest(a::DOUBLE / n_a, i::DOUBLE / n_i) / least(a::DOUBLE / n_a, i::DOUBLE / n_i), 6) AS ratio, CASE WHEN least(a,
+    i) = 0 THEN 'only' WHEN greatest(a::DOUBLE / n_a, i::DOUBLE / n_i) / least(a::DOUBLE / n_a, i::DOUBLE / n_i) < 1.2 THEN 'even' ELSE 'skew' END AS kind
+    FROM counts WHERE greatest(a, i) >= 3""",
+    b.ISSUES,
+    b.REVIEWS,
+    _JOINED,
+    _COUNTS,
+)
 def platform_skew(s, d):
     out = themes.platform_skew(_per_platform(_joined(s, d)))
     kind = F.when(F.col("skew").endswith("only"), "only").when(F.col("skew").startswith("~ even"), "even").otherwise("skew")
@@ -805,7 +1058,15 @@ def _side_sql(rows: str) -> str:
 _SHARES = ", ".join(f"round({x}.{c}::DOUBLE / nullif({x}.n_{c}, 0), 9) AS {n}_{c}" for x, n in (("f", "full"), ("m", "matched")) for c in "ai")
 
 
-@query(f"SELECT f.theme, {_SHARES}, round(f.a::DOUBLE / f.n_a - f.i::DOUBLE / f.n_i, 9) AS full_gap, round(m.a::DOUBLE / nullif(m.n_a, 0) - m.i::DOUBLE / nullif(m.n_i, 0), 9) AS matched_gap FROM ({_side_sql('joined')}) f JOIN ({_side_sql('matched')}) m ON f.theme = m.theme", b.ISSUES, b.REVIEWS, _JOINED, _WINDOW, _MATCHED)
+@query(
+    f"""SELECT f.theme, {_SHARES}, round(f.a::DOUBLE / f.n_a - f.i::DOUBLE / f.n_i, 9) AS full_gap, round(m.a::DOUBLE / nullif(m.n_a,
+    0) - m.i::DOUBLE / nullif(m.n_i, 0), 9) AS matched_gap FROM ({_side_sql('joined')}) f JOIN ({_side_sql('matched')}) m ON f.theme = m.theme""",
+    b.ISSUES,
+    b.REVIEWS,
+    _JOINED,
+    _WINDOW,
+    _MATCHED,
+)
 def skew_full_vs_matched(s, d):
     """Both platforms' shares of a theme and their gap, over all reviews and over the matched country and dates."""
     j = _joined(s, d)
@@ -813,7 +1074,10 @@ def skew_full_vs_matched(s, d):
 
     def shares(rows, name):
         share = {c: F.try_divide(F.col(c), F.col(f"n_{c}")) for c in "ai"}
-        return _per_platform(rows).select("theme", *[F.round(v, 9).alias(f"{name}_{c}") for c, v in share.items()], F.round(share["a"] - share["i"], 9).alias(f"{name}_gap"))
+        return _per_platform(rows).select(
+            "theme", *[F.round(v, 9).alias(f"{name}_{c}") for c, v in share.items()],
+            F.round(share["a"] - share["i"], 9).alias(f"{name}_gap"),
+        )
 
     return shares(j, "full").join(shares(part, "matched"), "theme")
 
@@ -824,18 +1088,35 @@ def area_share(s, d):
     return c.crossJoin(F.broadcast(c.agg(F.sum("n").alias("t")))).select("feature_area", "n", F.round(F.col("n") * 100.0 / F.col("t"), 9).alias("pct"))
 
 
-@query("SELECT theme, arg_max(feature_area, (n, feature_area)) AS area, round(max(n) * 100.0 / sum(n), 9) AS pct FROM (SELECT theme, feature_area, count(*) AS n FROM issues GROUP BY 1, 2) GROUP BY theme", b.ISSUES)
+@query(
+    """SELECT theme, arg_max(feature_area, (n, feature_area)) AS area, round(max(n) * 100.0 / sum(n), 9) AS pct
+    FROM (SELECT theme, feature_area, count(*) AS n FROM issues GROUP BY 1, 2) GROUP BY theme""",
+    b.ISSUES,
+)
 def theme_top_area(s, d):
     c = b.issues(s, d).groupBy("theme", "feature_area").agg(F.count("*").alias("n"))
-    return c.groupBy("theme").agg(F.max_by("feature_area", F.struct("n", "feature_area")).alias("area"), F.round(F.max("n") * 100.0 / F.sum("n"), 9).alias("pct"))
+    return c.groupBy("theme").agg(
+        F.max_by("feature_area", F.struct("n", "feature_area")).alias("area"),
+        F.round(F.max("n") * 100.0 / F.sum("n"), 9).alias("pct"),
+    )
 
 
-@query("SELECT theme, review_id, line, rank FROM (SELECT *, row_number() OVER (PARTITION BY theme ORDER BY severity, review_id, issue_pos) AS rank FROM issues) WHERE rank <= 3", b.ISSUES)
+@query(
+    """SELECT theme, review_id, line, rank FROM (SELECT *, row_number() OVER (PARTITION BY theme ORDER BY severity, review_id, issue_pos) AS rank
+    FROM issues) WHERE rank <= 3""",
+    b.ISSUES,
+)
 def top_quotes(s, d):
-    return fd.cap_per_group(b.issues(s, d, True), "theme", 3, F.col("severity"), F.col("review_id"), F.col("issue_pos")).select("theme", "review_id", "line", "rank")
+    return fd.cap_per_group(b.issues(s, d, True), "theme", 3, F.col("severity"), F.col("review_id"), F.col("issue_pos")).select(
+        "theme", "review_id", "line", "rank",
+    )
 
 
-@query("SELECT label, vec_id, rank FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY round(sim, 6) DESC, vec_id) AS rank FROM sims) WHERE rank <= 3", _SIMS)
+@query(
+    """SELECT label, vec_id, rank FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY round(sim, 6) DESC, vec_id) AS rank FROM sims)
+    WHERE rank <= 3""",
+    _SIMS,
+)
 def quotes_by_likeness(s, d):
     """The three members nearest to the middle of their cluster."""
     sims = themes.medoids(table(s, d, "embeddings"), ["label"])
@@ -848,7 +1129,8 @@ _CENTRE = """w AS (SELECT theme, slot, tf * (ln((1.0 + (SELECT count(DISTINCT p_
  cnt AS (SELECT sentiment, feature_area, theme, count(*) AS n FROM issues GROUP BY 1, 2, 3),
  mid AS (SELECT sentiment, feature_area, slot, sum(n * u) AS m FROM cnt JOIN u USING (theme) GROUP BY 1, 2, 3),
  len AS (SELECT sentiment, feature_area, sqrt(sum(m * m)) AS l FROM mid GROUP BY 1, 2),
- near AS (SELECT sentiment, feature_area, theme, sum(u * m) / any_value(l) AS sim FROM cnt JOIN u USING (theme) JOIN mid USING (sentiment, feature_area, slot) JOIN len USING (sentiment, feature_area) GROUP BY 1, 2, 3)"""
+ near AS (SELECT sentiment, feature_area, theme, sum(u * m) / any_value(l) AS sim FROM cnt JOIN u USING (theme)
+  JOIN mid USING (sentiment, feature_area, slot) JOIN len USING (sentiment, feature_area) GROUP BY 1, 2, 3)"""
 _KEYS = ["sentiment", "feature_area"]
 
 
@@ -859,11 +1141,21 @@ def _cluster_records(s, d):
     return themes.cluster_record(i, ["cluster"], vectors, 3)
 
 
-@query("SELECT sentiment || '/' || feature_area AS cluster, theme, review_id, issue_pos, severity, round(sim, 6) AS centroid_sim FROM issues JOIN near USING (sentiment, feature_area, theme)", b.ISSUES, _GRAMS, _SLOTS, _CENTRE)
+@query(
+    """SELECT sentiment || '/' || feature_area AS cluster, theme, review_id, issue_pos, severity, round(sim, 6) AS centroid_sim FROM issues
+    JOIN near USING (sentiment, feature_area, theme)""",
+    b.ISSUES,
+    _GRAMS,
+    _SLOTS,
+    _CENTRE,
+)
 def cluster_records(s, d):
     """The members of whole cluster records, with their likeness to the middle."""
     m = _cluster_records(s, d).select("cluster", F.explode("members").alias("m"))
-    return m.select("cluster", "m.theme", "m.review_id", F.col("m.issue_pos").cast("bigint").alias("issue_pos"), "m.severity", F.round("m.centroid_sim", 6).alias("centroid_sim"))
+    return m.select(
+        "cluster", "m.theme", "m.review_id", F.col("m.issue_pos").cast("bigint").alias("issue_pos"), "m.severity",
+        F.round("m.centroid_sim", 6).alias("centroid_sim"),
+    )
 
 
 def _counted(column: str) -> str:
@@ -884,7 +1176,9 @@ def _counted(column: str) -> str:
 def cluster_record_heads(s, d):
     """Label, size and breakdowns of whole cluster records; maps rendered."""
     said = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias(c)
-    return _cluster_records(s, d).select("cluster", "label", "size", "unique_themes", *[said(f"{c}_breakdown") for c in ("sentiment", "severity", "feature_area")])
+    return _cluster_records(s, d).select(
+        "cluster", "label", "size", "unique_themes", *[said(f"{c}_breakdown") for c in ("sentiment", "severity", "feature_area")],
+    )
 
 
 @query("SELECT review_id, count(*) AS n FROM issues GROUP BY review_id ORDER BY n DESC, review_id LIMIT 3", b.ISSUES)
@@ -895,7 +1189,8 @@ def issue_rich_first(s, d):
 
 @query(
     """SELECT count(*) AS processed, count(e.event_id) AS cache_hits, CAST(sum(n) AS BIGINT) AS issues, count(*) FILTER (WHERE n = 0) AS without,
-    round_even(count(*) FILTER (WHERE n = 0) * 100.0 / count(*), 1) AS pct_without FROM (SELECT o_orderkey, count(review_id) FILTER (WHERE severity <> 'low') AS n FROM orders
+    round_even(count(*) FILTER (WHERE n = 0) * 100.0 / count(*), 1) AS pct_without
+      FROM (SELECT o_orderkey, count(review_id) FILTER (WHERE severity <> 'low') AS n FROM orders
     LEFT JOIN issues ON o_orderkey = review_id GROUP BY 1) LEFT JOIN (SELECT event_id FROM events WHERE event_id % 2 = 0) e ON o_orderkey = event_id""",
     b.ISSUES,
 )
@@ -903,10 +1198,15 @@ def extract_totals(s, d):
     """What an extraction did: reviews, cache hits, issues that are not minor, and reviews without one."""
     n = b.issues(s, d).where("severity <> 'low'").groupBy("review_id").agg(F.count("*").alias("n"))
     held = table(s, d, "events").where("event_id % 2 = 0").select("event_id")
-    o = table(s, d, "orders").select(F.col("o_orderkey").alias("review_id")).join(n, "review_id", "left").join(held, F.col("review_id") == F.col("event_id"), "left")
+    o = table(s, d, "orders").select(F.col("o_orderkey").alias("review_id")).join(n, "review_id", "left").join(
+        held, F.col("review_id") == F.col("event_id"), "left",
+    )
     o = o.withColumn("n", F.coalesce("n", F.lit(0)))
     none = F.count_if(F.col("n") == 0)
-    return o.agg(F.count("*").alias("processed"), F.count("event_id").alias("cache_hits"), F.sum("n").alias("issues"), none.alias("without"), tx.percent(none, F.count("*"), 1).alias("pct_without"))
+    return o.agg(
+        F.count("*").alias("processed"), F.count("event_id").alias("cache_hits"), F.sum("n").alias("issues"),
+        none.alias("without"), tx.percent(none, F.count("*"), 1).alias("pct_without"),
+    )
 
 
 _TEXTS = "texts AS (SELECT doc_id AS review_id, CAST(1 + doc_id % 5 AS INTEGER) AS rating, text FROM documents WHERE text IS NOT NULL)"
@@ -920,12 +1220,15 @@ _TEXTS = "texts AS (SELECT doc_id AS review_id, CAST(1 + doc_id % 5 AS INTEGER)
 )
 def sample_blind_texts(s, d):
     """The blind sample: ids and texts alone, with their place in the seeded order of each stratum."""
-    docs = table(s, d, "documents").where("text is not null").select(F.col("doc_id").alias("review_id"), (F.col("doc_id") % 5 + 1).cast("int").alias("rating"), "text")
+    docs = table(s, d, "documents").where("text is not null").select(
+        F.col("doc_id").alias("review_id"), (F.col("doc_id") % 5 + 1).cast("int").alias("rating"), "text",
+    )
     return sampling.fixed(docs, sampling.BLIND, strict=False).select("review_id", "text", "pos")
 
 
 _SIDES = "a::DOUBLE / nullif(n_a, 0) AS sa, i::DOUBLE / nullif(n_i, 0) AS si"
-_SAID = """CASE WHEN sa IS NULL OR si IS NULL OR greatest(sa, si) = 0 THEN NULL WHEN least(sa, si) = 0 THEN side || ' only' WHEN ratio < 1.2 THEN '~ even (' || side || ' ' || times || 'x)' ELSE side || ' ' || times || 'x' END"""
+_SAID = """CASE WHEN sa IS NULL OR si IS NULL OR greatest(sa, si) = 0 THEN NULL WHEN least(sa, si) = 0 THEN side || ' only' WHEN ratio < 1.2 THEN '~ even ('
+  || side || ' ' || times || 'x)' ELSE side || ' ' || times || 'x' END"""
 
 
 def _label_sql(rows: str) -> str:
@@ -934,7 +1237,15 @@ def _label_sql(rows: str) -> str:
     return f"SELECT theme, round(ratio, 6) AS ratio, {_SAID} AS label FROM (SELECT *, format('{{:.1f}}', round_even(ratio, 1)) AS times FROM ({named}))"
 
 
-@query(f"SELECT f.theme, f.ratio AS full_ratio, f.label AS full_label, m.ratio AS matched_ratio, m.label AS matched_label FROM ({_label_sql('joined')}) f JOIN ({_label_sql('matched')}) m ON f.theme = m.theme", b.ISSUES, b.REVIEWS, _JOINED, _WINDOW, _MATCHED)
+@query(
+    f"""SELECT f.theme, f.ratio AS full_ratio, f.label AS full_label, m.ratio AS matched_ratio, m.label AS matched_label FROM ({_label_sql('joined')}) f
+    JOIN ({_label_sql('matched')}) m ON f.theme = m.theme""",
+    b.ISSUES,
+    b.REVIEWS,
+    _JOINED,
+    _WINDOW,
+    _MATCHED,
+)
 def skew_labels(s, d):
     """How uneven the platforms are in each theme, in ratio and words, over all reviews and over the matched ones."""
     j = _joined(s, d)
@@ -948,7 +1259,16 @@ def skew_labels(s, d):
     return said(j, "full").join(said(part, "matched"), "theme")
 
 
-@query("SELECT theme, review_id, platform, stars, rank FROM (SELECT i.theme, i.review_id, r.platform, r.rating AS stars, row_number() OVER (PARTITION BY i.theme ORDER BY round(sim, 6) DESC, i.review_id, i.issue_pos) AS rank FROM issues i JOIN near USING (sentiment, feature_area, theme) JOIN reviews r ON i.review_id = r.review_id) WHERE rank <= 3", b.ISSUES, b.REVIEWS, _GRAMS, _SLOTS, _CENTRE)
+@query(
+    """SELECT theme, review_id, platform, stars, rank FROM (SELECT i.theme, i.review_id, r.platform, r.rating AS stars,
+    row_number() OVER (PARTITION BY i.theme ORDER BY round(sim, 6) DESC, i.review_id, i.issue_pos) AS rank FROM issues i
+    JOIN near USING (sentiment, feature_area, theme) JOIN reviews r ON i.review_id = r.review_id) WHERE rank <= 3""",
+    b.ISSUES,
+    b.REVIEWS,
+    _GRAMS,
+    _SLOTS,
+    _CENTRE,
+)
 def quotes_with_platform(s, d):
     """Three quotes of each theme, nearest to the middle of their cluster first, with platform and stars."""
     m = _cluster_records(s, d).select(F.explode("members").alias("m")).select("m.*")
@@ -957,12 +1277,18 @@ def quotes_with_platform(s, d):
     return rows.select("theme", "review_id", "platform", "stars", "rank")
 
 
-@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'x-ratelimit-left=' || event_type ELSE 'retry-after=1,x-ratelimit-left=' || event_type END AS kept FROM events")
+@query(
+    """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'x-ratelimit-left=' || event_type ELSE 'retry-after=1,x-ratelimit-left=' || event_type END AS kept
+    FROM events""",
+)
 def map_header_values(s, d):
     """The headers that are kept, with their values."""
     e = table(s, d, "events")
     name = F.when(F.col("event_id") % 2 == 0, "content-type").otherwise(F.lit("Retry-After"))
-    held = F.map_filter(F.create_map(F.lit("X-RateLimit-Left"), F.col("event_type"), name, F.lit("1")), lambda k, v: F.lower(k).rlike("^(x-ratelimit|retry-after)"))
+    held = F.map_filter(
+        F.create_map(F.lit("X-RateLimit-Left"), F.col("event_type"), name, F.lit("1")),
+        lambda k, v: F.lower(k).rlike("^(x-ratelimit|retry-after)"),
+    )
     each = F.transform(F.map_entries(held), lambda x: F.concat(F.lower(x["key"]), F.lit("="), x["value"]))
     return e.select("event_id", F.array_join(F.array_sort(each), ",").alias("kept"))
 
@@ -970,11 +1296,19 @@ def map_header_values(s, d):
 _PARTS = (("frequency", "freq_part", 0.4), ("severity", "sev_part", 0.4), ("strategic_fit", "fit_part", 0.2))
 
 
-@query(" UNION ALL ".join(f"SELECT theme, sentiment, '{k}' AS component, round({c} / {w}, 9) AS normalized, CAST({w} AS DOUBLE) AS weight, round({c}, 9) AS contribution FROM scored" for k, c, w in _PARTS), b.ISSUES, b.CLUSTERS, _SCORED.format(floor=10))
+@query(
+    " UNION ALL ".join(f"SELECT theme, sentiment, '{k}' AS component, round({c} / {w}, 9) AS normalized, CAST({w} AS DOUBLE) AS weight, round({c}, 9) AS contribution FROM scored" for k, c, w in _PARTS),
+    b.ISSUES,
+    b.CLUSTERS,
+    _SCORED.format(floor=10),
+)
 def score_breakdown_members(s, d):
     held = themes.score_record(_scored(s, d, 10))
     rows = F.explode(F.array(*[F.struct(F.lit(k).alias("component"), F.col(f"breakdown.{k}").alias("x")) for k, _, _ in _PARTS])).alias("r")
-    return held.select("theme", "sentiment", rows).select("theme", "sentiment", "r.component", F.round("r.x.normalized", 9).alias("normalized"), "r.x.weight", F.round("r.x.contribution", 9).alias("contribution"))
+    return held.select("theme", "sentiment", rows).select(
+        "theme", "sentiment", "r.component", F.round("r.x.normalized", 9).alias("normalized"), "r.x.weight",
+        F.round("r.x.contribution", 9).alias("contribution"),
+    )
 
 
 @query("SELECT d.doc_id, r.lang AS lang_found, round(p, 9) AS lang_confidence FROM documents d LEFT JOIN ranked r ON d.doc_id = r.doc_id AND rank = 1", _DETECT)
@@ -991,7 +1325,9 @@ def lang_ranked(s, d):
     """All languages of each text by falling posterior."""
     docs = _texts(s, d)
     held = language.detect(docs.select("doc_id", "text"), language.fit(docs))
-    return held.select("doc_id", F.posexplode("ranked").alias("at", "x")).select("doc_id", (F.col("at") + 1).alias("rank"), "x.lang", F.round("x.p", 9).alias("p"))
+    return held.select("doc_id", F.posexplode("ranked").alias("at", "x")).select(
+        "doc_id", (F.col("at") + 1).alias("rank"), "x.lang", F.round("x.p", 9).alias("p"),
+    )
 
 
 @query("SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS pos FROM documents")

@@ -34,7 +34,10 @@ def first_truthy(*columns: Column) -> Column:
 
 def iso8601(ts: Column) -> Column:
     """ISO form in UTC; microseconds only where there are some."""
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.date_format(ts, "SSSSSS") != "000000", F.date_format(ts, ".SSSSSS")).otherwise(""), F.lit("+00:00"))
+    return F.concat(
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
+        F.when(F.date_format(ts, "SSSSSS") != "000000", F.date_format(ts, ".SSSSSS")).otherwise(""), F.lit("+00:00"),
+    )
 
 
 def snippet(text: Column, n: int = 60) -> Column:

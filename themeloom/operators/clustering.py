@@ -122,7 +122,9 @@ def nearest(asked: DataFrame, held: DataFrame, threshold: float = float("inf"))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({"part": left["part"].slice(0, 0), "cid": left["cid"].slice(0, 0), "other": left["cid"].slice(0, 0), "dist": pa.array([], pa.float64())})
+            return pa.table(
+                {"part": left["part"].slice(0, 0), "cid": left["cid"].slice(0, 0), "other": left["cid"].slice(0, 0), "dist": pa.array([], pa.float64())},
+            )
         a, b = _Block(left), _Block(right)
         far = np.round(1 - products(a, b) / np.outer(a.size, b.size), 12)
         own = pa.compute.index_in(a.ids, value_set=b.ids.combine_chunks())
@@ -171,7 +173,9 @@ def _in_rounds(state: DataFrame, threshold: float, most_rounds: int) -> DataFram
     near = materialise(nearest(state, state, threshold))
     for _ in range(most_rounds):
         back = near.select("part", F.col("other").alias("cid"), F.col("cid").alias("other"))
-        merged = materialise(near.join(back, ["part", "cid", "other"]).where("cid < other").select("part", F.col("other").alias("cid"), F.col("cid").alias("into")))
+        merged = materialise(
+            near.join(back, ["part", "cid", "other"]).where("cid < other").select("part", F.col("other").alias("cid"), F.col("cid").alias("into")),
+        )
         if merged.isEmpty():
             return out
         out = merged if out is None else out.unionByName(merged)

@@ -20,7 +20,9 @@ def pair_score(m: Column, g: Column) -> Column:
 
 def candidates(model: Column, gold: Column) -> Column:
     """(score, mi, gi) of all pairs of one row with a positive score, best first; ties to larger places."""
-    pairs = F.flatten(F.transform(model, lambda m, mi: F.transform(gold, lambda g, gi: F.struct(pair_score(m, g).alias("score"), mi.alias("mi"), gi.alias("gi")))))
+    pairs = F.flatten(
+        F.transform(model, lambda m, mi: F.transform(gold, lambda g, gi: F.struct(pair_score(m, g).alias("score"), mi.alias("mi"), gi.alias("gi")))),
+    )
     return F.sort_array(F.filter(pairs, lambda p: p["score"] > 0), asc=False)
 
 

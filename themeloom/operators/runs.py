@@ -20,7 +20,9 @@ BUCKETS = 64
 ATTEMPTS = "array<struct<at:timestamp,attempt:int,kind:string,said:string,waited:double>>"
 
 _ISSUE = pa.list_(pa.struct([(c, pa.string()) for c in ("theme", "severity", "sentiment", "feature_area", "segment_hint")]))
-_ATTEMPT = pa.list_(pa.struct([("at", pa.timestamp("us", "UTC")), ("attempt", pa.int32()), ("kind", pa.string()), ("said", pa.string()), ("waited", pa.float64())]))
+_ATTEMPT = pa.list_(
+    pa.struct([("at", pa.timestamp("us", "UTC")), ("attempt", pa.int32()), ("kind", pa.string()), ("said", pa.string()), ("waited", pa.float64())]),
+)
 
 
 @dataclass

@@ -60,7 +60,12 @@ def nested(spark: SparkSession, d: str) -> DataFrame:
     """(review_id, issues): the issues of a review in order, as an array."""
     s = F.struct("issue_pos", "theme", "severity", "sentiment", "feature_area", F.lit(None).cast("string").alias("segment_hint"))
     held = issues(spark, d, True).groupBy("review_id").agg(F.array_sort(F.collect_list(s)).alias("x"))
-    return held.select("review_id", F.transform("x", lambda i: F.struct(*[i[c].alias(c) for c in ("theme", "severity", "sentiment", "feature_area", "segment_hint")])).alias("issues"))
+    return held.select(
+        "review_id",
+        F.transform("x", lambda i: F.struct(*[i[c].alias(c) for c in ("theme", "severity", "sentiment", "feature_area", "segment_hint")])).alias(
+            "issues",
+        ),
+    )
 
 
 #: Model issues are the odd lines of an order (four at most), gold ones the even lines.
