@@ -5,7 +5,13 @@ import numpy as np
 from themeloom.llm import licences
 
 UNSEEN = [
-    ("lgpl", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."),
+    (
+        "lgpl",
+        "This library is free software; you can redistribute it and/or\n"
+        "modify it under the terms of the GNU Lesser General Public\n"
+        "License as published by the Free Software Foundation; either\n"
+        "version 2.1 of the License, or (at your option) any later version.",
+    ),
     ("lgpl", "the bindings come under the GNU Lesser General Public License, 2.1 or later"),
     ("lgpl", "License of this library: LGPL v3"),
     ("lgpl", "This package is covered by the LGPL-2.1 license"),
@@ -27,30 +33,83 @@ UNSEEN = [
     ("mit", "Licensed under MIT."),
     ("mit", "MIT licensed"),
     ("mit", "Copyright (c) 2019 the authors. The software here is offered to you under the MIT license, with no promise at all."),
-    ("mit", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
+    (
+        "mit",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\n"
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\n"
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    ),
     ("mit", "you will find that our helpers are MIT licensed as well"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"),
+    (
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+        "of this software and associated documentation files (the \"Software\"), to deal\n"
+        "in the Software without restriction",
+    ),
     ("mit", "This plugin is released under the MIT license (see the file LICENSE)"),
     ("isc", "ISC License"),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies."),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any\n"
+        "purpose with or without fee is hereby granted, provided that the above\n"
+        "copyright notice and this permission notice appear in all copies.",
+    ),
     ("isc", "SPDX-License-Identifier: ISC"),
-    ("zlib", "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages\narising from the use of this software."),
+    (
+        "zlib",
+        "This software is provided 'as-is', without any express or implied\n"
+        "warranty. In no event will the authors be held liable for any damages\n"
+        "arising from the use of this software.",
+    ),
     ("zlib", "licensed under the zlib license"),
-    ("bsd", "Redistribution and use in source and binary forms,\nwith or without modification, are permitted\nprovided that the following conditions\nare met:"),
-    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND\nANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED\nWARRANTIES OF MERCHANTABILITY ARE DISCLAIMED"),
+    (
+        "bsd",
+        "Redistribution and use in source and binary forms,\n"
+        "with or without modification, are permitted\n"
+        "provided that the following conditions\n"
+        "are met:",
+    ),
+    (
+        "bsd",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND\n"
+        "ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED\n"
+        "WARRANTIES OF MERCHANTABILITY ARE DISCLAIMED",
+    ),
     ("bsd", "Use of this source code is governed by a BSD-style license: BSD-3-Clause"),
     ("bsd", "the driver is covered by the 2-clause BSD license"),
     ("bsd", "License :: BSD-2-Clause"),
-    ("bsd", "Neither the name of the copyright holder nor the names of its\ncontributors may be used to endorse or promote products derived from\nthis software without specific prior written permission."),
+    (
+        "bsd",
+        "Neither the name of the copyright holder nor the names of its\n"
+        "contributors may be used to endorse or promote products derived from\n"
+        "this software without specific prior written permission.",
+    ),
     ("apache", "SPDX-License-Identifier: Apache-2.0"),
     ("apache", "our tools are Apache-2.0 software"),
     ("apache", "you may get this module under the Apache License 2.0, as all our modules"),
-    ("apache", "   Licensed under the Apache License, Version 2.0 (the \"License\");\n   you may not use this file except in compliance with the License."),
-    ("apache", "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND"),
+    (
+        "apache",
+        "   Licensed under the Apache License, Version 2.0 (the \"License\");\n"
+        "   you may not use this file except in compliance with the License.",
+    ),
+    (
+        "apache",
+        "Unless required by applicable law or agreed to in writing, software\n"
+        "distributed under the License is distributed on an \"AS IS\" BASIS,\n"
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND",
+    ),
     ("apache", "The project is licensed under Apache-2.0."),
     ("gpl", "This file is under GPLv3"),
     ("gpl", "GPL v2 only"),
-    ("gpl", "/*\n * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n */"),
+    (
+        "gpl",
+        "/*\n"
+        " * This program is free software: you can redistribute it and/or modify\n"
+        " * it under the terms of the GNU General Public License as published by\n"
+        " * the Free Software Foundation, either version 3 of the License, or\n"
+        " * (at your option) any later version.\n"
+        " */",
+    ),
     ("gpl", "MODULE_LICENSE(\"GPL v2\");"),
     ("gpl", "the kernel part is available under GPL-2.0"),
     ("gpl", "You should have received a copy of the GNU General Public License\nalong with this program.  If not, see the web."),
@@ -59,9 +118,18 @@ UNSEEN = [
     ("agpl", "SPDX-License-Identifier: AGPL-3.0-or-later"),
     ("agpl", "our service code is AGPLv3 licensed"),
     ("mpl", "Files in this folder are covered by the Mozilla Public License, v. 2.0"),
-    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at the site."),
+    (
+        "mpl",
+        "This Source Code Form is subject to the terms of the Mozilla Public\n"
+        "License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+        "file, You can obtain one at the site.",
+    ),
     ("mpl", "License: MPL-2.0"),
-    ("epl", "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available on the web"),
+    (
+        "epl",
+        "This program and the accompanying materials are made available under the\n"
+        "terms of the Eclipse Public License 2.0 which is available on the web",
+    ),
     ("epl", "SPDX-License-Identifier: EPL-2.0"),
     ("boost", "Distributed under the Boost Software License, Version 1.0. (See accompanying file)"),
     ("boost", "this header comes under the Boost Software License"),

@@ -12,7 +12,10 @@ SF = "/root/testdata/sf0.001"
 def test_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = docs.count()
-    extra = spark.createDataFrame([(900001, None, "en", "s", 0), (900002, "123", None, "s", 3), (None, "the words that have no number of their own", "en", "s", 9)], docs.schema)
+    extra = spark.createDataFrame(
+        [(900001, None, "en", "s", 0), (900002, "123", None, "s", 3), (None, "the words that have no number of their own", "en", "s", 9)],
+        docs.schema,
+    )
     docs = docs.union(extra).withColumns({c: F.lit(None).cast("string") for c in ("score", "spans", "n", "g", "kept", "band")})
     columns = docs.columns
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):

@@ -89,7 +89,10 @@ def test_ratios_are_those_of_the_definition(spark, monkeypatch, bucket):
 
 def test_edges(spark):
     frame = spark.createDataFrame(rows_of(300), "id bigint, text string, y int")
-    asked = spark.createDataFrame([(1, "you idiot moron", "a", 1), (1, "you idiot moron", "a", 1), (None, None, None, 2), (5, "", "b", 3)], "doc_id bigint, text string, score string, ratio int")
+    asked = spark.createDataFrame(
+        [(1, "you idiot moron", "a", 1), (1, "you idiot moron", "a", 1), (None, None, None, 2), (5, "", "b", 3)],
+        "doc_id bigint, text string, score string, ratio int",
+    )
     model = toxicity.fit(frame)
     got = toxicity.score(asked, model, keep=()).collect()
     assert len(got) == 4 and len({r["score"] for r in got if r["doc_id"] == 1}) == 1 and all(0 <= r["score"] <= 1 for r in got)

@@ -62,7 +62,9 @@ def fingerprints(rows: DataFrame, part: str, key: str, text: str = "text", sampl
     low = drawn.groupBy(part, key, "first").agg(*[F.min(_drawn(F.col("first"), k)).alias(f"m{k}") for k in range(AT_ONCE)])
     piece = F.array(*[F.shiftright(F.shiftleft(F.col(f"m{k}"), 32), 32).cast("int") for k in range(AT_ONCE)])
     pieces = low.select(part, key, "first", piece.alias("piece")).groupBy(part, key)
-    return pieces.agg(*[F.max(F.when(F.col("first") == k, F.col("piece"))).alias(f"p{k}") for k in firsts]).select(part, key, F.concat(*[f"p{k}" for k in firsts]).alias("fp"))
+    return pieces.agg(*[F.max(F.when(F.col("first") == k, F.col("piece"))).alias(f"p{k}") for k in firsts]).select(
+        part, key, F.concat(*[f"p{k}" for k in firsts]).alias("fp"),
+    )
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
@@ -153,8 +155,13 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = with_next(rows)
     edited = F.when(F.col("guest") == 0, edited_text(F.col("text"), F.col("after")))
     rows = rows.select("task", "range", "row", "doc_id", "guest", "text", edited.alias("edited"))
-    facts = rows.where("guest = 0").select("task", "row", "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    both = F.array(F.struct((F.col("row") * 2).alias("key"), F.col("text").alias("t")), F.struct((F.col("row") * 2 + 1).alias("key"), F.col("edited").alias("t")))
+    facts = rows.where("guest = 0").select(
+        "task", "row", "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+    )
+    both = F.array(
+        F.struct((F.col("row") * 2).alias("key"), F.col("text").alias("t")),
+        F.struct((F.col("row") * 2 + 1).alias("key"), F.col("edited").alias("t")),
+    )
     long = rows.select("task", F.explode(both).alias("x")).select("task", "x.key", "x.t").where("t is not null")
     fps = fingerprints(long, "task", "key", "t").select("task", F.shiftright("key", 1).alias("row"), (F.col("key") % 2).alias("which"), "fp")
     one = fps.groupBy("task", "row").agg(*[F.max(F.when(F.col("which") == w, F.col("fp"))).alias(f"fp{w}") for w in (0, 1)])

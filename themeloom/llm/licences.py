@@ -420,4 +420,7 @@ def scan(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "
             )
 
     out = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return out.mapInArrow(run, "doc_id bigint, n_paragraphs bigint, licences array<string>, n_unknown int, found array<struct<paragraph:int,licence:string,probability:double,template:double>>")
+    return out.mapInArrow(
+        run,
+        "doc_id bigint, n_paragraphs bigint, licences array<string>, n_unknown int, found array<struct<paragraph:int,licence:string,probability:double,template:double>>",
+    )

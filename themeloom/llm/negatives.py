@@ -303,7 +303,12 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, few_positives: int = 5, f
     asked = held.where(is_anchor).select("id", "label", "vector")
     size = asked.agg(F.sum(F.octet_length("vector") + 16)).first()[0] or 0
     blocks = max(1, -(-size // ANCHOR_BYTES))
-    out = spark.createDataFrame([], T.StructType([T.StructField(c, T.IntegerType() if c == "rank" else T.LongType()) for c in ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")]))
+    out = spark.createDataFrame(
+        [],
+        T.StructType(
+            [T.StructField(c, T.IntegerType() if c == "rank" else T.LongType()) for c in ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")],
+        ),
+    )
     for block in range(blocks):
         own = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).toArrow()
         if own.num_rows:

@@ -12,7 +12,8 @@ WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=_LOWER_AZ, sep="[ \\t\\n
 s AS (SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(generate_series(1, len(w) - 3), lambda j: array_to_string(w[j:j + 3], ' ')))
   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
 e AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM s),
-p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb FROM e a JOIN e b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb FROM e a
+  JOIN e b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
 l AS (SELECT x, y FROM p WHERE 100 * c >= 80 * (na + nb - c) UNION ALL SELECT y, x FROM p WHERE 100 * c >= 80 * (na + nb - c)),
 r(doc_id, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT l.x, r.root FROM r JOIN l ON l.y = r.doc_id),
 m AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY 1)
@@ -23,7 +24,8 @@ _ALNUM = _WORDS.format(text="lower(coalesce(max(text), ''))", sep=r"[^\p{L}\p{N}
 
 OP9 = f"""
 WITH iw AS (SELECT item_id, {_ALNUM} AS w FROM benchmark WHERE item_id IS NOT NULL GROUP BY 1),
-i AS (SELECT item_id, least(5, len(w)) AS k, list_distinct(list_transform(generate_series(1, len(w) - least(5, len(w)) + 1), lambda j: array_to_string(w[j:j + least(5, len(w)) - 1], ' '))) AS s
+i AS (SELECT item_id, least(5, len(w)) AS k, list_distinct(list_transform(generate_series(1, len(w) - least(5, len(w)) + 1),
+  lambda j: array_to_string(w[j:j + least(5, len(w)) - 1], ' '))) AS s
   FROM iw WHERE len(w) > 0),
 dw AS (SELECT doc_id, {_ALNUM} AS w FROM documents WHERE doc_id IS NOT NULL GROUP BY 1),
 d AS (SELECT DISTINCT doc_id, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda j: array_to_string(w[j:j + k - 1], ' '))) AS sh

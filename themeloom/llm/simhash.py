@@ -96,7 +96,9 @@ def _indexed(rows: DataFrame, width: int, wild: bool) -> DataFrame:
             f"transform(filter(sequence(0, {width - 1}), i -> left > 1 and (shiftright(seg, i) & 1) = 1),"
             " i -> struct(seg ^ shiftleft(1L, i) as value, left - 1 as left, i as open))"
         )
-        cut = cut.withColumn("y", F.explode(F.concat(F.array(*plain), open_bits))).select(*cut.columns, F.col("y.value").alias("value"), F.col("y.left").alias("remain"))
+        cut = cut.withColumn("y", F.explode(F.concat(F.array(*plain), open_bits))).select(
+            *cut.columns, F.col("y.value").alias("value"), F.col("y.left").alias("remain"),
+        )
     else:
         cut = cut.withColumns({"value": F.col("seg"), "remain": F.col("left")})
     place = [F.lit(width), F.col("rest"), F.col("half"), F.col("value")]

@@ -94,7 +94,9 @@ def packed_rows(docs: DataFrame, path: str, most: int = 2048, end_id: int = 5025
             ids[:n] = np.concatenate([p[3] for p in parts])
             place[:n] = np.concatenate([np.arange(len(p[3])) for p in parts])
             mask[:n] = 1
-            rows.append((parts[0][0], parts[0][1], len(parts), n, [p[0] for p in parts], [p[2] for p in parts], [0, *ends.tolist()], ids.tobytes(), place.tobytes(), mask.tobytes()))
+            rows.append(
+                (parts[0][0], parts[0][1], len(parts), n, [p[0] for p in parts], [p[2] for p in parts], [0, *ends.tolist()], ids.tobytes(), place.tobytes(), mask.tobytes()),
+            )
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
         names = [x.split()[0] for x in SCHEMA.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)

@@ -99,7 +99,10 @@ def context_counts(labelled: DataFrame) -> DataFrame:
             found, first = np.unique(bucket[order], return_index=True)
             parts = [order[a:b] for a, b in zip(first, [*first[1:], len(order)], strict=True)]
             rows = [_packed(u[p], v[p], w[p], y[p]) for p in parts]
-            return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([n for n, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "size", "payload"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.int64()), pa.array([n for n, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())],
+                names=["bucket", "size", "payload"],
+            )
 
         size = 0
         for batch in batches:
@@ -127,7 +130,11 @@ def context_counts(labelled: DataFrame) -> DataFrame:
             sums = [np.bincount(at, weights=x, minlength=len(words)).astype(np.int64) for x in each]
             out.append(pd.DataFrame({"v" if key is v else "w": pd.array(words.view(np.int64), "Int64"), "n0": sums[0], "n1": sums[1], "n": sums[2]}))
         some = (n > LEAST_PAIR).any(axis=0)
-        out.append(pd.DataFrame({"v": pd.array(v[some].view(np.int64), "Int64"), "w": pd.array(w[some].view(np.int64), "Int64"), "n0": n[0][some], "n1": n[1][some], "n": 0}))
+        out.append(
+            pd.DataFrame(
+                {"v": pd.array(v[some].view(np.int64), "Int64"), "w": pd.array(w[some].view(np.int64), "Int64"), "n0": n[0][some], "n1": n[1][some], "n": 0},
+            ),
+        )
         return pd.concat(out, ignore_index=True)[["v", "w", "n0", "n1", "n"]]
 
     dealt = labelled.select("text", "y").mapInArrow(deal, "bucket bigint, size bigint, payload binary")
@@ -240,7 +247,10 @@ def ratios(docs: DataFrame, told: DataFrame, other: float, few: bool | None = No
     row = F.xxhash64(*[F.col(c).cast("string") for c in docs.columns]).alias("_row")
     terms = docs.select(row, "_text").distinct().mapInArrow(split, "_row bigint, kind int, v bigint, w bigint, many bigint")
     sums = terms.join(told.hint("merge"), ["kind", "v", "w"], "left").groupBy("_row")
-    sums = sums.agg(F.sum(F.col("many") * F.coalesce("value", F.lit(0.0))).alias("x"), F.sum(F.when(F.col("kind") == 0, F.col("many")).otherwise(0)).alias("n_words"))
+    sums = sums.agg(
+        F.sum(F.col("many") * F.coalesce("value", F.lit(0.0))).alias("x"),
+        F.sum(F.when(F.col("kind") == 0, F.col("many")).otherwise(0)).alias("n_words"),
+    )
     out = docs.select(row, *rest).join(sums.hint("merge"), "_row")
     return out.select(*rest, F.when(F.col("n_words") > 0, F.lit(other) + F.col("x") / F.col("n_words")).otherwise(0.0).alias("ratio"), "n_words")
 
