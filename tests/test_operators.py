@@ -238,3 +238,18 @@ def test_stream_repeats_across_days(spark, tmp_path):
         stream = ingest.reviews_stream(spark, str(src), "review_id string, timestamp timestamp", lateness="9 days")
         ingest.append_new(stream, out, str(tmp_path / f"check{k}")).awaitTermination()
     assert sorted(r.review_id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
+def test_split_sink_writes_each_row_once(spark, tmp_path):
+    rows = spark.createDataFrame([(1, True, "é"), (2, False, None), (3, None, "x"), (4, True, None)], "id int, kept boolean, text string")
+    kept, dropped = str(tmp_path / "kept"), str(tmp_path / "dropped")
+    for _ in range(2):  # again: overwritten
+        jsonl.write_split(rows, "kept", kept, dropped)
+    assert sorted(tuple(r) for r in jsonl.read(spark, kept, "id int, text string").collect()) == [(1, "é"), (4, None)]
+    assert sorted(r.id for r in jsonl.read(spark, dropped, "id int, text string").collect()) == [2, 3]
+
+
+def test_prompt_names_no_complaint():
+    words = set(extraction.PROMPT.lower().replace(".", "").replace(",", "").split())
+    assert "issues" in words and not words & {"crash", "ads", "login", "playlist", "slow", "bug", *themes.AREAS}
+    assert extraction.flat_tool("t")["description"] == extraction.nested_tool("t")["function"]["description"] == extraction.PROMPT

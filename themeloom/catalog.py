@@ -12,7 +12,8 @@ from themeloom.operators import clustering, embedding, extraction, language, mat
 from themeloom.operators import feed as fd
 from themeloom.plans import bridge as b
 from themeloom.plans.ranking import numbered
-from themeloom.plans.session import materialise, table
+from themeloom.plans.session import materialise, scratch, table
+from themeloom.sources import jsonl
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -284,6 +285,22 @@ def src_first_prefix_match(s, d):
     return hits.groupBy("p_brand").agg(F.min("p_partkey").alias("hit"), F.min_by("p_name", "p_partkey").alias("name"))
 
 
+@query("SELECT doc_id, text, lang, source, n_chars, doc_id % 3 = 0 AS flag FROM documents")
+def src_json_roundtrip(s, d):
+    """The documents written as JSON lines, with their nulls, and read again by a schema that admits nothing else."""
+    docs = table(s, d, "documents").withColumn("flag", F.col("doc_id") % 3 == 0)
+    path = scratch(s)
+    jsonl.write(docs, path)
+    return jsonl.read(s, path, docs.schema)
+
+
+@query("SELECT review_id, rating, platform, country, ts, app_version, CASE WHEN platform = 'ios' THEN '' END AS title FROM reviews WHERE platform IS NOT NULL", b.REVIEWS)
+def combine_rows(s, d):
+    """Whole rows of both platforms together; titles are of one of them alone."""
+    r = b.reviews(s, d)
+    return fd.combine(r.where("platform = 'android'"), r.where("platform = 'ios'").withColumn("title", F.lit("")))
+
+
 # Aggregations over reviews ----------------------------------------------------------------------------------------
 
 

@@ -43,13 +43,18 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, which release() deletes."""
+    path = f"{shared_dir(spark)}/themeloom-{os.getpid()}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and read it back: lineage is cut, lost executors lose nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/themeloom-{os.getpid()}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
-    _WRITTEN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def settle(df: DataFrame, since: int) -> DataFrame:
