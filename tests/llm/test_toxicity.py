@@ -101,3 +101,25 @@ def test_edges(spark):
     assert toxicity.score(asked, nothing).count() == 4
     one_class = toxicity.fit(frame.where("y = 1"))
     assert toxicity.score(asked, one_class).count() == 4
+
+
+def test_discounts_are_chosen_on_rows_that_the_counts_leave_out(spark):
+    model = toxicity.fit(spark.createDataFrame(rows_of(900), "id long, text string, y int"))
+    assert model["odds"] in (toxicity.ODDS, *toxicity.OTHER_ODDS) and model["multiple"] in (1, *toxicity.MULTIPLES)
+    assert model["area"] > 0.95
+    one = toxicity.fit(spark.createDataFrame([(i, "a b c", 0) for i in range(40)], "id long, text string, y int"))
+    assert (one["odds"], one["multiple"]) == (toxicity.ODDS, 1)
+
+
+def test_separation_and_calibration_of_bins():
+    import numpy as np
+
+    n = np.zeros((2, toxicity.BINS))
+    n[0, [100, 200, 300]], n[1, [250, 400, 900]] = (5, 3, 1), (1, 4, 2)
+    pairs = [(a > b) + 0.5 * (a == b) for a in np.repeat([250, 400, 900], [1, 4, 2]) for b in np.repeat([100, 200, 300], [5, 3, 1])]
+    assert toxicity.separation(n) == pytest.approx(np.mean(pairs))
+    x, p = toxicity.calibrate(n)
+    bins = [round((v + toxicity.SPAN) / (2 * toxicity.SPAN) * toxicity.BINS - 0.5) for v in x]
+    assert bins == [100, 200, 250, 300, 400, 900] and p == sorted(p)
+    assert p[0] == p[1] == pytest.approx(0.05 / 8.5) and p[2] == p[3] == pytest.approx(1.05 / 2.5) and p[4] == pytest.approx(6.05 / 6.5)
+    assert toxicity.calibrate(np.zeros((2, toxicity.BINS))) == ([0.0], [0.0])

@@ -5,7 +5,8 @@ Counts are Kneser-Ney's: of a bigram the words that precede it (so a passage tha
 once), of a word the words that it follows; s is the share of the latter in both classes together, and shared by them.
 kept is a count less its discount, rest what the discounts free for the backoff. A discount is at least LEAST_* contexts
 (more in the larger class, by its size), and at least what the class would have of the counts at ODDS times its odds:
-an expression speaks for a class only where it stands out from both classes together.
+an expression speaks for a class only where it stands out from both classes together. Which of a few such numbers hold is
+told by the part of the training rows that the counts leave out.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 from themeloom.llm.kernel import ALNUM, LOWER, U64, byte_values, mix, prefix, separated, slices, small_batches, span_hash, spans
 from themeloom.plans.session import materialise
 
-#: Contexts that a word and a bigram of the smaller class need at least to say anything, and the odds against the class's size.
+#: Contexts that a word and a bigram of the smaller class need at least to say anything, and the odds against the class's size:
+#: where fit() begins. It then tries other odds, and with the best of these other multiples of both least numbers.
 LEAST_WORD, LEAST_PAIR, ODDS = 4, 10, 3.0
+OTHER_ODDS, MULTIPLES = (1.5, 6.0), (1 / 3, 3.0)
 #: Every CALIBRATE-th labelled row (by a hash of its id) is left out of the counts and calibrates the score.
 CALIBRATE = 4
 #: Labels (a number and a class each), and rows of evidence, up to which they are broadcast; beyond, a shuffle joins them.
@@ -73,16 +76,17 @@ def _unpacked(data: bytes, size: int) -> tuple[np.ndarray, ...]:
     return u, v, w, rest[12 * m :]
 
 
-def context_counts(labelled: DataFrame) -> DataFrame:
+def context_counts(labelled: DataFrame, least: float | None = None) -> DataFrame:
     """Counts of labelled(text, y): rows (v, w, n0, n1, n) of three kinds.
 
     With v null: n0, n1 and n words precede the word w in class 0, class 1 and either, in parts to be summed. With w null:
     m0 and m1 (in n0, n1) distinct pairs of neighbours surround the word v, in parts as well. Else: n0 and n1 words
-    precede the bigram v, w; only bigrams that have more than LEAST_PAIR in a class are listed.
+    precede the bigram v, w; only bigrams that have more than `least` (LEAST_PAIR) in a class are listed.
     Tasks send their distinct trigrams, packed, to buckets by bigram: the bigrams of one word are dealt to as many
     buckets as its hash and B ** 0.75 allow, so that no word fills a task and few parts of its counts arise.
     """
     small_batches(labelled.sparkSession)
+    least = LEAST_PAIR if least is None else least
     total = labelled.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET))
     spread = max(1, round(buckets**0.75))
@@ -129,7 +133,7 @@ def context_counts(labelled: DataFrame) -> DataFrame:
             words, at = np.unique(key, return_inverse=True)
             sums = [np.bincount(at, weights=x, minlength=len(words)).astype(np.int64) for x in each]
             out.append(pd.DataFrame({"v" if key is v else "w": pd.array(words.view(np.int64), "Int64"), "n0": sums[0], "n1": sums[1], "n": sums[2]}))
-        some = (n > LEAST_PAIR).any(axis=0)
+        some = (n > least).any(axis=0)
         out.append(
             pd.DataFrame(
                 {"v": pd.array(v[some].view(np.int64), "Int64"), "w": pd.array(w[some].view(np.int64), "Int64"), "n0": n[0][some], "n1": n[1][some], "n": 0},
@@ -141,20 +145,24 @@ def context_counts(labelled: DataFrame) -> DataFrame:
     return dealt.groupBy("bucket").applyInPandas(merge, "v bigint, w bigint, n0 bigint, n1 bigint, n bigint")
 
 
-def _kept(n: Column, both: Column, least: float, share: float, least_share: float) -> Column:
-    """A count less its discount: at least `least` contexts by the size of the class, at least its share at ODDS."""
-    owed = ODDS * share / (1 + (ODDS - 1) * share)
+def _kept(n: Column, both: Column, least: float, share: float, least_share: float, odds: float) -> Column:
+    """A count less its discount: at least `least` contexts by the size of the class, at least its share at `odds`."""
+    owed = odds * share / (1 + (odds - 1) * share)
     return F.greatest(n - F.greatest(F.lit(least * share / least_share), both * owed), F.lit(0.0))
 
 
 def evidence(labelled: DataFrame) -> tuple[DataFrame, float]:
-    """What tells the classes of labelled(text, y) apart: rows (kind, v, w, value), and the value of all other words.
+    """evidence_of() the counts of labelled(text, y), with the numbers that fit() begins with."""
+    return evidence_of(materialise(context_counts(labelled)), LEAST_WORD, LEAST_PAIR, ODDS)
+
+
+def evidence_of(counts: DataFrame, least_word: float, least_pair: float, odds: float) -> tuple[DataFrame, float]:
+    """What tells the classes of context_counts() apart: rows (kind, v, w, value), and the value of all other words.
 
     The log-likelihood ratio of a text is the sum, over its words, of the value for other words and of the values of
     the word (kind 0), of the word before (1) and of both as a bigram (2), 0 where there is none: where neither
     class keeps a count of its own, the shared backoff is a factor of both likelihoods and leaves the ratio.
     """
-    counts = materialise(context_counts(labelled))
     by_word = counts.where("v is null").groupBy("w").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "n")])
     contexts = counts.where("w is null").groupBy("v").agg(F.sum("n0").alias("m0"), F.sum("n1").alias("m1"))
     all_words = counts.where("v is null").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n0", "n1", "n")]).first()
@@ -162,7 +170,7 @@ def evidence(labelled: DataFrame) -> tuple[DataFrame, float]:
     t, m = [max(1, all_words[f"n{c}"]) for c in (0, 1)], [max(1, all_pairs[f"n{c}"]) for c in (0, 1)]
     share, pair_share = ([x / sum(held) for x in held] for held in (t, m))
 
-    kept = {f"k{c}": _kept(F.col(f"n{c}"), F.expr("n0 + n1"), LEAST_WORD, share[c], min(share)) for c in (0, 1)}
+    kept = {f"k{c}": _kept(F.col(f"n{c}"), F.expr("n0 + n1"), least_word, share[c], min(share), odds) for c in (0, 1)}
     words = materialise(by_word.withColumns(kept))
     size = words.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(f"k{c}"), F.lit(0.0)).alias(f"k{c}") for c in (0, 1)]).first()
     rest = [max(1e-9, 1 - size[f"k{c}"] / t[c]) for c in (0, 1)]
@@ -172,7 +180,7 @@ def evidence(labelled: DataFrame) -> tuple[DataFrame, float]:
     own = words.where("k0 > 0 or k1 > 0").select(F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("v"), "w", (F.log(q[1] / q[0]) - other).alias("value"))
 
     pairs = counts.where("v is not null and w is not null").select("v", "w", "n0", "n1")
-    pairs = pairs.withColumns({f"k{c}": _kept(F.col(f"n{c}"), F.expr("n0 + n1"), LEAST_PAIR, pair_share[c], min(pair_share)) for c in (0, 1)})
+    pairs = pairs.withColumns({f"k{c}": _kept(F.col(f"n{c}"), F.expr("n0 + n1"), least_pair, pair_share[c], min(pair_share), odds) for c in (0, 1)})
     pairs = materialise(pairs.where("k0 > 0 or k1 > 0"))
     left = pairs.groupBy("v").agg(F.sum("k0").alias("s0"), F.sum("k1").alias("s1")).join(contexts.hint("merge"), "v")
     rests = [F.greatest(1 - F.col(f"s{c}") / F.greatest(f"m{c}", F.lit(1)), F.lit(1e-9)).alias(f"r{c}") for c in (0, 1)]
@@ -255,24 +263,35 @@ def ratios(docs: DataFrame, told: DataFrame, other: float, few: bool | None = No
     return out.select(*rest, F.when(F.col("n_words") > 0, F.lit(other) + F.col("x") / F.col("n_words")).otherwise(0.0).alias("ratio"), "n_words")
 
 
-def calibrate(scored: DataFrame) -> tuple[list[float], list[float]]:
-    """Ratios and probabilities of a monotone map between them, fitted on bins of the ratio over scored(ratio, y)."""
+def binned(scored: DataFrame) -> np.ndarray:
+    """How many rows of scored(ratio, y) of each class (0, 1) fall into each bin of the ratio."""
     k = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("ratio") + SPAN) / (2 * SPAN) * BINS))).cast("int")
     bins = scored.groupBy(k.alias("k"), "y").count().toArrow().to_pandas()
     n = np.zeros((2, BINS))
     n[bins["y"].astype(int), bins["k"]] = bins["count"]
-    # Pool adjacent violators; each block then has its mean and, shrunk a little, its share of class 1.
+    return n
+
+
+def separation(n: np.ndarray) -> float:
+    """The area under the curve of binned rows: how likely a row of class 1 stands above one of class 0."""
+    below = np.cumsum(n[0]) - n[0] / 2
+    return float((n[1] * below).sum() / max(1.0, n[0].sum() * n[1].sum()))
+
+
+def calibrate(n: np.ndarray) -> tuple[list[float], list[float]]:
+    """Ratios and probabilities of a monotone map between them, fitted on binned() rows."""
+    # Pool adjacent violators; each block then has, from its first to its last bin, its share of class 1, shrunk a little.
     blocks: list[list[float]] = []
-    for k in np.flatnonzero(n.sum(axis=0)):
-        blocks.append([float(n[1, k]), float(n[:, k].sum()), float(k * n[:, k].sum())])
+    for k in np.flatnonzero(n.sum(axis=0)).tolist():
+        blocks.append([float(n[1, k]), float(n[:, k].sum()), k, k])
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             top = blocks.pop()
-            blocks[-1] = [a + b for a, b in zip(blocks[-1], top, strict=True)]
+            blocks[-1] = [blocks[-1][0] + top[0], blocks[-1][1] + top[1], blocks[-1][2], top[3]]
     if not blocks:
         return [0.0], [0.0]
-    x = [(b[2] / b[1] + 0.5) / BINS * 2 * SPAN - SPAN for b in blocks]
-    p = [(b[0] + 0.05) / (b[1] + 0.5) for b in blocks]
-    return x, np.maximum.accumulate(p).tolist()
+    knots = [(k, (ones + 0.05) / (every + 0.5)) for ones, every, lo, hi in blocks for k in dict.fromkeys((lo, hi))]
+    x = [(k + 0.5) / BINS * 2 * SPAN - SPAN for k, _ in knots]
+    return x, np.maximum.accumulate([p for _, p in knots]).tolist()
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -284,11 +303,30 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def fit(labelled: DataFrame) -> dict:
-    """A scoring model from all rows of labelled(id, text, y); rows without a label of 0 or 1 do not count."""
+    """A scoring model from all rows of labelled(id, text, y); rows without a label of 0 or 1 do not count.
+
+    Three quarters of the rows, by a hash of the id, are counted. On the others the discounts are chosen (by the area under
+    the curve, the first of equals) and the scores calibrated.
+    """
     rows = labelled.where("y in (0, 1)").withColumn("_part", F.pmod(F.xxhash64("id", F.lit("calibrate")), F.lit(CALIBRATE)))
-    told, other = evidence(rows.where("_part > 0"))
-    x, p = calibrate(ratios(rows.where("_part = 0").select("y", F.col("text").alias("_text")), told, other))
-    return {"told": told, "other": other, "x": x, "p": p}
+    counts = materialise(context_counts(rows.where("_part > 0"), LEAST_PAIR * min(1, *MULTIPLES)))
+    asked = materialise(rows.where("_part = 0").select("y", F.col("text").alias("_text")))
+    best: dict = {}
+
+    def attempt(multiple: float, odds: float) -> None:
+        told, other = evidence_of(counts, LEAST_WORD * multiple, LEAST_PAIR * multiple, odds)
+        n = binned(ratios(asked, told, other))
+        if not best or separation(n) > best["area"]:
+            best.update(area=separation(n), told=told, other=other, n=n, multiple=multiple, odds=odds)
+
+    attempt(1, ODDS)
+    if best["n"].sum(axis=1).all():  # without rows of both classes nothing tells which is better
+        for odds in OTHER_ODDS:
+            attempt(1, odds)
+        for multiple in MULTIPLES:
+            attempt(multiple, best["odds"])
+    x, p = calibrate(best["n"])
+    return {k: best[k] for k in ("told", "other", "multiple", "odds", "area")} | {"x": x, "p": p}
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
