@@ -315,28 +315,34 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-total // GROUP_BYTES))
     buckets = groups
-    whole = source.where("doc_id is not null").withColumn("_order", F.xxhash64("text")).withColumn("_group", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(groups)))
-    placed = whole.select("doc_id", "text", "_order", "_group")
+    group = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(groups))
+    # One shuffle serves all three uses below, so all of them take the same columns.
+    placed = source.where("doc_id is not null").withColumn("_order", F.xxhash64("text")).withColumn("_group", group)
     said = "bucket bigint, g bigint, payload binary"
 
-    def ask(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        held = Parse(frame, length, buckets).requests()
-        return pd.DataFrame({"bucket": [b for b, _ in held], "g": key[0], "payload": [p for _, p in held]})
+    def texts(part: pa.Table) -> pd.DataFrame:
+        return part.select(["doc_id", "text", "_order"]).to_pandas()
+
+    def sent(key: tuple, held: list[tuple[int, bytes]]) -> pa.Table:
+        g = pa.array([key[0].as_py()] * len(held), pa.int64())
+        return pa.table([pa.array([b for b, _ in held], pa.int64()), g, pa.array([p for _, p in held], pa.binary())], ["bucket", "g", "payload"])
+
+    def ask(key: tuple, part: pa.Table) -> pa.Table:
+        return sent(key, Parse(texts(part), length, buckets).requests())
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         return compare_phrases(frame)
 
-    def ask_again(key: tuple, frame: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        parse = Parse(frame, length, buckets)
-        status = parse.answers(rows, "u1", np.uint8(NONE))
-        held = [*parse.strings(status), (-1 - key[0], status.tobytes())]  # the last goes back to this group as it is
-        return pd.DataFrame({"bucket": [b for b, _ in held], "g": key[0], "payload": [p for _, p in held]})
+    def ask_again(key: tuple, part: pa.Table, rows: pa.Table) -> pa.Table:
+        parse = Parse(texts(part), length, buckets)
+        status = parse.answers(rows.select(["bucket", "payload"]).to_pandas(), "u1", np.uint8(NONE))
+        return sent(key, [*parse.strings(status), (-1 - key[0].as_py(), status.tobytes())])  # the last goes back to this group as it is
 
     def sort(frame: pd.DataFrame) -> pd.DataFrame:
         return frame if frame["bucket"].iloc[0] < 0 else sort_suffixes(frame, length)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        frame = left.select(["doc_id", "text", "_order"]).to_pandas().assign(_row=np.arange(left.num_rows))
+        frame = texts(left).assign(_row=np.arange(left.num_rows))
         rows = right.select(["bucket", "payload"]).to_pandas()
         parse = Parse(frame, length, buckets)
         own = rows["bucket"] < 0
@@ -356,9 +362,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     extra = [f for f in source.schema if f.name not in ("doc_id", "text")]
     schema = ", ".join(["doc_id bigint", *(f"`{f.name}` {f.dataType.simpleString()}" for f in extra), "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"])
-    first = placed.groupBy("_group").applyInPandas(ask, said).groupBy("bucket").applyInPandas(compare, said)
-    second = placed.groupBy("_group").cogroup(first.groupBy("g")).applyInPandas(ask_again, said).groupBy("bucket").applyInPandas(sort, said)
-    out = whole.groupBy("_group").cogroup(second.groupBy("g")).applyInArrow(cut, schema)
+    first = placed.groupBy("_group").applyInArrow(ask, said).groupBy("bucket").applyInPandas(compare, said)
+    second = placed.groupBy("_group").cogroup(first.groupBy("g")).applyInArrow(ask_again, said).groupBy("bucket").applyInPandas(sort, said)
+    out = placed.groupBy("_group").cogroup(second.groupBy("g")).applyInArrow(cut, schema)
     nothing = F.lit(0).cast("bigint")
     loose = source.where("doc_id is null").select(
         "doc_id",
