@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from themeloom.llm import langid, licences, packing, suffixdedup, tokencount
+from themeloom.llm import langid, licences, neardup, packing, suffixdedup, tokencount
 
 WIDE = [(1 << 62) + 1, (1 << 62) + 3, None]
 
@@ -117,3 +117,14 @@ def test_repeated_lines_do_not_swallow_the_sample(spark):
     assert got == want and len(set(got)) == 1000
     assert len(licences._least_lines(lines, 5000)) == 3008
     assert licences._least_lines(lines.limit(0), 10) == []
+
+
+def test_the_greatest_text_speaks_for_a_repeated_id(spark):
+    a, b = ("one two three four five six seven eight nine", "zebra yak xerus wolf viper unicorn tapir snake rat")
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, b), (4, ""), (5, None), (5, None), (None, a), (6, "q w e r t y"), (6, "q w e r t y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(str, map(tuple, neardup.near_duplicates(docs, 5, 80).collect())))
+    sizes = {a: 5, b: 5, "": 0, None: 0, "q w e r t y": 2}
+    component = {1: 1, 2: 2, 3: 2, 4: 2, 5: 5, 6: 6, None: None}
+    want = [(i, sizes[t], component[i], i is None or i == component[i]) for i, t in rows]
+    assert got == sorted(map(str, want))

@@ -238,18 +238,21 @@ def near_duplicates(
     union. Rows of equal sets form one class that a single row stands for. Bands of minima give candidates:
     first each representative with its most alike bucket head, then, in buckets that still hold rows of
     several heads, the pairs across them whose packed signatures, short and long, agree well enough, each
-    pair at the first band that it shares. All links are confirmed on full sets. Null, empty and blank texts have empty sets and are linked with nothing.
-    doc_id identifies a document: rows that repeat one are one node (the greatest text speaks for it).
+    pair at the first band that it shares. All links are confirmed on full sets. Null, empty and blank texts have
+    empty sets and are linked with nothing. doc_id identifies a document: rows that repeat one are one node, for which the
+    greatest text speaks; n_shingles is that of each row's own text.
     Rows with a null doc_id are kept by themselves, with a null component. No rows give no rows.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sig = materialise(signatures(docs, shingle))
-    some = sig.where("n > 0 and doc_id is not null")
-    classes = materialise(some.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")))
-    reps = some.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.first(F.struct("n", "bands", "sig")).alias("x")
-    )
-    reps = materialise(reps.select(F.col("doc_id").alias("rep"), "x.*"))
+    some = sig.where("doc_id is not null")
+    again = materialise(some.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id"))
+    spoken = None if again.isEmpty() else materialise(signatures(texts_of(docs, again), shingle))
+    nodes = some if spoken is None else materialise(some.join(again.hint("merge"), "doc_id", "left_anti").unionByName(spoken))
+    nodes = nodes.where("n > 0")
+    classes = materialise(nodes.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")))
+    reps = nodes.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    reps = materialise(reps.select(F.col("doc_id").alias("rep"), "n", "bands", "sig"))
     buckets = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     heads = buckets.groupBy("band", "key").agg(F.min("rep").alias("head"), F.count("*").alias("size")).where("size > 1")
     buckets = materialise(buckets.join(heads.drop("size"), ["band", "key"]))
@@ -275,11 +278,15 @@ def near_duplicates(
     of_class = classes.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", "n", F.coalesce("component", "rep").alias("component")
     )
-    out = sig.join(of_class, ["h1", "h2", "n"], "left")
+    rows = sig.select("doc_id", F.col("n").alias("n_shingles"), "h1", "h2", "n")
+    if spoken is not None:  # rows that repeat an id go with the text that speaks for it
+        whose = sig.select("doc_id", F.col("n").alias("n_shingles")).join(spoken.select("doc_id", "h1", "h2", "n").hint("merge"), "doc_id")
+        rows = rows.join(again.hint("merge"), "doc_id", "left_anti").unionByName(whose)
+    out = rows.join(of_class, ["h1", "h2", "n"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select(
         "doc_id",
-        F.col("n").alias("n_shingles"),
+        "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
