@@ -252,7 +252,7 @@ def ratios(docs: DataFrame, told: DataFrame, other: float, few: bool | None = No
                             names=["_row", "kind", "v", "w", "many"],
                         )
 
-    row = F.xxhash64(*[F.col(c).cast("string") for c in docs.columns]).alias("_row")
+    row = F.xxhash64(*[x for c in docs.columns for x in (F.col(c).isNull(), F.col(c).cast("string"))]).alias("_row")
     terms = docs.select(row, "_text").distinct().mapInArrow(split, "_row bigint, kind int, v bigint, w bigint, many bigint")
     sums = terms.join(told.hint("merge"), ["kind", "v", "w"], "left").groupBy("_row")
     sums = sums.agg(
