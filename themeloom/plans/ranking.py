@@ -22,8 +22,8 @@ def numbered(rows: DataFrame, *order: Column | str, name: str = "rank", key: str
     part, inside = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
     counts = {r["p"]: r["n"] for r in held.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
     parts = sorted(counts)
-    before = dict(zip(parts, accumulate([0, *(counts[p] for p in parts)]), strict=False))
-    start = F.create_map(*[F.lit(x) for p, n in before.items() for x in (p, n)]) if before else F.lit(None).cast("map<bigint,bigint>")
-    place = (F.try_element_at(start, part) + inside + 1).cast("int") if before else F.lit(None).cast("int")
-    out = held.withColumn(name, place).drop("_id")
+    starts = list(zip(parts, accumulate([0, *(counts[p] for p in parts)]), strict=False))
+    starts = held.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")  # a row for each range
+    out = held.join(F.broadcast(starts), part == F.col("_part")).withColumn(name, (F.col("_start") + inside + 1).cast("bigint"))
+    out = out.drop("_id", "_part", "_start")
     return out if key is None else out.withColumn(name, F.min(name).over(Window.partitionBy(key)))
