@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from themeloom.functions.text import strip
+from themeloom.plans.session import materialise
 
 #: The areas of a product that an issue can belong to.
 AREAS = ["core_listening", "discovery", "social", "monetization", "account", "stability", "downloads", "other"]
@@ -76,41 +77,56 @@ def score_record(scored: DataFrame, weights: dict[str, float] | None = None) ->
     return scored.withColumn("breakdown", F.struct(*members))
 
 
-def centroid_sims(members: DataFrame, keys: list[str], theme: str = "theme", vec: str = "embedding") -> DataFrame:
-    """keys, theme, centroid_sim: likeness of each theme of a cluster to the normalised mean of its members' unit vectors.
+def centroid_sims(issues: DataFrame, keys: list[str], vectors: DataFrame) -> DataFrame:
+    """keys, theme, n, centroid_sim: likeness of each theme of a cluster to the normalised mean of its issues' unit vectors.
 
-    members has a row for each issue, with the sparse vector (i, x) of its theme; equal themes are counted, not repeated.
+    vectors(theme, embedding) are sparse (i, x). Issues of equal themes are counted, n, before a vector is joined to them.
     """
-    counted = members.groupBy(*keys, theme).agg(F.count("*").alias("_n"), F.first(vec).alias("_v"))
+    counted = issues.groupBy(*keys, "theme").agg(F.count("*").alias("n")).join(vectors.select("theme", F.col("embedding").alias("_v")), "theme")
     norm = F.sqrt(F.aggregate("_v.x", F.lit(0.0), lambda a, x: a + x * x))
-    rows = counted.withColumn("_norm", norm).select(*keys, theme, "_n", "_norm", F.explode(F.arrays_zip("_v.i", "_v.x")).alias("_e"))
-    rows = rows.select(*keys, theme, "_n", F.col("_e.i").alias("_i"), (F.col("_e.x") / F.col("_norm")).alias("_u"))
-    mean = rows.groupBy(*keys, "_i").agg(F.sum(F.col("_n") * F.col("_u")).alias("_m"))
+    rows = counted.withColumn("_norm", norm).select(*keys, "theme", "n", "_norm", F.explode(F.arrays_zip("_v.i", "_v.x")).alias("_e"))
+    rows = rows.select(*keys, "theme", "n", F.col("_e.i").alias("_i"), (F.col("_e.x") / F.col("_norm")).alias("_u"))
+    mean = rows.groupBy(*keys, "_i").agg(F.sum(F.col("n") * F.col("_u")).alias("_m"))
     length = mean.groupBy(*keys).agg(F.sqrt(F.sum(F.col("_m") * F.col("_m"))).alias("_len"))
-    dots = rows.join(mean, [*keys, "_i"]).groupBy(*keys, theme).agg(F.sum(F.col("_u") * F.col("_m")).alias("_dot"))
-    return dots.join(length, keys).select(*keys, theme, (F.col("_dot") / F.col("_len")).alias("centroid_sim"))
+    dots = rows.join(mean, [*keys, "_i"]).groupBy(*keys, "theme", "n").agg(F.sum(F.col("_u") * F.col("_m")).alias("_dot"))
+    return dots.join(length, keys).select(*keys, "theme", "n", (F.col("_dot") / F.col("_len")).alias("centroid_sim"))
 
 
-def cluster_record(issues: DataFrame, keys: list[str], vectors: DataFrame, least: int = 1) -> DataFrame:
-    """One record for each cluster of `least` issues: keys, label, size, unique_themes, three breakdowns and members.
+def record_members(issues: DataFrame, keys: list[str], vectors: DataFrame, least: int = 1) -> DataFrame:
+    """The members of the clusters of `least` issues, a row each: issues with their likeness to the middle of their cluster.
 
-    issues(review_id, issue_pos, theme, severity, sentiment, feature_area, segment_hint and keys); vectors(theme, embedding)
-    sparse. The label is the theme nearest to the middle, ties to the first member. Breakdowns are maps of the values that
-    occur (null as `null`); members are structs in order of review and place, each with its likeness to the middle. A record
-    holds its members, so keys have to be selective.
+    Nothing gathers a cluster: what is known of it, a row for each of its themes, is written once and joined to the issues.
+    """
+    sims = materialise(centroid_sims(issues, keys, vectors))
+    large = sims.groupBy(*keys).agg(F.sum("n").alias("_size")).where(F.col("_size") >= least)
+    return issues.join(sims.join(large, keys, "left_semi").drop("n"), [*keys, "theme"])
+
+
+def record_heads(issues: DataFrame, keys: list[str], members: DataFrame) -> DataFrame:
+    """One row for each cluster of members, which are record_members() of issues: keys, label, size, unique_themes and breakdowns.
+
+    The label is the theme nearest to the middle, ties to the first member. Breakdowns are maps of the values that occur
+    (null as `null`).
     """
-    sims = centroid_sims(issues.join(vectors, "theme"), keys)
-    held = issues.join(sims, [*keys, "theme"])
-    member = F.struct("review_id", "issue_pos", "theme", "severity", "sentiment", "feature_area", "segment_hint", "centroid_sim")
     counts = [breakdown(issues, keys, c).groupBy(*keys).agg(_as_map("value", "n").alias(f"{c}_breakdown")) for c in ("sentiment", "severity", "feature_area")]
     first = F.max_by("theme", F.struct("centroid_sim", -F.col("review_id"), -F.col("issue_pos")))
-    out = held.groupBy(*keys).agg(
-        first.alias("label"), F.count("*").alias("size"), F.count_distinct("theme").alias("unique_themes"), F.array_sort(F.collect_list(member)).alias("members")
-    )
-    out = out.where(F.col("size") >= least)
+    out = members.groupBy(*keys).agg(first.alias("label"), F.count("*").alias("size"), F.count_distinct("theme").alias("unique_themes"))
     for c in counts:
         out = out.join(c, keys)
-    return out.select(*keys, "label", "size", "unique_themes", "sentiment_breakdown", "severity_breakdown", "feature_area_breakdown", "members")
+    return out.select(*keys, "label", "size", "unique_themes", "sentiment_breakdown", "severity_breakdown", "feature_area_breakdown")
+
+
+def cluster_record(issues: DataFrame, keys: list[str], vectors: DataFrame, least: int = 1) -> DataFrame:
+    """One record for each cluster of `least` issues: record_heads() and members.
+
+    issues(review_id, issue_pos, theme, severity, sentiment, feature_area, segment_hint and keys); vectors(theme, embedding)
+    sparse. Members are structs in order of review and place, each with its likeness to the middle. A record holds its
+    members, so keys have to be selective; record_members() gives the members of any cluster as rows.
+    """
+    held = record_members(issues, keys, vectors, least)
+    member = F.struct("review_id", "issue_pos", "theme", "severity", "sentiment", "feature_area", "segment_hint", "centroid_sim")
+    members = held.groupBy(*keys).agg(F.array_sort(F.collect_list(member)).alias("members"))
+    return record_heads(issues, keys, held).join(members, keys)
 
 
 def _as_map(key: str, value: str) -> Column:
