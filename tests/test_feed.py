@@ -1,6 +1,7 @@
 """Where a feed stops and what it accepts, against reading it row by row; language profiles on held-out texts."""
 
 import datetime as dt
+import math
 import random
 import zlib
 
@@ -88,3 +89,24 @@ def test_profile_edges(spark, tmp_path):
     with pytest.raises(ValueError, match="unsupported"):
         language.split(asked, profile, "xx")
     assert language.detect(asked, language.fit(docs.limit(0))).where("ranked is not null").count() == 0
+
+
+@pytest.mark.parametrize("step", [3, 1 << 21])
+def test_each_text_is_judged_where_it_is(spark, monkeypatch, step):
+    """Detection deals no text anew and explodes nothing; sums over pieces of texts are those of whole ones."""
+    monkeypatch.setattr(language, "STEP", step)
+    rows = [(1, "the cat", "en"), (2, "le chat noir", "fr"), (3, "der Hund", "de"), (4, "", "en"), (5, None, "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profile = language.fit(docs)
+    weight = {r.gram: r.w for r in profile.table.collect()}
+    texts = ["The cat, the CAT; le-chat", "", None, "12", "жук", "\U0001d4d0at der", "hund" * 9, "_cat_"]
+    found = language.detect(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), profile)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+    for r in found.collect():
+        words = "".join(c if c.isalpha() else " " for c in (r.text or "").lower()).split()
+        grams = [g for w in words for i in range(len(w)) if (g := f"_{w}_"[i : i + 3]) in weight]
+        sums = [sum(weight[g][k] for g in grams) for k in range(3)]
+        want = [math.exp((x - max(sums)) / 3000) for x in sums]
+        want = {k: x / sum(want) for k, x in zip(profile.languages, want, strict=True)} if grams else None
+        assert (r.ranked and {x.lang: x.p for x in r.ranked}) == (want and pytest.approx(want))
