@@ -77,3 +77,33 @@ def test_arguments_are_parsed_and_checked(spark):
     frame = spark.createDataFrame([(k, v[0]) for k, v in rows.items()], "k string, a string")
     got = frame.select("k", extraction.DECLARATION.parse(F.col("a")).alias("p")).collect()
     assert {r.k: ([x.theme for x in r.p.issues], list(r.p.problems)) for r in got} == {k: (v[1], v[2]) for k, v in rows.items()}
+
+
+@pytest.mark.parametrize("together", [1, 3, 2000])
+def test_sequences_are_counted_and_found_where_texts_lie(spark, monkeypatch, together):
+    """Numbers of words in place of exploded phrases: the same counts and rules, over slices of a batch, nulls and repeated ids."""
+    monkeypatch.setattr(rules, "ROWS", together)
+    rng = random.Random(together)
+    texts = [(i, None if i % 7 == 3 else " ".join(rng.choice(["a", "b", "'c", "dd", ";", "é"]) for _ in range(rng.randint(0, 9)))) for i in range(40)]
+    texts += [(50, "b b a"), (50, "a b"), (51, "x"), (51, "dd")]
+    frame = spark.createDataFrame(texts, "review_id long, text string").coalesce(1)
+    want = {}
+    for _, t in texts:
+        words = re.findall(r"[\w']+", t) if t else []
+        for n in (1, 3):
+            for at in range(len(words) - n + 1):
+                key = (" ".join(words[at : at + n]), n)
+                want[key] = want.get(key, 0) + 1
+    assert {(r.phrase, r.n): r.c for r in rules.counted(frame, "text", [1, 3]).collect()} == want
+    for most, known in ((4, 2), (2, 3), (50, 1), (3, 100)):
+        got = rules.common(frame, "text", [1, 3], most, known).collect()
+        best = {n: sorted((-c, p) for (p, m), c in want.items() if m == n)[:most] for n in (1, 3)}
+        assert {(r.n, r.k, r.phrase, r.c) for r in got} == {(n, k, p, -c) for n, v in best.items() for k, (c, p) in enumerate(v, 1)}
+    table = [(p, f"t {p}", "low", "neutral", "other") for p in ("a", "b", "a b", "b a b", "'c dd", "dd a é", "é", "b 'c", "q")]
+    found = rules.find(frame, spark.createDataFrame(table, rules.SCHEMA))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan and "Window" not in plan
+    got = {r.review_id: [tuple(x)[:4] for x in r.issues] for r in found.collect()}
+    once = {i: plain(t, {r[0]: r[1:] for r in table}) for i, t in texts if i < 50}
+    assert {i: v for i, v in got.items() if i < 50} == {i: v for i, v in once.items() if v}
+    assert [x[0] for x in got[50]] == ["t a", "t b", "t a b"] and 51 not in got
