@@ -41,3 +41,20 @@ def test_drawn_rows_are_those_of_least_rank(spark):
         own = sorted((hashlib.md5(f"7:{i}".encode()).hexdigest(), i) for i, r, s in rows if (r, s) == (rating, side))
         want += [(i, rating, side, k + 1) for k, (_, i) in enumerate(own[:n])]
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_samples_deal_only_the_rows_up_to_the_last_rank(spark):
+    """Texts of a stratum do not meet in a task: ranks and ids are dealt, then as many rows as the quotas say."""
+    docs = spark.range(3000).select(F.col("id").alias("review_id"), (F.col("id") % 3 + 1).cast("int").alias("rating"), F.repeat(F.col("id").cast("string"), 200).alias("text"))
+    frame = sampling.fixed(docs.repartition(3), {1: 18, 2: 1, 4: 2}, strict=False)
+    salted = [line for line in frame._jdf.queryExecution().optimizedPlan().toString().splitlines() if "_salt" in line]
+    assert salted and all("text#" not in line for line in salted)
+    got = {}
+    for r in frame.collect():
+        got.setdefault(r.rating, {})[r.pos] = r.review_id
+    for rating, n in ((1, 18), (2, 1)):
+        want = sorted((hashlib.md5(f"42:{i}".encode()).hexdigest(), i) for i in range(3000) if i % 3 + 1 == rating)[:n]
+        assert got[rating] == {k: i for k, (_, i) in enumerate(want, 1)}
+    assert set(got) == {1, 2}
+    again = sampling.draw(docs.where("review_id < 4").unionByName(docs.where("review_id = 0")), spark.createDataFrame([(1, 9)], "rating int, n int"), ["rating"])
+    assert sorted((r.review_id, r.pos) for r in again.collect()) == sorted((i, k) for k, i in enumerate(sorted([0, 0, 3], key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest()), 1))

@@ -33,13 +33,18 @@ def allocate(pools: DataFrame, target: int, by: str = "platform") -> DataFrame:
 def draw(rows: DataFrame, quotas: DataFrame, keys: list[str], seed: int = 42, id_col: str = "review_id") -> DataFrame:
     """The rows of each stratum with the least md5 ranks, as many as quotas(keys, n) says, with their place `pos` from 1.
 
-    Each stratum is cut into SALT parts by a hash; the first n of each part hold the first n of all, so a task sees a part of
-    a stratum, and then SALT * n rows at most.
+    First the last rank of each stratum is found among ranks and ids alone: each stratum is cut into SALT parts by a hash,
+    and the first n of each part hold the first n of all. Then rows up to it are ranked; no others are dealt anew. Quotas
+    have a row for each stratum and are broadcast.
     """
-    order = [draw_rank(seed, id_col), F.col(id_col)]
-    held = rows.join(quotas.select(*keys, F.col("n").alias("_n")), keys).withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALT)))
-    first = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))
-    held = held.withColumn("_rn", first).where("_rn <= _n").withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    rank, quotas = draw_rank(seed, id_col), quotas.select(*keys, F.col("n").alias("_n"))
+    ids = rows.select(*keys, F.struct(rank.alias("r"), F.col(id_col).alias("i")).alias("_o")).join(F.broadcast(quotas), keys)
+    ids = ids.withColumn("_salt", F.pmod(F.xxhash64("_o.i"), F.lit(SALT)))
+    ids = ids.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy("_o"))).where("_rn <= _n")
+    ids = ids.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy("_o"))).where("_rn <= _n")
+    last = ids.groupBy(*keys).agg(F.max("_o").alias("_last"), F.first("_n").alias("_n"))
+    held = rows.join(F.broadcast(last), keys).where(F.struct(rank.alias("r"), F.col(id_col).alias("i")) <= F.col("_last"))
+    held = held.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(rank, F.col(id_col))))
     return held.where("pos <= _n").select(*rows.columns, "pos")
 
 
