@@ -124,3 +124,15 @@ def test_theme_clusters_equal_a_plain_run(spark):
                 break
             groups[i] += groups.pop(j)
         assert themes == {names[i]: names[min(g)] for g in groups for i in g}
+
+
+def test_rounds_broadcast_no_clusters(spark, monkeypatch):
+    """What a round joins are sides that grow with the clusters: by shuffles, so that nothing of them goes through the driver."""
+    written, keep = [], clustering.materialise
+    monkeypatch.setattr(clustering, "materialise", lambda df: written.append(df) or keep(df))
+    v = np.random.default_rng(3).standard_normal((300, 4))
+    rows = spark.createDataFrame([("k", i, x.tolist()) for i, x in enumerate(v)], "part string, id long, v array<double>")
+    out = clustering.average_linkage(rows, 0.3, "part", "id", "v", small=0)
+    for df in [*written, out]:
+        for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+            assert "BroadcastHashJoin" not in line or "BroadcastHashJoin [part#" in line and "cid" not in line and "other" not in line

@@ -34,6 +34,11 @@ def unit(vec: str) -> Column:
     return F.transform(vec, lambda x: x.cast("double") / length)
 
 
+def _joined(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join of two sides that grow with the clusters: by a shuffle, as a broadcast in each round would go through the driver."""
+    return a.join(b.hint("merge"), on, how)
+
+
 class _Block:
     """Sparse vectors of some clusters, ids ascending."""
 
@@ -174,21 +179,21 @@ def _in_rounds(state: DataFrame, threshold: float, most_rounds: int) -> DataFram
     for _ in range(most_rounds):
         back = near.select("part", F.col("other").alias("cid"), F.col("cid").alias("other"))
         merged = materialise(
-            near.join(back, ["part", "cid", "other"]).where("cid < other").select("part", F.col("other").alias("cid"), F.col("cid").alias("into")),
+            _joined(near, back, ["part", "cid", "other"]).where("cid < other").select("part", F.col("other").alias("cid"), F.col("cid").alias("into")),
         )
         if merged.isEmpty():
             return out
         out = merged if out is None else out.unionByName(merged)
-        alive = state.join(near.select("part", "cid"), ["part", "cid"], "left_semi")
-        gone = merged.join(alive.toDF("part", "cid", "size_b", "i_b", "x_b"), ["part", "cid"])
+        alive = _joined(state, near.select("part", "cid"), ["part", "cid"], "left_semi")
+        gone = _joined(merged, alive.toDF("part", "cid", "size_b", "i_b", "x_b"), ["part", "cid"])
         gone = gone.select("part", F.col("into").alias("cid"), "size_b", "i_b", "x_b")
-        new = materialise(_summed(alive.join(gone, ["part", "cid"])))
+        new = materialise(_summed(_joined(alive, gone, ["part", "cid"])))
         ends = merged.select("part", "cid").union(merged.select("part", F.col("into").alias("cid")))
-        state = materialise(alive.join(ends, ["part", "cid"], "left_anti").unionByName(new))
-        kept = near.join(ends, ["part", "cid"], "left_anti")
+        state = materialise(_joined(alive, ends, ["part", "cid"], "left_anti").unionByName(new))
+        kept = _joined(near, ends, ["part", "cid"], "left_anti")
         lost = ends.withColumnRenamed("cid", "other")
-        stays = kept.join(lost, ["part", "other"], "left_anti").select("part", "cid", "other", "dist")
-        asked = state.join(stays, ["part", "cid"], "left_anti")
+        stays = _joined(kept, lost, ["part", "other"], "left_anti").select("part", "cid", "other", "dist")
+        asked = _joined(state, stays, ["part", "cid"], "left_anti")
         near = materialise(stays.unionByName(nearest(asked, state, threshold)))
     raise RuntimeError(f"clusters have not settled after {most_rounds} rounds")
 
@@ -205,12 +210,12 @@ def average_linkage(points: DataFrame, threshold: float, part: str, id_col: str,
     workers_find_package(spark)
     held = materialise(points.select(F.col(part).alias("part"), F.col(id_col).alias("id"), sparse(points, vec).alias("u")))
     first = materialise(held.groupBy("part", "u").agg(F.min("id").alias("cid"), F.count("*").alias("size")))
-    assigned = held.join(first, ["part", "u"]).select("part", "id", "cid")
+    assigned = _joined(held, first, ["part", "u"]).select("part", "id", "cid")
     parts = first.groupBy("part").agg((F.count("*") > small).alias("large"))
     sized = first.join(parts, "part")
     named = lambda rows: rows.select(F.col("part").alias(part), F.col("id").alias(id_col), F.col("cid").alias("cluster"))
     done = _in_tasks(sized.where("not large").drop("large"), threshold)
-    done = named(assigned.join(done, ["part", "cid"]).select("part", "id", F.col("into").alias("cid")))
+    done = named(_joined(assigned, done, ["part", "cid"]).select("part", "id", F.col("into").alias("cid")))
     if parts.where("large").isEmpty():
         return done
     scaled = F.transform("u.x", lambda v: v * F.col("size"))
@@ -219,9 +224,9 @@ def average_linkage(points: DataFrame, threshold: float, part: str, id_col: str,
     if moved is None:
         return done.unionByName(named(assigned))
     while True:  # a cluster may be merged on: chains are halved until all lead to where they end
-        ahead = moved.join(moved.toDF("part", "into", "next"), ["part", "into"], "left")
+        ahead = _joined(moved, moved.toDF("part", "into", "next"), ["part", "into"], "left")
         if ahead.where("next is not null").isEmpty():
             break
         moved = materialise(ahead.select("part", "cid", F.coalesce("next", "into").alias("into")))
-    large = assigned.join(moved, ["part", "cid"], "left").select("part", "id", F.coalesce("into", "cid").alias("cid"))
+    large = _joined(assigned, moved, ["part", "cid"], "left").select("part", "id", F.coalesce("into", "cid").alias("cid"))
     return done.unionByName(named(large))
