@@ -136,3 +136,59 @@ def test_rounds_broadcast_no_clusters(spark, monkeypatch):
     for df in [*written, out]:
         for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
             assert "BroadcastHashJoin" not in line or "BroadcastHashJoin [part#" in line and "cid" not in line and "other" not in line
+
+
+def test_a_part_may_take_more_rounds_than_two_hundred(spark):
+    """Each vector is nearer to all before it than to the ones after it: one pair merges a round, 209 times."""
+    n, near = 215, 210
+    alike = 0.9 - 0.8 * np.arange(n) / n
+    gram = alike[np.maximum.outer(np.arange(n), np.arange(n))]
+    np.fill_diagonal(gram, 1)
+    v = np.linalg.cholesky(gram)
+    rows = spark.createDataFrame([("k", i, x.tolist()) for i, x in enumerate(v)], "part string, id long, v array<double>")
+    threshold = float(1 - alike[near - 1 : near + 1].mean())
+    got = {r.id: r.cluster for r in clustering.average_linkage(rows, threshold, "part", "id", "v", small=0).collect()}
+    assert got == {i: 0 if i < near else i for i in range(n)}
+
+
+@pytest.mark.parametrize("small, room, pairs", [(0, 0, 0), (0, 1 << 23, 60_000), (300, 0, 0)])
+def test_parts_go_from_rounds_to_one_task(spark, monkeypatch, small, room, pairs):
+    """Rounds over blocks to the end, or until a task can hold the part, give what one matrix gives; repeated vectors count."""
+    written, keep = [], clustering.materialise
+    monkeypatch.setattr(clustering, "materialise", lambda df: written.append(df.columns) or keep(df))
+    monkeypatch.setattr(clustering, "ROOM", room)
+    monkeypatch.setattr(clustering, "PAIRS", pairs)
+    monkeypatch.setattr(clustering, "BLOCK", 150)
+    rng = np.random.default_rng(4)
+    v = {k: np.repeat(rng.standard_normal((n // 5, 12)), 5, axis=0) + 0.4 * rng.standard_normal((n, 12)) for k, n in (("a", 450), ("b", 200))}
+    held = [(k, 2 * i + copy, x.tolist()) for k, xs in v.items() for i, x in enumerate(xs) for copy in range(1 + (i % 7 == 0))]
+    rows = spark.createDataFrame(held, "part string, id long, v array<double>").repartition(3)
+    got = {(r.part, r.id): r.cluster for r in clustering.average_linkage(rows, 0.6, "part", "id", "v", small=small).collect()}
+    rounds = written.count(["part", "cid", "size", "i", "x"]) // 2
+    assert len(got) == len(held) and (rounds > 5 if not small and not room else 0 < rounds < 5)
+    for k, xs in v.items():
+        u = np.round(xs / np.linalg.norm(xs, axis=1, keepdims=True), 12)
+        size = 1.0 + (np.arange(len(xs)) % 7 == 0)
+        want = clustering.merge_small(np.arange(len(xs)), u @ u.T * np.outer(size, size), size, 0.6)
+        assert all(got[k, 2 * i] == 2 * w and got.get((k, 2 * i + 1), 2 * w) == 2 * w for i, w in enumerate(want.tolist()))
+        assert 1 < len(set(want.tolist())) < len(xs) / 2
+
+
+def test_known_neighbours_are_gone_on_from(monkeypatch):
+    """Rounds by mean vectors, with some neighbours known and products held a few rows at a time, end as rounds by all products."""
+    monkeypatch.setattr(clustering, "CELLS", 2000)
+    rng = np.random.default_rng(5)
+    v = np.repeat(rng.standard_normal((60, 10)), 5, axis=0) + 0.4 * rng.standard_normal((300, 10))
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    far = np.round(1 - u @ u.T, 12)
+    np.fill_diagonal(far, np.inf)
+    near = np.where(rng.random(300) < 0.5, far.argmin(axis=1), clustering.ASK)
+    want = clustering.merge_small(np.arange(300), u @ u.T, np.ones(300), 0.6)
+    near[far.min(axis=1) >= 0.6] = clustering.ASK
+    assert clustering.merge_on(u.copy(), np.ones(300), near, 0.6).tolist() == want.tolist() and len(set(want.tolist())) < 150
+
+
+def test_the_first_of_columns_equal_to_twelve_digits_is_nearest():
+    alike = np.array([[0.5, 0.7, 0.7 + 1e-15, 0.7 - 1e-15], [0.1, 0.2, 0.3, 0.3], [0.0, 0.0, 0.0, 0.0], [0.9, 0.9 + 3e-12, 0.9, 0.2]])
+    row, column, dist = clustering.least(alike, 0.9)
+    assert (row.tolist(), column.tolist(), dist.tolist()) == ([0, 1, 3], [1, 2, 1], [0.3, 0.7, round(0.1 - 3e-12, 12)])
